@@ -40,7 +40,12 @@ CB = "_cb"
 DEFAULT_BUCKET_ROWS = 1 << 17  # 131,072 rows per window task (+ halo)
 
 
-def _coarse(df: DataFrame, order_col: str, unit: str | int) -> Column:
+def _order_list(order_col: str | Sequence[str]) -> list[str]:
+    return [order_col] if isinstance(order_col, str) else list(order_col)
+
+
+def _coarse(df: DataFrame, order_col: str | Sequence[str], unit: str | int) -> Column:
+    order_col = _order_list(order_col)[0]
     dtype = df.schema[order_col].dataType
     if isinstance(dtype, (T.DateType, T.TimestampType, T.TimestampNTZType)):
         return F.date_trunc(str(unit), F.col(order_col))
@@ -82,7 +87,7 @@ def _null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> D
 
 def add_row_index(
     df: DataFrame,
-    order_col: str,
+    order_col: str | Sequence[str],
     partition_cols: Sequence[str] = (),
     index_col: str = IDX,
     coarse_unit: str | int = "month",
@@ -100,47 +105,56 @@ def add_row_index(
     prefix = Window.partitionBy(*keys).orderBy(CB).rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(*keys, CB, F.coalesce(F.sum("_n").over(prefix), F.lit(0)).cast("long").alias("_off"))
     joined = _null_safe_join(x, offsets, keys + [CB])
-    rn = F.row_number().over(Window.partitionBy(*keys, CB).orderBy(order_col))
+    rn = F.row_number().over(Window.partitionBy(*keys, CB).orderBy(*_order_list(order_col)))
     return joined.withColumn(index_col, F.col("_off") + rn - 1).drop("_off", CB)
 
 
-def _halo(df: DataFrame, bucket_rows: int, halo_rows: int, index_col: str) -> DataFrame:
-    if halo_rows >= bucket_rows:
-        raise ValueError("bucket_rows must exceed the look-back")
+def _halo(df: DataFrame, bucket_rows: int, halo_rows: int, index_col: str, ahead_rows: int = 0) -> DataFrame:
+    """Assign each row to its bucket, plus the next bucket when it is among
+    the last ``halo_rows`` of its own (look-back), plus the previous bucket
+    when it is among the first ``ahead_rows`` (look-ahead)."""
+    if halo_rows >= bucket_rows or ahead_rows >= bucket_rows:
+        raise ValueError("bucket_rows must exceed the look-back and look-ahead")
     b = F.floor(F.col(index_col) / F.lit(bucket_rows))
-    in_tail = (F.col(index_col) % F.lit(bucket_rows)) >= F.lit(bucket_rows - halo_rows)
-    buckets = F.when(in_tail, F.array(b, b + 1)).otherwise(F.array(b)) if halo_rows > 0 else F.array(b)
+    pos = F.col(index_col) % F.lit(bucket_rows)
+    parts = [F.array(b)]
+    if halo_rows > 0:
+        parts.append(F.when(pos >= F.lit(bucket_rows - halo_rows), F.array(b + 1)).otherwise(F.array().cast("array<bigint>")))
+    if ahead_rows > 0:
+        parts.append(F.when((pos < F.lit(ahead_rows)) & (b > 0), F.array(b - 1)).otherwise(F.array().cast("array<bigint>")))
+    buckets = parts[0] if len(parts) == 1 else F.concat(*parts)
     return df.withColumn(BK, F.explode(buckets))
 
 
 def windowed(
     df: DataFrame,
     build: Callable[[WindowSpec], list[Column]],
-    order_col: str = "date",
+    order_col: str | Sequence[str] = "date",
     partition_cols: Sequence[str] = (),
     lookback: int = 30,
     plan: str = "halo",
     bucket_rows: int = DEFAULT_BUCKET_ROWS,
     coarse_unit: str | int = "month",
     keep_index: bool = False,
+    lookahead: int = 0,
 ) -> DataFrame:
     """Add the columns returned by ``build(w)`` where ``w`` is the series'
     row-ordered window (frames are added by ``build`` with ``rowsBetween``).
 
-    ``lookback`` is the largest number of preceding rows any column reads.
+    ``lookback`` is the largest number of preceding rows any column reads,
+    ``lookahead`` the largest number of following rows (``lead``).
     All columns share one window spec, so Spark evaluates them in one Window
     operator after one sort.
     """
     keys = list(partition_cols)
     if plan == "partition":
-        w = Window.partitionBy(*keys).orderBy(order_col)
-        out = df.select("*", *build(w))
-        return out
+        w = Window.partitionBy(*keys).orderBy(*_order_list(order_col))
+        return df.select("*", *build(w))
     if plan != "halo":
         raise ValueError(f"unknown plan {plan!r}")
     has_idx = IDX in df.columns
     x = df if has_idx else add_row_index(df, order_col, keys, IDX, coarse_unit)
-    x = _halo(x, bucket_rows, lookback, IDX)
+    x = _halo(x, bucket_rows, lookback, IDX, lookahead)
     w = Window.partitionBy(*keys, BK).orderBy(IDX)
     out = x.select("*", *build(w)).filter(F.col(BK) == F.floor(F.col(IDX) / F.lit(bucket_rows))).drop(BK)
     if not keep_index and not has_idx:
@@ -152,7 +166,7 @@ def forward_fill(
     df: DataFrame,
     value_col: str,
     out_col: str,
-    order_col: str = "date",
+    order_col: str | Sequence[str] = "date",
     partition_cols: Sequence[str] = (),
     plan: str = "halo",
     bucket_rows: int = DEFAULT_BUCKET_ROWS,
@@ -166,7 +180,7 @@ def forward_fill(
     keys = list(partition_cols)
     v = F.col(value_col)
     if plan == "partition":
-        w = Window.partitionBy(*keys).orderBy(order_col).rowsBetween(Window.unboundedPreceding, 0)
+        w = Window.partitionBy(*keys).orderBy(*_order_list(order_col)).rowsBetween(Window.unboundedPreceding, 0)
         return df.withColumn(out_col, F.last(v, ignorenulls=True).over(w))
     has_idx = IDX in df.columns
     x = df if has_idx else add_row_index(df, order_col, keys, IDX, coarse_unit)

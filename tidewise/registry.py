@@ -413,3 +413,209 @@ def _e2_sql() -> str:
 def q_e2(spark, sf_dir):
     """E2 storage features (63 columns)."""
     return fe.storage_pipeline(vw.v_storage(spark, sf_dir))
+
+
+# ---------------------------------------------------- A: aggregations, joins
+from tidewise.operators import impute as im  # noqa: E402
+from tidewise.operators import joins as jn  # noqa: E402
+from tidewise.operators.power import gas_burn_proxy  # noqa: E402
+from tidewise.sources import landed as ld  # noqa: E402
+from tidewise.sources import store as sto  # noqa: E402
+
+
+@register(
+    "a1_gas_burn",
+    rsql(vw.with_views("select ba, cast(ts as date) as date, coalesce(sum(total_load * 0.4), 0) as gas_burn_mwh "
+                       "from v_power where ts is not null group by ba, cast(ts as date)", "v_power"),
+         ["gas_burn_mwh"]),
+)
+def q_a1(spark, sf_dir):
+    """A1 daily gas-burn proxy per balancing area (0.4 x total load)."""
+    return gas_burn_proxy(vw.v_power(spark, sf_dir), "ts", by=["ba"])
+
+
+_W_CASE = ("case region when 'Northeast' then 0.25 when 'Midwest' then 0.20 when 'South' then 0.30 "
+           "when 'West' then 0.25 else 0.1 end")
+
+
+@register(
+    "a2_regional_degree_days",
+    rsql(vw.with_views(
+        "select date, case when count(hdd * w) = count(*) then sum(hdd * w) end as HDD_weighted, "
+        "case when count(cdd * w) = count(*) then sum(cdd * w) end as CDD_weighted from ("
+        f"select date, {_hdd('temperature')} as hdd, {_cdd('temperature')} as cdd, {_W_CASE} as w "
+        "from v_weather_region) x group by date", "v_weather_region"), ["HDD_weighted", "CDD_weighted"]),
+)
+def q_a2(spark, sf_dir):
+    """A2 population-weighted degree days per date (J5 weight lookup)."""
+    return wx.regional_degree_days(vw.v_weather_region(spark, sf_dir))
+
+
+_ALL_TABLES = ("prices", "storage_weekly", "production_monthly", "lng_monthly", "power_burn", "weather_daily",
+               "rigs_weekly")
+_J1_SELECT = (
+    "select p.date, p.spot_price, p.front_month, p.m1_m2_spread, s.working_gas, s.five_year_avg, s.yoy_deviation, "
+    "s.wow_change, pr.dry_gas_bcfpd, l.exports_bcf, l.lng_capacity_bcfpd, pb.gas_mwh, pb.total_load_mwh, "
+    "pb.renewables_mwh, w.hdd, w.cdd, w.temperature, r.total_rigs, r.gas_rigs from prices p "
+    "left join storage_weekly s on p.date = s.report_date left join production_monthly pr on p.date = pr.month "
+    "left join lng_monthly l on p.date = l.month left join power_burn pb on p.date = pb.date "
+    "left join weather_daily w on p.date = w.date left join rigs_weekly r on p.date = r.date"
+)
+_J1_DOUBLES = [c for _, c in jn.MATRIX_COLUMNS if c not in ("date", "total_rigs", "gas_rigs")]
+
+
+@register("j1_feature_matrix", rsql(f"{ld.tables_sql(*_ALL_TABLES)}\n{_J1_SELECT}", _J1_DOUBLES))
+def q_j1(spark, sf_dir):
+    """J1 exact-date feature matrix (fan-out by region / balancing area)."""
+    return jn.feature_matrix(ld.tables(spark, sf_dir))
+
+
+@register(
+    "j2_forecast_merge",
+    rsql(vw.with_views(
+        "select h.*, f.temperature as temperature_forecast, f.temperature - h.temperature as temp_forecast_error, "
+        f"{_hdd('f.temperature')} as HDD_forecast, {_cdd('f.temperature')} as CDD_forecast from ({_WX_DD}) h "
+        "left join v_forecast f on h.date = f.date", "v_weather", "v_forecast"),
+        ["temperature", "wind_speed", "HDD", "CDD", "temperature_forecast", "temp_forecast_error", "HDD_forecast",
+         "CDD_forecast"]),
+)
+def q_j2(spark, sf_dir):
+    """J2 forecast merge with suffixing, forecast error and forecast degree days."""
+    hist = wx.degree_days(vw.v_weather(spark, sf_dir), keep_input=True)
+    return wx.forecast_merge(hist, vw.v_forecast(spark, sf_dir))
+
+
+@register(
+    "j3_combine",
+    rsql(vw.with_views(
+        "select p.date, p.spot_price, w.temperature as wx_temperature, w.wind_speed as wx_wind_speed, "
+        "s.working_gas as st_working_gas, s.five_year_avg as st_five_year_avg from v_prices p "
+        "left join v_weather w on p.date = w.date left join v_storage s on p.date = s.date",
+        "v_prices", "v_weather", "v_storage"),
+        ["spot_price", "wx_temperature", "wx_wind_speed", "st_working_gas", "st_five_year_avg"]),
+)
+def q_j3(spark, sf_dir):
+    """J3 side-by-side combination on date with per-frame prefixes."""
+    return fe.combine({"base": vw.v_prices(spark, sf_dir), "wx": vw.v_weather(spark, sf_dir),
+                       "st": vw.v_storage(spark, sf_dir)})
+
+
+@register(
+    "j4_asof",
+    rsql(vw.with_views(
+        "select p.date, p.spot_price, s.working_gas, s.five_year_avg, pr.dry_gas_bcfpd from v_prices p "
+        "asof left join v_storage s on p.date >= s.date asof left join v_production pr on p.date >= pr.month",
+        "v_prices", "v_storage", "v_production"),
+        ["spot_price", "working_gas", "five_year_avg", "dry_gas_bcfpd"]),
+)
+def q_j4(spark, sf_dir):
+    """J4 as-of carry-forward of weekly storage and monthly production to days."""
+    p = vw.v_prices(spark, sf_dir)
+    s = vw.v_storage(spark, sf_dir)
+    pr = vw.v_production(spark, sf_dir)
+    x = jn.asof_join(p, s, "date", "date", ["working_gas", "five_year_avg"])
+    return jn.asof_join(x, pr, "date", "month", ["dry_gas_bcfpd"])
+
+
+_WD_DOUBLES = ["hdd", "cdd", "hdd_norm_delta", "cdd_norm_delta", "temperature", "wind_speed"]
+
+
+@register(
+    "c1_scan_range",
+    rsql(f"{ld.tables_sql('weather_daily')}\nselect * from weather_daily "
+         "where date >= date '1995-06-01' and date <= date '1997-06-30' order by date", _WD_DOUBLES),
+)
+def q_c1(spark, sf_dir):
+    """C1 inclusive date-range scan of weather_daily, ordered by date."""
+    return sto.scan_range(ld.weather_daily(spark, sf_dir), "weather_daily", "1995-06-01", "1997-06-30")
+
+
+@register(
+    "c2_latest",
+    rsql(f"{ld.tables_sql('weather_daily')}\nselect * from weather_daily "
+         "where date = (select max(date) from weather_daily)", _WD_DOUBLES),
+)
+def q_c2(spark, sf_dir):
+    """C2 all rows at the latest date (ties across regions kept)."""
+    return sto.latest(ld.weather_daily(spark, sf_dir), "weather_daily")
+
+
+@register(
+    "u1_concat",
+    rsql(vw.with_views("select date, temperature, wind_speed, 'All' as region from v_weather "
+                       "union all by name select * from v_weather_region", "v_weather", "v_weather_region"),
+         ["temperature", "wind_speed"]),
+)
+def q_u1(spark, sf_dir):
+    """U1 row concatenation aligned by column name (missing columns null)."""
+    a = vw.v_weather(spark, sf_dir).withColumn("region", F.lit("All"))
+    return a.unionByName(vw.v_weather_region(spark, sf_dir), allowMissingColumns=True)
+
+
+_MED_COLS = [c for _, c in jn.MATRIX_COLUMNS if c != "date"]
+
+
+def _p10_sql() -> str:
+    meds = ", ".join(f"median(cast({c} as double)) as {c}" for c in _MED_COLS)
+    fills = ", ".join(f"coalesce(cast(m.{c} as double), med.{c}) as {c}" for c in _MED_COLS)
+    return rsql(
+        f"{ld.tables_sql(*_ALL_TABLES)}, m as ({_J1_SELECT}), med as (select {meds} from m)\n"
+        f"select m.date, {fills} from m cross join med where coalesce(m.spot_price, med.spot_price) is not null",
+        _MED_COLS)
+
+
+@register("p10_median_impute", _p10_sql())
+def q_p10(spark, sf_dir):
+    """P10 whole-sample exact-median fill of every numeric column of the matrix."""
+    return im.median_impute(jn.feature_matrix(ld.tables(spark, sf_dir)), "spot_price", _MED_COLS)
+
+
+@register(
+    "p11_training_window",
+    rsql(f"{ld.tables_sql(*_ALL_TABLES)}, m as ({_J1_SELECT})\nselect * from m where date >= "
+         "(select max(date) from m) - 730 and date <= (select max(date) from m)", _J1_DOUBLES),
+)
+def q_p11(spark, sf_dir):
+    """P11 trailing 730-day training window ending at the latest date."""
+    return im.training_window(jn.feature_matrix(ld.tables(spark, sf_dir)), 730)
+
+
+# ----------------------------------------------------------- D: extensions
+from tidewise.operators import extensions as ex  # noqa: E402
+
+
+@register(
+    "d1_five_year_avg",
+    rsql(vw.with_views(
+        "select date, working_gas, cast(isoyear(date) as int) as iso_year, cast(weekofyear(date) as int) as iso_week, "
+        "avg(working_gas) over (partition by weekofyear(date) order by isoyear(date) "
+        "range between 5 preceding and 1 preceding) as five_year_avg from v_storage", "v_storage"),
+        ["working_gas", "five_year_avg"]),
+)
+def q_d1(spark, sf_dir):
+    """D1 five-year average of the same ISO week over the prior five ISO years."""
+    return ex.five_year_average(vw.v_storage(spark, sf_dir).drop("five_year_avg"))
+
+
+@register(
+    "d6_horizon_target",
+    rsql(vw.with_views(
+        "select date, spot_price, lead(spot_price, 7) over w as target_7, lead(spot_price, 14) over w as target_14, "
+        "lead(spot_price, 30) over w as target_30 from v_prices window w as (order by date)", "v_prices"),
+        ["spot_price", "target_7", "target_14", "target_30"]),
+)
+def q_d6(spark, sf_dir):
+    """D6 horizon targets: the price h rows ahead for h = 7, 14, 30."""
+    return ex.horizon_targets(vw.v_prices(spark, sf_dir), "spot_price")
+
+
+def _d8_sql() -> str:
+    return (f"with e2 as (select * from ({_e2_sql()}))\n"
+            "select date, feature_name, cast(feature_value as double) as feature_value from "
+            "(unpivot e2 on columns(* exclude (date)) into name feature_name value feature_value) u")
+
+
+@register("d8_unpivot_features", _d8_sql())
+def q_d8(spark, sf_dir):
+    """D8 wide storage features to the long (date, feature_name, feature_value) table."""
+    return ex.to_long(finish(fe.storage_pipeline(vw.v_storage(spark, sf_dir))), ["date"])
