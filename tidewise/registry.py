@@ -619,3 +619,117 @@ def _d8_sql() -> str:
 def q_d8(spark, sf_dir):
     """D8 wide storage features to the long (date, feature_name, feature_value) table."""
     return ex.to_long(finish(fe.storage_pipeline(vw.v_storage(spark, sf_dir))), ["date"])
+
+
+# ------------------------------------------------------- M: walk-forward
+from tidewise.plans import backtest as bt  # noqa: E402
+
+WF_WINDOW, WF_STEP = 252, 21
+
+
+def walk_forward_input(spark, sf_dir):
+    """Daily prices joined to daily weather (both non-null), x = HDD + 1 and
+    x2 = CDD as regressors."""
+    p = vw.v_prices(spark, sf_dir)
+    w = vw.v_weather(spark, sf_dir).select("date", "temperature")
+    j = p.join(w, "date").filter(F.col("spot_price").isNotNull() & F.col("temperature").isNotNull())
+    dd = wx.degree_days(j, keep_input=True)
+    return dd.select("date", "spot_price", (F.col("HDD") + 1).alias("x"), F.col("CDD").alias("x2"))
+
+
+_WF_BASE = (
+    ", base as (select p.date, p.spot_price, "
+    f"{_hdd('w.temperature')} + 1 as x, {_cdd('w.temperature')} as x2 "
+    "from v_prices p join v_weather w on p.date = w.date "
+    "where p.spot_price is not null and w.temperature is not null)"
+    ", ix as (select *, row_number() over (order by date) - 1 as idx from base)"
+    f", kk as (select greatest(0, ceil((count(*) - {WF_STEP} - {WF_WINDOW}) / {WF_STEP})) as k from ix)"
+    f", folds as (select distinct cast(floor((idx - {WF_WINDOW}) / {WF_STEP}) as bigint) as fold from ix "
+    f"where idx >= {WF_WINDOW} and floor((idx - {WF_WINDOW}) / {WF_STEP}) < (select k from kk))"
+    f", test as (select ix.*, cast(floor((idx - {WF_WINDOW}) / {WF_STEP}) as bigint) as fold from ix "
+    f"where idx >= {WF_WINDOW})"
+)
+
+
+def _gram(model: str, two: bool) -> str:
+    s = (f"select f.fold, sum(x * x) as a, sum(x * x2) as b, sum(x2 * x2) as d, sum(x * spot_price) as u, "
+         f"sum(x2 * spot_price) as v from folds f join ix on ix.idx >= f.fold * {WF_STEP} "
+         f"and ix.idx < f.fold * {WF_STEP} + {WF_WINDOW} group by f.fold")
+    if not two:
+        pred = "t.x * coalesce(g.u / nullif(g.a, 0), 0)"
+    else:
+        det = "(g.a * g.d - g.b * g.b)"
+        pred = f"t.x * ((g.d * g.u - g.b * g.v) / {det}) + t.x2 * ((g.a * g.v - g.b * g.u) / {det})"
+    return (f"select '{model}' as model, t.fold, t.idx, t.date, t.spot_price as actual, {pred} as prediction "
+            f"from test t join ({s}) g on t.fold = g.fold")
+
+
+_PRED_SQL = _WF_BASE + f", pred as ({_gram('lstsq', False)})"
+_METRICS_SQL = (
+    ", d as (select *, cast(sign(actual - lag(actual) over w) = sign(prediction - lag(prediction) over w) as double)"
+    " as dir from pred window w as (partition by model, fold order by idx))"
+    ", m as (select model, fold, fold * 21 as train_start, fold * 21 + 251 as train_end, fold * 21 + 252 as test_start,"
+    " fold * 21 + 272 as test_end, avg(abs(actual - prediction)) as mae,"
+    " sqrt(avg((actual - prediction) * (actual - prediction))) as rmse,"
+    " avg(abs((actual - prediction) / nullif(actual, 0))) * 100 as mape, avg(dir) * 100 as direction_accuracy,"
+    " 1 - avg((actual - prediction) * (actual - prediction)) / nullif(var_pop(actual), 0) as r2,"
+    " count(*) as n_test from d group by model, fold)"
+)
+_SUMMARY_SQL = ("select model, " + ", ".join(f"avg({m}) as {m}_mean, stddev_pop({m}) as {m}_std" for m in bt.METRICS)
+                + ", count(*) as n_folds from m group by model")
+_SUMMARY_DOUBLES = [f"{m}_{s}" for m in bt.METRICS for s in ("mean", "std")]
+
+
+@register(
+    "m1_walk_forward_lstsq",
+    rsql(f"{vw.ctes('v_prices', 'v_weather')}{_PRED_SQL}\nselect * from pred", ["actual", "prediction"]),
+)
+def q_m1(spark, sf_dir):
+    """M1 + M5: walk-forward (W=252, s=21) no-intercept least squares, row-level test predictions."""
+    return bt.walk_forward_lstsq(walk_forward_input(spark, sf_dir), ["x"], "spot_price", WF_WINDOW, WF_STEP)
+
+
+@register(
+    "a4_fold_metrics",
+    rsql(f"{vw.ctes('v_prices', 'v_weather')}{_PRED_SQL}{_METRICS_SQL}\nselect * from m",
+         ["mae", "rmse", "mape", "direction_accuracy", "r2"]),
+)
+def q_a4(spark, sf_dir):
+    """A4 per-fold MAE / RMSE / MAPE / direction accuracy (+ R²) of the M1 run."""
+    pred = bt.walk_forward_lstsq(walk_forward_input(spark, sf_dir), ["x"], "spot_price", WF_WINDOW, WF_STEP)
+    return bt.fold_metrics(pred, WF_WINDOW, WF_STEP)
+
+
+@register(
+    "w7_direction",
+    rsql(f"{vw.ctes('v_prices', 'v_weather')}{_PRED_SQL}{_METRICS_SQL}\n"
+         "select model, fold, direction_accuracy from m", ["direction_accuracy"]),
+)
+def q_w7(spark, sf_dir):
+    """W7 direction agreement per fold."""
+    pred = bt.walk_forward_lstsq(walk_forward_input(spark, sf_dir), ["x"], "spot_price", WF_WINDOW, WF_STEP)
+    return bt.fold_metrics(pred, WF_WINDOW, WF_STEP).select("model", "fold", "direction_accuracy")
+
+
+@register(
+    "a5_summary",
+    rsql(f"{vw.ctes('v_prices', 'v_weather')}{_PRED_SQL}{_METRICS_SQL}\n{_SUMMARY_SQL}", _SUMMARY_DOUBLES),
+)
+def q_a5(spark, sf_dir):
+    """A5 across-fold mean and population std of the four metrics."""
+    pred = bt.walk_forward_lstsq(walk_forward_input(spark, sf_dir), ["x"], "spot_price", WF_WINDOW, WF_STEP)
+    return bt.summary(bt.fold_metrics(pred, WF_WINDOW, WF_STEP))
+
+
+_M2_PRED = _WF_BASE + (f", pred as ({_gram('hdd', False)} union all {_gram('hdd_cdd', True)})")
+
+
+@register(
+    "m2_compare",
+    rsql(f"{vw.ctes('v_prices', 'v_weather')}{_M2_PRED}{_METRICS_SQL}\n{_SUMMARY_SQL}", _SUMMARY_DOUBLES),
+)
+def q_m2(spark, sf_dir):
+    """M2 two least-squares models (1 and 2 regressors) over identical folds."""
+    pred = bt.compare_lstsq(walk_forward_input(spark, sf_dir), {"hdd": ["x"], "hdd_cdd": ["x", "x2"]},
+                            "spot_price", WF_WINDOW, WF_STEP)
+    return bt.summary(bt.fold_metrics(pred, WF_WINDOW, WF_STEP))
