@@ -733,3 +733,89 @@ def q_m2(spark, sf_dir):
     pred = bt.compare_lstsq(walk_forward_input(spark, sf_dir), {"hdd": ["x"], "hdd_cdd": ["x", "x2"]},
                             "spot_price", WF_WINDOW, WF_STEP)
     return bt.summary(bt.fold_metrics(pred, WF_WINDOW, WF_STEP))
+
+
+# ------------------------------------------------------------- S: sources
+from tidewise.operators import extensions as _ex  # noqa: E402
+from tidewise.plans import report as rp  # noqa: E402
+from tidewise.sources import forecast as fc  # noqa: E402
+from tidewise.sources import series as se  # noqa: E402
+
+
+@register(
+    "s1_series_json",
+    rsql(vw.with_views(
+        "select 'NG.RNGWHHD.D' as series_id, 'henry_hub_spot' as series, 'daily' as frequency, date, "
+        "spot_price as value from v_prices where spot_price is not null and day(date) <> 29 union all "
+        "select 'NG.N9010US2.M', 'production', 'monthly', month, dry_gas_bcfpd from v_production "
+        "where dry_gas_bcfpd is not null", "v_prices", "v_production"), ["value"]),
+)
+def q_s1(spark, sf_dir):
+    """Series payload pages derived from the tables, parsed back
+    (bad numbers and nulls dropped, monthly periods to first-of-month)."""
+    daily = se.pages(vw.v_prices(spark, sf_dir), "NG.RNGWHHD.D", "spot_price", bad_value_day=29)
+    monthly = se.pages(vw.v_production(spark, sf_dir).withColumnRenamed("month", "date"), "NG.N9010US2.M",
+                       "dry_gas_bcfpd", monthly=True)
+    long = se.core_series(daily.unionByName(monthly))
+    return long.select("series_id", "series", "frequency", "date", "value")
+
+
+_STATIONS_SQL = "(values " + ", ".join(f"('{n}', '{r}')" for n, _, _, r in fc.STATIONS) + ") st(station, region)"
+
+
+@register(
+    "s3_forecast_json",
+    rsql(vw.with_views(
+        "select station, period_no, date, temperature, "
+        "case when day(date) = 1 then '' else cast(cast(round(temperature / 10) as int) as varchar) || ' mph' end "
+        "as wind_speed, case when day(date) = 1 then null else cast(cast(round(temperature / 10) as int) as double) "
+        "end as wind_mph, case when day(date) = 2 then 0.0 when day(date) = 3 then null "
+        "else cast(day(date) * 3 as double) end as precipitation, region from ("
+        "select s.station, v.region, v.date, v.temperature, cast(row_number() over (partition by s.station, "
+        "date_trunc('week', v.date) order by v.date) - 1 as int) as period_no "
+        f"from v_weather_region v join {_STATIONS_SQL} on v.region = st.region join "
+        f"(select * from {_STATIONS_SQL}) s on s.station = st.station) x where period_no < 5",
+        "v_weather_region"), ["temperature", "wind_mph", "precipitation"]),
+)
+def q_s3(spark, sf_dir):
+    """Forecast pages per (station, week) derived from regional
+    temperatures, parsed (first 5 periods) and tagged with the region."""
+    payloads = fc.forecast_pages(vw.v_weather_region(spark, sf_dir), spark)
+    return fc.regional_forecast(payloads, days=5)
+
+
+def _o2_sql() -> str:
+    e1 = _e1_sql()
+    return (
+        vw.ctes("v_prices") + f", e1 as (select * from ({e1}))"
+        ", lng as (unpivot e1 on columns(* exclude (date)) into name feature_name value feature_value)"
+        ", imp as (select feature_name, abs(covar_pop(cast(l.feature_value as double), p.spot_price) / "
+        "nullif(stddev_pop(cast(l.feature_value as double)) * stddev_pop(p.spot_price), 0)) as importance "
+        "from lng l join v_prices p on l.date = p.date group by feature_name)\n"
+        "select feature_name, round(importance, 6) as importance from imp "
+        "where importance is not null and not isnan(importance) order by importance desc, feature_name limit 10"
+    )
+
+
+@register("o2_topk", _o2_sql())
+def q_o2(spark, sf_dir):
+    """O2: top-10 weather features by |correlation| with the price (the
+    model-free importance table), a TakeOrderedAndProject."""
+    e1 = finish(fe.weather_pipeline(vw.v_weather(spark, sf_dir)))
+    long = _ex.to_long(e1, ["date"])
+    imp = rp.correlation_importance(long, vw.v_prices(spark, sf_dir), "spot_price")
+    return rp.top_k(imp, "importance", 10, tiebreak="feature_name")
+
+
+@register(
+    "k7_report",
+    f"{vw.ctes('v_prices', 'v_weather')}{_M2_PRED}{_METRICS_SQL}, s as ({_SUMMARY_SQL})\n"
+    "select model, printf('%.4f ± %.4f', mae_mean, mae_std) as mae, printf('%.4f ± %.4f', rmse_mean, rmse_std) as rmse, "
+    "printf('%.2f%% ± %.2f%%', mape_mean, mape_std) as mape, "
+    "printf('%.2f%% ± %.2f%%', direction_accuracy_mean, direction_accuracy_std) as direction_accuracy from s",
+)
+def q_k7(spark, sf_dir):
+    """K7 evaluation report rows (mean ± std per model) of the M2 comparison."""
+    pred = bt.compare_lstsq(walk_forward_input(spark, sf_dir), {"hdd": ["x"], "hdd_cdd": ["x", "x2"]},
+                            "spot_price", WF_WINDOW, WF_STEP)
+    return rp.report(bt.summary(bt.fold_metrics(pred, WF_WINDOW, WF_STEP)))
