@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidewise.plans.ordered import materialize
+
 NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 
 
@@ -22,15 +24,18 @@ def exact_medians(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (), ac
     Exact without gathering a column in one task:
     1. long form (by, name, value), nulls dropped;
     2. an approximate quantile sketch per (by, name) gives a band [lo, hi]
-       that is guaranteed to contain both middle ranks (the sketch's rank
-       error is count/accuracy; the band is widened by three times that);
-    3. exact counts below lo, and the band's values collapsed to (value,
-       multiplicity) - the band holds ~6/accuracy of the rows, so the final
-       ordered pass sees a small, bounded frame per column;
-    4. cumulative multiplicities locate the two middle ranks exactly.
+       guaranteed to contain both middle ranks (the sketch's rank error is
+       count/accuracy; the band is widened by three times that);
+    3. one aggregation over the rows <= hi: values inside the band are kept
+       as (value, multiplicity), values below lo collapse into one NULL-keyed
+       count per column - the band holds ~6/accuracy of the rows, so the
+       ordered pass that follows sees a small, bounded frame per column;
+    4. cumulative multiplicities (the below-count sorts first) locate the two
+       middle ranks exactly.
     """
     keys = list(by)
-    long = df.select(
+    src = materialize(df)
+    long = src.select(
         *keys,
         F.explode(F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).cast("double").alias("value")) for c in cols]))
         .alias("_kv"),
@@ -40,14 +45,15 @@ def exact_medians(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (), ac
         F.count(F.lit(1)).alias("n"),
         F.percentile_approx("value", [max(0.0, 0.5 - eps), min(1.0, 0.5 + eps)], accuracy).alias("_q"),
     ).select(*keys, "name", "n", F.col("_q")[0].alias("lo"), F.col("_q")[1].alias("hi"))
-    # one sketch row per (group, column)
-    tagged = long.join(sketch, [*keys, "name"])
-    below = tagged.groupBy(*keys, "name").agg(F.sum((F.col("value") < F.col("lo")).cast("long")).alias("n_below"))
-    band = (tagged.filter((F.col("value") >= F.col("lo")) & (F.col("value") <= F.col("hi")))
-            .groupBy(*keys, "name", "value").agg(F.count(F.lit(1)).alias("m")))
-    w = Window.partitionBy(*keys, "name").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = (band.join(below, [*keys, "name"]).join(sketch.select(*keys, "name", "n"), [*keys, "name"])
-              .withColumn("_cum", F.sum("m").over(w) + F.col("n_below")))
+    below_or_band = (
+        long.join(sketch, [*keys, "name"])
+        .filter(F.col("value") <= F.col("hi"))
+        .groupBy(*keys, "name", "n", F.when(F.col("value") >= F.col("lo"), F.col("value")).alias("v"))
+        .agg(F.count(F.lit(1)).alias("m"))
+    )
+    w = Window.partitionBy(*keys, "name").orderBy(F.col("v").asc_nulls_first()).rowsBetween(
+        Window.unboundedPreceding, 0)
+    ranked = below_or_band.withColumn("_cum", F.sum("m").over(w)).filter(F.col("v").isNotNull())
     # 0-based middle ranks: floor((n-1)/2) and ceil((n-1)/2)
     k1 = F.floor((F.col("n") - 1) / 2)
     k2 = F.ceil((F.col("n") - 1) / 2)
@@ -55,7 +61,7 @@ def exact_medians(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (), ac
     hit1 = (start <= k1) & (k1 < F.col("_cum"))
     hit2 = (start <= k2) & (k2 < F.col("_cum"))
     picked = ranked.groupBy(*keys, "name").agg(
-        F.max(F.when(hit1, F.col("value"))).alias("v1"), F.max(F.when(hit2, F.col("value"))).alias("v2")
+        F.max(F.when(hit1, F.col("v"))).alias("v1"), F.max(F.when(hit2, F.col("v"))).alias("v2")
     )
     return picked.select(*keys, "name", ((F.col("v1") + F.col("v2")) / 2).alias("median"))
 
@@ -70,6 +76,7 @@ def median_impute(df: DataFrame, target: str = "spot_price", cols: Sequence[str]
     per column) that is broadcast - its size is fixed by the column count.
     """
     cols = list(cols) if cols is not None else numeric_columns(df, exclude)
+    df = materialize(df)  # read by the medians and by the fill
     med = exact_medians(df, cols)
     wide = med.groupBy().pivot("name", cols).agg(F.first("median"))
     wide = wide.select(*[F.col(c).alias(f"_med_{c}") for c in cols])

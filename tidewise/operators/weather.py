@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewise.functions.calendar import weather_calendar_cols
@@ -86,18 +86,20 @@ def weather_rolling(df: DataFrame, col: str, windows: Sequence[int] = WEATHER_WI
 
 
 def region_weights_frame(spark: SparkSession) -> DataFrame:
-    """Four-row dimension of fixed size: safe to broadcast."""
+    """The weights as a four-row dimension frame."""
     return spark.createDataFrame(list(REGION_WEIGHTS.items()), "region string, weight double")
 
 
+def region_weight(region: Column, default: float = DEFAULT_REGION_WEIGHT) -> Column:
+    """The region's weight, ``default`` when unmatched. The four-entry
+    table is a literal map evaluated inside the projection - no join."""
+    m = F.create_map(*[e for k, v in REGION_WEIGHTS.items() for e in (F.lit(k), F.lit(v))])
+    return F.coalesce(m[region], F.lit(default))
+
+
 def with_region_weight(df: DataFrame, region_col: str = "region", default: float = DEFAULT_REGION_WEIGHT) -> DataFrame:
-    """Lookup of the region's weight, ``default`` when unmatched."""
-    weights = region_weights_frame(df.sparkSession).withColumnRenamed("region", "_wr")
-    return (
-        df.join(F.broadcast(weights), F.col(region_col) == F.col("_wr"), "left")
-        .withColumn("weight", F.coalesce(F.col("weight"), F.lit(default)))
-        .drop("_wr")
-    )
+    """J5 as a column ``weight``."""
+    return df.withColumn("weight", region_weight(F.col(region_col), default))
 
 
 def regional_degree_days(df: DataFrame, temp_col: str = "temperature", region_col: str = "region",

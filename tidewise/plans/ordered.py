@@ -172,35 +172,32 @@ def forward_fill(
     bucket_rows: int = DEFAULT_BUCKET_ROWS,
     coarse_unit: str | int = "month",
 ) -> DataFrame:
-    """``out_col`` = last non-null ``value_col`` at or before each row.
-
-    Halo plan: last non-null inside the row's bucket, else the carry from the
-    bucket summary (one row per bucket, prefix over buckets).
+    """``out_col`` = last non-null ``value_col`` at or before each row (in
+    ``order_col`` order, per ``partition_cols``).
+
+    Distributed plan (no row index needed): the fill runs inside (keys,
+    coarse time bucket) window partitions; a row whose bucket has no earlier
+    non-null value takes the carry - the last non-null value of the previous
+    buckets - from a summary frame with one row per (keys, bucket), built by
+    one aggregation and a prefix window over that small frame.
+    ``bucket_rows`` is unused here (kept for a uniform signature).
     """
     keys = list(partition_cols)
+    order = _order_list(order_col)
     v = F.col(value_col)
     if plan == "partition":
-        w = Window.partitionBy(*keys).orderBy(*_order_list(order_col)).rowsBetween(Window.unboundedPreceding, 0)
+        w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
         return df.withColumn(out_col, F.last(v, ignorenulls=True).over(w))
-    has_idx = IDX in df.columns
-    x = df if has_idx else add_row_index(df, order_col, keys, IDX, coarse_unit)
-    x = x.withColumn(BK, F.floor(F.col(IDX) / F.lit(bucket_rows)))
-    # per bucket: last non-null value (by position)
-    summary = x.filter(v.isNotNull()).groupBy(*keys, BK).agg(
-        F.max_by(v, F.col(IDX)).alias("_last")
-    )
-    prev = Window.partitionBy(*keys).orderBy(BK).rowsBetween(Window.unboundedPreceding, -1)
-    # every bucket (also those without a non-null value) gets the carry
-    all_bk = x.select(*keys, BK).distinct()
-    bk_frame = _left_null_safe(all_bk, summary, keys + [BK])
-    carry = bk_frame.select(*keys, BK, F.last("_last", ignorenulls=True).over(prev).alias("_carry"))
-    inb = Window.partitionBy(*keys, BK).orderBy(IDX).rowsBetween(Window.unboundedPreceding, 0)
+    x = materialize(df).withColumn(CB, _coarse(df, order, coarse_unit))
+    # per bucket: last non-null value (max_by skips rows whose ordering is null)
+    okey = F.struct(*[F.col(c) for c in order]) if len(order) > 1 else F.col(order[0])
+    summary = x.groupBy(*keys, CB).agg(F.max_by(v, F.when(v.isNotNull(), okey)).alias("_last"))
+    prev = Window.partitionBy(*keys).orderBy(CB).rowsBetween(Window.unboundedPreceding, -1)
+    carry = summary.select(*keys, CB, F.last("_last", ignorenulls=True).over(prev).alias("_carry"))
+    inb = Window.partitionBy(*keys, CB).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     y = x.withColumn("_inb", F.last(v, ignorenulls=True).over(inb))
-    y = _left_null_safe(y, carry, keys + [BK])
-    out = y.withColumn(out_col, F.coalesce(F.col("_inb"), F.col("_carry"))).drop("_inb", "_carry", BK)
-    if not has_idx:
-        out = out.drop(IDX)
-    return out
+    y = _left_null_safe(y, carry, keys + [CB])
+    return y.withColumn(out_col, F.coalesce(F.col("_inb"), F.col("_carry"))).drop("_inb", "_carry", CB)
 
 
 def _left_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:

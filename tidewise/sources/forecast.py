@@ -32,10 +32,25 @@ STATIONS = [
 
 
 def stations(spark: SparkSession) -> DataFrame:
-    """Six-row station dimension (fixed size: broadcast-safe)."""
+    """The six stations as a dimension frame."""
     return spark.createDataFrame(STATIONS, "station string, lat double, lon double, region string")
 
 
+def station_region(station: F.Column) -> F.Column:
+    """Region of a station (literal six-entry map; NULL for unknown)."""
+    m = F.create_map(*[e for n, _, _, r in STATIONS for e in (F.lit(n), F.lit(r))])
+    return m[station]
+
+
+def region_stations(region: F.Column) -> F.Column:
+    """Stations of a region as an array (empty for a region with none)."""
+    by_region: dict[str, list[str]] = {}
+    for n, _, _, r in STATIONS:
+        by_region.setdefault(r, []).append(n)
+    m = F.create_map(*[e for r, ns in by_region.items() for e in (F.lit(r), F.array(*[F.lit(n) for n in ns]))])
+    return F.coalesce(m[region], F.array().cast("array<string>"))
+
+
 def parse_forecast(payloads: DataFrame, days: int = 14, payload_col: str = "payload",
                    keep: tuple[str, ...] = ("station",)) -> DataFrame:
     """S3: first ``days`` periods of each payload -> (keep..., period_no, date,
@@ -65,8 +80,8 @@ def parse_forecast(payloads: DataFrame, days: int = 14, payload_col: str = "payl
 def regional_forecast(payloads: DataFrame, days: int = 14) -> DataFrame:
     """Parsed forecasts tagged with region via the station dimension;
     payloads of unknown stations are skipped, as are empty ones."""
-    st = stations(payloads.sparkSession).select("station", "region")
-    return parse_forecast(payloads, days).join(F.broadcast(st), "station")
+    parsed = parse_forecast(payloads, days)
+    return parsed.withColumn("region", station_region(F.col("station"))).filter(F.col("region").isNotNull())
 
 
 def weather_bundle(payloads: DataFrame, history: DataFrame | None = None, days: int = 14) -> DataFrame:
@@ -89,8 +104,7 @@ def forecast_pages(regional: DataFrame, spark: SparkSession) -> DataFrame:
     Wind text is "<n> mph" except on day 1 of a month (""), precipitation is
     missing on day 2, explicitly null on day 3, else 3 x day-of-month.
     """
-    st = stations(spark).select("station", "region")
-    x = regional.join(F.broadcast(st), "region")
+    x = regional.withColumn("station", F.explode(region_stations(F.col("region"))))
     d = F.col("date")
     dom = F.dayofmonth(d)
     wind = F.when(dom == 1, F.lit("")).otherwise(

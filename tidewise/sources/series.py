@@ -79,11 +79,13 @@ def series_catalog(spark: SparkSession) -> DataFrame:
 
 def core_series(payloads: DataFrame, start: str | None = None, end: str | None = None) -> DataFrame:
     """All named series in one pass -> long (series, series_id, frequency,
-    date, value). Unknown series ids are dropped by the catalog join (the
-    catalog has a fixed five rows, so it is broadcast)."""
-    cat = series_catalog(payloads.sparkSession)
+    date, value). The five-entry catalog is a literal map lookup (no join);
+    unknown series ids are dropped."""
+    names = F.create_map(*[e for k, v in SERIES_IDS.items() for e in (F.lit(v), F.lit(k))])
     parsed = parse_series(payloads, start=start, end=end)
-    return parsed.join(F.broadcast(cat), "series_id")
+    sid = F.col("series_id")
+    return parsed.select(names[sid].alias("series"), "series_id", frequency(sid).alias("frequency"), "date",
+                         "value").filter(F.col("series").isNotNull())
 
 
 NULL_D = F.lit(None).cast("double")

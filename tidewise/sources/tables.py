@@ -6,8 +6,18 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
+# (session, path) -> DataFrame. Reading a parquet path resolves files and
+# footers on the driver; a job that reads the same table for several views
+# reuses the resolved relation (DataFrames are immutable, so sharing is safe).
+_READ_CACHE: dict[tuple[int, str], DataFrame] = {}
+
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Read one landed table; column pruning and filters reach the scan."""
     path = os.path.join(sf_dir, f"{name}.parquet")
-    return spark.read.parquet(path)
+    key = (id(spark._jsparkSession), path)
+    df = _READ_CACHE.get(key)
+    if df is None:
+        df = spark.read.parquet(path)
+        _READ_CACHE[key] = df
+    return df

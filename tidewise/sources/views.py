@@ -22,9 +22,18 @@ from tidewise.sources.tables import read_table
 
 
 def _dsum(c: str | Column) -> Column:
-    """Order-independent sum: DECIMAL(18,2) accumulation, returned as double."""
+    """Order-independent sum: exact decimal accumulation at 2 decimals,
+    returned as double.
+
+    Inputs are cast to DECIMAL(8,2): every summed TPC-H field is below 10^6
+    at any scale factor, the ANSI cast fails loudly if one is not, and the
+    sum type DECIMAL(18,2) fits a 64-bit unscaled value, so the aggregation
+    buffer stays on the fast primitive path (a wider decimal would use an
+    arbitrary-precision object per group). The sums equal the DECIMAL(18,2)
+    sums of the SQL twins exactly.
+    """
     col = F.col(c) if isinstance(c, str) else c
-    return F.sum(col.cast("decimal(18,2)")).cast("double")
+    return F.sum(col.cast("decimal(8,2)")).cast("double")
 
 
 def v_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
