@@ -26,11 +26,22 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 
+def round6(c) -> "F.Column":
+    """Round half up to 6 decimals as floor(x * 1e6 + 0.5) / 1e6.
+
+    Plain IEEE double arithmetic, evaluated bit-identically by Spark and by
+    the SQL twin (the engines' own ``round`` functions differ on exact
+    halves). Magnitudes >= 1e12 are left as they are.
+    """
+    x = F.col(c) if isinstance(c, str) else c
+    return F.when(F.abs(x) < F.lit(1e12), F.floor(x * F.lit(1e6) + F.lit(0.5)) / F.lit(1e6)).otherwise(x)
+
+
 def finish(df: DataFrame, digits: int = DIGITS) -> DataFrame:
     """Round every double column (the comparison form of a result)."""
     return df.select(
         *[
-            F.round(F.col(f.name), digits).alias(f.name) if isinstance(f.dataType, T.DoubleType) else F.col(f.name)
+            round6(f.name).alias(f.name) if isinstance(f.dataType, T.DoubleType) else F.col(f.name)
             for f in df.schema.fields
         ]
     )
@@ -51,10 +62,16 @@ def rsql(inner: str, doubles: list[str], digits: int = DIGITS) -> str:
     """Wrap ``inner`` so the listed double columns are rounded."""
     if not doubles:
         return inner
-    rep = ", ".join(f'round("{c}", {digits}) as "{c}"' for c in doubles)
+    rep = ", ".join(f'{_r6(chr(34) + c + chr(34))} as "{c}"' for c in doubles)
     return f"select * replace ({rep}) from (\n{inner}\n) q"
 
 
+def _r6(e: str) -> str:
+    """SQL twin of ``round6``."""
+    return (f"case when abs({e}) < cast(1e12 as double) then floor({e} * cast(1000000 as double) + cast(0.5 as double))"
+            f" / cast(1000000 as double) else {e} end")
+
+
 # ---------------------------------------------------------------- SQL pieces
 def _hdd(t: str) -> str:
     return f"case when {t} is null then null else greatest(65.0 - {t}, 0) end"
@@ -347,7 +364,7 @@ def q_w5(spark, sf_dir):
 
 @register(
     "w8_row_index",
-    vw.with_views("select date, round(spot_price, 6) as spot_price, row_number() over (order by date) - 1 as idx "
+    vw.with_views(f"select date, {_r6('spot_price')} as spot_price, row_number() over (order by date) - 1 as idx "
                   "from v_prices", "v_prices"),
 )
 def q_w8(spark, sf_dir):
@@ -767,8 +784,8 @@ _STATIONS_SQL = "(values " + ", ".join(f"('{n}', '{r}')" for n, _, _, r in fc.ST
     "s3_forecast_json",
     rsql(vw.with_views(
         "select station, period_no, date, temperature, "
-        "case when day(date) = 1 then '' else cast(cast(round(temperature / 10) as int) as varchar) || ' mph' end "
-        "as wind_speed, case when day(date) = 1 then null else cast(cast(round(temperature / 10) as int) as double) "
+        "case when day(date) = 1 then '' else cast(cast(floor(temperature / 10 + 0.5) as int) as varchar) || ' mph' end "
+        "as wind_speed, case when day(date) = 1 then null else cast(cast(floor(temperature / 10 + 0.5) as int) as double) "
         "end as wind_mph, case when day(date) = 2 then 0.0 when day(date) = 3 then null "
         "else cast(day(date) * 3 as double) end as precipitation, region from ("
         "select s.station, v.region, v.date, v.temperature, cast(row_number() over (partition by s.station, "
@@ -792,7 +809,7 @@ def _o2_sql() -> str:
         ", imp as (select feature_name, abs(covar_pop(cast(l.feature_value as double), p.spot_price) / "
         "nullif(stddev_pop(cast(l.feature_value as double)) * stddev_pop(p.spot_price), 0)) as importance "
         "from lng l join v_prices p on l.date = p.date group by feature_name)\n"
-        "select feature_name, round(importance, 6) as importance from imp "
+        f"select feature_name, {_r6('importance')} as importance from imp "
         "where importance is not null and not isnan(importance) order by importance desc, feature_name limit 10"
     )
 

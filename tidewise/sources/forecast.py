@@ -108,7 +108,7 @@ def forecast_pages(regional: DataFrame, spark: SparkSession) -> DataFrame:
     d = F.col("date")
     dom = F.dayofmonth(d)
     wind = F.when(dom == 1, F.lit("")).otherwise(
-        F.concat(F.round(F.col("temperature") / 10).cast("int").cast("string"), F.lit(" mph")))
+        F.concat(F.floor(F.col("temperature") / 10 + 0.5).cast("int").cast("string"), F.lit(" mph")))
     pop = (F.when(dom == 2, F.lit(None))
            .when(dom == 3, F.struct(F.lit(None).cast("double").alias("value")))
            .otherwise(F.struct((dom * 3).cast("double").alias("value"))))

@@ -17,14 +17,15 @@ from tidewise.operators.power import gas_burn_proxy
 from tidewise.operators.weather import BASE_TEMP
 from tidewise.sources import views as vw
 
-NULL_D = F.lit(None).cast("double")
+def _null_d() -> F.Column:
+    return F.lit(None).cast("double")
 
 
 def prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K3 henry-hub spot -> prices (hub constant, futures columns null)."""
     p = vw.v_prices(spark, sf_dir)
     return p.select("date", F.lit("HenryHub").alias("hub"), "spot_price",
-                    NULL_D.alias("front_month"), NULL_D.alias("m1_m2_spread"))
+                    _null_d().alias("front_month"), _null_d().alias("m1_m2_spread"))
 
 
 def storage_weekly(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -34,7 +35,7 @@ def storage_weekly(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = vw.v_storage(spark, sf_dir)
     return s.select(F.col("date").alias("report_date"), "working_gas", "five_year_avg",
                     (F.col("working_gas") - F.col("five_year_avg")).alias("yoy_deviation"),
-                    NULL_D.alias("wow_change"))
+                    _null_d().alias("wow_change"))
 
 
 def production_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -44,14 +45,14 @@ def production_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
 def lng_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K3 lng exports -> lng_monthly (price null, notes empty)."""
     lng = vw.v_lng(spark, sf_dir)
-    return lng.select("month", "exports_bcf", NULL_D.alias("avg_price"), F.lit("").alias("terminal_notes"),
+    return lng.select("month", "exports_bcf", _null_d().alias("avg_price"), F.lit("").alias("terminal_notes"),
                       "lng_capacity_bcfpd")
 
 
 def power_burn(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K5 gas burn per balancing area and day; loads null."""
     burn = gas_burn_proxy(vw.v_power(spark, sf_dir), "ts", by=["ba"], out_col="gas_mwh")
-    return burn.select("date", "ba", "gas_mwh", NULL_D.alias("total_load_mwh"), NULL_D.alias("renewables_mwh"))
+    return burn.select("date", "ba", "gas_mwh", _null_d().alias("total_load_mwh"), _null_d().alias("renewables_mwh"))
 
 
 def weather_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -63,8 +64,8 @@ def weather_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     w = vw.v_weather_region(spark, sf_dir).groupBy("date", "region").agg(F.avg("temperature").alias("temperature"))
     t = F.col("temperature")
     return w.select("date", "region", clip_lower(F.lit(BASE_TEMP) - t).alias("hdd"),
-                    clip_lower(t - F.lit(BASE_TEMP)).alias("cdd"), NULL_D.alias("hdd_norm_delta"),
-                    NULL_D.alias("cdd_norm_delta"), "temperature", NULL_D.alias("wind_speed"))
+                    clip_lower(t - F.lit(BASE_TEMP)).alias("cdd"), _null_d().alias("hdd_norm_delta"),
+                    _null_d().alias("cdd_norm_delta"), "temperature", _null_d().alias("wind_speed"))
 
 
 def rigs_weekly(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -88,7 +88,8 @@ def core_series(payloads: DataFrame, start: str | None = None, end: str | None =
                          "value").filter(F.col("series").isNotNull())
 
 
-NULL_D = F.lit(None).cast("double")
+def _null_d() -> F.Column:
+    return F.lit(None).cast("double")
 
 
 def series_to_tables(long: DataFrame) -> dict[str, DataFrame]:
@@ -98,15 +99,15 @@ def series_to_tables(long: DataFrame) -> dict[str, DataFrame]:
     return {
         "prices": long.filter(s == "henry_hub_spot").select(
             "date", F.lit("HenryHub").alias("hub"), F.col("value").alias("spot_price"),
-            NULL_D.alias("front_month"), NULL_D.alias("m1_m2_spread")),
+            _null_d().alias("front_month"), _null_d().alias("m1_m2_spread")),
         "storage_weekly": long.filter(s == "storage").select(
-            F.col("date").alias("report_date"), F.col("value").alias("working_gas"), NULL_D.alias("five_year_avg"),
-            NULL_D.alias("yoy_deviation"), NULL_D.alias("wow_change")),
+            F.col("date").alias("report_date"), F.col("value").alias("working_gas"), _null_d().alias("five_year_avg"),
+            _null_d().alias("yoy_deviation"), _null_d().alias("wow_change")),
         "production_monthly": long.filter(s == "production").select(
             F.col("date").alias("month"), F.col("value").alias("dry_gas_bcfpd")),
         "lng_monthly": long.filter(s == "lng_exports").select(
-            F.col("date").alias("month"), F.col("value").alias("exports_bcf"), NULL_D.alias("avg_price"),
-            F.lit("").alias("terminal_notes"), NULL_D.alias("lng_capacity_bcfpd")),
+            F.col("date").alias("month"), F.col("value").alias("exports_bcf"), _null_d().alias("avg_price"),
+            F.lit("").alias("terminal_notes"), _null_d().alias("lng_capacity_bcfpd")),
     }
 
 
