@@ -203,14 +203,16 @@ def walk_forward_grouped(
         model = make_model()
         model.fit(xtr, ytr)
         yhat = np.asarray(model.predict(xte), dtype=float)
-        res = pd.DataFrame({k: test[k].to_numpy() for k in keys})
-        res["model"] = model_name
-        res["fold"] = test["fold"].to_numpy()
-        res["idx"] = test[IDX].to_numpy()
-        res[order_col] = test[order_col].to_numpy()
-        res["actual"] = np.asarray(yte, dtype=float)
-        res["prediction"] = yhat
-        return res[[f.name for f in out_schema.fields]]
+        res = {k: test[k].to_numpy() for k in keys}
+        res.update({
+            "model": np.full(len(test), model_name, dtype=object),
+            "fold": test["fold"].to_numpy(),
+            "idx": test[IDX].to_numpy(),
+            order_col: test[order_col].to_numpy(),
+            "actual": np.asarray(yte, dtype=float),
+            "prediction": yhat,
+        })
+        return pd.DataFrame(res)[[f.name for f in out_schema.fields]]
 
     return ex.groupBy(*keys, "fold").applyInPandas(fit_fold, out_schema)
 

@@ -836,3 +836,63 @@ def q_k7(spark, sf_dir):
     pred = bt.compare_lstsq(walk_forward_input(spark, sf_dir), {"hdd": ["x"], "hdd_cdd": ["x", "x2"]},
                             "spot_price", WF_WINDOW, WF_STEP)
     return rp.report(bt.summary(bt.fold_metrics(pred, WF_WINDOW, WF_STEP)))
+
+
+# ------------------------------------- models, grouped map, streams, sinks
+import uuid  # noqa: E402
+
+from tidewise.plans import models as md  # noqa: E402
+from tidewise.session import scratch_path  # noqa: E402
+from tidewise.streaming import power as sp  # noqa: E402
+
+
+@register("x2_grouped_lstsq", rsql(f"{vw.ctes('v_prices', 'v_weather')}{_PRED_SQL}\nselect * from pred",
+                                   ["actual", "prediction"]))
+def q_x2(spark, sf_dir):
+    """X2(b): any fit/predict Python model through one applyInPandas group per
+    fold (here the numpy least-squares model, so it must equal M1)."""
+    return bt.walk_forward_grouped(walk_forward_input(spark, sf_dir), bt.NumpyLeastSquares, ["x"], "spot_price",
+                                   WF_WINDOW, WF_STEP, model_name="lstsq")
+
+
+@register("m4_elastic_net")
+def q_m4(spark, sf_dir):
+    """M4 + M3: elastic net (alpha .01, l1 .5, 1000 iterations) on the
+    walk-forward input; coefficient magnitudes as importance."""
+    pipe = md.ModelPipeline("elastic_net", "spot_price", ["x", "x2"])
+    pipe.train_final_model(walk_forward_input(spark, sf_dir))
+    return pipe.get_feature_importance()
+
+
+@register("m6_random_forest")
+def q_m6(spark, sf_dir):
+    """M6 + M3 + O2: random forest (seed 42) feature importances, ranked."""
+    pipe = md.ModelPipeline("random_forest", "spot_price", ["x", "x2"])
+    pipe.train_final_model(walk_forward_input(spark, sf_dir))
+    return rp.top_k(pipe.get_feature_importance(), "importance", 10, tiebreak="feature")
+
+
+@register(
+    "st1_stream_gas_burn",
+    rsql("select event_type as ba, cast(ts as date) as date, "
+         "cast(sum(cast(value as decimal(18,2))) as double) * 0.4 as gas_burn_mwh from events "
+         "where ts is not null group by event_type, cast(ts as date)", ["gas_burn_mwh"]),
+)
+def q_st1(spark, sf_dir):
+    """A1 on a stream of the event files: exactly-once per-batch partial
+    sums in the shared folder, merged."""
+    return sp.run_gas_burn_batches(sp.events_stream(spark, sf_dir))
+
+
+@register(
+    "k2_append_roundtrip",
+    vw.with_views(f"select date, 'HenryHub' as hub, {_r6('cast(cast(spot_price as decimal(10,4)) as double)')} "
+                  "as spot_price from v_prices", "v_prices"),
+)
+def q_k2(spark, sf_dir):
+    """K1/K2/K3: prices appended to a fresh stored table (typed, partitioned
+    by year-month, key-checked) and read back."""
+    root = scratch_path(spark, f"store/{uuid.uuid4().hex}")
+    sto.append(ld.prices(spark, sf_dir), root, "prices")
+    back = sto.read_stored(spark, root, "prices")
+    return back.select("date", "hub", F.col("spot_price").cast("double").alias("spot_price"))
