@@ -187,3 +187,15 @@ def test_fewer_rows_than_window(spark):
     df = spark.createDataFrame([(d, 1.0) for d in _days(5)], "date date, x double")
     out = windowed(df, lambda w: wx.rolling_cols(w, "x", [7]), "date", (), 6).collect()
     assert all(r.x_rolling_7 is None for r in out)
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 10, 1974, 45000])
+def test_exact_quantiles_match_numpy(spark, n):
+    from tidewise.operators.impute import exact_quantiles
+
+    rng = np.random.default_rng(n)
+    vals = np.round(rng.normal(0, 1, n), 3)  # ties included
+    df = spark.createDataFrame([(float(v),) for v in vals], "r double")
+    got = {r.q: r.value for r in exact_quantiles(df, ["r"], [0.1, 0.5, 0.9]).collect()}
+    for q in (0.1, 0.5, 0.9):
+        assert _close(got[q], float(np.quantile(vals, q)), 1e-12)

@@ -54,16 +54,30 @@ def to_wide(long: DataFrame, ids: Sequence[str], names: Sequence[str], name_col:
     return long.groupBy(*ids).pivot(name_col, list(names)).agg(F.first(value_col))
 
 
-def residual_bands(pred: DataFrame, by: Sequence[str] = ("model",), quantiles: Sequence[float] = (0.1, 0.5, 0.9),
-                   actual: str = "actual", prediction: str = "prediction", accuracy: int = 10000) -> DataFrame:
-    """Residual quantiles per model (and horizon), used as confidence
-    offsets: ``confidence_lower = prediction + q_lo``, ``upper = prediction + q_hi``.
+QUANTILE_LEVELS = [0.1, 0.5, 0.9]
 
-    Approximate quantiles (bounded-memory sketch per group)."""
-    r = F.col(actual) - F.col(prediction)
-    q = F.percentile_approx(r, list(quantiles), accuracy)
-    out = pred.groupBy(*by).agg(q.alias("_q"))
-    return out.select(*by, *[F.col("_q")[i].alias(f"residual_q{int(round(qq * 100))}") for i, qq in enumerate(quantiles)])
+
+def residual_bands(pred: DataFrame, by: Sequence[str] = ("model",), quantiles: Sequence[float] = QUANTILE_LEVELS,
+                   actual: str = "actual", prediction: str = "prediction") -> DataFrame:
+    """Exact residual quantiles (actual - prediction) per model (and
+    horizon), used as confidence offsets around each prediction."""
+    from tidewise.operators.impute import exact_quantiles
+
+    r = pred.select(*by, (F.col(actual) - F.col(prediction)).alias("residual"))
+    q = exact_quantiles(r, ["residual"], quantiles, by)
+    names = [f"residual_q{int(round(x * 100))}" for x in quantiles]
+    return q.groupBy(*by).agg(*[F.max(F.when(F.col("q") == F.lit(float(x)), F.col("value"))).alias(nm)
+                                for x, nm in zip(quantiles, names)])
+
+
+def norm_deltas(df: DataFrame, cols: Sequence[str] = ("hdd", "cdd"), date_col: str = "date",
+                by: Sequence[str] = ("region",)) -> DataFrame:
+    """D3: ``{c}_norm_delta`` = value minus the mean of the same key and
+    day-of-year over all earlier years (NULL without history). A range frame
+    over the year inside (keys, day-of-year) partitions."""
+    x = df.withColumn("_doy", F.dayofyear(date_col)).withColumn("_yr", F.year(date_col))
+    w = Window.partitionBy(*by, "_doy").orderBy("_yr").rangeBetween(Window.unboundedPreceding, -1)
+    return x.select(*df.columns, *[(F.col(c) - F.avg(c).over(w)).alias(f"{c}_norm_delta") for c in cols])
 
 
 def prediction_rows(pred: DataFrame, bands: DataFrame, model_col: str = "model", horizon: int = 0,
@@ -81,3 +95,15 @@ def prediction_rows(pred: DataFrame, bands: DataFrame, model_col: str = "model",
         F.col("actual").alias("actual_value"),
         (F.col("actual") - F.col("prediction")).alias("error"),
     )
+
+
+def series_summary(df: DataFrame, name: str, value_col: str, date_col: str = "date") -> DataFrame:
+    """first/last date, row count and non-null value count of a series
+    (one aggregate row)."""
+    return df.agg(
+        F.lit(name).alias("series"),
+        F.min(date_col).alias("first_date"),
+        F.max(date_col).alias("last_date"),
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count(value_col).alias("n_values"),
+    )

@@ -17,23 +17,28 @@ def numeric_columns(df: DataFrame, exclude: Sequence[str] = ()) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, NUMERIC) and f.name not in exclude]
 
 
-def exact_medians(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (), accuracy: int = 10000) -> DataFrame:
-    """A3: exact median (mean of the two middle values for an even count,
-    nulls skipped) of each column, per ``by`` group; one row per (by, name).
+def exact_quantiles(df: DataFrame, cols: Sequence[str], quantiles: Sequence[float], by: Sequence[str] = (),
+                    accuracy: int = 10000) -> DataFrame:
+    """A3 generalised: exact continuous quantiles of each column, per ``by``
+    group; one row per (by, name, q) with ``value``. Nulls are skipped; the
+    q-quantile interpolates linearly between the values at 0-based ranks
+    floor((n-1)q) and ceil((n-1)q) (the median is q = 0.5).
 
     Exact without gathering a column in one task:
     1. long form (by, name, value), nulls dropped;
-    2. an approximate quantile sketch per (by, name) gives a band [lo, hi]
-       guaranteed to contain both middle ranks (the sketch's rank error is
-       count/accuracy; the band is widened by three times that);
-    3. one aggregation over the rows <= hi: values inside the band are kept
-       as (value, multiplicity), values below lo collapse into one NULL-keyed
-       count per column - the band holds ~6/accuracy of the rows, so the
-       ordered pass that follows sees a small, bounded frame per column;
+    2. an approximate quantile sketch per (by, name) gives, for each q, a
+       band [lo, hi] guaranteed to contain both ranks it needs (the sketch's
+       rank error is count/accuracy; the band is widened by three times that);
+    3. one aggregation over the rows <= hi: values inside a band are kept as
+       (q, value, multiplicity), values below lo collapse into one NULL-keyed
+       count per (column, q) - a band holds ~6/accuracy of the rows, so the
+       ordered pass that follows sees a small, bounded frame (groups of at
+       most 4*accuracy rows skip the band and keep every value);
     4. cumulative multiplicities (the below-count sorts first) locate the two
-       middle ranks exactly.
+       ranks exactly.
     """
     keys = list(by)
+    qs = [float(q) for q in quantiles]
     src = materialize(df)
     long = src.select(
         *keys,
@@ -41,29 +46,43 @@ def exact_medians(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (), ac
         .alias("_kv"),
     ).select(*keys, "_kv.name", "_kv.value").filter(F.col("value").isNotNull() & ~F.isnan("value"))
     eps = 3.0 / accuracy
+    probes = [x for q in qs for x in (max(0.0, q - eps), min(1.0, q + eps))]
     sketch = long.groupBy(*keys, "name").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.percentile_approx("value", [max(0.0, 0.5 - eps), min(1.0, 0.5 + eps)], accuracy).alias("_q"),
-    ).select(*keys, "name", "n", F.col("_q")[0].alias("lo"), F.col("_q")[1].alias("hi"))
+        F.count(F.lit(1)).alias("n"), F.percentile_approx("value", probes, accuracy).alias("_b"))
+    # a group of at most `small` rows keeps all its values (no band: the
+    # rank margin 3n/accuracy would be under a few ranks there); larger
+    # groups keep the band, whose margin is then >= 12 ranks
+    small = 4 * accuracy
+    big = F.col("n") > F.lit(small)
+    bands = F.array(*[F.struct(F.lit(q).alias("q"), F.when(big, F.col("_b")[2 * i]).alias("lo"),
+                               F.when(big, F.col("_b")[2 * i + 1]).alias("hi"))
+                      for i, q in enumerate(qs)])
+    tagged = long.join(sketch, [*keys, "name"]).select(*keys, "name", "n", "value", F.explode(bands).alias("_bd"))
     below_or_band = (
-        long.join(sketch, [*keys, "name"])
-        .filter(F.col("value") <= F.col("hi"))
-        .groupBy(*keys, "name", "n", F.when(F.col("value") >= F.col("lo"), F.col("value")).alias("v"))
+        tagged.filter(F.col("_bd.hi").isNull() | (F.col("value") <= F.col("_bd.hi")))
+        .groupBy(*keys, "name", "n", F.col("_bd.q").alias("q"),
+                 F.when(F.col("_bd.lo").isNull() | (F.col("value") >= F.col("_bd.lo")), F.col("value")).alias("v"))
         .agg(F.count(F.lit(1)).alias("m"))
     )
-    w = Window.partitionBy(*keys, "name").orderBy(F.col("v").asc_nulls_first()).rowsBetween(
+    w = Window.partitionBy(*keys, "name", "q").orderBy(F.col("v").asc_nulls_first()).rowsBetween(
         Window.unboundedPreceding, 0)
     ranked = below_or_band.withColumn("_cum", F.sum("m").over(w)).filter(F.col("v").isNotNull())
-    # 0-based middle ranks: floor((n-1)/2) and ceil((n-1)/2)
-    k1 = F.floor((F.col("n") - 1) / 2)
-    k2 = F.ceil((F.col("n") - 1) / 2)
+    pos = (F.col("n") - 1) * F.col("q")
+    k1, k2 = F.floor(pos), F.ceil(pos)
     start = F.col("_cum") - F.col("m")
     hit1 = (start <= k1) & (k1 < F.col("_cum"))
     hit2 = (start <= k2) & (k2 < F.col("_cum"))
-    picked = ranked.groupBy(*keys, "name").agg(
-        F.max(F.when(hit1, F.col("v"))).alias("v1"), F.max(F.when(hit2, F.col("v"))).alias("v2")
-    )
-    return picked.select(*keys, "name", ((F.col("v1") + F.col("v2")) / 2).alias("median"))
+    picked = ranked.groupBy(*keys, "name", "q", "n").agg(
+        F.max(F.when(hit1, F.col("v"))).alias("v1"), F.max(F.when(hit2, F.col("v"))).alias("v2"))
+    frac = pos - F.floor(pos)
+    return picked.select(*keys, "name", "q", (F.col("v1") + (F.col("v2") - F.col("v1")) * frac).alias("value"))
+
+
+def exact_medians(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (), accuracy: int = 10000) -> DataFrame:
+    """A3: exact median of each column (mean of the two middle values for an
+    even count, nulls skipped); one row per (by, name) with ``median``."""
+    q = exact_quantiles(df, cols, [0.5], by, accuracy)
+    return q.select(*by, "name", F.col("value").alias("median"))
 
 
 def median_impute(df: DataFrame, target: str = "spot_price", cols: Sequence[str] | None = None,

@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewise.plans.ordered import IDX, forward_fill, materialize
+from tidewise.plans.ordered import forward_fill
 
 # Output columns of the feature matrix, with their source table.
 MATRIX_COLUMNS = [
@@ -56,19 +56,22 @@ def feature_matrix(tables: dict[str, DataFrame], start: str | None = None, end:
     if end:
         p = p.filter(F.col("date") <= F.lit(end).cast("date"))
     out = p.select("date", "spot_price", "front_month", "m1_m2_spread")
+    asof: list = []
     for name in ("storage_weekly", "production_monthly", "lng_monthly", "power_burn", "weather_daily",
                  "rigs_weekly"):
         side = _side(tables, name, rollup_entities)
         k = f"_k_{name}"
         if mode == "asof" and name not in ENTITY_TABLES:
-            value_cols = [c for c in side.columns if c != k]
-            out = asof_join(out, side.withColumnRenamed(k, "_rdate"), "date", "_rdate", value_cols)
+            asof.append((side, k, [c for c in side.columns if c != k]))
             continue
         if start:
             side = side.filter(F.col(k) >= F.lit(start).cast("date"))
         if end:
             side = side.filter(F.col(k) <= F.lit(end).cast("date"))
         out = out.join(side, F.col("date") == F.col(k), "left").drop(k)
+    if asof:
+        # all weekly / monthly sides carried forward in one fill pass
+        out = asof_join_many(out, "date", asof)
     return out.select(*[c for _, c in MATRIX_COLUMNS])
 
 
@@ -83,23 +86,40 @@ def asof_join(
 ) -> DataFrame:
     """For each left row, the latest right row (per ``by`` keys) whose
     ``right_date + release_lag_days <= left_date``; its ``value_cols`` are
-    attached (null when no such row).
+    attached (null when no such row)."""
+    return asof_join_many(left, left_date, [(right, right_date, list(value_cols))], by, release_lag_days)
 
-    No range join: both sides are unioned into one time-ordered stream per
-    key, the right side's values are packed into one struct and forward-filled
-    with the distributed fill of ``plans.ordered`` (bucketed, so one long key
-    is split over many tasks), then the left rows are kept. At equal dates a
+
+def asof_join_many(
+    left: DataFrame,
+    left_date: str,
+    rights: Sequence[tuple[DataFrame, str, Sequence[str]]],
+    by: Sequence[str] = (),
+    release_lag_days: int = 0,
+) -> DataFrame:
+    """As-of lookups into several right frames in one pass.
+
+    No range join: the left rows and every right frame are unioned into one
+    time-ordered stream per key; each right frame's values are packed into
+    its own struct column and all structs are forward-filled together by the
+    distributed fill of ``plans.ordered`` (time-bucketed, so one long key is
+    split over many tasks); finally the left rows are kept. At equal dates a
     right row sorts first, so a value released on day d is visible on day d.
     """
     keys = list(by)
     lcols = left.columns
-    packed = F.struct(*[F.col(c).alias(c) for c in value_cols])
-    r = right.select(*keys, F.date_add(F.col(right_date), release_lag_days).alias("_t"),
-                     F.lit(0).alias("_side"), packed.alias("_r"))
-    l_ = left.select("*", F.col(left_date).alias("_t"), F.lit(1).alias("_side"),
-                     F.lit(None).cast(r.schema["_r"].dataType).alias("_r"))
-    u = l_.unionByName(r, allowMissingColumns=True)
-    u = materialize(u)
-    filled = forward_fill(u, "_r", "_rf", ["_t", "_side"], keys)
+    packs = [F.struct(*[F.col(c).alias(c) for c in cols]) for _, _, cols in rights]
+    types = [r.select(p.alias("_p")).schema["_p"].dataType for (r, _, _), p in zip(rights, packs)]
+    parts = [left.select("*", F.col(left_date).alias("_t"), F.lit(1).alias("_side"),
+                         *[F.lit(None).cast(t).alias(f"_r{i}") for i, t in enumerate(types)])]
+    for i, ((r, rdate, _), p) in enumerate(zip(rights, packs)):
+        parts.append(r.select(*keys, F.date_add(F.col(rdate), release_lag_days).alias("_t"), F.lit(0).alias("_side"),
+                              *[(p if j == i else F.lit(None).cast(t)).alias(f"_r{j}") for j, t in enumerate(types)]))
+    u = parts[0]
+    for p in parts[1:]:
+        u = u.unionByName(p, allowMissingColumns=True)
+    n = len(rights)
+    filled = forward_fill(u, [f"_r{i}" for i in range(n)], [f"_f{i}" for i in range(n)], ["_t", "_side"], keys)
     out = filled.filter(F.col("_side") == 1)
-    return out.select(*lcols, *[F.col(f"_rf.{c}").alias(c) for c in value_cols]).drop(IDX)
+    vals = [F.col(f"_f{i}.{c}").alias(c) for i, (_, _, cols) in enumerate(rights) for c in cols]
+    return out.select(*lcols, *vals)

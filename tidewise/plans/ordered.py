@@ -164,8 +164,8 @@ def windowed(
 
 def forward_fill(
     df: DataFrame,
-    value_col: str,
-    out_col: str,
+    value_col: str | Sequence[str],
+    out_col: str | Sequence[str],
     order_col: str | Sequence[str] = "date",
     partition_cols: Sequence[str] = (),
     plan: str = "halo",
@@ -173,7 +173,8 @@ def forward_fill(
     coarse_unit: str | int = "month",
 ) -> DataFrame:
     """``out_col`` = last non-null ``value_col`` at or before each row (in
-    ``order_col`` order, per ``partition_cols``).
+    ``order_col`` order, per ``partition_cols``). Several value columns are
+    filled in the same pass.
 
     Distributed plan (no row index needed): the fill runs inside (keys,
     coarse time bucket) window partitions; a row whose bucket has no earlier
@@ -184,20 +185,25 @@ def forward_fill(
     """
     keys = list(partition_cols)
     order = _order_list(order_col)
-    v = F.col(value_col)
+    vals = [value_col] if isinstance(value_col, str) else list(value_col)
+    outs = [out_col] if isinstance(out_col, str) else list(out_col)
     if plan == "partition":
         w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-        return df.withColumn(out_col, F.last(v, ignorenulls=True).over(w))
+        return df.select("*", *[F.last(v, ignorenulls=True).over(w).alias(o) for v, o in zip(vals, outs)])
     x = materialize(df).withColumn(CB, _coarse(df, order, coarse_unit))
-    # per bucket: last non-null value (max_by skips rows whose ordering is null)
     okey = F.struct(*[F.col(c) for c in order]) if len(order) > 1 else F.col(order[0])
-    summary = x.groupBy(*keys, CB).agg(F.max_by(v, F.when(v.isNotNull(), okey)).alias("_last"))
+    # per bucket: last non-null value (max_by skips rows whose ordering is null)
+    summary = x.groupBy(*keys, CB).agg(
+        *[F.max_by(F.col(v), F.when(F.col(v).isNotNull(), okey)).alias(f"_last{i}") for i, v in enumerate(vals)])
     prev = Window.partitionBy(*keys).orderBy(CB).rowsBetween(Window.unboundedPreceding, -1)
-    carry = summary.select(*keys, CB, F.last("_last", ignorenulls=True).over(prev).alias("_carry"))
+    carry = summary.select(*keys, CB, *[F.last(f"_last{i}", ignorenulls=True).over(prev).alias(f"_carry{i}")
+                                        for i in range(len(vals))])
     inb = Window.partitionBy(*keys, CB).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    y = x.withColumn("_inb", F.last(v, ignorenulls=True).over(inb))
+    y = x.select("*", *[F.last(v, ignorenulls=True).over(inb).alias(f"_inb{i}") for i, v in enumerate(vals)])
     y = _left_null_safe(y, carry, keys + [CB])
-    return y.withColumn(out_col, F.coalesce(F.col("_inb"), F.col("_carry"))).drop("_inb", "_carry", CB)
+    filled = [F.coalesce(F.col(f"_inb{i}"), F.col(f"_carry{i}")).alias(o) for i, o in enumerate(outs)]
+    helpers = [f"_inb{i}" for i in range(len(vals))] + [f"_carry{i}" for i in range(len(vals))] + [CB]
+    return y.select("*", *filled).drop(*helpers)
 
 
 def _left_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -896,3 +896,112 @@ def q_k2(spark, sf_dir):
     sto.append(ld.prices(spark, sf_dir), root, "prices")
     back = sto.read_stored(spark, root, "prices")
     return back.select("date", "hub", F.col("spot_price").cast("double").alias("spot_price"))
+
+
+# ------------------------------------------------ matrix variants, D3, D9, E3, A6
+_J1_FROM_ROLLUP = (
+    "left join (select date, sum(gas_mwh) as gas_mwh, sum(total_load_mwh) as total_load_mwh, "
+    "sum(renewables_mwh) as renewables_mwh from power_burn group by date) pb on p.date = pb.date "
+    "left join (select date, avg(hdd) as hdd, avg(cdd) as cdd, avg(temperature) as temperature from weather_daily "
+    "group by date) w on p.date = w.date"
+)
+_J1_COLS = (
+    "select p.date, p.spot_price, p.front_month, p.m1_m2_spread, s.working_gas, s.five_year_avg, s.yoy_deviation, "
+    "s.wow_change, pr.dry_gas_bcfpd, l.exports_bcf, l.lng_capacity_bcfpd, pb.gas_mwh, pb.total_load_mwh, "
+    "pb.renewables_mwh, w.hdd, w.cdd, w.temperature, r.total_rigs, r.gas_rigs from prices p "
+)
+
+
+@register(
+    "j1_feature_matrix_rollup",
+    rsql(f"{ld.tables_sql(*_ALL_TABLES)}\n{_J1_COLS}"
+         "left join storage_weekly s on p.date = s.report_date left join production_monthly pr on p.date = pr.month "
+         f"left join lng_monthly l on p.date = l.month {_J1_FROM_ROLLUP} left join rigs_weekly r on p.date = r.date",
+         _J1_DOUBLES),
+)
+def q_j1r(spark, sf_dir):
+    """J1 with entity roll-up: one row per price date (power summed, weather averaged)."""
+    return jn.feature_matrix(ld.tables(spark, sf_dir), rollup_entities=True)
+
+
+@register(
+    "j1_feature_matrix_asof",
+    rsql(f"{ld.tables_sql(*_ALL_TABLES)}\n{_J1_COLS}"
+         "asof left join storage_weekly s on p.date >= s.report_date "
+         "asof left join production_monthly pr on p.date >= pr.month "
+         f"asof left join lng_monthly l on p.date >= l.month {_J1_FROM_ROLLUP} "
+         "asof left join rigs_weekly r on p.date >= r.date", _J1_DOUBLES),
+)
+def q_j1a(spark, sf_dir):
+    """J1 + J4: weekly/monthly tables carried forward to every price date
+    (one fill pass for all four), entity tables rolled up."""
+    return jn.feature_matrix(ld.tables(spark, sf_dir), mode="asof", rollup_entities=True)
+
+
+@register(
+    "a6_series_summary",
+    vw.with_views(
+        "select 'prices' as series, min(date) as first_date, max(date) as last_date, count(*) as n_rows, "
+        "count(spot_price) as n_values from v_prices union all "
+        "select 'weather', min(date), max(date), count(*), count(temperature) from v_weather union all "
+        "select 'storage', min(date), max(date), count(*), count(working_gas) from v_storage",
+        "v_prices", "v_weather", "v_storage"),
+)
+def q_a6(spark, sf_dir):
+    """A6 first/last date and counts of the three core series."""
+    return (_ex.series_summary(vw.v_prices(spark, sf_dir), "prices", "spot_price")
+            .unionByName(_ex.series_summary(vw.v_weather(spark, sf_dir), "weather", "temperature"))
+            .unionByName(_ex.series_summary(vw.v_storage(spark, sf_dir), "storage", "working_gas")))
+
+
+@register(
+    "d3_norm_delta",
+    rsql(f"{ld.tables_sql('weather_daily')}\nselect date, region, hdd, cdd, "
+         "hdd - avg(hdd) over w as hdd_norm_delta, cdd - avg(cdd) over w as cdd_norm_delta from weather_daily "
+         "window w as (partition by region, dayofyear(date) order by year(date) "
+         "range between unbounded preceding and 1 preceding)",
+         ["hdd", "cdd", "hdd_norm_delta", "cdd_norm_delta"]),
+)
+def q_d3(spark, sf_dir):
+    """D3 degree days minus the same region / day-of-year mean of earlier years."""
+    wd = ld.weather_daily(spark, sf_dir).select("date", "region", "hdd", "cdd")
+    return _ex.norm_deltas(wd)
+
+
+@register(
+    "d9_predictions",
+    rsql(f"{vw.ctes('v_prices', 'v_weather')}{_M2_PRED}"
+         ", b as (select model, quantile_cont(actual - prediction, 0.1) as q10, "
+         "quantile_cont(actual - prediction, 0.9) as q90 from pred group by model)\n"
+         "select p.date, p.model as model_name, cast(0 as int) as horizon_days, p.prediction, "
+         "p.prediction + b.q10 as confidence_lower, p.prediction + b.q90 as confidence_upper, "
+         "p.actual as actual_value, p.actual - p.prediction as error from pred p left join b on p.model = b.model",
+         ["prediction", "confidence_lower", "confidence_upper", "actual_value", "error"]),
+)
+def q_d9(spark, sf_dir):
+    """D7 + D9: predictions-table rows with exact residual-quantile bands (10 % / 90 %) and error."""
+    pred = bt.compare_lstsq(walk_forward_input(spark, sf_dir), {"hdd": ["x"], "hdd_cdd": ["x", "x2"]},
+                            "spot_price", WF_WINDOW, WF_STEP)
+    from tidewise.plans.ordered import materialize
+
+    pred = materialize(pred)
+    return _ex.prediction_rows(pred, _ex.residual_bands(pred))
+
+
+def _e3_sql() -> str:
+    parts = [f"select '{t}' as table_name, count(*) as n_rows from {t}" for t in _ALL_TABLES]
+    return f"{ld.tables_sql(*_ALL_TABLES)}\n" + " union all ".join(parts)
+
+
+@register("e3_ingest_all", _e3_sql())
+def q_e3(spark, sf_dir):
+    """Every landed table appended to a fresh store (typed, key-checked,
+    year-month partitioned) and counted back from storage."""
+    root = scratch_path(spark, f"store/{uuid.uuid4().hex}")
+    sto.ingest_all(ld.tables(spark, sf_dir), root)
+    parts = [sto.read_stored(spark, root, t).agg(F.lit(t).alias("table_name"), F.count(F.lit(1)).alias("n_rows"))
+             for t in _ALL_TABLES]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out

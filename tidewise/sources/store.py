@@ -188,3 +188,9 @@ def latest(df: DataFrame, table: str | None = None, date_col: str | None = None)
     dc = date_col or (TABLES[table].date_col if table else "date")
     mx = df.agg(F.max(dc).alias("_max"))
     return df.join(F.broadcast(mx), F.col(dc) == F.col("_max")).drop("_max")
+
+
+def ingest_all(tables: dict[str, DataFrame], root: str, on_conflict: str = "error") -> dict[str, int]:
+    """Append every landed table frame to its stored table (K1
+    schemas, K2 key checks); returns rows written per table."""
+    return {name: append(df, root, name, on_conflict) for name, df in tables.items()}
