@@ -80,3 +80,47 @@ def test_watermarked_stream_emits_closed_days(spark, sf_small, tmp_path):
         "to_date(ts)").distinct().collect()}
     # every day except the still-open last one has been emitted
     assert days and days <= ev_days and len(days) >= len(ev_days) - 1
+
+
+def test_synthetic_demo_walkthrough(spark):
+    from tidewise.plans.training import demo
+    from tidewise.sources.synthetic import sample_series
+
+    s = sample_series(spark, 1000)
+    rows = s.collect()
+    assert len(rows) == 1000 and min(r.spot_price for r in rows) >= 0.5 and min(r.hdd for r in rows) >= 0.0
+    out = demo(s)
+    # 1000 rows, window 200, step 50 -> 15 folds
+    assert out["summary"].collect()[0].n_folds == 15 == bt.fold_count(1000, 200, 50)
+    # base 7 columns + 48 weather features (E1 literal minus date) + 38 storage
+    # features (E2 without a five-year average minus date), prefixed per side
+    assert len(out["features"].columns) == 7 + 48 + 38
+    assert out["importance"].count() == 5
+
+
+def test_training_run_reports_every_model(spark, sf_small, tmp_path):
+    from tidewise.plans.training import run_training
+    from tidewise.sources import landed
+
+    rep = run_training(landed.tables(spark, sf_small), str(tmp_path), kinds=("linear", "xgboost"), window=120,
+                       step=60, model_overrides={"xgboost": {"n_estimators": 3}}).collect()
+    assert sorted(r.model for r in rep) == ["linear", "xgboost"]
+    assert all("±" in r.mae for r in rep)
+    assert os.path.isdir(str(tmp_path / "models" / "linear"))
+
+
+def test_power_bundle_and_weather_bundle(spark):
+    import json
+
+    from pyspark.sql import functions as F
+
+    from tidewise.operators.power import power_bundle
+    from tidewise.sources.forecast import weather_bundle
+
+    a = spark.createDataFrame([(dt.datetime(2024, 1, 1, h), 100.0) for h in range(24)], "ts timestamp, total_load double")
+    b = spark.createDataFrame([(dt.datetime(2024, 1, 1, 5), 7.0, 3.0)], "ts timestamp, total_load double, gas_generation double")
+    out = {r.source: r.gas_burn_mwh for r in power_bundle({"pjm": a, "ercot": b.drop("gas_generation")}).collect()}
+    assert math.isclose(out["pjm"], 24 * 40.0) and math.isclose(out["ercot"], 2.8)
+    p = json.dumps({"properties": {"periods": [{"startTime": "2024-01-01T06:00:00-05:00", "temperature": 60.0}]}})
+    wb = weather_bundle(spark.createDataFrame([("Chicago", p)], "station string, payload string")).collect()
+    assert wb[0].HDD == 5.0 and wb[0].region == "Midwest" and wb[0].source == "forecast"

@@ -107,3 +107,23 @@ def series_summary(df: DataFrame, name: str, value_col: str, date_col: str = "da
         F.count(F.lit(1)).alias("n_rows"),
         F.count(value_col).alias("n_values"),
     )
+
+
+POWER_BURN_LAGS = [1, 7, 14]
+
+
+def fill_declared_storage(storage: DataFrame, date_col: str = "report_date", plan: str = "halo") -> DataFrame:
+    """The declared storage columns - ``yoy_deviation`` = working_gas -
+    five_year_avg (P4) and ``wow_change`` = week-over-week difference (W5)."""
+    base = [c for c in storage.columns if c not in ("yoy_deviation", "wow_change")]
+    x = windowed(storage, lambda w: [F.lag("working_gas", 1).over(w).alias("_prev")], date_col, (), 1, plan)
+    return x.select(*base, (F.col("working_gas") - F.col("five_year_avg")).alias("yoy_deviation"),
+                    (F.col("working_gas") - F.col("_prev")).alias("wow_change"))
+
+
+def power_burn_lags(power_burn: DataFrame, col: str = "gas_mwh", lags: Sequence[int] = POWER_BURN_LAGS,
+                    by: Sequence[str] = ("ba",), date_col: str = "date", plan: str = "halo") -> DataFrame:
+    """Lags of the gas burn per balancing area (rows = days of that
+    area); keyed halo plan, so one dominant area is still split."""
+    return windowed(power_burn, lambda w: [F.lag(col, k).over(w).alias(f"{col}_lag_{k}") for k in lags],
+                    date_col, by, max(lags), plan)

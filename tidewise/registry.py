@@ -1005,3 +1005,59 @@ def q_e3(spark, sf_dir):
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+@register(
+    "d2_storage_declared",
+    rsql(f"{ld.tables_sql('storage_weekly')}\nselect report_date, working_gas, five_year_avg, "
+         "working_gas - five_year_avg as yoy_deviation, "
+         "working_gas - lag(working_gas) over (order by report_date) as wow_change from storage_weekly",
+         ["working_gas", "five_year_avg", "yoy_deviation", "wow_change"]),
+)
+def q_d2(spark, sf_dir):
+    """D2 declared storage columns: deviation and week-over-week change."""
+    return _ex.fill_declared_storage(ld.storage_weekly(spark, sf_dir))
+
+
+@register(
+    "d5_power_lags",
+    rsql(f"{ld.tables_sql('power_burn')}\nselect date, ba, gas_mwh, "
+         "lag(gas_mwh, 1) over w as gas_mwh_lag_1, lag(gas_mwh, 7) over w as gas_mwh_lag_7, "
+         "lag(gas_mwh, 14) over w as gas_mwh_lag_14 from power_burn window w as (partition by ba order by date)",
+         ["gas_mwh", "gas_mwh_lag_1", "gas_mwh_lag_7", "gas_mwh_lag_14"]),
+)
+def q_d5(spark, sf_dir):
+    """D5 gas-burn lags 1, 7, 14 per balancing area (keyed halo window)."""
+    return _ex.power_burn_lags(ld.power_burn(spark, sf_dir).select("date", "ba", "gas_mwh"))
+
+
+@register(
+    "j5_region_weight",
+    rsql(vw.with_views(f"select *, {_W_CASE} as weight from v_weather_region", "v_weather_region"),
+         ["temperature", "weight"]),
+)
+def q_j5(spark, sf_dir):
+    """J5 region weight lookup with the 0.1 default for unmatched regions."""
+    return wx.with_region_weight(vw.v_weather_region(spark, sf_dir))
+
+
+def _w2r_sql() -> str:
+    pairs = []
+    for n in wx.WEATHER_WINDOWS:
+        frame = f"(partition by region order by date rows between {n - 1} preceding and current row)"
+        for stat, fn in (("", "avg"), ("_std", "stddev_samp"), ("_max", "max"), ("_min", "min")):
+            pairs.append((f"case when count(temperature) over {frame} = {n} then {fn}(temperature) over {frame} end",
+                          f"temperature_rolling_{n}{stat}"))
+    lags = [(f"lag(temperature, {k}) over (partition by region order by date)", f"temperature_lag_{k}")
+            for k in wx.WEATHER_LAGS]
+    inner = f"select *, {_sel(lags + pairs)} from v_weather_region"
+    return rsql(vw.with_views(inner, "v_weather_region"), ["temperature"] + [n for _, n in lags + pairs])
+
+
+@register("w2_weather_rolling_by_region", _w2r_sql())
+def q_w2r(spark, sf_dir):
+    """W1 + W2 per region (keyed halo plan: lags and rolling statistics of
+    each region's own series)."""
+    df = vw.v_weather_region(spark, sf_dir)
+    return windowed(df, lambda w: wx.lag_cols(w, "temperature", wx.WEATHER_LAGS)
+                    + wx.rolling_cols(w, "temperature", wx.WEATHER_WINDOWS), "date", ["region"], 30)
