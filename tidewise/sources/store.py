@@ -96,13 +96,26 @@ def table_path(root: str, table: str) -> str:
     return os.path.join(root, table)
 
 
-def create_tables(spark: SparkSession, root: str) -> None:
-    """K1: create every table (empty, with schema) if absent."""
-    for name, spec in TABLES.items():
-        path = table_path(root, name)
-        if not os.path.exists(path.replace("file:", "")):
-            empty = spark.createDataFrame([], spec.schema).withColumn(PART_COL, F.lit(None).cast("string"))
-            empty.write.mode("ignore").partitionBy(PART_COL).parquet(path)
+def create_tables(spark: SparkSession, root: str, names: tuple[str, ...] | None = None) -> None:
+    """K1: create the tables that are absent. A table is a directory; its
+    schema lives in ``TABLES`` and is applied on every read, so an empty
+    table needs no files."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for name in names or tuple(TABLES):
+        p = jvm.org.apache.hadoop.fs.Path(table_path(root, name))
+        fs = p.getFileSystem(conf)
+        if not fs.exists(p):
+            fs.mkdirs(p)
+
+
+def _write_partitioned(out: DataFrame, path: str, mode: str, date_col: str) -> None:
+    """Write by year-month partition. Rows are range-partitioned on
+    (year-month, date) first, so each task writes one or a few months (few,
+    large files) and a busy month is still split across tasks."""
+    spark = out.sparkSession
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    (out.repartitionByRange(n, PART_COL, date_col).write.mode(mode).partitionBy(PART_COL).parquet(path))
 
 
 def read_stored(spark: SparkSession, root: str, table: str) -> DataFrame:
@@ -126,42 +139,55 @@ def append(df: DataFrame, root: str, table: str, on_conflict: str = "error") ->
     spark = df.sparkSession
     spec = TABLES[table]
     keys = list(spec.keys)
-    batch = conform(df, table)
-    dup_in_batch = batch.groupBy(*keys).count().filter("count > 1").limit(1).count()
+    # the batch is read by the key checks, the count and the write
+    batch = conform(df, table).persist()
+    # one aggregation gives both the row count and whether a key repeats
+    stats = batch.groupBy(*keys).count().agg(F.sum("count").alias("n"), F.max("count").alias("mx")).first()
+    n_in, dup_in_batch = (stats["n"] or 0), (stats["mx"] or 0) > 1
+    if n_in == 0:
+        batch.unpersist()
+        return 0
     if dup_in_batch and on_conflict == "error":
+        batch.unpersist()
         raise DuplicateKeyError(f"{table}: duplicate key inside the batch")
     if dup_in_batch:
         batch = batch.dropDuplicates(keys)
     path = table_path(root, table)
-    create_tables(spark, root)
+    create_tables(spark, root, (table,))
     stored = read_stored(spark, root, table).drop(PART_COL)
+    has_rows = bool(stored.inputFiles())  # driver-side listing, no job
     ym = F.date_format(F.col(spec.date_col), "yyyy-MM")
     if on_conflict == "error":
-        clash = batch.join(stored.select(*keys), keys, "left_semi").limit(1).count()
-        if clash:
+        if has_rows and batch.join(stored.select(*keys), keys, "left_semi").limit(1).count():
+            batch.unpersist()
             raise DuplicateKeyError(f"{table}: key already stored")
     elif on_conflict == "skip":
-        batch = batch.join(stored.select(*keys), keys, "left_anti")
+        if has_rows:
+            batch = batch.join(stored.select(*keys), keys, "left_anti")
     elif on_conflict == "replace":
-        touched = batch.select(ym.alias(PART_COL)).distinct()
-        keep = (stored.withColumn(PART_COL, ym).join(touched, PART_COL, "left_semi")
-                .join(batch.select(*keys), keys, "left_anti").drop(PART_COL))
-        batch = batch.unionByName(keep)
+        if has_rows:
+            touched = batch.select(ym.alias(PART_COL)).distinct()
+            keep = (stored.withColumn(PART_COL, ym).join(touched, PART_COL, "left_semi")
+                    .join(batch.select(*keys), keys, "left_anti").drop(PART_COL))
+            batch = batch.unionByName(keep)
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-        out = batch.withColumn(PART_COL, ym)
         # the rewrite reads partitions it overwrites: cut the lineage first
-        out = cut_lineage(out)
+        out = cut_lineage(batch.withColumn(PART_COL, ym))
         n = out.count()
         if n:
-            out.write.mode("overwrite").partitionBy(PART_COL).parquet(path)
+            _write_partitioned(out, path, "overwrite", spec.date_col)
         return n
     else:
         raise ValueError(on_conflict)
     out = batch.withColumn(PART_COL, ym)
-    n = out.count()
-    if n == 0:
-        return 0
-    out.write.mode("append").partitionBy(PART_COL).parquet(path)
+    n = n_in if on_conflict == "error" and not dup_in_batch else None
+    out = out.persist() if n is None else out
+    if n is None:
+        n = out.count()
+    if n:
+        _write_partitioned(out, path, "append", spec.date_col)
+    out.unpersist()
+    batch.unpersist()
     return n
 
 
