@@ -6,18 +6,19 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
-# (session, path) -> DataFrame. Reading a parquet path resolves files and
+# path -> (session, DataFrame). Reading a parquet path resolves files and
 # footers on the driver; a job that reads the same table for several views
-# reuses the resolved relation (DataFrames are immutable, so sharing is safe).
-_READ_CACHE: dict[tuple[int, str], DataFrame] = {}
+# reuses the resolved relation (DataFrames are immutable, so sharing is
+# safe). An entry is only reused by the very session that created it.
+_READ_CACHE: dict[str, tuple[SparkSession, DataFrame]] = {}
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Read one landed table; column pruning and filters reach the scan."""
     path = os.path.join(sf_dir, f"{name}.parquet")
-    key = (id(spark._jsparkSession), path)
-    df = _READ_CACHE.get(key)
-    if df is None:
-        df = spark.read.parquet(path)
-        _READ_CACHE[key] = df
+    hit = _READ_CACHE.get(path)
+    if hit is not None and hit[0] is spark and not spark.sparkContext._jsc.sc().isStopped():
+        return hit[1]
+    df = spark.read.parquet(path)
+    _READ_CACHE[path] = (spark, df)
     return df
