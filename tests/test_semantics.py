@@ -199,3 +199,43 @@ def test_exact_quantiles_match_numpy(spark, n):
     got = {r.q: r.value for r in exact_quantiles(df, ["r"], [0.1, 0.5, 0.9]).collect()}
     for q in (0.1, 0.5, 0.9):
         assert _close(got[q], float(np.quantile(vals, q)), 1e-12)
+
+
+def test_lookahead_halo_equals_plain_lead(spark):
+    rows = [(k, d, float(i)) for k in ("a", "b") for i, d in enumerate(_days(70 if k == "a" else 20))]
+    df = spark.createDataFrame(rows, "k string, date date, v double")
+
+    def build(w):
+        return [F.lead("v", 1).over(w).alias("n1"), F.lead("v", 9).over(w).alias("n9")]
+
+    halo = windowed(df, build, "date", ["k"], 0, "halo", bucket_rows=12, lookahead=9).orderBy("k", "date").collect()
+    plain = windowed(df, build, "date", ["k"], 0, "partition").orderBy("k", "date").collect()
+    assert [tuple(r) for r in halo] == [tuple(r) for r in plain]
+
+
+def test_keyed_forward_fill_matches_pandas(spark):
+    rng = np.random.default_rng(3)
+    rows = []
+    for k in ("x", "y", "z"):
+        for i, d in enumerate(_days(150, "2023-11-15")):
+            v = float(i) if rng.random() < 0.15 else None
+            rows.append((k, d, v))
+    df = spark.createDataFrame(rows, "k string, date date, v double")
+    got = {(r.k, r.date): r.f for r in forward_fill(df, "v", "f", "date", ["k"]).collect()}
+    pdf = pd.DataFrame(rows, columns=["k", "date", "v"])
+    pdf["f"] = pdf.groupby("k")["v"].ffill()
+    for r in pdf.itertuples():
+        exp = None if pd.isna(r.f) else r.f
+        assert got[(r.k, r.date)] == exp
+
+
+def test_asof_join_by_key(spark):
+    from tidewise.operators.joins import asof_join
+
+    left = spark.createDataFrame([("a", dt.date(2024, 1, d)) for d in range(1, 21)]
+                                 + [("b", dt.date(2024, 1, d)) for d in range(1, 21)], "k string, date date")
+    right = spark.createDataFrame([("a", dt.date(2024, 1, 5), 1.0), ("a", dt.date(2024, 1, 12), 2.0),
+                                   ("b", dt.date(2023, 12, 30), 9.0)], "k string, rd date, v double")
+    got = {(r.k, r.date.day): r.v for r in asof_join(left, right, "date", "rd", ["v"], by=["k"]).collect()}
+    assert got[("a", 4)] is None and got[("a", 5)] == 1.0 and got[("a", 11)] == 1.0 and got[("a", 20)] == 2.0
+    assert all(got[("b", d)] == 9.0 for d in range(1, 21))

@@ -6,7 +6,8 @@ puts a whole series into one task, and with no key at all Spark plans
 holds a large share of the data. The plan here splits every series into
 fixed-size row buckets:
 
-1. **Row index.** Count rows per (keys, coarse time bucket) - a small frame -
+1. **Row index.** Count rows per (keys, coarse time bucket: month for dates,
+   hour for timestamps) - a small frame -
    prefix-sum those counts per key to get each bucket's offset, join the
    offsets back and add ``row_number`` inside the coarse bucket. The only
    global ordering runs on the count frame.
@@ -44,13 +45,23 @@ def _order_list(order_col: str | Sequence[str]) -> list[str]:
     return [order_col] if isinstance(order_col, str) else list(order_col)
 
 
-def _coarse(df: DataFrame, order_col: str | Sequence[str], unit: str | int) -> Column:
+def _coarse(df: DataFrame, order_col: str | Sequence[str], unit: str | int | None) -> Column:
+    """Coarse time bucket of the (first) order column.
+
+    Default (``unit=None``): calendar month for a DATE order column - at most
+    31 rows per key and bucket when dates are unique per key, a proven bound -
+    and hour for a timestamp column; numeric order columns use ranges of
+    65,536. An explicit unit ("day", "minute", ... or an integer width)
+    overrides it for unusually dense series.
+    """
     order_col = _order_list(order_col)[0]
     dtype = df.schema[order_col].dataType
     if isinstance(dtype, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+        if unit is None:
+            unit = "month" if isinstance(dtype, T.DateType) else "hour"
         return F.date_trunc(str(unit), F.col(order_col))
     # numeric order column: fixed-width integer ranges
-    width = int(unit) if not isinstance(unit, str) else 1 << 16
+    width = int(unit) if unit is not None and not isinstance(unit, str) else 1 << 16
     return F.floor(F.col(order_col) / F.lit(width))
 
 
@@ -90,7 +101,7 @@ def add_row_index(
     order_col: str | Sequence[str],
     partition_cols: Sequence[str] = (),
     index_col: str = IDX,
-    coarse_unit: str | int = "month",
+    coarse_unit: str | int | None = None,
     reuse: str | None = "persist",
 ) -> DataFrame:
     """0-based row position per series (``iloc`` position), distributed.
@@ -134,7 +145,7 @@ def windowed(
     lookback: int = 30,
     plan: str = "halo",
     bucket_rows: int = DEFAULT_BUCKET_ROWS,
-    coarse_unit: str | int = "month",
+    coarse_unit: str | int | None = None,
     keep_index: bool = False,
     lookahead: int = 0,
 ) -> DataFrame:
@@ -170,7 +181,7 @@ def forward_fill(
     partition_cols: Sequence[str] = (),
     plan: str = "halo",
     bucket_rows: int = DEFAULT_BUCKET_ROWS,
-    coarse_unit: str | int = "month",
+    coarse_unit: str | int | None = None,
 ) -> DataFrame:
     """``out_col`` = last non-null ``value_col`` at or before each row (in
     ``order_col`` order, per ``partition_cols``). Several value columns are
