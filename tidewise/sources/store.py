@@ -198,10 +198,15 @@ def scan_range(df: DataFrame, table: str | None = None, start: str | None = None
     year-month partitions of stored tables."""
     dc = date_col or (TABLES[table].date_col if table else "date")
     x = df
+    part = PART_COL in df.columns  # a stored table: bound the partitions too
     if start:
         x = x.filter(F.col(dc) >= F.lit(start).cast("date"))
+        if part:
+            x = x.filter(F.col(PART_COL) >= F.lit(str(start)[:7]))
     if end:
         x = x.filter(F.col(dc) <= F.lit(end).cast("date"))
+        if part:
+            x = x.filter(F.col(PART_COL) <= F.lit(str(end)[:7]))
     return x.orderBy(dc)
 
 
