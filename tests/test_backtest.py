@@ -92,3 +92,36 @@ def test_fold_count_formula():
     for n in range(0, 400, 7):
         for W, s in ((252, 21), (200, 50), (10, 3)):
             assert bt.fold_count(n, W, s) == len(range(W, n - s, s))
+
+
+def test_fold_scoped_imputation_matches_loop(spark):
+    rng = np.random.default_rng(11)
+    n, W, s = 180, 60, 20
+    x1 = rng.normal(4, 1, n)
+    x2 = rng.normal(2, 1, n)
+    y = 0.3 * x1 + 0.7 * x2 + rng.normal(0, 0.1, n)
+    x1[rng.random(n) < 0.2] = np.nan
+    x2[rng.random(n) < 0.5] = np.nan
+    y[rng.random(n) < 0.1] = np.nan
+    d0 = dt.date(2022, 1, 1)
+    nn = lambda v: None if np.isnan(v) else float(v)
+    rows = [(d0 + dt.timedelta(days=i), nn(y[i]), nn(x1[i]), nn(x2[i])) for i in range(n)]
+    df = spark.createDataFrame(rows, "date date, y double, a double, b double")
+    got = {(r.fold, r.idx): r.prediction for r in
+           bt.walk_forward_lstsq_fold_imputed(df, ["a", "b"], "y", W, s).collect()}
+    exp = {}
+    X = np.column_stack([x1, x2])
+    for k, i in enumerate(range(W, n - s, s)):
+        tr = slice(i - W, i)
+        med = [np.nanmedian(X[tr, 0]), np.nanmedian(X[tr, 1]), np.nanmedian(y[tr])]
+        fill = lambda a, m: np.where(np.isnan(a), m, a)
+        Xtr = np.column_stack([fill(X[tr, 0], med[0]), fill(X[tr, 1], med[1])])
+        ytr = fill(y[tr], med[2])
+        coef = np.linalg.lstsq(Xtr, ytr, rcond=None)[0]
+        te = slice(i, i + s)
+        Xte = np.column_stack([fill(X[te, 0], med[0]), fill(X[te, 1], med[1])])
+        for j, v in enumerate(Xte @ coef):
+            exp[(k, i + j)] = v
+    assert got.keys() == exp.keys()
+    for key in exp:
+        assert math.isclose(got[key], exp[key], rel_tol=1e-8, abs_tol=1e-10)

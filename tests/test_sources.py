@@ -109,3 +109,13 @@ def test_asof_join_matches_brute_force(spark):
     for d in days:
         cands = [i * 10.0 for i, w in enumerate(weekly) if w + dt.timedelta(days=2) <= d]
         assert got[d] == (cands[-1] if cands else None)
+
+
+def test_series_bad_period_fails_the_job(spark):
+    from pyspark.errors import PySparkException
+    from py4j.protocol import Py4JJavaError
+
+    payloads = spark.createDataFrame([("NG.RNGWHHD.D", json.dumps({"data": [{"period": "not-a-date", "value": "1"}]}))],
+                                     "series_id string, payload string")
+    with pytest.raises((PySparkException, Py4JJavaError, Exception)):
+        se.parse_series(payloads).collect()

@@ -110,6 +110,12 @@ def lstsq_coefficients(x: DataFrame, features: Sequence[str], target: str, keys:
         *[F.sum(f"_b{i}").alias(f"_b{i}") for i in range(p)],
         F.count(F.lit(1)).alias("_nb"),
     ).filter(F.col("_nb") == F.lit(c))  # only folds whose whole window exists
+    return solve_gram(gram, keys, p)
+
+
+def solve_gram(gram: DataFrame, keys: list[str], p: int) -> DataFrame:
+    """(keys, fold, _g{i}_{j} for i <= j, _b{i}) -> (keys, fold, coef): the
+    minimum-norm solution of each fold's normal equations."""
     if p == 1:
         coef = F.coalesce(F.try_divide(F.col("_b0"), F.col("_g0_0")), F.lit(0.0))
         return gram.select(*keys, "fold", F.array(coef).alias("coef"))
@@ -145,6 +151,75 @@ def walk_forward_lstsq(
                        F.col(target).cast("double").alias("actual"), yhat.alias("prediction"))
 
 
+def _fold_roles(window: int, step: int) -> F.Column:
+    """Array of (fold, test) roles of a row (needs ``_idx`` and ``_n``):
+    train for folds k with k*s <= idx < k*s + W, test for the fold whose
+    block [k*s + W, k*s + W + s) holds it."""
+    kmax = _k_expr(F.col("_n"), window, step) - 1
+    idx = F.col(IDX)
+    tr_lo = F.greatest(F.lit(0), F.ceil((idx - F.lit(window - 1)) / F.lit(step))).cast("long")
+    tr_hi = F.least(kmax, F.floor(idx / F.lit(step)).cast("long"))
+    te_k = F.floor((idx - F.lit(window)) / F.lit(step)).cast("long")
+    empty = F.array().cast("array<struct<fold:bigint,test:int>>")
+    return F.concat(
+        F.when(tr_lo <= tr_hi, F.transform(F.sequence(tr_lo, tr_hi),
+                                           lambda k: F.struct(k.alias("fold"), F.lit(0).alias("test"))))
+        .otherwise(empty),
+        F.when((idx >= F.lit(window)) & (te_k <= kmax), F.array(F.struct(te_k.alias("fold"), F.lit(1).alias("test"))))
+        .otherwise(empty),
+    )
+
+
+def walk_forward_lstsq_fold_imputed(
+    df: DataFrame,
+    features: Sequence[str],
+    target: str = "spot_price",
+    window: int = DEFAULT_WINDOW,
+    step: int = DEFAULT_STEP,
+    order_col: str = "date",
+    partition_cols: Sequence[str] = (),
+    model_name: str = "lstsq",
+) -> DataFrame:
+    """M1 + M5 with P10 at ``scope="train_fold"``: every fold fills the NULLs
+    of its features and target with the exact medians of its own training
+    rows (no look-ahead), drops rows whose target stays NULL, then fits.
+
+    Rows are copied to the folds that use them (<= ceil(W/s) + 1 copies);
+    medians are taken per fold over W rows (bounded groups); the Gram sums
+    are per fold (features differ between folds, so blocks cannot be shared).
+    """
+    from tidewise.operators.impute import exact_quantiles
+
+    keys = list(partition_cols)
+    cols = list(features) + [target]
+    x = _indexed(df, order_col, keys)
+    n = x.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    x = x.join(n, keys) if keys else x.crossJoin(F.broadcast(n))
+    base = [*keys, order_col, IDX, *cols]
+    ex = materialize(x.select(*base, F.explode(_fold_roles(window, step)).alias("_r"))
+                     .select(*base, "_r.fold", "_r.test"))
+    med = exact_quantiles(ex.filter(F.col("test") == 0), cols, [0.5], by=[*keys, "fold"])
+    wide = med.groupBy(*keys, "fold").agg(*[F.max(F.when(F.col("name") == c, F.col("value"))).alias(f"_m_{c}")
+                                            for c in cols])
+    filled = ex.join(wide, [*keys, "fold"], "left").select(
+        *keys, order_col, IDX, "fold", "test",
+        *[F.coalesce(F.col(c).cast("double"), F.col(f"_m_{c}")).alias(c) for c in cols],
+    ).filter(F.col(target).isNotNull())
+    filled = materialize(filled)
+    p = len(features)
+    xs = [F.col(f) for f in features]
+    pairs = [(i, j) for i in range(p) for j in range(i, p)]
+    gram = filled.filter(F.col("test") == 0).groupBy(*keys, "fold").agg(
+        *[F.sum(xs[i] * xs[j]).alias(f"_g{i}_{j}") for i, j in pairs],
+        *[F.sum(xs[i] * F.col(target)).alias(f"_b{i}") for i in range(p)],
+    )
+    coefs = solve_gram(gram, keys, p)
+    t = filled.filter(F.col("test") == 1).join(coefs, [*keys, "fold"])
+    yhat = sum((F.col(f) * F.col("coef")[i] for i, f in enumerate(features)), F.lit(0.0))
+    return t.select(*keys, F.lit(model_name).alias("model"), "fold", F.col(IDX).alias("idx"), order_col,
+                    F.col(target).alias("actual"), yhat.alias("prediction"))
+
+
 def walk_forward_grouped(
     df: DataFrame,
     make_model: Callable[[], object],
@@ -168,20 +243,8 @@ def walk_forward_grouped(
     x = _indexed(df, order_col, keys)
     n = x.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     x = x.join(n, keys) if keys else x.crossJoin(F.broadcast(n))
-    kmax = _k_expr(F.col("_n"), window, step) - 1
-    idx = F.col(IDX)
-    # train: k*s <= idx < k*s + W ; test: k*s + W <= idx < k*s + W + s
-    tr_lo = F.greatest(F.lit(0), F.ceil((idx - F.lit(window - 1)) / F.lit(step))).cast("long")
-    tr_hi = F.least(kmax, F.floor(idx / F.lit(step)).cast("long"))
-    te_k = F.floor((idx - F.lit(window)) / F.lit(step)).cast("long")
-    roles = F.concat(
-        F.when(tr_lo <= tr_hi, F.transform(F.sequence(tr_lo, tr_hi), lambda k: F.struct(k.alias("fold"), F.lit(0).alias("test"))))
-        .otherwise(F.array().cast("array<struct<fold:bigint,test:int>>")),
-        F.when((idx >= F.lit(window)) & (te_k <= kmax), F.array(F.struct(te_k.alias("fold"), F.lit(1).alias("test"))))
-        .otherwise(F.array().cast("array<struct<fold:bigint,test:int>>")),
-    )
     cols = [*keys, order_col, IDX, *features, target]
-    ex = x.select(*cols, F.explode(roles).alias("_r")).select(*cols, "_r.fold", "_r.test")
+    ex = x.select(*cols, F.explode(_fold_roles(window, step)).alias("_r")).select(*cols, "_r.fold", "_r.test")
 
     key_fields = [ex.schema[k] for k in keys]
     out_schema = T.StructType(key_fields + [

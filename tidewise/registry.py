@@ -1061,3 +1061,66 @@ def q_w2r(spark, sf_dir):
     df = vw.v_weather_region(spark, sf_dir)
     return windowed(df, lambda w: wx.lag_cols(w, "temperature", wx.WEATHER_LAGS)
                     + wx.rolling_cols(w, "temperature", wx.WEATHER_WINDOWS), "date", ["region"], 30)
+
+
+def _e1_full_sql() -> str:
+    targets = ("HDD", "CDD", "temperature")
+    lag_pairs = [p for c in targets for p in _lag_sql(c, wx.WEATHER_LAGS)]
+    roll_pairs = [p for c in targets for p in _roll_sql(c, wx.WEATHER_WINDOWS)]
+    win = f"select *, {_sel(lag_pairs + roll_pairs)} from ({_WX_DD}) a window w as (order by date)"
+    merged = (f"select b.*, f.temperature as temperature_forecast, f.temperature - b.temperature as "
+              f"temp_forecast_error, {_hdd('f.temperature')} as HDD_forecast, {_cdd('f.temperature')} as CDD_forecast "
+              f"from ({win}) b left join v_forecast f on b.date = f.date")
+    inner = (f"select *, HDD * CDD as HDD_CDD_interaction, temperature * wind_speed as temp_wind_interaction, "
+             f"HDD * wind_speed as HDD_wind_interaction from (select *, {', '.join(_weather_cal_sql())} "
+             f"from ({merged}) c) d")
+    doubles = (["temperature", "wind_speed", "HDD", "CDD"] + [n for _, n in lag_pairs + roll_pairs]
+               + ["temperature_forecast", "temp_forecast_error", "HDD_forecast", "CDD_forecast"]
+               + WEATHER_CAL_DOUBLES + ["HDD_CDD_interaction", "temp_wind_interaction", "HDD_wind_interaction"])
+    return rsql(vw.with_views(inner, "v_weather", "v_forecast"), doubles)
+
+
+@register("e1_weather_pipeline_full", _e1_full_sql())
+def q_e1_full(spark, sf_dir):
+    """E1, full mode with the forecast: inputs kept, so temperature lags and
+    rolling statistics, the forecast merge (suffix, error, forecast degree
+    days) and the wind interactions all fire (74 columns)."""
+    return fe.weather_pipeline(vw.v_weather(spark, sf_dir), vw.v_forecast(spark, sf_dir), mode="full")
+
+
+def _p10f_sql() -> str:
+    W, S = WF_WINDOW, WF_STEP
+    j1r = (f"{_J1_COLS}left join storage_weekly s on p.date = s.report_date left join production_monthly pr "
+           f"on p.date = pr.month left join lng_monthly l on p.date = l.month {_J1_FROM_ROLLUP} "
+           "left join rigs_weekly r on p.date = r.date")
+    det = "(g.a * g.d - g.b * g.b)"
+    return rsql(
+        f"{ld.tables_sql(*_ALL_TABLES)}, m as ({j1r})"
+        ", ix as (select date, spot_price, hdd, working_gas, row_number() over (order by date) - 1 as idx from m)"
+        f", kk as (select greatest(0, ceil((count(*) - {S} - {W}) / {S})) as k from ix)"
+        f", folds as (select distinct cast(floor((idx - {W}) / {S}) as bigint) as fold from ix where idx >= {W} "
+        f"and floor((idx - {W}) / {S}) < (select k from kk))"
+        f", roles as (select f.fold, 0 as test, ix.* from folds f join ix on ix.idx >= f.fold * {S} "
+        f"and ix.idx < f.fold * {S} + {W} union all select f.fold, 1 as test, ix.* from folds f join ix "
+        f"on ix.idx >= f.fold * {S} + {W} and ix.idx < f.fold * {S} + {W + S})"
+        ", med as (select fold, median(hdd) as mh, median(working_gas) as mw, median(spot_price) as ms "
+        "from roles where test = 0 group by fold)"
+        ", filled as (select r.fold, r.test, r.idx, r.date, coalesce(r.hdd, med.mh) as x1, "
+        "coalesce(r.working_gas, med.mw) as x2, coalesce(r.spot_price, med.ms) as y from roles r "
+        "left join med on r.fold = med.fold)"
+        ", g as (select fold, sum(x1 * x1) as a, sum(x1 * x2) as b, sum(x2 * x2) as d, sum(x1 * y) as u, "
+        "sum(x2 * y) as v from filled where test = 0 and y is not null group by fold)\n"
+        "select 'lstsq' as model, t.fold, t.idx, t.date, t.y as actual, "
+        f"t.x1 * ((g.d * g.u - g.b * g.v) / {det}) + t.x2 * ((g.a * g.v - g.b * g.u) / {det}) as prediction "
+        "from filled t join g on t.fold = g.fold where t.test = 1 and t.y is not null",
+        ["actual", "prediction"])
+
+
+@register("p10_train_fold_walk_forward", _p10f_sql())
+def q_p10f(spark, sf_dir):
+    """P10 at scope="train_fold" inside M1: per-fold medians of the training
+    rows fill the gaps of the rolled-up matrix (hdd, sparse weekly
+    working_gas, target), then fold least squares."""
+    m = jn.feature_matrix(ld.tables(spark, sf_dir), rollup_entities=True).select(
+        "date", "spot_price", "hdd", "working_gas")
+    return bt.walk_forward_lstsq_fold_imputed(m, ["hdd", "working_gas"], "spot_price", WF_WINDOW, WF_STEP)
