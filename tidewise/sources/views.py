@@ -6,8 +6,9 @@ deterministically (fixed day-of-month / ISO week) because the landed tables
 carry none and the null rules are the riskiest part of the library.
 
 Every builder has a twin SQL text in ``VIEW_SQL`` used as a common table
-expression by the DuckDB oracle; both must give identical rows. Sums are taken
-over DECIMAL so that the result does not depend on summation order.
+expression by the DuckDB oracle; both must give identical rows. Sums are exact
+(integer cents here, DECIMAL in the twins), so they do not depend on
+summation order.
 
 All builders are aggregations: partial (map-side) aggregation runs before the
 shuffle, so at any scale the shuffle carries one row per (task, group).
@@ -15,60 +16,104 @@ shuffle, so at any scale the shuffle carries one row per (task, group).
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewise.sources.tables import read_table
 
 
-def _dsum(c: str | Column) -> Column:
-    """Order-independent sum: exact decimal accumulation at 2 decimals,
-    returned as double.
-
-    Inputs are cast to DECIMAL(8,2): every summed TPC-H field is below 10^6
-    at any scale factor, the ANSI cast fails loudly if one is not, and the
-    sum type DECIMAL(18,2) fits a 64-bit unscaled value, so the aggregation
-    buffer stays on the fast primitive path (a wider decimal would use an
-    arbitrary-precision object per group). The sums equal the DECIMAL(18,2)
-    sums of the SQL twins exactly.
+def _cents(c: str | Column) -> Column:
+    """A fixed-point amount with two decimals as an exact count of cents.
+
+    The summed TPC-H fields (prices, quantities, rates, event values) are
+    two-decimal fixed-point values by definition; for them
+    floor(x * 100 + 0.5) is the exact cent count - the same value the SQL
+    twins obtain with ``cast(x as decimal(18,2))`` - computed with primitive
+    arithmetic instead of a per-value decimal conversion.
     """
     col = F.col(c) if isinstance(c, str) else c
-    return F.sum(col.cast("decimal(8,2)")).cast("double")
+    return F.floor(col * F.lit(100.0) + F.lit(0.5))
+
+
+def _csum(c: str | Column) -> Column:
+    """Exact, order-independent sum in cents (64-bit integer)."""
+    return F.sum(_cents(c))
+
+
+def _as_amount(cents: str | Column) -> Column:
+    """Cents back to a double: the correctly rounded value of cents / 100,
+    i.e. what casting the exact decimal sum to double gives."""
+    col = F.col(cents) if isinstance(cents, str) else cents
+    return col.cast("double") / F.lit(100.0)
+
+
+def _dsum(c: str | Column) -> Column:
+    """Exact sum of a two-decimal amount, returned as double."""
+    return _as_amount(_csum(c))
+
+
+# One persisted daily aggregate per fact table serves every view of that
+# table: the weekly and monthly views roll the daily DECIMAL sums up (exact,
+# so equal to aggregating the raw rows directly), and a plan that needs
+# several views (the feature matrix) scans each fact table once.
+_DAILY_CACHE: dict[tuple[str, str], tuple[SparkSession, DataFrame]] = {}
+
+
+def _cached(spark: SparkSession, key: tuple[str, str], build) -> DataFrame:
+    hit = _DAILY_CACHE.get(key)
+    if hit is not None and hit[0] is spark and not spark.sparkContext._jsc.sc().isStopped():
+        df = hit[1]
+        if df.storageLevel == StorageLevel.NONE:  # cache was cleared meanwhile
+            df.persist(StorageLevel.MEMORY_AND_DISK)
+        return df
+    df = build().persist(StorageLevel.MEMORY_AND_DISK)
+    _DAILY_CACHE[key] = (spark, df)
+    return df
+
+
+def daily_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """orders per (order date, status): exact price sum (cents) and order count."""
+    def build():
+        o = read_table(spark, sf_dir, "orders")
+        return o.groupBy(F.to_date("o_orderdate").alias("date"), F.col("o_orderstatus").alias("status")).agg(
+            _csum("o_totalprice").alias("s"), F.count(F.lit(1)).alias("n"))
+
+    return _cached(spark, ("orders", sf_dir), build)
+
+
+def daily_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """lineitem per ship date: exact sums (cents) of quantity, discount, tax
+    and extended price, and the line count."""
+    def build():
+        li = read_table(spark, sf_dir, "lineitem")
+        return li.groupBy(F.to_date("l_shipdate").alias("date")).agg(
+            _csum("l_quantity").alias("q"), _csum("l_discount").alias("d"), _csum("l_tax").alias("t"),
+            _csum("l_extendedprice").alias("e"), F.count(F.lit(1)).alias("n"))
+
+    return _cached(spark, ("lineitem", sf_dir), build)
 
 
 def v_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = read_table(spark, sf_dir, "orders")
-    d = F.to_date("o_orderdate")
-    return (
-        o.groupBy(d.alias("date"), F.dayofmonth("o_orderdate").alias("_dom"))
-        .agg(_dsum("o_totalprice").alias("_s"), F.count(F.lit(1)).alias("_n"))
-        .select(
-            "date",
-            F.when(F.col("_dom") == 13, F.lit(None))
-            .otherwise(F.col("_s") / F.col("_n") / 100000)
-            .cast("double")
-            .alias("spot_price"),
-        )
+    d = daily_orders(spark, sf_dir).groupBy("date").agg(F.sum("s").alias("_s"), F.sum("n").alias("_n"))
+    return d.select(
+        "date",
+        F.when(F.dayofmonth("date") == 13, F.lit(None))
+        .otherwise(_as_amount("_s") / F.col("_n") / 100000)
+        .cast("double")
+        .alias("spot_price"),
     )
 
 
 def v_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = read_table(spark, sf_dir, "lineitem")
-    return (
-        li.groupBy(F.to_date("l_shipdate").alias("date"), F.dayofmonth("l_shipdate").alias("_dom"))
-        .agg(
-            _dsum("l_quantity").alias("_q"),
-            _dsum("l_discount").alias("_d"),
-            F.count(F.lit(1)).alias("_n"),
-        )
-        .select(
-            "date",
-            F.when(F.col("_dom") == 17, F.lit(None))
-            .otherwise(F.col("_q") / F.col("_n") * 2.6)
-            .cast("double")
-            .alias("temperature"),
-            (F.col("_d") / F.col("_n") * 100).alias("wind_speed"),
-        )
+    d = daily_lineitem(spark, sf_dir)
+    return d.select(
+        "date",
+        F.when(F.dayofmonth("date") == 17, F.lit(None))
+        .otherwise(_as_amount("q") / F.col("n") * 2.6)
+        .cast("double")
+        .alias("temperature"),
+        (_as_amount("d") / F.col("n") * 100).alias("wind_speed"),
     )
 
 
@@ -104,28 +149,19 @@ def v_weather_region(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def v_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = read_table(spark, sf_dir, "lineitem")
-    return (
-        li.filter(F.col("l_shipdate") >= F.lit("1998-01-01 00:00:00").cast("timestamp_ntz"))
-        .groupBy(F.to_date("l_shipdate").alias("date"))
-        .agg(_dsum("l_tax").alias("_t"), F.count(F.lit(1)).alias("_n"))
-        .select("date", (F.col("_t") / F.col("_n") * 1600).alias("temperature"))
-    )
+    d = daily_lineitem(spark, sf_dir).filter(F.col("date") >= F.lit("1998-01-01").cast("date"))
+    return d.select("date", (_as_amount("t") / F.col("n") * 1600).alias("temperature"))
 
 
 def v_storage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = read_table(spark, sf_dir, "lineitem")
-    wk = F.date_trunc("week", "l_shipdate")
-    return (
-        li.groupBy(wk.alias("_wk"))
-        .agg(_dsum("l_quantity").alias("_q"), F.count(F.lit(1)).alias("_n"))
-        .select(
-            F.to_date("_wk").alias("date"),
-            F.when(F.weekofyear("_wk") == 30, F.lit(None)).otherwise(F.col("_q")).cast("double").alias("working_gas"),
-            F.when(F.weekofyear("_wk") == 31, F.lit(0.0))
-            .otherwise(F.col("_n").cast("double") * 25.5)
-            .alias("five_year_avg"),
-        )
+    wk = F.date_trunc("week", "date")
+    w = daily_lineitem(spark, sf_dir).groupBy(wk.alias("_wk")).agg(F.sum("q").alias("_q"), F.sum("n").alias("_n"))
+    return w.select(
+        F.to_date("_wk").alias("date"),
+        F.when(F.weekofyear("_wk") == 30, F.lit(None)).otherwise(_as_amount("_q")).cast("double")
+        .alias("working_gas"),
+        F.when(F.weekofyear("_wk") == 31, F.lit(0.0)).otherwise(F.col("_n").cast("double") * 25.5)
+        .alias("five_year_avg"),
     )
 
 
@@ -138,38 +174,28 @@ def v_power(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def v_production(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = read_table(spark, sf_dir, "orders")
-    return (
-        o.groupBy(F.date_trunc("month", "o_orderdate").alias("_m"))
-        .agg(_dsum("o_totalprice").alias("_s"))
-        .select(F.to_date("_m").alias("month"), (F.col("_s") / 1000000).alias("dry_gas_bcfpd"))
-    )
+    m = daily_orders(spark, sf_dir).groupBy(F.date_trunc("month", "date").alias("_m")).agg(F.sum("s").alias("_s"))
+    return m.select(F.to_date("_m").alias("month"), (_as_amount("_s") / 1000000).alias("dry_gas_bcfpd"))
 
 
 def v_rigs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = read_table(spark, sf_dir, "orders")
-    return (
-        o.groupBy(F.date_trunc("week", "o_orderdate").alias("_w"))
-        .agg(
-            F.count(F.lit(1)).cast("int").alias("total_rigs"),
-            F.sum(F.when(F.col("o_orderstatus") == "O", 1).otherwise(0)).cast("int").alias("oil_rigs"),
-            F.sum(F.when(F.col("o_orderstatus") == "F", 1).otherwise(0)).cast("int").alias("gas_rigs"),
-        )
-        .select(F.to_date("_w").alias("date"), "total_rigs", "oil_rigs", "gas_rigs")
+    st = F.col("status")
+    w = daily_orders(spark, sf_dir).groupBy(F.date_trunc("week", "date").alias("_w")).agg(
+        F.sum("n").cast("int").alias("total_rigs"),
+        F.sum(F.when(st == "O", F.col("n")).otherwise(0)).cast("int").alias("oil_rigs"),
+        F.sum(F.when(st == "F", F.col("n")).otherwise(0)).cast("int").alias("gas_rigs"),
     )
+    return w.select(F.to_date("_w").alias("date"), "total_rigs", "oil_rigs", "gas_rigs")
 
 
 def v_lng(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Monthly LNG exports stand-in: shipped value and line count per month."""
-    li = read_table(spark, sf_dir, "lineitem")
-    return (
-        li.groupBy(F.date_trunc("month", "l_shipdate").alias("_m"))
-        .agg(_dsum("l_extendedprice").alias("_s"), F.count(F.lit(1)).alias("_n"))
-        .select(
-            F.to_date("_m").alias("month"),
-            (F.col("_s") / 1000000).alias("exports_bcf"),
-            (F.col("_n").cast("double") / 1000).alias("lng_capacity_bcfpd"),
-        )
+    m = daily_lineitem(spark, sf_dir).groupBy(F.date_trunc("month", "date").alias("_m")).agg(
+        F.sum("e").alias("_s"), F.sum("n").alias("_n"))
+    return m.select(
+        F.to_date("_m").alias("month"),
+        (_as_amount("_s") / 1000000).alias("exports_bcf"),
+        (F.col("_n").cast("double") / 1000).alias("lng_capacity_bcfpd"),
     )
 
 
