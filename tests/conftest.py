@@ -14,7 +14,8 @@ SF_SMALL = "/root/testdata/sf0.001"
 def spark():
     from tidewise.session import get_spark
 
-    s = get_spark("local[4]", app_name="tidewise-tests", shuffle_partitions=4)
+    s = get_spark("local[4]", app_name="tidewise-tests", shuffle_partitions=4,
+                  extra_conf={"spark.driver.memory": "6g"})
     if not s.sparkContext.getCheckpointDir():
         s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tidewise-test-ckpt-"))
     yield s

@@ -21,9 +21,9 @@ def _frame(spark, n=160, seed=7):
     return spark.createDataFrame(rows, "date date, spot_price double, x1 double, x2 double")
 
 
-def test_pipeline_contract_linear_and_importance(spark, tmp_path):
+def test_model_contract_linear_and_importance(spark, tmp_path):
     df = _frame(spark)
-    pipe = md.ModelPipeline("linear")
+    pipe = md.RegressionModel("linear")
     scores = pipe.evaluate_model(df)
     assert set(scores) == {"mae", "rmse"} and scores["mae"] < 0.2
     pipe.train_final_model(df)
@@ -39,7 +39,7 @@ def test_elastic_net_forest_and_boosted_trees(spark):
     df = _frame(spark, 120)
     for kind, extra in (("elastic_net", {}), ("random_forest", {}), ("xgboost", {"n_estimators": 5}),
                         ("lightgbm", {"n_estimators": 5})):
-        pipe = md.ModelPipeline(kind, **extra)
+        pipe = md.RegressionModel(kind, **extra)
         pipe.train_final_model(df)
         imp = pipe.get_feature_importance().collect()
         assert len(imp) == 2 and all(r.importance >= 0 for r in imp)

@@ -16,7 +16,7 @@ def _plan(df):
 
 
 def test_weather_stage_uses_one_feature_window(spark, sf_small):
-    plan = _plan(fe.weather_pipeline(vw.v_weather(spark, sf_small)))
+    plan = _plan(fe.weather_features(vw.v_weather(spark, sf_small)))
     windows = re.findall(r"\bWindow \[", plan)
     # prefix sum over the bucket counts, row number inside buckets, and a
     # single Window evaluating all 34 lag/rolling columns
@@ -26,9 +26,12 @@ def test_weather_stage_uses_one_feature_window(spark, sf_small):
 
 
 def test_view_scan_reads_only_needed_columns(spark, sf_small):
-    plan = vw.v_weather(spark, sf_small)._jdf.queryExecution().executedPlan().toString()
-    m = re.search(r"ReadSchema: struct<([^>]*)>", plan)
-    assert m and set(x.split(":")[0] for x in m.group(1).split(",")) == {"l_shipdate", "l_quantity", "l_discount"}
+    # the shared daily lineitem aggregate reads the five columns its views
+    # use, out of eleven
+    plan = vw.daily_lineitem(spark, sf_small)._jdf.queryExecution().executedPlan().toString()
+    m = re.search(r"FileScan parquet \[([^\]]*)\]", plan)
+    assert m and set(re.sub(r"#\d+", "", x) for x in m.group(1).split(",")) == {
+        "l_shipdate", "l_quantity", "l_discount", "l_tax", "l_extendedprice"}
 
 
 def test_stored_scan_prunes_partitions(spark, sf_small):

@@ -175,12 +175,12 @@ def test_regional_weights_unmatched_and_null_poison(spark):
     assert out[d2].HDD_weighted is None
 
 
-def test_pipelines_column_counts(spark):
+def test_feature_stage_column_counts(spark):
     w = spark.createDataFrame([(d, 40.0 + i % 9) for i, d in enumerate(_days(60))], "date date, temperature double")
-    assert len(fe.weather_pipeline(w).columns) == 49
+    assert len(fe.weather_features(w).columns) == 49
     s = spark.createDataFrame([(d, 3000.0 + i, 2900.0) for i, d in enumerate(_days(40))],
                               "date date, working_gas double, five_year_avg double")
-    assert len(fe.storage_pipeline(s).columns) == 63
+    assert len(fe.storage_features(s).columns) == 63
 
 
 def test_fewer_rows_than_window(spark):

@@ -36,7 +36,7 @@ from tidewise.operators.weather import (
 from tidewise.plans.ordered import IDX, add_row_index, forward_fill, materialize, windowed
 
 
-def weather_pipeline(
+def weather_features(
     weather: DataFrame,
     forecast: DataFrame | None = None,
     mode: str = "literal",
@@ -77,7 +77,7 @@ def weather_pipeline(
     return weather_interactions(df)
 
 
-def storage_pipeline(
+def storage_features(
     storage: DataFrame,
     date_col: str = "date",
     partition_cols: Sequence[str] = (),

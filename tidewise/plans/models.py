@@ -1,5 +1,5 @@
 """Model operators on MLlib: elastic net / OLS (M4), random forest (M6),
-boosted trees (M7), the pipeline call contract (M8), feature importance
+boosted trees (M7), the model call contract (M8), feature importance
 (M3) and persistence (K8).
 
 Estimators train on the executors (MLlib); the driver only sequences fits.
@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from tidewise.plans import backtest as bt
 from tidewise.plans.ordered import IDX, add_row_index, materialize
+from tidewise.session import cut_lineage
 
 # Fixed hyper-parameters of the model configuration.
 ELASTIC_NET = {"alpha": 0.01, "l1_ratio": 0.5, "max_iter": 1000}
@@ -56,8 +57,8 @@ def feature_columns(df: DataFrame, target: str, exclude: Sequence[str] = ("date"
     return [c for c in df.columns if c != target and c not in exclude]
 
 
-class ModelPipeline:
-    """M8: the pipeline call contract - ``evaluate_model(df)`` -> {'mae',
+class RegressionModel:
+    """M8: the model call contract - ``evaluate_model(df)`` -> {'mae',
     'rmse'}, ``train_final_model(df)``, ``.model``,
     ``get_feature_importance()``, ``save(path)``."""
 
@@ -67,7 +68,7 @@ class ModelPipeline:
         self.overrides = overrides
         self.model: PipelineModel | None = None
 
-    def _pipeline(self, df: DataFrame) -> Pipeline:
+    def _stages(self, df: DataFrame) -> Pipeline:
         feats = list(self.features) if self.features else feature_columns(df, self.target, (self.date_col,))
         self.features = feats
         asm = VectorAssembler(inputCols=feats, outputCol="features", handleInvalid="error")
@@ -80,13 +81,13 @@ class ModelPipeline:
         n = x.count()
         cut = int(n * (1 - test_fraction))
         train, test = x.filter(F.col(IDX) < cut).drop(IDX), x.filter(F.col(IDX) >= cut).drop(IDX)
-        model = self._pipeline(df).fit(train)
+        model = self._stages(df).fit(train)
         err = F.col(self.target) - F.col("prediction")
         row = model.transform(test).agg(F.avg(F.abs(err)).alias("mae"), F.sqrt(F.avg(err * err)).alias("rmse")).first()
         return {"mae": row["mae"], "rmse": row["rmse"]}
 
     def train_final_model(self, df: DataFrame) -> PipelineModel:
-        self.model = self._pipeline(df).fit(df)
+        self.model = self._stages(df).fit(df)
         return self.model
 
     def get_feature_importance(self) -> DataFrame:
@@ -97,7 +98,7 @@ class ModelPipeline:
         return feature_importance(self.model, self.features)
 
     def save(self, path: str) -> None:
-        """K8: persist the fitted pipeline (MLlib format)."""
+        """K8: persist the fitted model stages (MLlib format)."""
         if self.model is None:
             raise ValueError("model not trained")
         self.model.write().overwrite().save(path)
@@ -129,7 +130,10 @@ def walk_forward_mllib(
 ) -> DataFrame:
     """M1 for an MLlib estimator (``make()`` returns a fresh one): one fit per
     fold on that fold's W training rows, a few folds at a time."""
-    x = materialize(add_row_index(df, order_col))
+    # every fold's plan starts from this frame: cut the lineage once (shared
+    # checkpoint folder) so the K fold plans stay small and a lost executor
+    # does not replay the whole feature computation
+    x = cut_lineage(add_row_index(df, order_col))
     n = x.count()
     K = bt.fold_count(n, window, step)
     asm = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="error")

@@ -13,9 +13,10 @@ from tidewise.operators.impute import median_impute, training_window
 from tidewise.operators.joins import feature_matrix
 from tidewise.plans import backtest as bt
 from tidewise.plans import models as md
-from tidewise.plans.features import combine, storage_pipeline, weather_pipeline
+from tidewise.plans.features import combine, storage_features, weather_features
 from tidewise.plans.ordered import materialize
 from tidewise.plans.report import report, top_k
+from tidewise.session import cut_lineage
 
 BASELINE_KINDS = ("elastic_net", "linear", "random_forest")
 TREE_KINDS = ("xgboost", "lightgbm")
@@ -45,13 +46,14 @@ def run_training(
     """Training data -> final fit of every model (K8 save) ->
     walk-forward comparison over identical folds (M2) -> K7 report rows
     (also written as a parquet table under ``out_dir``)."""
-    data = materialize(training_data(tables, start, end))
+    # fitted by several models and fold loops: cut the lineage once
+    data = cut_lineage(training_data(tables, start, end))
     non_null = data.agg(*[F.count(c).alias(c) for c in data.columns]).first().asDict()
     feats = [c for c in md.feature_columns(data, "spot_price") if non_null.get(c)]
     preds = []
     for kind in kinds:
         over = (model_overrides or {}).get(kind, {})
-        pipe = md.ModelPipeline(kind, "spot_price", feats, **over)
+        pipe = md.RegressionModel(kind, "spot_price", feats, **over)
         pipe.train_final_model(data)
         pipe.save(os.path.join(out_dir, "models", kind))
         preds.append(md.walk_forward_mllib(data, lambda k=kind, o=over: md.make_estimator(k, "spot_price", **o),
@@ -70,12 +72,12 @@ def demo(series: DataFrame, window: int = 200, step: int = 50, top: int = 10) ->
     least-squares walk-forward with the demo's window and step (M1 -> A4 ->
     A5); importance of the combined features (M3 -> O2)."""
     base = materialize(series)
-    wxf = weather_pipeline(base.select("date", "temperature"))
-    stf = storage_pipeline(base.select("date", F.col("storage").alias("working_gas")))
+    wxf = weather_features(base.select("date", "temperature"))
+    stf = storage_features(base.select("date", F.col("storage").alias("working_gas")))
     combined = combine({"base": base, "wx": wxf, "st": stf})
     pred = bt.walk_forward_lstsq(base, ["hdd", "cdd", "storage", "production"], "spot_price", window, step)
     metrics = bt.fold_metrics(pred, window, step)
-    pipe = md.ModelPipeline("random_forest", "spot_price", ["hdd", "cdd", "storage", "temperature", "production"])
+    pipe = md.RegressionModel("random_forest", "spot_price", ["hdd", "cdd", "storage", "temperature", "production"])
     pipe.train_final_model(base)
     return {
         "features": combined,

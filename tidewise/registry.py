@@ -383,10 +383,10 @@ def _e1_sql() -> str:
     return rsql(vw.with_views(inner, "v_weather"), doubles)
 
 
-@register("e1_weather_pipeline", _e1_sql())
+@register("e1_weather_features", _e1_sql())
 def q_e1(spark, sf_dir):
     """E1 weather features, literal mode (49 columns)."""
-    return fe.weather_pipeline(vw.v_weather(spark, sf_dir))
+    return fe.weather_features(vw.v_weather(spark, sf_dir))
 
 
 def _e2_sql() -> str:
@@ -426,10 +426,10 @@ def _e2_sql() -> str:
     return rsql(vw.with_views(inner, "v_storage"), doubles)
 
 
-@register("e2_storage_pipeline", _e2_sql())
+@register("e2_storage_features", _e2_sql())
 def q_e2(spark, sf_dir):
     """E2 storage features (63 columns)."""
-    return fe.storage_pipeline(vw.v_storage(spark, sf_dir))
+    return fe.storage_features(vw.v_storage(spark, sf_dir))
 
 
 # ---------------------------------------------------- A: aggregations, joins
@@ -635,7 +635,7 @@ def _d8_sql() -> str:
 @register("d8_unpivot_features", _d8_sql())
 def q_d8(spark, sf_dir):
     """D8 wide storage features to the long (date, feature_name, feature_value) table."""
-    return ex.to_long(finish(fe.storage_pipeline(vw.v_storage(spark, sf_dir))), ["date"])
+    return ex.to_long(finish(fe.storage_features(vw.v_storage(spark, sf_dir))), ["date"])
 
 
 # ------------------------------------------------------- M: walk-forward
@@ -818,7 +818,7 @@ def _o2_sql() -> str:
 def q_o2(spark, sf_dir):
     """O2: top-10 weather features by |correlation| with the price (the
     model-free importance table), a TakeOrderedAndProject."""
-    e1 = finish(fe.weather_pipeline(vw.v_weather(spark, sf_dir)))
+    e1 = finish(fe.weather_features(vw.v_weather(spark, sf_dir)))
     long = _ex.to_long(e1, ["date"])
     imp = rp.correlation_importance(long, vw.v_prices(spark, sf_dir), "spot_price")
     return rp.top_k(imp, "importance", 10, tiebreak="feature_name")
@@ -859,7 +859,7 @@ def q_x2(spark, sf_dir):
 def q_m4(spark, sf_dir):
     """M4 + M3: elastic net (alpha .01, l1 .5, 1000 iterations) on the
     walk-forward input; coefficient magnitudes as importance."""
-    pipe = md.ModelPipeline("elastic_net", "spot_price", ["x", "x2"])
+    pipe = md.RegressionModel("elastic_net", "spot_price", ["x", "x2"])
     pipe.train_final_model(walk_forward_input(spark, sf_dir))
     return pipe.get_feature_importance()
 
@@ -867,7 +867,7 @@ def q_m4(spark, sf_dir):
 @register("m6_random_forest")
 def q_m6(spark, sf_dir):
     """M6 + M3 + O2: random forest (seed 42) feature importances, ranked."""
-    pipe = md.ModelPipeline("random_forest", "spot_price", ["x", "x2"])
+    pipe = md.RegressionModel("random_forest", "spot_price", ["x", "x2"])
     pipe.train_final_model(walk_forward_input(spark, sf_dir))
     return rp.top_k(pipe.get_feature_importance(), "importance", 10, tiebreak="feature")
 
@@ -1080,12 +1080,12 @@ def _e1_full_sql() -> str:
     return rsql(vw.with_views(inner, "v_weather", "v_forecast"), doubles)
 
 
-@register("e1_weather_pipeline_full", _e1_full_sql())
+@register("e1_weather_features_full", _e1_full_sql())
 def q_e1_full(spark, sf_dir):
     """E1, full mode with the forecast: inputs kept, so temperature lags and
     rolling statistics, the forecast merge (suffix, error, forecast degree
     days) and the wind interactions all fire (74 columns)."""
-    return fe.weather_pipeline(vw.v_weather(spark, sf_dir), vw.v_forecast(spark, sf_dir), mode="full")
+    return fe.weather_features(vw.v_weather(spark, sf_dir), vw.v_forecast(spark, sf_dir), mode="full")
 
 
 def _p10f_sql() -> str:

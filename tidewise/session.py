@@ -23,6 +23,9 @@ BASE_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # plan descriptions are built for event logs even without the UI; keep
+    # them bounded for deep plans
+    "spark.sql.maxPlanStringLength": str(1 << 20),
 }
 
 
