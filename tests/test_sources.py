@@ -119,3 +119,14 @@ def test_series_bad_period_fails_the_job(spark):
                                      "series_id string, payload string")
     with pytest.raises((PySparkException, Py4JJavaError, Exception)):
         se.parse_series(payloads).collect()
+
+
+def test_ingest_all_window(spark, sf_small, tmp_path):
+    from tidewise.sources import landed
+
+    tabs = landed.tables(spark, sf_small)
+    got = sto.ingest_all({"prices": tabs["prices"], "rigs_weekly": tabs["rigs_weekly"]}, str(tmp_path),
+                         end="1997-12-31", days=365)
+    p = sto.read_stored(spark, str(tmp_path), "prices").collect()
+    assert got["prices"] == len(p) > 0
+    assert all(dt.date(1996, 12, 31) <= r.date <= dt.date(1997, 12, 31) for r in p)

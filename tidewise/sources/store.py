@@ -221,7 +221,26 @@ def latest(df: DataFrame, table: str | None = None, date_col: str | None = None)
     return df.join(F.broadcast(mx), F.col(dc) == F.col("_max")).drop("_max")
 
 
-def ingest_all(tables: dict[str, DataFrame], root: str, on_conflict: str = "error") -> dict[str, int]:
+def ingest_all(tables: dict[str, DataFrame], root: str, on_conflict: str = "error", start: str | None = None,
+               end: str | None = None, days: int | None = None) -> dict[str, int]:
     """Append every landed table frame to its stored table (K1
-    schemas, K2 key checks); returns rows written per table."""
-    return {name: append(df, root, name, on_conflict) for name, df in tables.items()}
+    schemas, K2 key checks); returns rows written per table.
+
+    Optional window on each table's date column: ``start``/``end``
+    (inclusive), or ``days`` back from ``end`` (the clock is injected through
+    ``end``; the reference default is the trailing 365 days)."""
+    import datetime as _dt
+
+    if days is not None:
+        if end is None:
+            raise ValueError("days needs an explicit end date (no wall clock inside jobs)")
+        start = (_dt.date.fromisoformat(end) - _dt.timedelta(days=days)).isoformat()
+    out = {}
+    for name, df in tables.items():
+        dc = TABLES[name].date_col
+        if start:
+            df = df.filter(F.col(dc) >= F.lit(start).cast("date"))
+        if end:
+            df = df.filter(F.col(dc) <= F.lit(end).cast("date"))
+        out[name] = append(df, root, name, on_conflict)
+    return out
