@@ -20,7 +20,7 @@ def _frame(spark, n, p=2, seed=0):
 
 
 def _brute(X, y, W, s):
-    """The reference loop: for i in range(W, n - s, s) (strict bound)."""
+    """The loop of the definition: for i in range(W, n - s, s) (strict bound)."""
     out = {}
     n = len(y)
     for k, i in enumerate(range(W, n - s, s)):

@@ -1,5 +1,5 @@
 """JSON parse edge cases (written by the test itself), stored-table appends,
-scans and the as-of join against a brute-force reference."""
+scans and the as-of join against a brute-force check."""
 
 import datetime as dt
 import json

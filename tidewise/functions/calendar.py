@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidewise.functions.nulls import col
 
-# Fixed month sets of the reference's season definitions.
+# Fixed month sets of the season definitions.
 WINTER_MONTHS = [12, 1, 2]
 SPRING_MONTHS = [3, 4, 5]
 SUMMER_MONTHS = [6, 7, 8]

@@ -228,7 +228,7 @@ def ingest_all(tables: dict[str, DataFrame], root: str, on_conflict: str = "erro
 
     Optional window on each table's date column: ``start``/``end``
     (inclusive), or ``days`` back from ``end`` (the clock is injected through
-    ``end``; the reference default is the trailing 365 days)."""
+    ``end``; the usual default is the trailing 365 days)."""
     import datetime as _dt
 
     if days is not None:
