@@ -23,9 +23,14 @@ BASE_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
-    # plan descriptions are built for event logs even without the UI; keep
-    # them bounded for deep plans
-    "spark.sql.maxPlanStringLength": str(1 << 20),
+    # plan descriptions and job/stage records are kept by the driver's status
+    # store even without the UI; bound them so long sessions of deep plans do
+    # not fill the driver heap
+    "spark.sql.maxPlanStringLength": str(1 << 18),
+    "spark.sql.ui.retainedExecutions": "50",
+    "spark.ui.retainedJobs": "200",
+    "spark.ui.retainedStages": "200",
+    "spark.ui.retainedTasks": "20000",
 }
 
 
