@@ -125,3 +125,27 @@ def test_fold_scoped_imputation_matches_loop(spark):
     assert got.keys() == exp.keys()
     for key in exp:
         assert math.isclose(got[key], exp[key], rel_tol=1e-8, abs_tol=1e-10)
+
+
+def test_walk_forward_per_entity(spark):
+    # folds are per key: each key's rows are indexed and cut on their own
+    rng = np.random.default_rng(5)
+    rows, data = [], {}
+    for key, n in (("hub_a", 150), ("hub_b", 95)):
+        x = rng.normal(3, 1, n) + 1
+        y = 0.8 * x + rng.normal(0, 0.1, n)
+        data[key] = (x, y)
+        d0 = dt.date(2021, 3, 1)
+        rows += [(key, d0 + dt.timedelta(days=i), float(y[i]), float(x[i])) for i in range(n)]
+    df = spark.createDataFrame(rows, "hub string, date date, y double, f0 double")
+    pred = bt.walk_forward_lstsq(df, ["f0"], "y", 40, 15, partition_cols=["hub"])
+    got = {(r.hub, r.fold, r.idx): r.prediction for r in pred.collect()}
+    for key, (x, y) in data.items():
+        exp = _brute(x.reshape(-1, 1), y, 40, 15)
+        keys = {k for k in got if k[0] == key}
+        assert len(keys) == sum(len(e["pred"]) for e in exp.values())
+        for k, e in exp.items():
+            for j, v in enumerate(e["pred"]):
+                assert math.isclose(got[(key, k, e["start"] + j)], v, rel_tol=1e-8)
+    m = bt.fold_metrics(pred, 40, 15, partition_cols=["hub"])
+    assert {r.hub for r in m.collect()} == {"hub_a", "hub_b"}
