@@ -239,3 +239,18 @@ def test_asof_join_by_key(spark):
     got = {(r.k, r.date.day): r.v for r in asof_join(left, right, "date", "rd", ["v"], by=["k"]).collect()}
     assert got[("a", 4)] is None and got[("a", 5)] == 1.0 and got[("a", 11)] == 1.0 and got[("a", 20)] == 2.0
     assert all(got[("b", d)] == 9.0 for d in range(1, 21))
+
+
+def test_gas_burn_branches_and_grain(spark):
+    from tidewise.operators.power import gas_burn_proxy
+
+    rows = [(dt.datetime(2024, 1, 1, 1), 100.0, 30.0), (dt.datetime(2024, 1, 1, 2), 200.0, None),
+            (dt.datetime(2024, 1, 2, 1), None, None), (None, 50.0, 5.0)]
+    df = spark.createDataFrame(rows, "ts timestamp, total_load double, gas_generation double")
+    gen = {r.date: r.gas_burn_mwh for r in gas_burn_proxy(df).collect()}
+    # generation present: used as is; nulls skipped; all-null day sums to 0; null time dropped
+    assert gen == {dt.date(2024, 1, 1): 30.0, dt.date(2024, 1, 2): 0.0}
+    load = {r.date: r.gas_burn_mwh for r in gas_burn_proxy(df.drop("gas_generation")).collect()}
+    assert math.isclose(load[dt.date(2024, 1, 1)], 120.0) and load[dt.date(2024, 1, 2)] == 0.0
+    exact = gas_burn_proxy(df.drop("gas_generation"), grain="exact").collect()
+    assert len(exact) == 3
