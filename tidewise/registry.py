@@ -1124,3 +1124,29 @@ def q_p10f(spark, sf_dir):
     m = jn.feature_matrix(ld.tables(spark, sf_dir), rollup_entities=True).select(
         "date", "spot_price", "hdd", "working_gas")
     return bt.walk_forward_lstsq_fold_imputed(m, ["hdd", "working_gas"], "spot_price", WF_WINDOW, WF_STEP)
+
+
+def _e1_region_sql() -> str:
+    targets = ("HDD", "CDD", "temperature")
+    w = "(partition by region order by date)"
+    lags = [(f'lag("{c}", {k}) over {w}', f"{c}_lag_{k}") for c in targets for k in wx.WEATHER_LAGS]
+    rolls = []
+    for c in targets:
+        for n in wx.WEATHER_WINDOWS:
+            frame = f"(partition by region order by date rows between {n - 1} preceding and current row)"
+            for stat, fn in (("", "avg"), ("_std", "stddev_samp"), ("_max", "max"), ("_min", "min")):
+                rolls.append((f'case when count("{c}") over {frame} = {n} then {fn}("{c}") over {frame} end',
+                              f"{c}_rolling_{n}{stat}"))
+    dd = (f"select *, {_hdd('temperature')} as HDD, {_cdd('temperature')} as CDD from v_weather_region")
+    inner = (f"select *, HDD * CDD as HDD_CDD_interaction from (select *, {', '.join(_weather_cal_sql())} from ("
+             f"select *, {_sel(lags + rolls)} from ({dd}) a) b) c")
+    doubles = (["temperature", "HDD", "CDD"] + [n for _, n in lags + rolls] + WEATHER_CAL_DOUBLES
+               + ["HDD_CDD_interaction"])
+    return rsql(vw.with_views(inner, "v_weather_region"), doubles)
+
+
+@register("e1_weather_features_by_region", _e1_region_sql())
+def q_e1_region(spark, sf_dir):
+    """E1 over many series: full mode per region (lags, rolling statistics,
+    calendar and interactions of each region's own series; keyed halo plan)."""
+    return fe.weather_features(vw.v_weather_region(spark, sf_dir), mode="full", partition_cols=["region"])
