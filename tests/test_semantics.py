@@ -206,7 +206,7 @@ def test_lookahead_halo_equals_plain_lead(spark):
     df = spark.createDataFrame(rows, "k string, date date, v double")
 
     def build(w):
-        return [F.lead("v", 1).over(w).alias("n1"), F.lead("v", 9).over(w).alias("n9")]
+        return [f"lead(v, 1) {w()} as n1", f"lead(v, 9) {w()} as n9"]
 
     halo = windowed(df, build, "date", ["k"], 0, "halo", bucket_rows=12, lookahead=9).orderBy("k", "date").collect()
     plain = windowed(df, build, "date", ["k"], 0, "partition").orderBy("k", "date").collect()

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewise.plans.ordered import windowed
+from tidewise.plans.ordered import q, windowed
 
 HORIZONS = [7, 14, 30]
 
@@ -33,7 +33,7 @@ def horizon_targets(df: DataFrame, value_col: str = "spot_price", horizons: Sequ
     """``target_{h}`` = value ``h`` rows ahead (look-ahead halo)."""
     return windowed(
         df,
-        lambda w: [F.lead(value_col, h).over(w).alias(f"target_{h}") for h in horizons],
+        lambda w: [f"lead({q(value_col)}, {h}) {w()} as {q(f'target_{h}')}" for h in horizons],
         order_col, partition_cols, 0, plan, lookahead=max(horizons),
     )
 
@@ -116,7 +116,7 @@ def fill_declared_storage(storage: DataFrame, date_col: str = "report_date", pla
     """The declared storage columns - ``yoy_deviation`` = working_gas -
     five_year_avg (P4) and ``wow_change`` = week-over-week difference (W5)."""
     base = [c for c in storage.columns if c not in ("yoy_deviation", "wow_change")]
-    x = windowed(storage, lambda w: [F.lag("working_gas", 1).over(w).alias("_prev")], date_col, (), 1, plan)
+    x = windowed(storage, lambda w: [f"lag(working_gas, 1) {w()} as _prev"], date_col, (), 1, plan)
     return x.select(*base, (F.col("working_gas") - F.col("five_year_avg")).alias("yoy_deviation"),
                     (F.col("working_gas") - F.col("_prev")).alias("wow_change"))
 
@@ -125,5 +125,5 @@ def power_burn_lags(power_burn: DataFrame, col: str = "gas_mwh", lags: Sequence[
                     by: Sequence[str] = ("ba",), date_col: str = "date", plan: str = "halo") -> DataFrame:
     """Lags of the gas burn per balancing area (rows = days of that
     area); keyed halo plan, so one dominant area is still split."""
-    return windowed(power_burn, lambda w: [F.lag(col, k).over(w).alias(f"{col}_lag_{k}") for k in lags],
+    return windowed(power_burn, lambda w: [f"lag({q(col)}, {k}) {w()} as {q(f'{col}_lag_{k}')}" for k in lags],
                     date_col, by, max(lags), plan)

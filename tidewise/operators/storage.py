@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tidewise.functions.calendar import storage_calendar_cols
 from tidewise.functions.nulls import flag, safe_div
 from tidewise.operators.weather import lag_cols, rolling_cols
-from tidewise.plans.ordered import IDX, add_row_index, forward_fill, materialize, windowed
+from tidewise.plans.ordered import IDX, Over, add_row_index, forward_fill, materialize, q, windowed
 
 # Fixed values of the feature definitions.
 STORAGE_LAGS = [1, 7, 14, 30]
@@ -72,10 +72,7 @@ def storage_change(
         x = x.withColumn("_wg_pad", F.col("working_gas"))
 
     def build(w):
-        return [
-            F.lag("working_gas", 1).over(w).alias("_wg_prev"),
-            F.lag("_wg_pad", 1).over(w).alias("_wg_pad_prev"),
-        ]
+        return [f"lag(working_gas, 1) {w()} as _wg_prev", f"lag(_wg_pad, 1) {w()} as _wg_pad_prev"]
 
     x = windowed(x, build, order_col, partition_cols, 1, plan)
     diff = F.col("working_gas") - F.col("_wg_prev")
@@ -109,17 +106,16 @@ def tightness(df: DataFrame) -> DataFrame:
     )
 
 
-def trend_col(w, col: str = "working_gas"):
+def trend_col(w: Over, col: str = "working_gas") -> str:
     """Least-squares slope of the last 4 rows (x = 0..3).
 
     Closed form of a degree-1 fit: (1.5 y0 + 0.5 y-1 - 0.5 y-2 - 1.5 y-3) / 5,
     null when any of the four is null.
     """
-    y0 = F.col(col)
-    y1, y2, y3 = (F.lag(col, k).over(w) for k in (1, 2, 3))
-    return ((F.lit(1.5) * y0 + F.lit(0.5) * y1 - F.lit(0.5) * y2 - F.lit(1.5) * y3) / F.lit(5.0)).alias(
-        "storage_trend"
-    )
+    c = q(col)
+    lag = lambda k: f"lag({c}, {k}) {w()}"
+    return (f"(1.5D * {c} + 0.5D * {lag(1)} - 0.5D * {lag(2)} - 1.5D * {lag(3)}) / 5.0D "
+            f"as storage_trend")
 
 
 def storage_trend(df: DataFrame, order_col: str = "date", partition_cols: Sequence[str] = (),
@@ -158,7 +154,7 @@ def storage_lags(df: DataFrame, cols: Sequence[str], lags: Sequence[int] = STORA
                     max(lags), plan)
 
 
-def storage_rolling_cols(w, col: str, windows: Sequence[int] = STORAGE_WINDOWS):
+def storage_rolling_cols(w: Over, col: str, windows: Sequence[int] = STORAGE_WINDOWS) -> list[str]:
     return rolling_cols(w, col, windows, suffix="w", order=("mean", "std", "min", "max"))
 
 

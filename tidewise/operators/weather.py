@@ -9,8 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewise.functions.calendar import weather_calendar_cols
-from tidewise.functions.nulls import clip_lower, strict_sum, windowed_full
-from tidewise.plans.ordered import trailing, windowed
+from tidewise.functions.nulls import clip_lower, strict_sum
+from tidewise.plans.ordered import Over, q, windowed
 
 # Fixed values of the feature definitions.
 BASE_TEMP = 65.0
@@ -56,20 +56,23 @@ def weather_interactions(df: DataFrame) -> DataFrame:
     return df.select("*", *extra) if extra else df
 
 
-def lag_cols(w, col: str, lags: Sequence[int]):
-    return [F.lag(col, k).over(w).alias(f"{col}_lag_{k}") for k in lags]
+def lag_cols(w: Over, col: str, lags: Sequence[int]) -> list[str]:
+    """``{col}_lag_{k}``: the value k rows earlier in the series."""
+    return [f"lag({q(col)}, {k}) {w()} as {q(f'{col}_lag_{k}')}" for k in lags]
 
 
-def rolling_cols(w, col: str, windows: Sequence[int], suffix: str = "", order=("mean", "std", "max", "min")):
-    """Trailing row-window statistics with the full-window null rule."""
+def rolling_cols(w: Over, col: str, windows: Sequence[int], suffix: str = "",
+                 order=("mean", "std", "max", "min")) -> list[str]:
+    """Trailing row-window statistics with the full-window null rule: a
+    value only when all n rows of the frame are non-null (``rolling(n)``)."""
     out = []
-    fns = {"mean": F.avg, "std": F.stddev_samp, "max": F.max, "min": F.min}
+    fns = {"mean": "avg", "std": "stddev_samp", "max": "max", "min": "min"}
     for n in windows:
-        fw = trailing(w, n)
+        frame = w(-(n - 1), 0)
         base = f"{col}_rolling_{n}{suffix}"
         for stat in order:
             name = base if stat == "mean" else f"{base}_{stat}"
-            out.append(windowed_full(fns[stat], col, fw, n).alias(name))
+            out.append(f"case when count({q(col)}) {frame} = {n} then {fns[stat]}({q(col)}) {frame} end as {q(name)}")
     return out
 
 

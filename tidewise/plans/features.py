@@ -119,11 +119,7 @@ def storage_features(
     def build(w):
         out = []
         if has_wg:
-            out += [
-                F.lag("working_gas", 1).over(w).alias("_wg_prev"),
-                F.lag("_wg_pad", 1).over(w).alias("_wg_pad_prev"),
-                trend_col(w),
-            ]
+            out += [f"lag(working_gas, 1) {w()} as _wg_prev", f"lag(_wg_pad, 1) {w()} as _wg_pad_prev", trend_col(w)]
         out += [e for c in lag_targets for e in lag_cols(w, c, STORAGE_LAGS)]
         out += [e for c in roll_targets for e in storage_rolling_cols(w, c, STORAGE_WINDOWS)]
         return out

@@ -41,6 +41,41 @@ CB = "_cb"
 DEFAULT_BUCKET_ROWS = 1 << 17  # 131,072 rows per window task (+ halo)
 
 
+def q(name: str) -> str:
+    """Quote a column name for SQL expression text."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+class Over:
+    """SQL text of a series' row-ordered window.
+
+    ``w()`` is the ordered window; ``w(lo, hi)`` adds a rows frame where a
+    negative bound counts preceding rows, 0 is the current row and a
+    positive bound counts following rows. Stage builders return SQL
+    expression strings over it, so a whole stage is added with one
+    ``selectExpr`` (one driver round trip, the same Catalyst plan as the
+    equivalent Column expressions).
+    """
+
+    def __init__(self, partition: Sequence[str], order: Sequence[str]):
+        self.partition, self.order = list(partition), list(order)
+
+    @staticmethod
+    def _bound(k: int) -> str:
+        if k == 0:
+            return "current row"
+        return f"{-k} preceding" if k < 0 else f"{k} following"
+
+    def __call__(self, lo: int | None = None, hi: int | None = None) -> str:
+        parts = []
+        if self.partition:
+            parts.append("partition by " + ", ".join(q(c) for c in self.partition))
+        parts.append("order by " + ", ".join(q(c) for c in self.order))
+        if lo is not None:
+            parts.append(f"rows between {self._bound(lo)} and {self._bound(0 if hi is None else hi)}")
+        return "over (" + " ".join(parts) + ")"
+
+
 def _order_list(order_col: str | Sequence[str]) -> list[str]:
     return [order_col] if isinstance(order_col, str) else list(order_col)
 
@@ -139,7 +174,7 @@ def _halo(df: DataFrame, bucket_rows: int, halo_rows: int, index_col: str, ahead
 
 def windowed(
     df: DataFrame,
-    build: Callable[[WindowSpec], list[Column]],
+    build: Callable[[Over], list[str | Column]],
     order_col: str | Sequence[str] = "date",
     partition_cols: Sequence[str] = (),
     lookback: int = 30,
@@ -149,8 +184,9 @@ def windowed(
     keep_index: bool = False,
     lookahead: int = 0,
 ) -> DataFrame:
-    """Add the columns returned by ``build(w)`` where ``w`` is the series'
-    row-ordered window (frames are added by ``build`` with ``rowsBetween``).
+    """Add the columns returned by ``build(w)``: SQL expression strings
+    (``"lag(`x`, 1) " + w() + " as `x_lag_1`"``) over the series'
+    row-ordered window ``w`` (an ``Over``; frames via ``w(lo, hi)``).
 
     ``lookback`` is the largest number of preceding rows any column reads,
     ``lookahead`` the largest number of following rows (``lead``).
@@ -159,20 +195,26 @@ def windowed(
     """
     keys = list(partition_cols)
     if plan == "partition":
-        w = Window.partitionBy(*keys).orderBy(*_order_list(order_col))
-        return df.select("*", *build(w))
+        return _add_exprs(df, build(Over(keys, _order_list(order_col))))
     if plan != "halo":
         raise ValueError(f"unknown plan {plan!r}")
     has_idx = IDX in df.columns
     x = df if has_idx else add_row_index(df, order_col, keys, IDX, coarse_unit)
     x = _halo(x, bucket_rows, lookback, IDX, lookahead)
-    w = Window.partitionBy(*keys, BK).orderBy(IDX)
-    out = x.select("*", *build(w)).filter(F.col(BK) == F.floor(F.col(IDX) / F.lit(bucket_rows))).drop(BK)
+    out = _add_exprs(x, build(Over(keys + [BK], [IDX])))
+    out = out.filter(F.col(BK) == F.floor(F.col(IDX) / F.lit(bucket_rows))).drop(BK)
     if not keep_index and not has_idx:
         out = out.drop(IDX)
     return out
 
 
+def _add_exprs(df: DataFrame, exprs: list[str | Column]) -> DataFrame:
+    texts = [e for e in exprs if isinstance(e, str)]
+    if len(texts) == len(exprs):
+        return df.selectExpr("*", *texts)
+    return df.select("*", *[F.expr(e) if isinstance(e, str) else e for e in exprs])
+
+
 def forward_fill(
     df: DataFrame,
     value_col: str | Sequence[str],
@@ -226,6 +268,3 @@ def _left_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> D
     return left.join(r, cond, "left").drop(*renamed.values())
 
 
-def trailing(w: WindowSpec, n: int) -> WindowSpec:
-    """Frame of the current row and the ``n-1`` rows before it."""
-    return w.rowsBetween(-(n - 1), 0)

@@ -38,13 +38,20 @@ def round6(c) -> "F.Column":
 
 
 def finish(df: DataFrame, digits: int = DIGITS) -> DataFrame:
-    """Round every double column (the comparison form of a result)."""
-    return df.select(
-        *[
-            round6(f.name).alias(f.name) if isinstance(f.dataType, T.DoubleType) else F.col(f.name)
-            for f in df.schema.fields
-        ]
-    )
+    """Round every double column (the comparison form of a result); one
+    ``selectExpr`` of the same expression as ``round6``."""
+    def qn(n):
+        return "`" + n.replace("`", "``") + "`"
+
+    return df.selectExpr(*[
+        f"{_r6_spark(qn(f.name))} as {qn(f.name)}" if isinstance(f.dataType, T.DoubleType) else qn(f.name)
+        for f in df.schema.fields
+    ])
+
+
+def _r6_spark(e: str) -> str:
+    """Spark SQL text of ``round6`` (double literals: same IEEE operations)."""
+    return f"case when abs({e}) < 1.0E12D then floor({e} * 1000000.0D + 0.5D) / 1000000.0D else {e} end"
 
 
 def register(name: str, sql: str | None = None):
