@@ -4,11 +4,6 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
-from tidewise.functions.nulls import col
-
 # Fixed month sets of the season definitions.
 WINTER_MONTHS = [12, 1, 2]
 SPRING_MONTHS = [3, 4, 5]
@@ -18,57 +13,52 @@ INJECTION_MONTHS = [4, 5, 6, 7, 8, 9, 10]
 WITHDRAWAL_MONTHS = [11, 12, 1, 2, 3]
 
 
-def month_of(d: str | Column) -> Column:
-    return F.month(col(d))
-
-
-def cyc_sin(x: Column, period: float) -> Column:
-    return F.sin(F.lit(2 * math.pi) * x / F.lit(float(period)))
+def _qn(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
 
 
-def cyc_cos(x: Column, period: float) -> Column:
-    return F.cos(F.lit(2 * math.pi) * x / F.lit(float(period)))
+_TWO_PI = repr(2 * math.pi) + "D"
 
 
-def in_months(m: Column, months: list[int]) -> Column:
-    """0/1 membership flag (a null month gives 0, like ``isin().astype(int)``)."""
-    return F.coalesce(m.isin(months).cast("int"), F.lit(0))
+def _flag_sql(m: str, months: list[int]) -> str:
+    return f"coalesce(cast({m} in ({', '.join(map(str, months))}) as int), 0)"
 
 
-def weather_calendar_cols(d: str | Column = "date") -> list[Column]:
-    """Month, quarter, day_of_year, 2π·m/12 and 2π·doy/365 terms, season flags.
+def weather_calendar_cols(d: str = "date") -> list[str]:
+    """P2 as SQL expression text: month, quarter, day_of_year, 2π·m/12 and
+    2π·doy/365 terms, season flags (a null month gives 0 flags).
 
     The day term divides by 365 on leap years too, so day 366 wraps slightly
     past 2π, exactly as the definition it mirrors.
     """
-    d = col(d)
-    m = F.month(d)
-    doy = F.dayofyear(d)
+    c = _qn(d)
+    m, doy = f"month({c})", f"dayofyear({c})"
     return [
-        m.alias("month"),
-        F.quarter(d).alias("quarter"),
-        doy.alias("day_of_year"),
-        cyc_sin(m, 12).alias("month_sin"),
-        cyc_cos(m, 12).alias("month_cos"),
-        cyc_sin(doy, 365).alias("day_sin"),
-        cyc_cos(doy, 365).alias("day_cos"),
-        in_months(m, WINTER_MONTHS).alias("is_winter"),
-        in_months(m, SPRING_MONTHS).alias("is_spring"),
-        in_months(m, SUMMER_MONTHS).alias("is_summer"),
-        in_months(m, FALL_MONTHS).alias("is_fall"),
+        f"{m} as month",
+        f"quarter({c}) as quarter",
+        f"{doy} as day_of_year",
+        f"sin({_TWO_PI} * {m} / 12.0D) as month_sin",
+        f"cos({_TWO_PI} * {m} / 12.0D) as month_cos",
+        f"sin({_TWO_PI} * {doy} / 365.0D) as day_sin",
+        f"cos({_TWO_PI} * {doy} / 365.0D) as day_cos",
+        f"{_flag_sql(m, WINTER_MONTHS)} as is_winter",
+        f"{_flag_sql(m, SPRING_MONTHS)} as is_spring",
+        f"{_flag_sql(m, SUMMER_MONTHS)} as is_summer",
+        f"{_flag_sql(m, FALL_MONTHS)} as is_fall",
     ]
 
 
-def storage_calendar_cols(d: str | Column = "date") -> list[Column]:
-    """Month, quarter, ISO week, injection/withdrawal flags, month terms."""
-    d = col(d)
-    m = F.month(d)
+def storage_calendar_cols(d: str = "date") -> list[str]:
+    """P3 as SQL expression text: month, quarter, ISO week,
+    injection/withdrawal flags, month terms."""
+    c = _qn(d)
+    m = f"month({c})"
     return [
-        m.alias("month"),
-        F.quarter(d).alias("quarter"),
-        F.weekofyear(d).alias("week_of_year"),
-        in_months(m, INJECTION_MONTHS).alias("is_injection_season"),
-        in_months(m, WITHDRAWAL_MONTHS).alias("is_withdrawal_season"),
-        cyc_sin(m, 12).alias("month_sin"),
-        cyc_cos(m, 12).alias("month_cos"),
+        f"{m} as month",
+        f"quarter({c}) as quarter",
+        f"weekofyear({c}) as week_of_year",
+        f"{_flag_sql(m, INJECTION_MONTHS)} as is_injection_season",
+        f"{_flag_sql(m, WITHDRAWAL_MONTHS)} as is_withdrawal_season",
+        f"sin({_TWO_PI} * {m} / 12.0D) as month_sin",
+        f"cos({_TWO_PI} * {m} / 12.0D) as month_cos",
     ]

@@ -85,7 +85,7 @@ def storage_change(
 
 def storage_calendar(df: DataFrame, date_col: str = "date") -> DataFrame:
     """Month, quarter, ISO week, season flags, month terms."""
-    return df.select("*", *storage_calendar_cols(date_col))
+    return df.selectExpr("*", *storage_calendar_cols(date_col))
 
 
 def tightness(df: DataFrame) -> DataFrame:

@@ -40,7 +40,7 @@ def degree_days(
 
 def weather_calendar(df: DataFrame, date_col: str = "date") -> DataFrame:
     """Seasonal terms appended to every row."""
-    return df.select("*", *weather_calendar_cols(date_col))
+    return df.selectExpr("*", *weather_calendar_cols(date_col))
 
 
 def weather_interactions(df: DataFrame) -> DataFrame:

@@ -73,7 +73,7 @@ def weather_features(
         df = windowed(df, build, date_col, partition_cols, max(max(WEATHER_LAGS), max(WEATHER_WINDOWS) - 1), plan)
     if forecast is not None:
         df = forecast_merge(df, forecast, date_col)
-    df = df.select("*", *weather_calendar_cols(date_col))
+    df = df.selectExpr("*", *weather_calendar_cols(date_col))
     return weather_interactions(df)
 
 
@@ -138,7 +138,7 @@ def storage_features(
         for n in STORAGE_WINDOWS:
             b = f"{c}_rolling_{n}w"
             sel += [F.col(b), F.col(f"{b}_std"), F.col(f"{b}_min"), F.col(f"{b}_max")]
-    sel += storage_calendar_cols(date_col)
+    sel += [F.expr(e) for e in storage_calendar_cols(date_col)]
     if has_wg and has_avg:
         lo, mid, hi = TIGHTNESS_EDGES
         t = safe_div(F.col("working_gas") - F.col("five_year_avg"), F.col("five_year_avg"))
