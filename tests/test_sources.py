@@ -130,3 +130,17 @@ def test_ingest_all_window(spark, sf_small, tmp_path):
     p = sto.read_stored(spark, str(tmp_path), "prices").collect()
     assert got["prices"] == len(p) > 0
     assert all(dt.date(1996, 12, 31) <= r.date <= dt.date(1997, 12, 31) for r in p)
+
+
+def test_matrix_rollup_one_row_per_date_and_latest_keeps_ties(spark, sf_small):
+    from tidewise.operators.joins import feature_matrix
+    from tidewise.sources import landed
+
+    tabs = landed.tables(spark, sf_small)
+    m = feature_matrix(tabs, rollup_entities=True)
+    n_prices = tabs["prices"].count()
+    assert m.count() == n_prices == m.select("date").distinct().count()
+    exact = feature_matrix(tabs)
+    assert exact.count() >= n_prices  # fan-out by region / balancing area
+    latest = sto.latest(tabs["weather_daily"], "weather_daily").collect()
+    assert len({r.date for r in latest}) == 1 and len(latest) == len({r.region for r in latest}) > 1
