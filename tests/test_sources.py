@@ -142,5 +142,7 @@ def test_matrix_rollup_one_row_per_date_and_latest_keeps_ties(spark, sf_small):
     assert m.count() == n_prices == m.select("date").distinct().count()
     exact = feature_matrix(tabs)
     assert exact.count() >= n_prices  # fan-out by region / balancing area
-    latest = sto.latest(tabs["weather_daily"], "weather_daily").collect()
-    assert len({r.date for r in latest}) == 1 and len(latest) == len({r.region for r in latest}) > 1
+    wd = spark.createDataFrame([(dt.date(2024, 1, 1), "West", 1.0), (dt.date(2024, 1, 2), "West", 2.0),
+                                (dt.date(2024, 1, 2), "South", 3.0)], "date date, region string, hdd double")
+    latest = sto.latest(wd, "weather_daily").collect()
+    assert sorted(r.region for r in latest) == ["South", "West"] and {r.date for r in latest} == {dt.date(2024, 1, 2)}
