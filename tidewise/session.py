@@ -19,6 +19,10 @@ BASE_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # coalesce shuffle partitions to the advisory size (64 MB), not to the
+    # default parallelism: right-sized tasks at scale, no empty tasks on
+    # small stages
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
