@@ -222,7 +222,7 @@ def latest(df: DataFrame, table: str | None = None, date_col: str | None = None)
 
 
 def ingest_all(tables: dict[str, DataFrame], root: str, on_conflict: str = "error", start: str | None = None,
-               end: str | None = None, days: int | None = None) -> dict[str, int]:
+               end: str | None = None, days: int | None = None, parallelism: int = 4) -> dict[str, int]:
     """Append every landed table frame to its stored table (K1
     schemas, K2 key checks); returns rows written per table.
 
@@ -235,12 +235,17 @@ def ingest_all(tables: dict[str, DataFrame], root: str, on_conflict: str = "erro
         if end is None:
             raise ValueError("days needs an explicit end date (no wall clock inside jobs)")
         start = (_dt.date.fromisoformat(end) - _dt.timedelta(days=days)).isoformat()
-    out = {}
-    for name, df in tables.items():
+    from concurrent.futures import ThreadPoolExecutor
+
+    def one(item):
+        name, df = item
         dc = TABLES[name].date_col
         if start:
             df = df.filter(F.col(dc) >= F.lit(start).cast("date"))
         if end:
             df = df.filter(F.col(dc) <= F.lit(end).cast("date"))
-        out[name] = append(df, root, name, on_conflict)
-    return out
+        return name, append(df, root, name, on_conflict)
+
+    # the tables are independent: their jobs run concurrently on the cluster
+    with ThreadPoolExecutor(max_workers=min(parallelism, max(1, len(tables)))) as pool:
+        return dict(pool.map(one, tables.items()))
