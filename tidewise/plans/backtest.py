@@ -90,6 +90,13 @@ def lstsq_coefficients(x: DataFrame, features: Sequence[str], target: str, keys:
     """Per-fold no-intercept least-squares coefficients from block Gram sums.
 
     Returns (keys, fold, coef array<double>)."""
+    return solve_gram(fold_gram(x, features, target, keys, window, step), keys, len(features))
+
+
+def fold_gram(x: DataFrame, features: Sequence[str], target: str, keys: list[str], window: int,
+              step: int) -> DataFrame:
+    """(keys, fold, _g{i}_{j} for i <= j, _b{i}): each fold's normal
+    equations, from block sums routed to the folds that train on them."""
     p = len(features)
     g = math.gcd(window, step)
     a, c = step // g, window // g
@@ -110,7 +117,7 @@ def lstsq_coefficients(x: DataFrame, features: Sequence[str], target: str, keys:
         *[F.sum(f"_b{i}").alias(f"_b{i}") for i in range(p)],
         F.count(F.lit(1)).alias("_nb"),
     ).filter(F.col("_nb") == F.lit(c))  # only folds whose whole window exists
-    return solve_gram(gram, keys, p)
+    return gram
 
 
 def solve_gram(gram: DataFrame, keys: list[str], p: int) -> DataFrame:
@@ -325,9 +332,31 @@ def compare_lstsq(df: DataFrame, models: dict[str, Sequence[str]], target: str =
                   window: int = DEFAULT_WINDOW, step: int = DEFAULT_STEP, order_col: str = "date") -> DataFrame:
     """M2 for least-squares models over identical folds: one prediction frame
     holding every model (union), ready for ``fold_metrics`` / ``summary``.
-    The indexed input is shared by all models."""
+
+    The models share their rows, so the fold Gram sums are aggregated once
+    over the union of their features; each model's normal equations are a
+    sub-matrix of that one frame. The indexed input and the test rows are
+    shared as well."""
     x = _indexed(df, order_col, [])
-    parts = [walk_forward_lstsq(x, feats, target, window, step, order_col, (), name) for name, feats in models.items()]
+    union: list[str] = []
+    for feats in models.values():
+        union += [f for f in feats if f not in union]
+    gram = materialize(fold_gram(x, union, target, [], window, step))
+    test = materialize(test_rows(x, [], window, step))
+    parts = []
+    for name, feats in models.items():
+        pos = [union.index(f) for f in feats]
+        sub = gram.select(
+            "fold",
+            *[F.col(f"_g{min(pos[i], pos[j])}_{max(pos[i], pos[j])}").alias(f"_g{i}_{j}")
+              for i in range(len(pos)) for j in range(i, len(pos))],
+            *[F.col(f"_b{pos[i]}").alias(f"_b{i}") for i in range(len(pos))],
+        )
+        coefs = solve_gram(sub, [], len(pos))
+        yhat = sum((F.col(f).cast("double") * F.col("coef")[i] for i, f in enumerate(feats)), F.lit(0.0))
+        parts.append(test.join(coefs, "fold").select(
+            F.lit(name).alias("model"), "fold", F.col(IDX).alias("idx"), order_col,
+            F.col(target).cast("double").alias("actual"), yhat.alias("prediction")))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
