@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -56,24 +57,52 @@ def get_spark(
     spark = builder.getOrCreate()
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.sparkContext.setLogLevel("ERROR")
-    return spark
+    return ship_package(spark)
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared checkpoint folder named by the cluster in ``spark.checkpoint.dir``.
 
-    Only when the setting is absent (local tests) a scratch folder is created
-    and registered; on a cluster the configured shared path is always used.
+    Only a single-machine ``local[...]`` session may leave the setting out (as
+    tests do); it gets a scratch folder of its own. Any other master without
+    the setting is an error: a machine-local folder would be lost with its
+    machine and unseen by the others.
     """
     sc = spark.sparkContext
     configured = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="tidewise-ckpt-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> SparkSession:
+    """Send this package to the
+    Python workers, once per application, so that functions which run there
+    import it wherever the driver was started."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return spark
+    here = os.path.dirname(os.path.abspath(__file__))
+    top = os.path.dirname(here)
+    target = os.path.join(tempfile.mkdtemp(prefix="tidewise-ship-"), "tidewise_pkg.zip")
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, names in os.walk(here):
+            for n in names:
+                if n.endswith(".py"):
+                    full = os.path.join(folder, n)
+                    z.write(full, os.path.relpath(full, top))
+    sc.addPyFile(target)
+    _SHIPPED.add(sc.applicationId)
+    return spark
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint (survives executor loss) in the shared folder."""
     checkpoint_dir(df.sparkSession)
@@ -83,6 +112,4 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path under the checkpoint folder for intermediate tables."""
     base = checkpoint_dir(spark)
-    if base.startswith("file:"):
-        base = base[len("file:"):]
-    return os.path.join(base, "tables", name)
+    return f"{base.rstrip('/')}/tables/{name}"
