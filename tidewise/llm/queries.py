@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup
+from . import exact_dedup, ngram_join
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -30,3 +30,8 @@ select doc_id, max(doc_id) over g as keep_id, count(*) over g as group_size,
 from documents window g as (partition by coalesce(text, ''))""")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.duplicate_map(table(spark, sf_dir, "documents"))
+
+
+@query("op9_ngram_jaccard_join")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_components(table(spark, sf_dir, "documents"), k=3, percent=90)
