@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, ngram_join
+from . import exact_dedup, mixing, ngram_join
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,6 +24,31 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+@query("op1_fair_queue_mix", r"""
+with d as (select doc_id, source, md5(coalesce(doc_id::varchar, '')) as m,
+    coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::bigint as size from documents),
+s as (select source, sum(size)::hugeint as words,
+    [5, 2, 1][((row_number() over (order by source is null, source) - 1) % 3 + 1)::int]::hugeint as w from d group by source),
+o as (select *, row_number() over p as i, sum(words) over () - coalesce(sum(3 * words) over b, 0) as rest,
+    sum(w) over () - coalesce(sum(w) over b, 0) as rest_w
+  from s window p as (order by words::double / w, source is null, source),
+    b as (order by words::double / w, source is null, source rows between unbounded preceding and 1 preceding)),
+f as (select min(i) as i, arg_min(rest, i) as rest, arg_min(rest_w, i) as rest_w from o where w * rest <= 3 * words * rest_w),
+t as (select o.source, o.words, case when o.i < f.i then (3 * o.words)::double
+    else (o.w * f.rest)::double / f.rest_w::double end as target from o, f),
+q as (select d.*, t.words::bigint as source_size, t.target, sum(d.size) over (partition by d.source
+    order by d.m, d.doc_id, d.size rows unbounded preceding)::bigint as served
+  from d join t on d.source is not distinct from t.source)
+select doc_id, size, source_size, target,
+  (case when size > 0 and target > 0 then size * (
+    (case when 2 * served - size <= 2 * target then 1 else 0 end)
+    + (case when 2 * (served + source_size) - size <= 2 * target then 1 else 0 end)
+    + (case when 2 * (served + 2 * source_size) - size <= 2 * target then 1 else 0 end)) else 0 end)::bigint as taken,
+  case when target <> 0 then served::double / target end as virtual_finish from q""")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.plan(table(spark, sf_dir, "documents"))
+
+
 @query("op7_exact_dedup", """
 select doc_id, max(doc_id) over g as keep_id, count(*) over g as group_size,
   doc_id = max(doc_id) over g as kept, sha256(coalesce(text, '')) as text_sha256
