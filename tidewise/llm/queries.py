@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, mixing, ngram_join
+from . import exact_dedup, mixing, ngram_join, packing
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -60,3 +60,8 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_ngram_jaccard_join")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_components(table(spark, sf_dir, "documents"), k=3, percent=90)
+
+
+@query("op4_best_fit_packing")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"))
