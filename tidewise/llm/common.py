@@ -118,9 +118,14 @@ def word_hashes(data: np.ndarray, lower: bool = True) -> np.ndarray:
     """64-bit hashes of the words of one text (its UTF-8 bytes), in order; with
     ``lower``, A-Z count as a-z. Works in slices that end at a space, so memory
     stays a small multiple of the slice and of the result."""
+    return words_at(data, lower)[0]
+
+
+def words_at(data: np.ndarray, lower: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``word_hashes`` with each word's first byte and the byte after its last."""
     plain, lowered, space, power, inverse = _tables()
     letters = lowered if lower else plain
-    out, at, n = [], 0, len(data)
+    out, first, after, at, n = [], [], [], 0, len(data)
     while at < n:
         end = min(n, at + _SLICE)
         if end < n:
@@ -130,10 +135,13 @@ def word_hashes(data: np.ndarray, lower: bool = True) -> np.ndarray:
             else:  # one word longer than a slice
                 rest = np.flatnonzero(space[data[end:]])
                 end = end + int(rest[0]) if len(rest) else n
-        part = data[at:end]
+        part, offset = data[at:end], at
         at = end
         if len(part) > _SLICE:
             out.append(_long_word(part[~space[part]], letters))
+            whole = np.flatnonzero(~space[part])[[0, -1]] + offset
+            first.append(whole[:1])
+            after.append(whole[1:] + 1)
             continue
         inside = np.empty(len(part) + 2, np.int8)
         inside[0] = inside[-1] = 0
@@ -146,7 +154,22 @@ def word_hashes(data: np.ndarray, lower: bool = True) -> np.ndarray:
         sums[0] = 0
         np.cumsum(letters[part] * power[:len(part)], out=sums[1:])
         out.append((sums[ends] - sums[starts]) * inverse[starts])
-    return mix(np.concatenate(out)) if out else np.empty(0, np.uint64)
+        first.append(starts + offset)
+        after.append(ends + offset)
+    if not out:
+        return np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64)
+    return mix(np.concatenate(out)), np.concatenate(first), np.concatenate(after)
+
+
+def range_hashes(words: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the word ranges [start, end) of a text."""
+    power, inverse = _tables()[3:]
+    if len(words) >= len(power):
+        power, inverse = (np.cumprod(np.r_[np.uint64(1), np.full(len(words), b, np.uint64)]) for b in (power[1], inverse[1]))
+    sums = np.empty(len(words) + 1, np.uint64)
+    sums[0] = 0
+    np.cumsum(words * power[:len(words)], out=sums[1:])
+    return mix((sums[end] - sums[start]) * inverse[start] + (end - start).astype(np.uint64))
 
 
 def _long_word(word: np.ndarray, letters: np.ndarray) -> np.ndarray:

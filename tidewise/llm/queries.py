@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, html_text, mixing, ngram_join, packing, toxicity
+from . import exact_dedup, html_text, mixing, ngram_join, packing, quality_rules, sentence_spans, toxicity
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -75,3 +75,14 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_composite_density")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
+
+
+@query("op3_sentence_spans")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return sentence_spans.remove_repeats(docs)
+
+
+@query("op6_distribution_divergence")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.verdicts(table(spark, sf_dir, "documents"))
