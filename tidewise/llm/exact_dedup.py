@@ -86,7 +86,7 @@ def merge_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """One row per distinct content: (hash, content, id, rest, n); id is the
     largest of the group, rest the other columns of that row, n the rows."""
     others = [F.col(f"`{c}`") for c in docs.columns if c not in (id_col, text_col)]
-    rest = F.struct(*others) if others else F.struct(F.lit(0).alias("none"))
+    rest = F.struct(F.col(text_col).isNull().alias("no_text"), F.struct(*others or [F.lit(0)]).alias("columns"))
     records = docs.select(F.xxhash64(_text(text_col)).alias("hash"), _text(text_col).alias("content"),
                           F.col(id_col).alias("id"), rest.alias("rest"), F.lit(1).cast("long").alias("n"))
     sizes = (records.select("hash", F.octet_length("content").cast("long").alias("bytes"))
@@ -121,10 +121,11 @@ def _grace(records: DataFrame, sizes: DataFrame, level: int, bucket_bytes: int)
 
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows that stay (largest id of each group of equal texts), with the
-    columns of ``docs``. A null text that stays is returned as empty."""
+    columns of ``docs``."""
     kept = merge_copies(docs, id_col, text_col)
-    cols = {id_col: F.col("id"), text_col: F.col("content")}
-    return kept.select(*[cols[c].alias(c) if c in cols else F.col("rest").getField(c).alias(c) for c in docs.columns])
+    cols = {id_col: F.col("id"), text_col: F.when(~F.col("rest.no_text"), F.col("content"))}
+    rest = F.col("rest.columns")
+    return kept.select(*[cols[c].alias(c) if c in cols else rest.getField(c).alias(c) for c in docs.columns])
 
 
 def duplicate_map(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -7,7 +7,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, html_text, mixing, ngram_join, packing, quality_rules, sentence_spans, toxicity
+import corpus_pipeline
+
+from . import exact_dedup, html_text, mixing, ngram_join, packing, pii, quality_rules, sentence_spans, toxicity
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -86,3 +88,13 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_distribution_divergence")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.verdicts(table(spark, sf_dir, "documents"))
+
+
+@query("op8_disclosing_terms")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find_spans(table(spark, sf_dir, "documents"))
+
+
+@query("pipeline", corpus_pipeline.ORACLE_SQL)
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
