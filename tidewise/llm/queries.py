@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 
-from . import exact_dedup, html_text, mixing, ngram_join, packing, pii, quality_rules, sentence_spans, toxicity
+from . import exact_dedup, html_text, kneser_ney, mixing, ngram_join, packing, pii, quality_rules, sentence_spans, toxicity
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -79,6 +79,11 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
 
 
+@query("op2_kneser_ney_perplexity")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kneser_ney.perplexities(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query("op3_sentence_spans")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
