@@ -40,7 +40,7 @@ SEQUENCE = 4096
 END_ID = 1
 OPEN_BINS = 16384
 GROUP_PIECES = 50_000
-CACHED_WORDS = 400_000   # entries of each of a worker's two caches
+CACHED_WORDS = 1_500_000   # entries of each of a worker's two caches
 
 
 def default_vocabulary() -> str:
