@@ -5,6 +5,7 @@ import math
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tidewise.plans import backtest as bt
 
@@ -149,3 +150,113 @@ def test_walk_forward_per_entity(spark):
                 assert math.isclose(got[(key, k, e["start"] + j)], v, rel_tol=1e-8)
     m = bt.fold_metrics(pred, 40, 15, partition_cols=["hub"])
     assert {r.hub for r in m.collect()} == {"hub_a", "hub_b"}
+
+
+def test_tied_dates_fail_unless_a_tiebreak_is_named(spark):
+    from tidewise.plans.ordered import IDX, add_row_index
+
+    d = dt.date(2024, 1, 1)
+    df = spark.createDataFrame([(d, "a", 1.0), (d, "b", 2.0), (d + dt.timedelta(1), "a", 3.0)],
+                               "date date, hub string, v double")
+    with pytest.raises(Exception, match="rows tie"):
+        add_row_index(df, "date").collect()
+    assert sorted(r[IDX] for r in add_row_index(df, ["date", "hub"]).collect()) == [0, 1, 2]
+    assert sorted((r.hub, r[IDX]) for r in add_row_index(df, "date", ["hub"]).collect()) == [("a", 0), ("a", 1), ("b", 0)]
+
+
+def _series(spark, n, offset=0.0, seed=0):
+    rng = np.random.default_rng(seed)
+    x1, x2 = rng.normal(size=n) + offset, rng.normal(size=n) * 3 + offset
+    y = 2 * (x1 - offset) - (x2 - offset) + rng.normal(size=n) * .1 + 5
+    rows = [(dt.date(2000, 1, 1) + dt.timedelta(int(i)), float(a), float(b), float(c)) for i, (a, b, c) in enumerate(zip(x1, x2, y))]
+    return spark.createDataFrame(rows, "date date, x1 double, x2 double, spot_price double"), x1, x2, y
+
+
+@pytest.mark.parametrize("offset", [0.0, 1e4, 1e6, 1e8])
+@pytest.mark.parametrize("kind", ["lstsq", "ols"])
+def test_linear_fits_keep_their_digits_at_any_offset(spark, offset, kind):
+    df, x1, x2, y = _series(spark, 170, offset)
+    got = {r.idx: r.prediction for r in bt.walk_forward_linear(
+        df, {"m": bt.Linear(("x1", "x2"), kind)}, window=60, step=20).collect()}
+    x = np.c_[x1, x2]
+    for k in range(bt.fold_count(170, 60, 20)):
+        a, b = slice(k * 20, k * 20 + 60), slice(k * 20 + 60, k * 20 + 80)
+        if kind == "ols":
+            m = x[a].mean(0)
+            coef = np.linalg.lstsq(x[a] - m, y[a] - y[a].mean(), rcond=None)[0]
+            want = y[a].mean() + (x[b] - m) @ coef
+        else:
+            want = x[b] @ np.linalg.lstsq(x[a], y[a], rcond=None)[0]
+        tol = 1e-7 if offset < 1e7 else 1e-4
+        assert np.allclose([got[i] for i in range(b.start, b.stop)], want, atol=tol, rtol=0)
+
+
+def test_elastic_net_minimises_its_objective(spark):
+    m = bt.Linear(("x1", "x2"), "elastic_net", alpha=0.3, l1_ratio=0.6)
+    _, x1, x2, y = _series(spark, 80, 2.0)
+    x = np.c_[x1, x2, y]
+    d = x - x.mean(0)
+    a, *b = m.solve(80, x.mean(0), d.T @ d)
+
+    def objective(a, b):
+        return (np.sum((y - a - x[:, :2] @ b) ** 2) / 160 + .3 * (.6 * np.abs(b).sum() + .2 * np.sum(np.square(b))))
+
+    best, rng = objective(a, np.array(b)), np.random.default_rng(1)
+    for _ in range(200):
+        assert objective(a + rng.normal() * .01, np.array(b) + rng.normal(size=2) * .01) >= best - 1e-12
+
+
+def test_null_rows_raise_or_are_dropped(spark):
+    df, *_ = _series(spark, 130)
+    holes = df.withColumn("x1", F.when(F.dayofmonth("date") != 7, F.col("x1")))
+    with pytest.raises(Exception, match="model column is NULL"):
+        bt.walk_forward_lstsq(holes, ["x1"], window=60, step=20).collect()
+    n = holes.dropna().count()
+    pred = bt.walk_forward_lstsq(holes, ["x1"], window=60, step=20, nulls="drop")
+    assert pred.count() == 20 * bt.fold_count(n, 60, 20) and pred.filter("prediction is null").count() == 0
+
+
+def test_null_actual_makes_fold_metrics_null(spark):
+    rows = [("m", 0, i, float(i), float(i) + 1) for i in range(4)] + [("m", 1, i, None if i == 5 else 0.0, 1.0) for i in range(4, 8)]
+    pred = spark.createDataFrame(rows, "model string, fold long, idx long, actual double, prediction double")
+    got = {r.fold: r for r in bt.fold_metrics(pred, 4, 4).collect()}
+    assert got[0].mae == 1.0 and got[0].n_null == 0 and got[0].mape_skipped == 1
+    assert got[1].mae is None and got[1].rmse is None and got[1].mape is None and got[1].n_null == 1
+
+
+def test_no_training_target_lies_in_the_test_block(spark):
+    df, *_ = _series(spark, 200)
+    # a feature that is the target of the row: any overlap would show as a perfect fit of leaked rows
+    for h in (7, 14):
+        w, s = 70, 21
+        folds = bt.fold_moments(bt._indexed(df, "date", []), ["x1", "spot_price"], [], w - h, s).collect()
+        for r in folds:
+            last_train = r.fold * s + (w - h) - 1
+            assert r._rows == w - h and last_train + h < r.fold * s + w
+    pred = bt.horizon_walk_forward(df, {"m": bt.Linear(("x1",))}, (7, 14), window=70, step=21).collect()
+    y = {r.date: r.spot_price for r in df.collect()}
+    for r in pred:
+        assert r.actual == y[r.date + dt.timedelta(r.horizon_days)]
+
+
+def test_compare_any_models_by_key(spark):
+    from tidewise.registry_models import Mean
+
+    df, *_ = _series(spark, 130)
+    both = df.withColumn("hub", F.lit("a")).unionByName(df.filter("x1 > -10").withColumn("hub", F.lit("b")))
+    pred = bt.compare(both, {"ols": bt.Linear(("x1", "x2"), "ols"), "mean": bt.Fitted(Mean, ("x1",))},
+                      window=60, step=20, partition_cols=["hub"])
+    s = {(r.hub, r.model): r for r in bt.summary(bt.fold_metrics(pred, 60, 20, ["hub"]), ("hub", "model")).collect()}
+    assert set(s) == {(h, m) for h in "ab" for m in ("ols", "mean")}
+    assert all(s[h, "ols"].mae_mean < s[h, "mean"].mae_mean for h in "ab")
+
+
+def test_importance_of_any_model(spark):
+    from tidewise.plans.models import feature_importance
+
+    class Own:
+        def get_feature_importance(self):
+            return {"a": 2, "b": 1}
+
+    assert sorted(map(tuple, feature_importance(Own()).collect())) == [("a", 2.0), ("b", 1.0)]
+    assert feature_importance(object()).count() == 0

@@ -56,10 +56,11 @@ def test_mllib_walk_forward_matches_fold_layout(spark):
     assert all(r.n_test == 20 for r in m)
 
 
-def test_stream_batches_equal_batch_aggregate(spark, sf_small):
+def test_stream_batches_equal_batch_aggregate(spark, sf_small, tmp_path):
     from pyspark.sql import functions as F
 
-    got = {(r.ba, r.date): r.gas_burn_mwh for r in sp.run_gas_burn_batches(sp.events_stream(spark, sf_small)).collect()}
+    burn = sp.run_gas_burn_batches(sp.events_stream(spark, sf_small), str(tmp_path / "burn"))
+    got = {(r.ba, r.date): r.gas_burn_mwh for r in burn.collect()}
     ev = spark.read.parquet(os.path.join(sf_small, "events.parquet"))
     exp = ev.groupBy(F.col("event_type").alias("ba"), F.to_date("ts").alias("date")).agg(
         (F.sum(F.col("value").cast("decimal(18,2)")).cast("double") * 0.4).alias("g")).collect()
@@ -119,8 +120,12 @@ def test_power_bundle_and_weather_bundle(spark):
 
     a = spark.createDataFrame([(dt.datetime(2024, 1, 1, h), 100.0) for h in range(24)], "ts timestamp, total_load double")
     b = spark.createDataFrame([(dt.datetime(2024, 1, 1, 5), 7.0, 3.0)], "ts timestamp, total_load double, gas_generation double")
-    out = {r.source: r.gas_burn_mwh for r in power_bundle({"pjm": a, "ercot": b.drop("gas_generation")}).collect()}
-    assert math.isclose(out["pjm"], 24 * 40.0) and math.isclose(out["ercot"], 2.8)
+    none = spark.createDataFrame([], "ts timestamp, total_load double")
+    bundle = power_bundle({"pjm": a, "ercot": b.drop("gas_generation"), "miso": b, "none": none})
+    out = {r.source: r.gas_burn_mwh for r in bundle.collect()}
+    # one source with generation does not change the others' estimate
+    assert set(out) == {"pjm", "ercot", "miso"}
+    assert math.isclose(out["pjm"], 24 * 40.0) and math.isclose(out["ercot"], 2.8) and math.isclose(out["miso"], 3.0)
     p = json.dumps({"properties": {"periods": [{"startTime": "2024-01-01T06:00:00-05:00", "temperature": 60.0}]}})
     wb = weather_bundle(spark.createDataFrame([("Chicago", p)], "station string, payload string")).collect()
     assert wb[0].HDD == 5.0 and wb[0].region == "Midwest" and wb[0].source == "forecast"

@@ -41,7 +41,7 @@ QUERIES = E.queries()
 ORACLE = E.oracle_sql()
 
 
-@pytest.mark.parametrize("name", sorted(ORACLE))
+@pytest.mark.parametrize("name", sorted(n for n in ORACLE if not n.startswith("op")))
 def test_matches_duckdb(spark, sf_small, duck, name):
     df = QUERIES[name](spark, sf_small)
     srows = [tuple(r) for r in df.collect()]
@@ -53,13 +53,11 @@ def test_matches_duckdb(spark, sf_small, duck, name):
 
 
 def test_every_query_has_oracle_or_is_listed():
-    # jobs without a SQL twin are checked by brute force in other tests
-    assert set(QUERIES) - set(ORACLE) <= {"m6_random_forest", "m7_boosted_trees", "m4_elastic_net",
-                                          "x2_grouped_lstsq", "st1_stream_gas_burn", "k2_append_roundtrip"}
+    # corpus operators (tests/llm) have a SQL twin where SQL can express them
+    assert {q for q in set(QUERIES) - set(ORACLE) if not q.startswith("op") and q != "pipeline"} == set()
 
 
 def test_entry_smoke(spark):
-    df = E.entry(spark)
-    rows = df.collect()
-    assert len(rows) >= 0
-    assert df.columns
+    rows = E.entry(spark).collect()
+    assert len(rows) == 1 and rows[0].n_folds > 0
+    assert all(math.isfinite(rows[0][f"{m}_{s}"]) for m in ("mae", "rmse", "mape") for s in ("mean", "std"))

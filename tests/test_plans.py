@@ -42,3 +42,45 @@ def test_stored_scan_prunes_partitions(spark, sf_small):
     assert "PartitionFilters: [isnotnull(ym" in plan and "1996-03" in plan
     assert "GreaterThanOrEqual(date,1996-03-05)" in plan
     assert all(r.date.isoformat() >= "1996-03-05" and r.date.isoformat() <= "1996-04-20" for r in q.collect())
+
+
+def _text(df):
+    return df._jdf.queryExecution().toString()
+
+
+def test_training_window_bounds_reach_the_scans(spark, sf_small):
+    import re
+
+    from tidewise.registry import QUERIES
+
+    plan = _text(QUERIES["p11_training_window"](spark, sf_small))
+    pushed = re.findall(r"PushedFilters: \[([^\]]*)\]", plan)
+    assert any("GreaterThanOrEqual(o_orderdate" in p and "LessThan(o_orderdate" in p for p in pushed)
+    assert any("GreaterThanOrEqual(l_shipdate" in p for p in pushed)
+
+
+def test_asof_matrix_has_one_lookup_per_date(spark, sf_small):
+    from tidewise.operators.joins import feature_matrix
+    from tidewise.sources import landed
+
+    plan = _text(feature_matrix(landed.tables(spark, sf_small), mode="asof")).split("== Physical Plan ==")[1]
+    # the fill's windows run over dates, not over date x region x balancing area
+    for line in plan.splitlines():
+        if "Window [" in line and "_r0" in line:
+            assert "region" not in line and "ba#" not in line
+
+
+def test_exact_quantiles_agree_across_the_size_boundary(spark):
+    import numpy as np
+
+    from tidewise.operators.impute import exact_quantiles
+
+    rng = np.random.default_rng(3)
+    accuracy = 20
+    for n in (4 * accuracy - 1, 4 * accuracy, 4 * accuracy + 1, 400, 1500):
+        v = np.round(rng.normal(size=n), 1)  # many ties
+        df = spark.createDataFrame([(float(x), float(i % 7)) for i, x in enumerate(v)], "v double, w double")
+        got = {(r.name, r.q): r.value for r in exact_quantiles(df, ["v", "w"], [0.1, 0.5, 0.9], accuracy=accuracy).collect()}
+        for q in (0.1, 0.5, 0.9):
+            assert abs(got["v", q] - np.quantile(v, q)) < 1e-12
+            assert abs(got["w", q] - np.quantile(np.arange(n) % 7, q)) < 1e-12

@@ -94,10 +94,69 @@ def test_append_key_semantics(spark, tmp_path):
     assert [r.month for r in scan.collect()] == [dt.date(2024, 2, 1), dt.date(2024, 3, 1)]
 
 
-def test_conform_rejects_overflow(spark):
-    df = spark.createDataFrame([(dt.date(2024, 1, 1), 1e12)], "month date, dry_gas_bcfpd double")
-    assert sto.conform(df, "production_monthly").collect()[0].dry_gas_bcfpd is None
-    assert sto.reject_count(df, "production_monthly").collect()[0].rejected == 1
+def test_append_rejects_are_raised_or_returned(spark, tmp_path):
+    d = dt.date(2024, 1, 1)
+    rows = [(d, 1e12), (dt.date(2024, 2, 1), 1.0), (dt.date(2024, 2, 1), 2.0), (None, 3.0), (dt.date(2024, 3, 1), 4.0),
+            (dt.date(2024, 3, 1), 4.0)]
+    df = spark.createDataFrame(rows, "month date, dry_gas_bcfpd double")
+    with pytest.raises(Exception, match="does not fit"):
+        sto.conform(df, "production_monthly").collect()
+    counts = {r.reason: r.n for r in sto.reject_count(df, "production_monthly").collect()}
+    assert counts == {"type": 1, "duplicate": 2, "null_key": 1}
+    for mode in ("error", "skip", "replace"):
+        with pytest.raises(sto.DuplicateKeyError):
+            sto.append(df, str(tmp_path), "production_monthly", mode)
+        with pytest.raises(sto.RejectedRowsError):
+            sto.append(df.filter("month is null or dry_gas_bcfpd > 10"), str(tmp_path), "production_monthly", mode)
+    assert not (tmp_path / "production_monthly").exists()  # nothing was written
+    n, rejected = sto.append_accepted(df, str(tmp_path), "production_monthly")
+    stored = sto.read_stored(spark, str(tmp_path), "production_monthly").collect()
+    assert n == 1 and [(r.month, float(r.dry_gas_bcfpd)) for r in stored] == [(dt.date(2024, 3, 1), 4.0)]
+    assert sorted(r.reason for r in rejected.collect()) == ["duplicate", "duplicate", "null_key", "type"]
+
+
+def test_append_leaves_session_settings_and_cache_alone(spark, tmp_path):
+    before = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    df = spark.createDataFrame([(dt.date(2024, 1, 1), 1.0)], "month date, dry_gas_bcfpd double")
+    for mode in ("error", "replace"):
+        sto.append(df, str(tmp_path), "production_monthly", mode)
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode") == before
+    assert not df.is_cached
+
+
+def test_ingest_is_checked_before_any_write(spark, tmp_path):
+    good = spark.createDataFrame([(dt.date(2024, 1, 1), 1.0)], "month date, dry_gas_bcfpd double")
+    bad = spark.createDataFrame([(None, 1)], "date date, total_rigs int")
+    with pytest.raises(sto.RejectedRowsError):
+        sto.ingest_all({"production_monthly": good, "rigs_weekly": bad}, str(tmp_path))
+    assert not (tmp_path / "production_monthly").exists()
+
+
+def test_corrupt_payloads_raise_or_are_returned(spark):
+    good = json.dumps({"data": [{"period": "2024-01-01", "value": "1.5"}, {"period": "2024-01-02", "value": "NaN"}]})
+    rows = [("a", good), ("b", good[:30]), ("c", "plain text"), ("d", None), ("e", "{}")]
+    pages = spark.createDataFrame(rows, "series_id string, payload string")
+    with pytest.raises(Exception, match="corrupt payload"):
+        se.parse_series(pages).collect()
+    assert [(r.series_id, r.value) for r in se.parse_series(pages, on_corrupt="skip").collect()] == [("a", 1.5)]
+    assert sorted(r.series_id for r in se.corrupt_payloads(pages).collect()) == ["b", "c", "d"]
+    forecasts = spark.createDataFrame([("Boston", '{"properties": {"periods": [')], "station string, payload string")
+    with pytest.raises(Exception, match="corrupt payload"):
+        fc.parse_forecast(forecasts).collect()
+    assert se.corrupt_payloads(forecasts, fc.FORECAST_SCHEMA).count() == 1
+    assert fc.parse_forecast(forecasts, on_corrupt="skip").count() == 0
+
+
+def test_nan_is_null_on_read(spark, tmp_path):
+    from tidewise.operators.weather import degree_days
+    from tidewise.sources.tables import read_table
+
+    df = spark.createDataFrame([(dt.date(2024, 1, 1), float("nan")), (dt.date(2024, 1, 2), 60.0)],
+                               "date date, temperature double")
+    df.write.parquet(str(tmp_path / "t.parquet"))
+    got = {r.date.day: r.temperature for r in read_table(spark, str(tmp_path), "t").collect()}
+    assert got == {1: None, 2: 60.0}
+    assert {r.date.day: r.HDD for r in degree_days(df).collect()} == {1: None, 2: 5.0}
 
 
 def test_asof_join_matches_brute_force(spark):

@@ -1,6 +1,7 @@
 """Null-safe column expressions.
 
-The engine never holds NaN: sources map NaN to NULL, and each expression here
+The engine never holds NaN: ``without_nan`` maps NaN to NULL on every read of
+a table, a payload or a caller's frame, and each expression here
 reproduces the pandas/numpy rule the feature definitions were written against
 (see SURVEY §1.3). All are plain Catalyst expressions, so they stay inside
 whole-stage codegen.
@@ -8,8 +9,9 @@ whole-stage codegen.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, WindowSpec
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def col(c: str | Column) -> Column:
@@ -17,9 +19,10 @@ def col(c: str | Column) -> Column:
 
 
 def clip_lower(x: str | Column, floor: float = 0.0) -> Column:
-    """``np.maximum(x, floor)``: null stays null (``greatest`` would give floor)."""
+    """``np.maximum(x, floor)``: null and NaN give null (``greatest`` would
+    give floor and NaN)."""
     x = col(x)
-    return F.when(x.isNotNull(), F.greatest(x, F.lit(float(floor))))
+    return F.when(x.isNotNull() & ~F.isnan(x), F.greatest(x, F.lit(float(floor))))
 
 
 def flag(cond: Column) -> Column:
@@ -33,16 +36,6 @@ def safe_div(num: str | Column, den: str | Column) -> Column:
     return F.try_divide(col(num), col(den))
 
 
-def windowed_full(agg, x: str | Column, w: WindowSpec, n: int) -> Column:
-    """``rolling(n).agg()``: a value only when all ``n`` rows of the frame are
-    non-null, as with pandas' default ``min_periods=n``.
-
-    ``w`` must already carry the ``rowsBetween(-(n-1), 0)`` frame.
-    """
-    x = col(x)
-    return F.when(F.count(x).over(w) == F.lit(n), agg(x).over(w))
-
-
 def strict_sum(x: str | Column) -> Column:
     """Aggregate sum that is NULL as soon as any input is NULL (a Python loop
     ``total += value`` with a NaN poisons the total)."""
@@ -64,3 +57,11 @@ def zero_sum(x: str | Column) -> Column:
 def nan_to_null(x: str | Column) -> Column:
     x = col(x)
     return F.when(~F.isnan(x), x)
+
+
+def without_nan(df: DataFrame) -> DataFrame:
+    """``df`` with NULL for NaN in its floating-point columns."""
+    floating = {f.name for f in df.schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))}
+    if not floating:
+        return df
+    return df.select(*[nan_to_null(F.col(f"`{c}`")).alias(c) if c in floating else F.col(f"`{c}`") for c in df.columns])

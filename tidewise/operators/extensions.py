@@ -80,15 +80,17 @@ def norm_deltas(df: DataFrame, cols: Sequence[str] = ("hdd", "cdd"), date_col: s
     return x.select(*df.columns, *[(F.col(c) - F.avg(c).over(w)).alias(f"{c}_norm_delta") for c in cols])
 
 
-def prediction_rows(pred: DataFrame, bands: DataFrame, model_col: str = "model", horizon: int = 0,
+def prediction_rows(pred: DataFrame, bands: DataFrame, model_col: str = "model", horizon: int | str = 0,
                     by: Sequence[str] = ("model",)) -> DataFrame:
     """D9 + D7: rows of the ``predictions`` table: prediction, band, actual and
-    ``error = actual - prediction``."""
+    ``error = actual - prediction``. ``horizon`` is a number of days or the
+    name of the column that holds it."""
+    days = F.col(horizon) if isinstance(horizon, str) else F.lit(horizon)
     x = pred.join(bands, list(by), "left")
     return x.select(
         "date",
         F.col(model_col).alias("model_name"),
-        F.lit(horizon).cast(T.IntegerType()).alias("horizon_days"),
+        days.cast(T.IntegerType()).alias("horizon_days"),
         "prediction",
         (F.col("prediction") + F.col("residual_q10")).alias("confidence_lower"),
         (F.col("prediction") + F.col("residual_q90")).alias("confidence_upper"),

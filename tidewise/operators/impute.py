@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewise.plans.ordered import materialize
+from tidewise.functions.nulls import nan_to_null
+from tidewise.plans.ordered import _null_safe_join
+from tidewise.session import cut_lineage
 
 NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 
@@ -17,6 +20,9 @@ def numeric_columns(df: DataFrame, exclude: Sequence[str] = ()) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, NUMERIC) and f.name not in exclude]
 
 
+BUCKETS = 256  # equal-width parts of a band
+
+
 def exact_quantiles(df: DataFrame, cols: Sequence[str], quantiles: Sequence[float], by: Sequence[str] = (),
                     accuracy: int = 1000) -> DataFrame:
     """A3 generalised: exact continuous quantiles of each column, per ``by``
@@ -25,61 +31,73 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], quantiles: Sequence[floa
     floor((n-1)q) and ceil((n-1)q) (the median is q = 0.5).
 
     Exact without gathering a column in one task:
-    1. long form (by, name, value), nulls dropped;
-    2. an approximate quantile sketch per (by, name) gives, for each q, a
-       band [lo, hi] guaranteed to contain both ranks it needs (the sketch's
-       rank error is count/accuracy; the band is widened by three times that);
-    3. one aggregation over the rows <= hi: values inside a band are kept as
-       (q, value, multiplicity), values below lo collapse into one NULL-keyed
-       count per (column, q) - a band holds ~6/accuracy of the rows, so the
-       ordered pass that follows sees a small, bounded frame (groups of at
-       most 4*accuracy rows skip the band and keep every value);
-    4. cumulative multiplicities (the below-count sorts first) locate the two
-       ranks exactly.
-
-    The result is exact for any ``accuracy``; it only trades the sketch's
-    cost against the band's size. The default suits columns up to ~10^8
-    rows (a band of at most ~6*10^5 values); raise it for larger columns.
+    1. one wide aggregation: per column its count, minimum, maximum and an
+       approximate quantile sketch. For each q the sketch gives a band [lo,
+       hi] guaranteed to contain both ranks it needs (its rank error is
+       count/accuracy; the band is widened by three times that). A group of
+       at most 4 * accuracy rows has the band [minimum, maximum];
+    2. a second wide aggregation counts the values below each band, and only
+       values inside a band (about 6/accuracy of the rows) are put into long
+       form and counted by value;
+    3. a histogram of BUCKETS equal-width parts of the band locates the parts
+       that hold the two ranks, and only those parts' values are ordered.
+
+    The result is exact for any ``accuracy``; it only trades the sketch's cost
+    against the band's size.
     """
     keys = list(by)
     qs = [float(q) for q in quantiles]
-    src = materialize(df)
-    long = src.select(
-        *keys,
-        F.explode(F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).cast("double").alias("value")) for c in cols]))
-        .alias("_kv"),
-    ).select(*keys, "_kv.name", "_kv.value").filter(F.col("value").isNotNull() & ~F.isnan("value"))
     eps = 3.0 / accuracy
     probes = [x for q in qs for x in (max(0.0, q - eps), min(1.0, q + eps))]
-    sketch = long.groupBy(*keys, "name").agg(
-        F.count(F.lit(1)).alias("n"), F.percentile_approx("value", probes, accuracy).alias("_b"))
-    # a group of at most `small` rows keeps all its values (no band: the
-    # rank margin 3n/accuracy would be under a few ranks there); larger
-    # groups keep the band, whose margin is then >= 12 ranks
-    small = 4 * accuracy
-    big = F.col("n") > F.lit(small)
-    bands = F.array(*[F.struct(F.lit(q).alias("q"), F.when(big, F.col("_b")[2 * i]).alias("lo"),
-                               F.when(big, F.col("_b")[2 * i + 1]).alias("hi"))
-                      for i, q in enumerate(qs)])
-    tagged = long.join(sketch, [*keys, "name"]).select(*keys, "name", "n", "value", F.explode(bands).alias("_bd"))
-    below_or_band = (
-        tagged.filter(F.col("_bd.hi").isNull() | (F.col("value") <= F.col("_bd.hi")))
-        .groupBy(*keys, "name", "n", F.col("_bd.q").alias("q"),
-                 F.when(F.col("_bd.lo").isNull() | (F.col("value") >= F.col("_bd.lo")), F.col("value")).alias("v"))
-        .agg(F.count(F.lit(1)).alias("m"))
-    )
-    w = Window.partitionBy(*keys, "name", "q").orderBy(F.col("v").asc_nulls_first()).rowsBetween(
-        Window.unboundedPreceding, 0)
-    ranked = below_or_band.withColumn("_cum", F.sum("m").over(w)).filter(F.col("v").isNotNull())
+    values = [nan_to_null(F.col(c).cast("double")) for c in cols]
+    # read by four aggregations: written once, so their plans start here
+    src = cut_lineage(df.select(*keys, *[v.alias(f"v{i}") for i, v in enumerate(values)]))
+    parts = [f(F.col(f"v{i}")).alias(f"{k}{i}") for i in range(len(cols))
+             for k, f in (("n", F.count), ("lo", F.min), ("hi", F.max))]
+    parts += [F.percentile_approx(f"v{i}", probes, accuracy).alias(f"b{i}") for i in range(len(cols))]
+    sketch = src.groupBy(*keys).agg(*parts)
+    bands = []
+    for i in range(len(cols)):
+        big = F.col(f"n{i}") > F.lit(4 * accuracy)
+        for j in range(len(qs)):
+            bands += [F.when(big, F.col(f"b{i}")[2 * j]).otherwise(F.col(f"lo{i}")).alias(f"lo{i}_{j}"),
+                      F.when(big, F.col(f"b{i}")[2 * j + 1]).otherwise(F.col(f"hi{i}")).alias(f"hi{i}_{j}")]
+    bounds = cut_lineage(sketch.select(*keys, *[f"n{i}" for i in range(len(cols))], *bands))
+    x = _null_safe_join(src, bounds, keys) if keys else src.crossJoin(F.broadcast(bounds))
+    each = [(i, j) for i in range(len(cols)) for j in range(len(qs))]
+    below = x.groupBy(*keys).agg(*[F.count_if(F.col(f"v{i}") < F.col(f"lo{i}_{j}")).alias(f"w{i}_{j}") for i, j in each])
+    # (by, name, q): count, band and rows below it
+    facts = _null_safe_join(bounds, below, keys) if keys else bounds.crossJoin(F.broadcast(below))
+    spec = F.explode(F.array(*[F.struct(F.lit(cols[i]).alias("name"), F.lit(qs[j]).alias("q"), F.col(f"n{i}").alias("n"),
+                                        F.col(f"lo{i}_{j}").alias("lo"), F.col(f"hi{i}_{j}").alias("hi"),
+                                        F.col(f"w{i}_{j}").alias("below")) for i, j in each])).alias("f")
+    facts = facts.select(*keys, spec).select(*keys, "f.*").filter("n > 0")
+    inside = F.array(*[F.when((F.col(f"v{i}") >= F.col(f"lo{i}_{j}")) & (F.col(f"v{i}") <= F.col(f"hi{i}_{j}")),
+                              F.struct(F.lit(cols[i]).alias("name"), F.lit(qs[j]).alias("q"), F.col(f"v{i}").alias("v")))
+                       for i, j in each])
+    long = x.select(*keys, F.explode(F.filter(inside, lambda e: e.isNotNull())).alias("e")).select(*keys, "e.*")
+    counted = long.groupBy(*keys, "name", "q", "v").agg(F.count(F.lit(1)).alias("m"))
+    group = [*keys, "name", "q"]
+    counted = _null_safe_join(counted, facts, group)
+    share = F.try_divide(F.col("v") - F.col("lo"), F.col("hi") - F.col("lo"))
+    part = F.least(F.coalesce(F.floor(share * BUCKETS), F.lit(0)), F.lit(BUCKETS - 1)).alias("part")
+    counted = cut_lineage(counted.select(*group, "n", "below", "v", "m", part))
     pos = (F.col("n") - 1) * F.col("q")
     k1, k2 = F.floor(pos), F.ceil(pos)
-    start = F.col("_cum") - F.col("m")
-    hit1 = (start <= k1) & (k1 < F.col("_cum"))
-    hit2 = (start <= k2) & (k2 < F.col("_cum"))
-    picked = ranked.groupBy(*keys, "name", "q", "n").agg(
-        F.max(F.when(hit1, F.col("v"))).alias("v1"), F.max(F.when(hit2, F.col("v"))).alias("v2"))
+    before = Window.partitionBy(*group).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    hist = counted.groupBy(*group, "n", "below", "part").agg(F.sum("m").alias("size"))
+    hist = hist.withColumn("start", F.col("below") + F.coalesce(F.sum("size").over(before), F.lit(0)))
+    hist = hist.filter((F.col("start") <= k2) & (k1 < F.col("start") + F.col("size"))).select(*group, "part", "start")
+    ranked = _null_safe_join(counted, hist, [*group, "part"])
+    within = Window.partitionBy(*group, "part").orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
+    first = F.col("start") + F.coalesce(F.sum("m").over(within), F.lit(0))
+    ranked = ranked.withColumn("first", first)
+    last = F.col("first") + F.col("m")
+    picked = ranked.groupBy(*group, "n").agg(
+        F.max(F.when((F.col("first") <= k1) & (k1 < last), F.col("v"))).alias("v1"),
+        F.max(F.when((F.col("first") <= k2) & (k2 < last), F.col("v"))).alias("v2"))
     frac = pos - F.floor(pos)
-    return picked.select(*keys, "name", "q", (F.col("v1") + (F.col("v2") - F.col("v1")) * frac).alias("value"))
+    return picked.select(*group, (F.col("v1") + (F.col("v2") - F.col("v1")) * frac).alias("value"))
 
 
 def exact_medians(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (), accuracy: int = 1000) -> DataFrame:
@@ -99,7 +117,7 @@ def median_impute(df: DataFrame, target: str = "spot_price", cols: Sequence[str]
     per column) that is broadcast - its size is fixed by the column count.
     """
     cols = list(cols) if cols is not None else numeric_columns(df, exclude)
-    df = materialize(df)  # read by the medians and by the fill
+    df = cut_lineage(df)  # read by the medians and by the fill
     med = exact_medians(df, cols)
     wide = med.groupBy().pivot("name", cols).agg(F.first("median"))
     wide = wide.select(*[F.col(c).alias(f"_med_{c}") for c in cols])
@@ -111,6 +129,15 @@ def median_impute(df: DataFrame, target: str = "spot_price", cols: Sequence[str]
     return out.dropna(subset=[target])
 
 
+def window_bounds(prices: DataFrame, days: int = 730, date_col: str = "date") -> tuple[str | None, str | None]:
+    """P11 as a pair of dates: ``days`` back from the latest date of the
+    price table, and that date (None, None for an empty table)."""
+    last = prices.agg(F.max(date_col)).first()[0]
+    if last is None:
+        return None, None
+    return str(last - datetime.timedelta(days=days)), str(last)
+
+
 def training_window(df: DataFrame, days: int = 730, end: str | None = None, date_col: str = "date") -> DataFrame:
     """Rows with end - days <= date <= end. The clock is injected:
     ``end`` defaults to the latest date of the data (a one-row frame)."""

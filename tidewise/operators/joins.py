@@ -56,22 +56,23 @@ def feature_matrix(tables: dict[str, DataFrame], start: str | None = None, end:
     if end:
         p = p.filter(F.col("date") <= F.lit(end).cast("date"))
     out = p.select("date", "spot_price", "front_month", "m1_m2_spread")
-    asof: list = []
+    if mode == "asof":
+        # one lookup per price date for all weekly / monthly sides, before the
+        # entity joins multiply the rows; then one equi-join
+        sides = [(n, _side(tables, n, rollup_entities)) for n in DATE_KEYS if n not in ENTITY_TABLES]
+        asof = [(side, f"_k_{n}", [c for c in side.columns if c != f"_k_{n}"]) for n, side in sides]
+        out = out.join(asof_join_many(out.select("date").distinct(), "date", asof), "date", "left")
     for name in ("storage_weekly", "production_monthly", "lng_monthly", "power_burn", "weather_daily",
                  "rigs_weekly"):
         side = _side(tables, name, rollup_entities)
         k = f"_k_{name}"
         if mode == "asof" and name not in ENTITY_TABLES:
-            asof.append((side, k, [c for c in side.columns if c != k]))
             continue
         if start:
             side = side.filter(F.col(k) >= F.lit(start).cast("date"))
         if end:
             side = side.filter(F.col(k) <= F.lit(end).cast("date"))
         out = out.join(side, F.col("date") == F.col(k), "left").drop(k)
-    if asof:
-        # all weekly / monthly sides carried forward in one fill pass
-        out = asof_join_many(out, "date", asof)
     return out.select(*[c for _, c in MATRIX_COLUMNS])
 
 

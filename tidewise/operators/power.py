@@ -36,10 +36,13 @@ def gas_burn_proxy(
 
 
 def power_bundle(frames: dict[str, DataFrame], ts_col: str = "ts") -> DataFrame:
-    """One long frame with a ``source`` column, and its daily gas burn per
-    source; sources with no rows simply contribute no groups."""
-    parts = [f.withColumn("source", F.lit(name)) for name, f in frames.items()]
-    long = parts[0]
+    """Daily gas burn per source (source, date, gas_burn_mwh). Each
+    source is estimated from its own columns (``gas_generation`` if it has
+    it, else its load share) before the union; a source without rows
+    contributes none."""
+    parts = [gas_burn_proxy(f, ts_col).select(F.lit(name).alias("source"), "date", "gas_burn_mwh")
+             for name, f in frames.items()]
+    out = parts[0]
     for p in parts[1:]:
-        long = long.unionByName(p, allowMissingColumns=True)
-    return gas_burn_proxy(long, ts_col, by=["source"])
+        out = out.unionByName(p)
+    return out

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewise.functions.calendar import weather_calendar_cols
@@ -88,11 +88,6 @@ def weather_rolling(df: DataFrame, col: str, windows: Sequence[int] = WEATHER_WI
     return windowed(df, lambda w: rolling_cols(w, col, windows), order_col, partition_cols, max(windows) - 1, plan)
 
 
-def region_weights_frame(spark: SparkSession) -> DataFrame:
-    """The weights as a four-row dimension frame."""
-    return spark.createDataFrame(list(REGION_WEIGHTS.items()), "region string, weight double")
-
-
 def region_weight(region: Column, default: float = DEFAULT_REGION_WEIGHT) -> Column:
     """The region's weight, ``default`` when unmatched. The four-entry
     table is a literal map evaluated inside the projection - no join."""
@@ -113,7 +108,9 @@ def regional_degree_days(df: DataFrame, temp_col: str = "temperature", region_co
     row of a date makes that date's sums null, like the accumulation loop it
     replaces. Partial aggregation happens before the shuffle on ``date``.
     """
-    x = degree_days(with_region_weight(df, region_col), temp_col, keep_input=True)
+    x = with_region_weight(df, region_col)
+    if not {"HDD", "CDD"} <= set(df.columns):
+        x = degree_days(x, temp_col, keep_input=True)
     return x.groupBy(date_col).agg(
         strict_sum(F.col("HDD") * F.col("weight")).alias("HDD_weighted"),
         strict_sum(F.col("CDD") * F.col("weight")).alias("CDD_weighted"),

@@ -8,12 +8,11 @@ last block is dropped when it would end exactly at n (strict loop bound).
 
 Two fitting paths:
 
-* **Least squares (no intercept)** without copying rows: positions are cut
-  into blocks of g = gcd(W, s) rows; each block's Gram sums (x_i x_j, x_i y)
-  are aggregated map-side; each block is then sent to the <= W/g + 1 folds
-  that train on it and summed per fold - a p x p system per fold. p = 1 is
-  solved in SQL expressions; larger p in an Arrow batch (mapInPandas) over
-  the fold systems, which number K, not n.
+* **Linear models** (``Linear``) without copying rows: positions are cut into
+  blocks of g = gcd(W, s) rows; each block's sums (of differences to the
+  series' means, and of their products) are aggregated map-side, sent to the
+  <= W/g + 1 folds that train on it and summed per fold, a p x p system per
+  fold, solved in an Arrow batch over the folds, which number K, not n.
 * **Any Python model** (``fit(X, y)`` / ``predict(X)``): each row is copied to
   the folds that use it (at most ceil(W/s) + 1 copies) and every fold is fitted
   in its own ``applyInPandas`` group of W + s rows - the group size is fixed
@@ -24,6 +23,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -31,7 +31,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidewise.functions.nulls import strict_avg
 from tidewise.plans.ordered import IDX, add_row_index, materialize
+from tidewise.session import cut_lineage
 
 # Fixed defaults of the backtest loop.
 DEFAULT_WINDOW = 252
@@ -70,68 +72,204 @@ def test_rows(x: DataFrame, keys: list[str], window: int, step: int) -> DataFram
     return t.filter(F.col("fold") < _k_expr(F.col("_n"), window, step)).drop("_n")
 
 
-def _solve_batches(p: int):
-    def solve(batches):
-        for pdf in batches:
-            coefs = []
-            for xx, xy in zip(pdf["_xx"], pdf["_xy"]):
-                g = np.asarray(xx, dtype=float).reshape(p, p)
-                b = np.asarray(xy, dtype=float)
-                coefs.append(np.linalg.lstsq(g, b, rcond=None)[0].tolist())
-            out = pdf.drop(columns=["_xx", "_xy"])
-            out["coef"] = coefs
-            yield out
-
-    return solve
-
-
-def lstsq_coefficients(x: DataFrame, features: Sequence[str], target: str, keys: list[str], window: int,
-                       step: int) -> DataFrame:
-    """Per-fold no-intercept least-squares coefficients from block Gram sums.
-
-    Returns (keys, fold, coef array<double>)."""
-    return solve_gram(fold_gram(x, features, target, keys, window, step), keys, len(features))
-
-
-def fold_gram(x: DataFrame, features: Sequence[str], target: str, keys: list[str], window: int,
-              step: int) -> DataFrame:
-    """(keys, fold, _g{i}_{j} for i <= j, _b{i}): each fold's normal
-    equations, from block sums routed to the folds that train on them."""
-    p = len(features)
-    g = math.gcd(window, step)
-    a, c = step // g, window // g
-    xs = [F.col(f).cast("double") for f in features]
-    y = F.col(target).cast("double")
-    pairs = [(i, j) for i in range(p) for j in range(i, p)]
-    blk = x.withColumn("_blk", F.floor(F.col(IDX) / F.lit(g)).cast("long"))
-    sums = blk.groupBy(*keys, "_blk").agg(
-        *[F.sum(xs[i] * xs[j]).alias(f"_g{i}_{j}") for i, j in pairs],
-        *[F.sum(xs[i] * y).alias(f"_b{i}") for i in range(p)],
-    )
+@dataclass(frozen=True)
+class Linear:
+    """A linear model fitted from a fold's moments.
+
+    ``lstsq``: least squares without intercept (minimum norm); ``ols``: with
+    intercept; ``elastic_net``: minimises 1/(2n) |y - a - Xb|^2 + alpha *
+    (l1_ratio |b|_1 + (1 - l1_ratio)/2 |b|^2) by coordinate descent, the
+    intercept unpenalised, columns not standardised."""
+
+    features: tuple[str, ...]
+    kind: str = "lstsq"
+    alpha: float = 0.01
+    l1_ratio: float = 0.5
+    max_iter: int = 1000
+
+    def solve(self, n: float, mean: np.ndarray, cov: np.ndarray) -> np.ndarray:
+        """(intercept, slopes) from the row count, the column means and the
+        centred sums of products; the target is the last column."""
+        p = len(self.features)
+        mu, my, sxx, sxy = mean[:p], mean[p], cov[:p, :p], cov[:p, p]
+        if self.kind == "lstsq":
+            # rows of a square root of the centred sums, and the means as one
+            # more row: conditioned as X itself, not as X'X
+            scale = np.sqrt(np.diag(sxx) + n * mu * mu)
+            scale[scale == 0] = 1.0
+            w, v = np.linalg.eigh(sxx / np.outer(scale, scale))
+            keep = w > 1e-14 * max(w.max(), 1e-300)
+            root = np.sqrt(w[keep])
+            rows = np.vstack([root[:, None] * v[:, keep].T, np.sqrt(n) * mu / scale])
+            rhs = np.r_[(v[:, keep].T @ (sxy / scale)) / root, np.sqrt(n) * my]
+            return np.r_[0.0, np.linalg.lstsq(rows, rhs, rcond=None)[0] / scale]
+        if self.kind == "ols":
+            scale = np.sqrt(np.diag(sxx))
+            scale[scale == 0] = 1.0
+            b = np.linalg.lstsq(sxx / np.outer(scale, scale), sxy / scale, rcond=None)[0] / scale
+            return np.r_[my - mu @ b, b]
+        if self.kind == "elastic_net":
+            b = np.zeros(p)
+            l1, l2 = self.alpha * self.l1_ratio, self.alpha * (1 - self.l1_ratio)
+            for _ in range(self.max_iter):
+                before = b.copy()
+                for j in range(p):
+                    rho = (sxy[j] - sxx[j] @ b + sxx[j, j] * b[j]) / n
+                    size = sxx[j, j] / n + l2
+                    b[j] = np.sign(rho) * max(abs(rho) - l1, 0.0) / size if size else 0.0
+                if np.abs(b - before).max() <= 1e-12 * max(np.abs(b).max(), 1e-300):
+                    break
+            return np.r_[my - mu @ b, b]
+        raise ValueError(f"unknown kind {self.kind!r}")
+
+
+def _complete(df: DataFrame, cols: Sequence[str], nulls: str) -> DataFrame:
+    """Rows for a fit: a NULL in ``cols`` fails the job (``nulls="raise"``)
+    or drops its row before positions are assigned (``"drop"``)."""
+    if nulls == "drop":
+        return df.dropna(subset=list(cols))
+    if nulls != "raise":
+        raise ValueError(nulls)
+    last = cols[-1]
+    missing = F.lit(False)
+    for c in cols:
+        missing = missing | F.col(c).isNull()
+    guarded = F.when(missing, F.raise_error(F.lit("a model column is NULL")).cast(df.schema[last].dataType)).otherwise(
+        F.col(last))
+    return df.withColumn(last, guarded)
+
+
+def _shifted(x: DataFrame, cols: Sequence[str], keys: list[str]) -> DataFrame:
+    """``x`` with ``_m{i}``, the mean of each column over its whole series:
+    sums of differences to it keep their digits whatever the columns' offset."""
+    means = x.groupBy(*keys).agg(*[F.avg(F.col(c).cast("double")).alias(f"_m{i}") for i, c in enumerate(cols)])
+    return x.join(means, keys) if keys else x.crossJoin(F.broadcast(means))
+
+
+def _moment_sums(cols: Sequence[str]) -> list[F.Column]:
+    d = [F.col(c).cast("double") - F.col(f"_m{i}") for i, c in enumerate(cols)]
+    p = len(cols)
+    return [F.count(F.lit(1)).alias("_rows"), *[F.first(f"_m{i}").alias(f"_m{i}") for i in range(p)],
+            *[F.sum(d[i]).alias(f"_s{i}") for i in range(p)],
+            *[F.sum(d[i] * d[j]).alias(f"_q{i}_{j}") for i in range(p) for j in range(i, p)]]
+
+
+def fold_moments(x: DataFrame, cols: Sequence[str], keys: list[str], train_rows: int, step: int) -> DataFrame:
+    """(keys, fold, _rows, _m{i}, _s{i}, _q{i}_{j}) of every fold's training
+    rows [fold * step, fold * step + train_rows): block sums, aggregated
+    map-side, routed to the folds that train on them. A block has
+    gcd(train_rows, step) rows; with gcd 1 every row is its own block."""
+    g = math.gcd(train_rows, step)
+    a, c = step // g, train_rows // g
+    blk = _shifted(x, cols, keys).withColumn("_blk", F.floor(F.col(IDX) / F.lit(g)).cast("long"))
+    sums = blk.groupBy(*keys, "_blk").agg(*_moment_sums(cols))
     # block b trains folds k with k*a <= b < k*a + c
     lo = F.greatest(F.lit(0), F.ceil((F.col("_blk") - F.lit(c - 1)) / F.lit(a))).cast("long")
     hi = F.floor(F.col("_blk") / F.lit(a)).cast("long")
     to_folds = sums.filter(lo <= hi).withColumn("fold", F.explode(F.sequence(lo, hi)))
-    gram = to_folds.groupBy(*keys, "fold").agg(
-        *[F.sum(f"_g{i}_{j}").alias(f"_g{i}_{j}") for i, j in pairs],
-        *[F.sum(f"_b{i}").alias(f"_b{i}") for i in range(p)],
-        F.count(F.lit(1)).alias("_nb"),
-    ).filter(F.col("_nb") == F.lit(c))  # only folds whose whole window exists
-    return gram
-
-
-def solve_gram(gram: DataFrame, keys: list[str], p: int) -> DataFrame:
-    """(keys, fold, _g{i}_{j} for i <= j, _b{i}) -> (keys, fold, coef): the
-    minimum-norm solution of each fold's normal equations."""
-    if p == 1:
-        coef = F.coalesce(F.try_divide(F.col("_b0"), F.col("_g0_0")), F.lit(0.0))
-        return gram.select(*keys, "fold", F.array(coef).alias("coef"))
-    full = [F.col(f"_g{min(i, j)}_{max(i, j)}") for i in range(p) for j in range(p)]
-    packed = gram.select(*keys, "fold", F.array(*full).alias("_xx"), F.array(*[F.col(f"_b{i}") for i in range(p)])
-                         .alias("_xy"))
-    schema = T.StructType([packed.schema[k] for k in keys] + [T.StructField("fold", T.LongType()),
-                                                              T.StructField("coef", T.ArrayType(T.DoubleType()))])
-    return packed.mapInPandas(_solve_batches(p), schema)
+    p = len(cols)
+    added = ["_rows", *[f"_s{i}" for i in range(p)], *[f"_q{i}_{j}" for i in range(p) for j in range(i, p)]]
+    folds = to_folds.groupBy(*keys, "fold").agg(
+        *[F.sum(n).alias(n) for n in added], *[F.first(f"_m{i}").alias(f"_m{i}") for i in range(p)])
+    return folds.filter(F.col("_rows") == F.lit(train_rows))  # only folds whose whole window exists
+
+
+def solve_moments(moments: DataFrame, keys: list[str], cols: Sequence[str], models: dict[str, Linear]) -> DataFrame:
+    """(keys, model, fold, coef): intercept and slopes of each model on each
+    fold. ``cols`` are the moments' columns, the target last; one row per fold
+    reaches Python, p values wide."""
+    p = len(cols)
+    place = {c: i for i, c in enumerate(cols)}
+    picked = {name: [place[f] for f in m.features] + [p - 1] for name, m in models.items()}
+    packed = moments.select(
+        *keys, "fold", F.col("_rows").cast("double").alias("n"), F.array(*[f"_m{i}" for i in range(p)]).alias("m"),
+        F.array(*[f"_s{i}" for i in range(p)]).alias("s"),
+        F.array(*[F.col(f"_q{min(i, j)}_{max(i, j)}") for i in range(p) for j in range(p)]).alias("q"))
+    schema = T.StructType([*[packed.schema[k] for k in keys], T.StructField("fold", T.LongType()),
+                           T.StructField("model", T.StringType()), T.StructField("coef", T.ArrayType(T.DoubleType()))])
+
+    def solve(batches):
+        for pdf in batches:
+            parts = []
+            for name, at in picked.items():
+                coefs = []
+                for n, m, s, q in zip(pdf["n"], pdf["m"], pdf["s"], pdf["q"]):
+                    s = np.asarray(s, float)
+                    cov = np.asarray(q, float).reshape(p, p) - np.outer(s, s) / n
+                    coefs.append(models[name].solve(n, (np.asarray(m, float) + s / n)[at], cov[np.ix_(at, at)]).tolist())
+                parts.append(pdf[[*keys, "fold"]].assign(model=name, coef=coefs))
+            yield pd.concat(parts, ignore_index=True)
+
+    return packed.mapInPandas(solve, schema)
+
+
+def _predicted(test: DataFrame, coefs: DataFrame, keys: list[str], models: dict[str, Linear], target: str,
+               order_col: str) -> DataFrame:
+    pred = test.join(coefs, [*keys, "fold"], "inner")
+    yhat = F.lit(None).cast("double")
+    for name, m in models.items():
+        value = F.col("coef")[0]
+        for i, f in enumerate(m.features):
+            value = value + F.col(f).cast("double") * F.col("coef")[i + 1]
+        yhat = F.when(F.col("model") == name, value).otherwise(yhat)
+    return pred.select(*keys, "model", "fold", F.col(IDX).alias("idx"), order_col,
+                       F.col(target).cast("double").alias("actual"), yhat.alias("prediction"))
+
+
+def walk_forward_linear(
+    df: DataFrame,
+    models: dict[str, Linear],
+    target: str = "spot_price",
+    window: int = DEFAULT_WINDOW,
+    step: int = DEFAULT_STEP,
+    order_col: str = "date",
+    partition_cols: Sequence[str] = (),
+    horizon: int = 0,
+    nulls: str = "raise",
+) -> DataFrame:
+    """M1 for any number of linear models over identical folds, per series:
+    row-level test predictions (keys, model, fold, idx, ``order_col``, actual,
+    prediction). One frame of moments over the union of the models' columns
+    serves all of them.
+
+    ``horizon`` h > 0 is the embargo of a target that lies h rows ahead: a
+    fold trains on its window's rows before ``test_start - h``, so that no
+    training target lies in the test block."""
+    keys = list(partition_cols)
+    cols: list[str] = []
+    for m in models.values():
+        cols += [f for f in m.features if f not in cols]
+    cols.append(target)
+    x = _indexed(_complete(df, cols, nulls), order_col, keys)
+    coefs = solve_moments(fold_moments(x, cols, keys, window - horizon, step), keys, cols, models)
+    return _predicted(test_rows(x, keys, window, step), coefs, keys, models, target, order_col)
+
+
+def horizon_walk_forward(
+    df: DataFrame,
+    models: dict[str, Linear],
+    horizons: Sequence[int],
+    target: str = "spot_price",
+    window: int = DEFAULT_WINDOW,
+    step: int = DEFAULT_STEP,
+    order_col: str = "date",
+    partition_cols: Sequence[str] = (),
+) -> DataFrame:
+    """Walk-forward for targets h rows ahead, one run per horizon: the last h
+    rows have no target and take no part; folds train before test_start - h.
+    Adds ``horizon_days``; ``order_col`` is the day of the prediction."""
+    from tidewise.operators.extensions import horizon_targets
+
+    ahead = cut_lineage(horizon_targets(df, target, horizons, order_col, partition_cols))
+    parts = []
+    for h in horizons:
+        rows = ahead.drop(target).withColumnRenamed(f"target_{h}", target).filter(F.col(target).isNotNull())
+        pred = walk_forward_linear(rows, models, target, window, step, order_col, partition_cols, horizon=h)
+        parts.append(pred.withColumn("horizon_days", F.lit(h)))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
 
 
 def walk_forward_lstsq(
@@ -143,19 +281,14 @@ def walk_forward_lstsq(
     order_col: str = "date",
     partition_cols: Sequence[str] = (),
     model_name: str = "lstsq",
+    nulls: str = "raise",
 ) -> DataFrame:
     """M1 with the M5 model: row-level test predictions.
 
     Output: keys, model, fold, idx, ``order_col``, actual, prediction.
     """
-    keys = list(partition_cols)
-    x = _indexed(df, order_col, keys)
-    coefs = lstsq_coefficients(x, features, target, keys, window, step)
-    t = test_rows(x, keys, window, step)
-    pred = t.join(coefs, [*keys, "fold"], "inner")
-    yhat = sum((F.col(f).cast("double") * F.col("coef")[i] for i, f in enumerate(features)), F.lit(0.0))
-    return pred.select(*keys, F.lit(model_name).alias("model"), "fold", F.col(IDX).alias("idx"), order_col,
-                       F.col(target).cast("double").alias("actual"), yhat.alias("prediction"))
+    return walk_forward_linear(df, {model_name: Linear(tuple(features))}, target, window, step, order_col,
+                               partition_cols, nulls=nulls)
 
 
 def _fold_roles(window: int, step: int) -> F.Column:
@@ -195,38 +328,27 @@ def walk_forward_lstsq_fold_imputed(
     medians are taken per fold over W rows (bounded groups); the Gram sums
     are per fold (features differ between folds, so blocks cannot be shared).
     """
-    from tidewise.operators.impute import exact_quantiles
-
     keys = list(partition_cols)
-    cols = list(features) + [target]
+    cols = [*features, target]
     x = _indexed(df, order_col, keys)
     n = x.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     x = x.join(n, keys) if keys else x.crossJoin(F.broadcast(n))
     base = [*keys, order_col, IDX, *cols]
     ex = materialize(x.select(*base, F.explode(_fold_roles(window, step)).alias("_r"))
                      .select(*base, "_r.fold", "_r.test"))
-    # fold groups hold W rows: the exact small-group path applies, a light
-    # sketch suffices
-    med = exact_quantiles(ex.filter(F.col("test") == 0), cols, [0.5], by=[*keys, "fold"], accuracy=1000)
-    wide = med.groupBy(*keys, "fold").agg(*[F.max(F.when(F.col("name") == c, F.col("value"))).alias(f"_m_{c}")
-                                            for c in cols])
-    filled = ex.join(wide, [*keys, "fold"], "left").select(
+    # a fold group holds W rows, so its median is exact and bounded
+    med = ex.filter(F.col("test") == 0).groupBy(*keys, "fold").agg(
+        *[F.median(F.col(c).cast("double")).alias(f"_med_{c}") for c in cols])
+    filled = ex.join(med, [*keys, "fold"], "left").select(
         *keys, order_col, IDX, "fold", "test",
-        *[F.coalesce(F.col(c).cast("double"), F.col(f"_m_{c}")).alias(c) for c in cols],
+        *[F.coalesce(F.col(c).cast("double"), F.col(f"_med_{c}")).alias(c) for c in cols],
     ).filter(F.col(target).isNotNull())
     filled = materialize(filled)
-    p = len(features)
-    xs = [F.col(f) for f in features]
-    pairs = [(i, j) for i in range(p) for j in range(i, p)]
-    gram = filled.filter(F.col("test") == 0).groupBy(*keys, "fold").agg(
-        *[F.sum(xs[i] * xs[j]).alias(f"_g{i}_{j}") for i, j in pairs],
-        *[F.sum(xs[i] * F.col(target)).alias(f"_b{i}") for i in range(p)],
-    )
-    coefs = solve_gram(gram, keys, p)
-    t = filled.filter(F.col("test") == 1).join(coefs, [*keys, "fold"])
-    yhat = sum((F.col(f) * F.col("coef")[i] for i, f in enumerate(features)), F.lit(0.0))
-    return t.select(*keys, F.lit(model_name).alias("model"), "fold", F.col(IDX).alias("idx"), order_col,
-                    F.col(target).alias("actual"), yhat.alias("prediction"))
+    train = _shifted(filled.filter(F.col("test") == 0), cols, keys)
+    moments = train.groupBy(*keys, "fold").agg(*_moment_sums(cols))
+    models = {model_name: Linear(tuple(features))}
+    coefs = solve_moments(moments, keys, cols, models)
+    return _predicted(filled.filter(F.col("test") == 1), coefs, keys, models, target, order_col)
 
 
 def walk_forward_grouped(
@@ -295,8 +417,10 @@ def fold_metrics(pred: DataFrame, window: int = DEFAULT_WINDOW, step: int = DEFA
     direction accuracy % and R², with the fold's train/test positions.
 
     Direction: sign of the step-to-step change of actual vs prediction inside
-    the fold (first row has no change; 0 equals 0). MAPE skips rows whose
-    actual is 0 (no infinities). Fold groups hold ``step`` rows.
+    the fold (first row has no change; 0 equals 0). A NULL actual or
+    prediction makes all error metrics of its fold NULL (``n_null`` counts
+    them). MAPE leaves out rows whose actual is 0 (no infinities) and
+    ``mape_skipped`` counts those. Fold groups hold ``step`` rows.
     """
     keys = list(partition_cols)
     w = Window.partitionBy(*keys, "model", "fold").orderBy("idx")
@@ -306,16 +430,19 @@ def fold_metrics(pred: DataFrame, window: int = DEFAULT_WINDOW, step: int = DEFA
         (F.signum(a - F.lag(a).over(w)) == F.signum(p - F.lag(p).over(w))).cast("double").alias("_dir"),
     )
     err = a - p
+    full = F.count(err) == F.count(F.lit(1))
     m = d.groupBy(*keys, "model", "fold").agg(
-        F.avg(F.abs(err)).alias("mae"),
-        F.sqrt(F.avg(err * err)).alias("rmse"),
-        (F.avg(F.abs(F.try_divide(err, a))) * 100).alias("mape"),
-        (F.avg("_dir") * 100).alias("direction_accuracy"),
-        (F.lit(1.0) - F.try_divide(F.avg(err * err), F.var_pop(a))).alias("r2"),
+        strict_avg(F.abs(err)).alias("mae"),
+        F.sqrt(strict_avg(err * err)).alias("rmse"),
+        F.when(full, F.avg(F.abs(F.try_divide(err, a))) * 100).alias("mape"),
+        F.when(full, F.avg("_dir") * 100).alias("direction_accuracy"),
+        F.when(full, F.lit(1.0) - F.try_divide(F.avg(err * err), F.var_pop(a))).alias("r2"),
         F.count(F.lit(1)).alias("n_test"),
+        F.count_if(err.isNull()).alias("n_null"),
+        F.count_if(a == 0).alias("mape_skipped"),
     )
     return m.select(*keys, "model", "fold", *_fold_bounds(window, step), "mae", "rmse", "mape",
-                    "direction_accuracy", "r2", "n_test")
+                    "direction_accuracy", "r2", "n_test", "n_null", "mape_skipped")
 
 
 METRICS = ("mae", "rmse", "mape", "direction_accuracy")
@@ -330,41 +457,43 @@ def summary(metrics: DataFrame, by: Sequence[str] = ("model",)) -> DataFrame:
     return metrics.groupBy(*by).agg(*aggs, F.count(F.lit(1)).alias("n_folds"))
 
 
-def compare_lstsq(df: DataFrame, models: dict[str, Sequence[str]], target: str = "spot_price",
-                  window: int = DEFAULT_WINDOW, step: int = DEFAULT_STEP, order_col: str = "date") -> DataFrame:
-    """M2 for least-squares models over identical folds: one prediction frame
-    holding every model (union), ready for ``fold_metrics`` / ``summary``.
-
-    The models share their rows, so the fold Gram sums are aggregated once
-    over the union of their features; each model's normal equations are a
-    sub-matrix of that one frame. The indexed input and the test rows are
-    shared as well."""
-    x = _indexed(df, order_col, [])
-    union: list[str] = []
-    for feats in models.values():
-        union += [f for f in feats if f not in union]
-    gram = materialize(fold_gram(x, union, target, [], window, step))
-    test = materialize(test_rows(x, [], window, step))
-    parts = []
-    for name, feats in models.items():
-        pos = [union.index(f) for f in feats]
-        sub = gram.select(
-            "fold",
-            *[F.col(f"_g{min(pos[i], pos[j])}_{max(pos[i], pos[j])}").alias(f"_g{i}_{j}")
-              for i in range(len(pos)) for j in range(i, len(pos))],
-            *[F.col(f"_b{pos[i]}").alias(f"_b{i}") for i in range(len(pos))],
-        )
-        coefs = solve_gram(sub, [], len(pos))
-        yhat = sum((F.col(f).cast("double") * F.col("coef")[i] for i, f in enumerate(feats)), F.lit(0.0))
-        parts.append(test.join(coefs, "fold").select(
-            F.lit(name).alias("model"), "fold", F.col(IDX).alias("idx"), order_col,
-            F.col(target).cast("double").alias("actual"), yhat.alias("prediction")))
+@dataclass(frozen=True)
+class Fitted:
+    """Any Python model with ``fit(X, y)`` and ``predict(X)``, made by
+    ``make()``, on ``features`` or on what ``prepare(pdf, target)`` returns."""
+
+    make: Callable[[], object]
+    features: tuple[str, ...]
+    prepare: Callable | None = None
+
+
+def compare(df: DataFrame, models: dict[str, Linear | Fitted], target: str = "spot_price",
+            window: int = DEFAULT_WINDOW, step: int = DEFAULT_STEP, order_col: str = "date",
+            partition_cols: Sequence[str] = (), nulls: str = "raise") -> DataFrame:
+    """M2: named models over identical folds, per series: one prediction frame
+    holding every model, ready for ``fold_metrics`` / ``summary``. All linear
+    models share one frame of moments; every other model is one group per fold
+    (``walk_forward_grouped``). MLlib models join by ``unionByName`` with
+    ``models.walk_forward_mllib``."""
+    keys = list(partition_cols)
+    x = _indexed(_complete(df, sorted({f for m in models.values() for f in m.features}) + [target], nulls), order_col, keys)
+    linear = {name: m for name, m in models.items() if isinstance(m, Linear)}
+    parts = [walk_forward_linear(x, linear, target, window, step, order_col, keys)] if linear else []
+    parts += [walk_forward_grouped(x, m.make, m.features, target, window, step, order_col, keys, name, m.prepare)
+              for name, m in models.items() if isinstance(m, Fitted)]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
 
 
+def compare_lstsq(df: DataFrame, models: dict[str, Sequence[str]], target: str = "spot_price",
+                  window: int = DEFAULT_WINDOW, step: int = DEFAULT_STEP, order_col: str = "date",
+                  partition_cols: Sequence[str] = ()) -> DataFrame:
+    """M2 for least-squares models given by their feature lists."""
+    return compare(df, {n: Linear(tuple(f)) for n, f in models.items()}, target, window, step, order_col, partition_cols)
+
+
 class NumpyLeastSquares:
     """No-intercept least squares (the self-test model of the backtester)."""
 

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewise.functions.calendar import storage_calendar_cols, weather_calendar_cols
-from tidewise.functions.nulls import clip_lower, flag, safe_div
+from tidewise.functions.nulls import clip_lower, flag, safe_div, without_nan
 from tidewise.operators.storage import (
     DAILY_CONSUMPTION,
     STORAGE_LAGS,
@@ -49,10 +49,13 @@ def weather_features(
 
     ``mode="literal"`` keeps only (date, HDD, CDD) after the degree-day step,
     so temperature/region branches do not fire (49 columns for a temperature
-    input). ``mode="full"`` keeps the inputs so every branch works.
+    input). ``mode="full"`` keeps the inputs so every branch works: rows of
+    several regions (a ``region`` column that is not a partition column) get
+    their date's weighted sums ``HDD_weighted`` and ``CDD_weighted`` joined
+    back, and the row-ordered stages run per region.
     """
-    cols = set(weather.columns)
-    df = weather
+    df = without_nan(weather)
+    cols = set(df.columns)
     if "temperature" in cols:
         t = F.col("temperature")
         hdd = clip_lower(F.lit(BASE_TEMP) - t).alias("HDD")
@@ -62,7 +65,8 @@ def weather_features(
         else:
             df = df.select("*", hdd, cdd)
     if "region" in df.columns and "region" not in partition_cols:
-        df = regional_degree_days(df, date_col=date_col)
+        df = df.join(regional_degree_days(df, date_col=date_col), date_col)
+        partition_cols = [*partition_cols, "region"]
     targets = [c for c in ("HDD", "CDD", "temperature") if c in df.columns]
     if targets:
         def build(w):
@@ -87,6 +91,7 @@ def storage_features(
     """Metrics -> lags -> rolling -> calendar -> tightness -> trend ->
     projections -> interactions (63 columns for date, working_gas,
     five_year_avg)."""
+    storage = without_nan(storage)
     cols = set(storage.columns)
     has_wg = "working_gas" in cols
     has_avg = "five_year_avg" in cols

@@ -11,6 +11,7 @@ and grouped-map paths, so ``backtest.fold_metrics`` / ``summary`` apply.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 
 from tidewise.plans import backtest as bt
 from tidewise.plans.ordered import IDX, add_row_index, materialize
-from tidewise.session import cut_lineage
+from tidewise.session import cut_lineage, scratch_path
 
 # Fixed hyper-parameters of the model configuration.
 ELASTIC_NET = {"alpha": 0.01, "l1_ratio": 0.5, "max_iter": 1000}
@@ -104,9 +105,19 @@ class RegressionModel:
         self.model.write().overwrite().save(path)
 
 
-def feature_importance(model: PipelineModel, features: Sequence[str]) -> DataFrame:
-    """M3: importance table; an empty frame when the model has none."""
+def feature_importance(model, features: Sequence[str] = ()) -> DataFrame:
+    """M3: importance table of a fitted pipeline, or of any object with
+    ``get_feature_importance()`` (a frame, a mapping or pairs); an empty frame
+    when the model has none."""
     spark = SparkSession.getActiveSession()
+    if hasattr(model, "get_feature_importance"):
+        got = model.get_feature_importance()
+        if isinstance(got, DataFrame):
+            return got
+        pairs = got.items() if isinstance(got, dict) else got
+        return spark.createDataFrame([(str(f), float(v)) for f, v in pairs], "feature string, importance double")
+    if not hasattr(model, "stages"):
+        return spark.createDataFrame([], "feature string, importance double")
     last = model.stages[-1]
     if hasattr(last, "featureImportances"):
         vals = last.featureImportances.toArray().tolist()
@@ -148,12 +159,18 @@ def walk_forward_mllib(
                                         F.col(IDX).alias("idx"), order_col,
                                         F.col(target).cast("double").alias("actual"), "prediction")
 
+    # each fold's predictions go to a partition of a table in the shared folder:
+    # the result is one scan, not a union of K plans
+    path = scratch_path(x.sparkSession, f"folds/{uuid.uuid4().hex}")
+
+    def write(k: int) -> None:
+        one(k).drop("fold").write.parquet(f"{path}/fold={k}")
+
     with ThreadPoolExecutor(max_workers=parallelism) as pool:
-        parts = list(pool.map(one, range(K)))
-    if not parts:
-        return x.sparkSession.createDataFrame([], "model string, fold bigint, idx bigint, date date, actual double, "
-                                                  "prediction double")
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+        list(pool.map(write, range(K)))
+    schema = f"model string, idx bigint, `{order_col}` {x.schema[order_col].dataType.simpleString()}, actual double, prediction double"
+    if not K:
+        return x.sparkSession.createDataFrame([], schema + ", fold bigint").select(
+            "model", "fold", "idx", order_col, "actual", "prediction")
+    return x.sparkSession.read.schema(schema + ", fold bigint").parquet(path).select(
+        "model", "fold", "idx", order_col, "actual", "prediction")

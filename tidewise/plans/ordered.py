@@ -137,22 +137,32 @@ def add_row_index(
     partition_cols: Sequence[str] = (),
     index_col: str = IDX,
     coarse_unit: str | int | None = None,
-    reuse: str | None = "persist",
+    reuse: str | None = None,
 ) -> DataFrame:
     """0-based row position per series (``iloc`` position), distributed.
 
-    ``(partition_cols, order_col)`` must be unique; ties get an arbitrary but
-    fixed order only within one run.
+    ``(partition_cols, order_col)`` must be unique: a tie fails the job, as
+    its rows would have no fixed position. ``order_col`` may list tiebreak
+    columns after the time column.
+
+    The input is read twice: the count pass needs the key and time columns
+    only, and equal aggregates below it are computed once. Pass
+    ``reuse="persist"`` for an input that is costly or not deterministic (and
+    release it afterwards).
     """
     keys = list(partition_cols)
-    # the input is read twice (bucket counts, then rows)
     x = materialize(df, reuse).withColumn(CB, _coarse(df, order_col, coarse_unit))
     counts = x.groupBy(*keys, CB).agg(F.count(F.lit(1)).alias("_n"))
     prefix = Window.partitionBy(*keys).orderBy(CB).rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(*keys, CB, F.coalesce(F.sum("_n").over(prefix), F.lit(0)).cast("long").alias("_off"))
     joined = _null_safe_join(x, offsets, keys + [CB])
-    rn = F.row_number().over(Window.partitionBy(*keys, CB).orderBy(*_order_list(order_col)))
-    return joined.withColumn(index_col, F.col("_off") + rn - 1).drop("_off", CB)
+    order = _order_list(order_col)
+    w = Window.partitionBy(*keys, CB).orderBy(*order)
+    here = F.struct(*order)
+    tie = F.lag(here).over(w) == here
+    fail = F.raise_error(F.lit(f"rows tie in {order}; add a tiebreak column")).cast("long")
+    idx = F.when(tie, fail).otherwise(F.col("_off") + F.row_number().over(w) - 1)
+    return joined.withColumn(index_col, idx).drop("_off", CB)
 
 
 def _halo(df: DataFrame, bucket_rows: int, halo_rows: int, index_col: str, ahead_rows: int = 0) -> DataFrame:
@@ -222,7 +232,6 @@ def forward_fill(
     order_col: str | Sequence[str] = "date",
     partition_cols: Sequence[str] = (),
     plan: str = "halo",
-    bucket_rows: int = DEFAULT_BUCKET_ROWS,
     coarse_unit: str | int | None = None,
 ) -> DataFrame:
     """``out_col`` = last non-null ``value_col`` at or before each row (in
@@ -233,8 +242,9 @@ def forward_fill(
     coarse time bucket) window partitions; a row whose bucket has no earlier
     non-null value takes the carry - the last non-null value of the previous
     buckets - from a summary frame with one row per (keys, bucket), built by
-    one aggregation and a prefix window over that small frame.
-    ``bucket_rows`` is unused here (kept for a uniform signature).
+    one aggregation and a prefix window over that small frame. A bucket's
+    rows are bounded by the rows per key and ``coarse_unit``; name a finer unit
+    for series denser than one row a day (dates) or second (timestamps).
     """
     keys = list(partition_cols)
     order = _order_list(order_col)
@@ -243,7 +253,7 @@ def forward_fill(
     if plan == "partition":
         w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
         return df.select("*", *[F.last(v, ignorenulls=True).over(w).alias(o) for v, o in zip(vals, outs)])
-    x = materialize(df).withColumn(CB, _coarse(df, order, coarse_unit))
+    x = df.withColumn(CB, _coarse(df, order, coarse_unit))
     okey = F.struct(*[F.col(c) for c in order]) if len(order) > 1 else F.col(order[0])
     # per bucket: last non-null value (max_by skips rows whose ordering is null)
     summary = x.groupBy(*keys, CB).agg(

@@ -9,7 +9,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewise.operators.impute import median_impute, training_window
+from tidewise.operators.impute import median_impute, window_bounds
 from tidewise.operators.joins import feature_matrix
 from tidewise.plans import backtest as bt
 from tidewise.plans import models as md
@@ -26,11 +26,14 @@ def training_data(tables: dict[str, DataFrame], start: str | None = None, end: s
                   days: int = 730, mode: str = "exact", rollup_entities: bool = False) -> DataFrame:
     """P11 -> J1 -> P10: the matrix of the training window with medians
     filled (columns that are null throughout are dropped from the features
-    later, as an all-null column cannot be assembled)."""
-    m = feature_matrix(tables, start, end, mode=mode, rollup_entities=rollup_entities)
+    later, as an all-null column cannot be assembled).
+
+    Without bounds the window ends at the last price date: that date is read
+    from the price table alone, and the window bounds every side before the
+    joins."""
     if start is None and end is None:
-        m = training_window(m, days)
-    return median_impute(m, "spot_price")
+        start, end = window_bounds(tables["prices"], days)
+    return median_impute(feature_matrix(tables, start, end, mode=mode, rollup_entities=rollup_entities), "spot_price")
 
 
 def run_training(
@@ -42,12 +45,14 @@ def run_training(
     start: str | None = None,
     end: str | None = None,
     model_overrides: dict[str, dict] | None = None,
+    rollup_entities: bool = True,
 ) -> DataFrame:
     """Training data -> final fit of every model (K8 save) ->
     walk-forward comparison over identical folds (M2) -> K7 report rows
-    (also written as a parquet table under ``out_dir``)."""
+    (also written as a parquet table under ``out_dir``). Entities are rolled
+    up by default: a walk-forward needs one row per date."""
     # fitted by several models and fold loops: cut the lineage once
-    data = cut_lineage(training_data(tables, start, end))
+    data = cut_lineage(training_data(tables, start, end, rollup_entities=rollup_entities))
     non_null = data.agg(*[F.count(c).alias(c) for c in data.columns]).first().asDict()
     feats = [c for c in md.feature_columns(data, "spot_price") if non_null.get(c)]
     preds = []

@@ -601,7 +601,8 @@ def q_p10(spark, sf_dir):
 )
 def q_p11(spark, sf_dir):
     """P11 trailing 730-day training window ending at the latest date."""
-    return im.training_window(jn.feature_matrix(ld.tables(spark, sf_dir)), 730)
+    start, end = im.window_bounds(vw.daily_orders(spark, sf_dir), 730)
+    return jn.feature_matrix(ld.tables(spark, sf_dir, (start, end)), start, end)
 
 
 # ----------------------------------------------------------- D: extensions
@@ -697,7 +698,7 @@ _METRICS_SQL = (
     " sqrt(avg((actual - prediction) * (actual - prediction))) as rmse,"
     " avg(abs((actual - prediction) / nullif(actual, 0))) * 100 as mape, avg(dir) * 100 as direction_accuracy,"
     " 1 - avg((actual - prediction) * (actual - prediction)) / nullif(var_pop(actual), 0) as r2,"
-    " count(*) as n_test from d group by model, fold)"
+    " count(*) as n_test, cast(0 as bigint) as n_null, count(*) filter (actual = 0) as mape_skipped from d group by model, fold)"
 )
 _SUMMARY_SQL = ("select model, " + ", ".join(f"avg({m}) as {m}_mean, stddev_pop({m}) as {m}_std" for m in bt.METRICS)
                 + ", count(*) as n_folds from m group by model")
@@ -862,23 +863,6 @@ def q_x2(spark, sf_dir):
                                    WF_WINDOW, WF_STEP, model_name="lstsq")
 
 
-@register("m4_elastic_net")
-def q_m4(spark, sf_dir):
-    """M4 + M3: elastic net (alpha .01, l1 .5, 1000 iterations) on the
-    walk-forward input; coefficient magnitudes as importance."""
-    pipe = md.RegressionModel("elastic_net", "spot_price", ["x", "x2"])
-    pipe.train_final_model(walk_forward_input(spark, sf_dir))
-    return pipe.get_feature_importance()
-
-
-@register("m6_random_forest")
-def q_m6(spark, sf_dir):
-    """M6 + M3 + O2: random forest (seed 42) feature importances, ranked."""
-    pipe = md.RegressionModel("random_forest", "spot_price", ["x", "x2"])
-    pipe.train_final_model(walk_forward_input(spark, sf_dir))
-    return rp.top_k(pipe.get_feature_importance(), "importance", 10, tiebreak="feature")
-
-
 @register(
     "st1_stream_gas_burn",
     rsql("select event_type as ba, cast(ts as date) as date, "
@@ -888,7 +872,7 @@ def q_m6(spark, sf_dir):
 def q_st1(spark, sf_dir):
     """A1 on a stream of the event files: exactly-once per-batch partial
     sums in the shared folder, merged."""
-    return sp.run_gas_burn_batches(sp.events_stream(spark, sf_dir))
+    return sp.run_gas_burn_batches(sp.events_stream(spark, sf_dir), scratch_path(spark, f"gas_burn/{uuid.uuid4().hex}"))
 
 
 @register(
@@ -989,9 +973,9 @@ def q_d9(spark, sf_dir):
     """D7 + D9: predictions-table rows with exact residual-quantile bands (10 % / 90 %) and error."""
     pred = bt.compare_lstsq(walk_forward_input(spark, sf_dir), {"hdd": ["x"], "hdd_cdd": ["x", "x2"]},
                             "spot_price", WF_WINDOW, WF_STEP)
-    from tidewise.plans.ordered import materialize
+    from tidewise.session import cut_lineage
 
-    pred = materialize(pred)
+    pred = cut_lineage(pred)
     return _ex.prediction_rows(pred, _ex.residual_bands(pred))
 
 
@@ -1157,3 +1141,6 @@ def q_e1_region(spark, sf_dir):
     """E1 over many series: full mode per region (lags, rolling statistics,
     calendar and interactions of each region's own series; keyed halo plan)."""
     return fe.weather_features(vw.v_weather_region(spark, sf_dir), mode="full", partition_cols=["region"])
+
+
+from tidewise import registry_models  # noqa: E402, F401

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewise.operators.weather import degree_days
+from tidewise.sources.series import from_payload
 
 FORECAST_SCHEMA = T.StructType([
     T.StructField("properties", T.StructType([
@@ -31,11 +32,6 @@ STATIONS = [
 ]
 
 
-def stations(spark: SparkSession) -> DataFrame:
-    """The six stations as a dimension frame."""
-    return spark.createDataFrame(STATIONS, "station string, lat double, lon double, region string")
-
-
 def station_region(station: F.Column) -> F.Column:
     """Region of a station (literal six-entry map; NULL for unknown)."""
     m = F.create_map(*[e for n, _, _, r in STATIONS for e in (F.lit(n), F.lit(r))])
@@ -52,16 +48,18 @@ def region_stations(region: F.Column) -> F.Column:
 
 
 def parse_forecast(payloads: DataFrame, days: int = 14, payload_col: str = "payload",
-                   keep: tuple[str, ...] = ("station",)) -> DataFrame:
+                   keep: tuple[str, ...] = ("station",), on_corrupt: str = "raise") -> DataFrame:
     """S3: first ``days`` periods of each payload -> (keep..., period_no, date,
     temperature, wind_speed, wind_mph, precipitation).
 
     The date is the local calendar date written in ``startTime`` (its first
     ten characters, no time-zone shift); ``wind_speed`` keeps the text
     (missing -> ""), ``wind_mph`` is its leading number; a missing
-    precipitation object gives 0, an explicit null value stays null.
+    precipitation object gives 0, an explicit null value stays null. A corrupt
+    payload fails the job unless ``on_corrupt="skip"``
+    (``series.corrupt_payloads`` with ``FORECAST_SCHEMA`` returns it).
     """
-    p = payloads.select(*keep, F.from_json(F.col(payload_col), FORECAST_SCHEMA).alias("_p"))
+    p = payloads.select(*keep, from_payload(F.col(payload_col), FORECAST_SCHEMA, on_corrupt).alias("_p"))
     first = p.select(*keep, F.posexplode(F.slice(F.col("_p.properties.periods"), 1, days)).alias("period_no", "_r"))
     r = F.col("_r")
     pop = r["probabilityOfPrecipitation"]

@@ -16,60 +16,61 @@ from tidewise.functions.nulls import clip_lower
 from tidewise.operators.power import gas_burn_proxy
 from tidewise.operators.weather import BASE_TEMP
 from tidewise.sources import views as vw
+from tidewise.sources.tables import Bounds
 
 def _null_d() -> F.Column:
     return F.lit(None).cast("double")
 
 
-def prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+def prices(spark: SparkSession, sf_dir: str, bounds: Bounds = None) -> DataFrame:
     """K3 henry-hub spot -> prices (hub constant, futures columns null)."""
-    p = vw.v_prices(spark, sf_dir)
+    p = vw.v_prices(spark, sf_dir, bounds)
     return p.select("date", F.lit("HenryHub").alias("hub"), "spot_price",
                     _null_d().alias("front_month"), _null_d().alias("m1_m2_spread"))
 
 
-def storage_weekly(spark: SparkSession, sf_dir: str) -> DataFrame:
+def storage_weekly(spark: SparkSession, sf_dir: str, bounds: Bounds = None) -> DataFrame:
     """K3 storage -> storage_weekly; the declared deviation column is filled
     (D2: working_gas - five_year_avg), the week-over-week change is left to
     the window stage (null here, as ingested)."""
-    s = vw.v_storage(spark, sf_dir)
+    s = vw.v_storage(spark, sf_dir, bounds)
     return s.select(F.col("date").alias("report_date"), "working_gas", "five_year_avg",
                     (F.col("working_gas") - F.col("five_year_avg")).alias("yoy_deviation"),
                     _null_d().alias("wow_change"))
 
 
-def production_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return vw.v_production(spark, sf_dir)
+def production_monthly(spark: SparkSession, sf_dir: str, bounds: Bounds = None) -> DataFrame:
+    return vw.v_production(spark, sf_dir, bounds)
 
 
-def lng_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
+def lng_monthly(spark: SparkSession, sf_dir: str, bounds: Bounds = None) -> DataFrame:
     """K3 lng exports -> lng_monthly (price null, notes empty)."""
-    lng = vw.v_lng(spark, sf_dir)
+    lng = vw.v_lng(spark, sf_dir, bounds)
     return lng.select("month", "exports_bcf", _null_d().alias("avg_price"), F.lit("").alias("terminal_notes"),
                       "lng_capacity_bcfpd")
 
 
-def power_burn(spark: SparkSession, sf_dir: str) -> DataFrame:
+def power_burn(spark: SparkSession, sf_dir: str, bounds: Bounds = None) -> DataFrame:
     """K5 gas burn per balancing area and day; loads null."""
-    burn = gas_burn_proxy(vw.v_power(spark, sf_dir), "ts", by=["ba"], out_col="gas_mwh")
+    burn = gas_burn_proxy(vw.v_power(spark, sf_dir, bounds), "ts", by=["ba"], out_col="gas_mwh")
     return burn.select("date", "ba", "gas_mwh", _null_d().alias("total_load_mwh"), _null_d().alias("renewables_mwh"))
 
 
-def weather_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+def weather_daily(spark: SparkSession, sf_dir: str, bounds: Bounds = None) -> DataFrame:
     """K4 regional temperatures -> weather_daily.
 
     Stations that share a region collide on (date, region); they are averaged
     before the write (one row per key). HDD/CDD are filled from P1.
     """
-    w = vw.v_weather_region(spark, sf_dir).groupBy("date", "region").agg(F.avg("temperature").alias("temperature"))
+    w = vw.v_weather_region(spark, sf_dir, bounds).groupBy("date", "region").agg(F.avg("temperature").alias("temperature"))
     t = F.col("temperature")
     return w.select("date", "region", clip_lower(F.lit(BASE_TEMP) - t).alias("hdd"),
                     clip_lower(t - F.lit(BASE_TEMP)).alias("cdd"), _null_d().alias("hdd_norm_delta"),
                     _null_d().alias("cdd_norm_delta"), "temperature", _null_d().alias("wind_speed"))
 
 
-def rigs_weekly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return vw.v_rigs(spark, sf_dir)
+def rigs_weekly(spark: SparkSession, sf_dir: str, bounds: Bounds = None) -> DataFrame:
+    return vw.v_rigs(spark, sf_dir, bounds)
 
 
 BUILDERS = {
@@ -83,8 +84,15 @@ BUILDERS = {
 }
 
 
-def tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {k: f(spark, sf_dir) for k, f in BUILDERS.items()}
+def tables(spark: SparkSession, sf_dir: str, bounds: Bounds = None) -> dict[str, DataFrame]:
+    """All stored-table frames; ``bounds`` limits the scans to the rows that
+    stamps within them need."""
+    return {k: f(spark, sf_dir, bounds) for k, f in BUILDERS.items()}
+
+
+def latest_price_date(spark: SparkSession, sf_dir: str) -> str:
+    """The last date of the price table, from a scan of its date column."""
+    return str(vw.daily_orders(spark, sf_dir).agg(F.max("date")).first()[0])
 
 
 # DuckDB twins (CTE bodies over the view CTEs).

@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidewise.functions.nulls import nan_to_null
+
 SERIES_SCHEMA = T.StructType([
     T.StructField("data", T.ArrayType(T.StructType([
         T.StructField("period", T.StringType()),
@@ -48,21 +50,45 @@ def frequency(series_id: F.Column) -> F.Column:
             .when(series_id.endswith(".M"), "monthly"))
 
 
+CORRUPT = "_corrupt_record"
+
+
+def from_payload(payload: F.Column, schema: T.StructType, on_corrupt: str = "raise") -> F.Column:
+    """Parsed JSON. A payload that is NULL or not a complete JSON document is
+    an incomplete result: it fails the job, or with ``on_corrupt="skip"``
+    gives NULL (``corrupt_payloads`` returns those rows)."""
+    if on_corrupt not in ("raise", "skip"):
+        raise ValueError(on_corrupt)
+    wide = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+    parsed = F.from_json(payload, wide, {"columnNameOfCorruptRecord": CORRUPT})
+    bad = payload.isNull() | parsed[CORRUPT].isNotNull()
+    if on_corrupt == "skip":
+        return F.when(~bad, parsed)
+    return F.when(bad, F.raise_error(F.lit("corrupt payload")).cast(wide)).otherwise(parsed)
+
+
+def corrupt_payloads(payloads: DataFrame, schema: T.StructType = SERIES_SCHEMA, payload_col: str = "payload") -> DataFrame:
+    """The rows of ``payloads`` that do not parse."""
+    return payloads.filter(from_payload(F.col(payload_col), schema, "skip").isNull())
+
+
 def parse_series(payloads: DataFrame, payload_col: str = "payload", keep: tuple[str, ...] = ("series_id",),
-                 start: str | None = None, end: str | None = None) -> DataFrame:
+                 start: str | None = None, end: str | None = None, on_corrupt: str = "raise") -> DataFrame:
     """Payload rows -> (keep..., date, value).
 
+    A corrupt payload fails the job unless ``on_corrupt="skip"``.
+
     ``period`` may be a day or a month (``yyyy-MM`` -> first of month); a
     malformed period fails the job (strict). Values that are not numbers
     become NULL and, like any row with a NULL, are dropped. A payload with no
     ``data`` contributes no rows. Optional inclusive date bounds.
     """
-    parsed = payloads.select(*keep, F.from_json(F.col(payload_col), SERIES_SCHEMA).alias("_p"))
+    parsed = payloads.select(*keep, from_payload(F.col(payload_col), SERIES_SCHEMA, on_corrupt).alias("_p"))
     rows = parsed.select(*keep, F.explode("_p.data").alias("_r"))
     out = rows.select(
         *keep,
         F.to_date(F.col("_r.period")).alias("date"),
-        F.col("_r.value").try_cast("double").alias("value"),
+        nan_to_null(F.col("_r.value").try_cast("double")).alias("value"),
     ).dropna(subset=["date", "value"])
     if start:
         out = out.filter(F.col("date") >= F.lit(start).cast("date"))
@@ -71,18 +97,13 @@ def parse_series(payloads: DataFrame, payload_col: str = "payload", keep: tuple[
     return out
 
 
-def series_catalog(spark: SparkSession) -> DataFrame:
-    """Fixed five-row catalog: (series, series_id, frequency)."""
-    df = spark.createDataFrame(list(SERIES_IDS.items()), "series string, series_id string")
-    return df.withColumn("frequency", frequency(F.col("series_id")))
-
-
-def core_series(payloads: DataFrame, start: str | None = None, end: str | None = None) -> DataFrame:
+def core_series(payloads: DataFrame, start: str | None = None, end: str | None = None,
+                on_corrupt: str = "raise") -> DataFrame:
     """All named series in one pass -> long (series, series_id, frequency,
     date, value). The five-entry catalog is a literal map lookup (no join);
     unknown series ids are dropped."""
     names = F.create_map(*[e for k, v in SERIES_IDS.items() for e in (F.lit(v), F.lit(k))])
-    parsed = parse_series(payloads, start=start, end=end)
+    parsed = parse_series(payloads, start=start, end=end, on_corrupt=on_corrupt)
     sid = F.col("series_id")
     return parsed.select(names[sid].alias("series"), "series_id", frequency(sid).alias("frequency"), "date",
                          "value").filter(F.col("series").isNotNull())

@@ -11,6 +11,7 @@ import os
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -65,31 +66,89 @@ TABLES: dict[str, TableSpec] = {
 PART_COL = "ym"
 
 
-def conform(df: DataFrame, table: str) -> DataFrame:
-    """Select the table's columns in order, cast to the stored types.
+REASONS = ("type", "null_key", "duplicate")
 
-    Missing columns become typed NULLs. Casts use ``try_cast`` so an
-    out-of-range value becomes NULL instead of failing the job; callers can
-    count those through ``reject_count``.
-    """
-    spec = TABLES[table]
-    cols = []
-    for f in spec.schema.fields:
-        if f.name in df.columns:
-            cols.append(F.col(f.name).try_cast(f.dataType).alias(f.name))
-        else:
-            cols.append(F.lit(None).cast(f.dataType).alias(f.name))
-    return df.select(*cols)
 
+class RejectedRowsError(ValueError):
+    """Rows that do not fit the stored types, or lack a part of the key."""
 
-def reject_count(df: DataFrame, table: str) -> DataFrame:
-    """Rows whose non-null values do not fit the stored types (1-row frame)."""
-    spec = TABLES[table]
+
+class DuplicateKeyError(ValueError):
+    """Different rows with one key, or a key that is already stored."""
+
+
+def _columns(df: DataFrame, table: str) -> list[F.Column]:
+    """The table's columns in order, in the stored types (NULL where a value
+    does not fit; ``split_batch`` tells those apart). Missing columns: NULL."""
+    return [(F.col(f.name).try_cast(f.dataType) if f.name in df.columns else F.lit(None).cast(f.dataType))
+            .alias(f.name) for f in TABLES[table].schema.fields]
+
+
+def _misfit(df: DataFrame, table: str) -> F.Column:
     bad = F.lit(False)
-    for f in spec.schema.fields:
+    for f in TABLES[table].schema.fields:
         if f.name in df.columns:
             bad = bad | (F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull())
-    return df.agg(F.sum(bad.cast("int")).alias("rejected"))
+    return bad
+
+
+def conform(df: DataFrame, table: str) -> DataFrame:
+    """The table's columns in the stored types; a value that does not fit
+    fails the job (``split_batch`` sets such rows apart instead)."""
+    bad = F.when(_misfit(df, table), F.raise_error(F.lit(f"{table}: a value does not fit its stored type")))
+    checked = df.withColumn("_misfit", bad.cast("int"))
+    return checked.filter(F.col("_misfit").isNull()).select(*_columns(df, table))
+
+
+def split_batch(df: DataFrame, table: str) -> tuple[DataFrame, DataFrame]:
+    """(accepted, rejected) rows of a batch.
+
+    Accepted rows have the stored columns and types, complete keys, and one
+    row per key; rows equal in every column count as one. Rejected rows keep
+    the batch's columns as text and add ``reason``: ``type`` (a value does
+    not fit), ``null_key`` (a key part is NULL) or ``duplicate`` (different
+    rows with one key: none of them is chosen)."""
+    return _split(_flagged(df, table), table)
+
+
+def _flagged(df: DataFrame, table: str) -> DataFrame:
+    """The batch's rows: stored columns, the original ones as text, the
+    ``_reason`` of a rejected row and ``_copy`` (1 for the row to keep of equal
+    ones). One shuffle, by key."""
+    spec = TABLES[table]
+    keys, names = list(spec.keys), [f.name for f in spec.schema.fields]
+    no_key = F.lit(False)
+    for k in keys:
+        no_key = no_key | F.col(k).isNull()
+    raw = F.struct(*[F.col(c).cast("string").alias(c) for c in df.columns]).alias("_raw")
+    x = df.select(raw, _misfit(df, table).alias("_bad"), *_columns(df, table))
+    x = x.withColumn("_reason", F.when(F.col("_bad"), "type").when(no_key, "null_key")).drop("_bad")
+    content = F.to_json(F.struct(*names))
+    one = Window.partitionBy(*keys, "_reason")
+    clash = F.col("_reason").isNull() & (F.min(content).over(one) < F.max(content).over(one))
+    copy = F.row_number().over(one.orderBy(content))
+    return x.select("_raw", *names, F.when(clash, "duplicate").otherwise(F.col("_reason")).alias("_reason"),
+                    copy.alias("_copy"))
+
+
+def _split(flagged: DataFrame, table: str) -> tuple[DataFrame, DataFrame]:
+    names = [f.name for f in TABLES[table].schema.fields]
+    accepted = flagged.filter("_reason is null and _copy = 1").select(*names)
+    return accepted, flagged.filter("_reason is not null").select("_raw.*", F.col("_reason").alias("reason"))
+
+
+def _raise_rejects(flagged: DataFrame, table: str) -> None:
+    counts = {r["_reason"]: r["n"] for r in flagged.filter("_reason is not null").groupBy("_reason").agg(
+        F.count("*").alias("n")).collect()}
+    if counts.get("duplicate"):
+        raise DuplicateKeyError(f"{table}: {counts}")
+    if counts:
+        raise RejectedRowsError(f"{table}: {counts}")
+
+
+def reject_count(df: DataFrame, table: str) -> DataFrame:
+    """Rejected rows by reason: (reason, n), one row per reason that occurs."""
+    return split_batch(df, table)[1].groupBy("reason").agg(F.count("*").alias("n"))
 
 
 def table_path(root: str, table: str) -> str:
@@ -115,7 +174,8 @@ def _write_partitioned(out: DataFrame, path: str, mode: str, date_col: str) -> N
     large files) and a busy month is still split across tasks."""
     spark = out.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    (out.repartitionByRange(n, PART_COL, date_col).write.mode(mode).partitionBy(PART_COL).parquet(path))
+    (out.repartitionByRange(n, PART_COL, date_col).write.mode(mode).option("partitionOverwriteMode", "dynamic")
+     .partitionBy(PART_COL).parquet(path))
 
 
 def read_stored(spark: SparkSession, root: str, table: str) -> DataFrame:
@@ -124,73 +184,61 @@ def read_stored(spark: SparkSession, root: str, table: str) -> DataFrame:
     return spark.read.schema(schema).parquet(table_path(root, table))
 
 
-class DuplicateKeyError(ValueError):
-    pass
-
-
-def append(df: DataFrame, root: str, table: str, on_conflict: str = "error") -> int:
+def append(df: DataFrame, root: str, table: str, on_conflict: str = "error", on_reject: str = "raise") -> int:
     """K2: append rows to a stored table with primary-key semantics.
 
-    Keys duplicated inside the batch, or already present in the table, are an
-    error (``on_conflict="error"``), skipped (``"skip"``, left anti join) or
-    replace the stored rows of the touched partitions (``"replace"``).
+    Keys already present in the table are an error (``on_conflict="error"``),
+    skipped (``"skip"``, left anti join) or replace the stored rows of the
+    touched partitions (``"replace"``). Rows that ``split_batch`` rejects
+    raise ``RejectedRowsError`` / ``DuplicateKeyError`` before anything is
+    written; ``on_reject="separate"`` writes the accepted rows only, and the
+    caller reads the others from ``split_batch`` (or ``append_accepted``).
     Returns the number of rows written; an empty batch is a no-op.
     """
-    spark = df.sparkSession
-    spec = TABLES[table]
+    flagged = cut_lineage(_flagged(df, table))  # read by the checks and by the write
+    if on_reject == "raise":
+        _raise_rejects(flagged, table)
+    elif on_reject != "separate":
+        raise ValueError(on_reject)
+    return _append_flagged(flagged, root, table, on_conflict)
+
+
+def _append_flagged(flagged: DataFrame, root: str, table: str, on_conflict: str) -> int:
+    if on_conflict not in ("error", "skip", "replace"):
+        raise ValueError(on_conflict)
+    spark, spec = flagged.sparkSession, TABLES[table]
     keys = list(spec.keys)
-    # the batch is read by the key checks, the count and the write
-    batch = conform(df, table).persist()
-    # one aggregation gives both the row count and whether a key repeats
-    stats = batch.groupBy(*keys).count().agg(F.sum("count").alias("n"), F.max("count").alias("mx")).first()
-    n_in, dup_in_batch = (stats["n"] or 0), (stats["mx"] or 0) > 1
-    if n_in == 0:
-        batch.unpersist()
-        return 0
-    if dup_in_batch and on_conflict == "error":
-        batch.unpersist()
-        raise DuplicateKeyError(f"{table}: duplicate key inside the batch")
-    if dup_in_batch:
-        batch = batch.dropDuplicates(keys)
     path = table_path(root, table)
     create_tables(spark, root, (table,))
-    stored = read_stored(spark, root, table).drop(PART_COL)
-    has_rows = bool(stored.inputFiles())  # driver-side listing, no job
-    ym = F.date_format(F.col(spec.date_col), "yyyy-MM")
+    batch = _split(flagged, table)[0].withColumn(PART_COL, F.date_format(F.col(spec.date_col), "yyyy-MM"))
+    n, first, last = batch.agg(F.count("*"), F.min(PART_COL), F.max(PART_COL)).first()
+    if not n:
+        return 0
+    # only the year-months of the batch can hold its keys: the filter prunes the others' files
+    stored = read_stored(spark, root, table).filter(F.col(PART_COL).between(first, last))
+    by = [*keys, PART_COL]
     if on_conflict == "error":
-        if has_rows and batch.join(stored.select(*keys), keys, "left_semi").limit(1).count():
-            batch.unpersist()
+        if not batch.join(stored.select(*by), by, "left_semi").isEmpty():
             raise DuplicateKeyError(f"{table}: key already stored")
     elif on_conflict == "skip":
-        if has_rows:
-            batch = batch.join(stored.select(*keys), keys, "left_anti")
-    elif on_conflict == "replace":
-        if has_rows:
-            touched = batch.select(ym.alias(PART_COL)).distinct()
-            keep = (stored.withColumn(PART_COL, ym).join(touched, PART_COL, "left_semi")
-                    .join(batch.select(*keys), keys, "left_anti").drop(PART_COL))
-            batch = batch.unionByName(keep)
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-        # the rewrite reads partitions it overwrites: cut the lineage first
-        out = cut_lineage(batch.withColumn(PART_COL, ym))
-        n = out.count()
-        if n:
-            _write_partitioned(out, path, "overwrite", spec.date_col)
-        return n
+        batch = cut_lineage(batch.join(stored.select(*by), by, "left_anti"))
+        n = batch.count()
     else:
-        raise ValueError(on_conflict)
-    out = batch.withColumn(PART_COL, ym)
-    n = n_in if on_conflict == "error" and not dup_in_batch else None
-    out = out.persist() if n is None else out
-    if n is None:
-        n = out.count()
+        touched = batch.select(PART_COL).distinct()
+        keep = stored.join(touched, PART_COL, "left_semi").join(batch.select(*by), by, "left_anti")
+        # the rewrite reads partitions that it overwrites: cut the lineage first
+        batch = cut_lineage(batch.unionByName(keep.select(*batch.columns)))
+        n = batch.count()
     if n:
-        _write_partitioned(out, path, "append", spec.date_col)
-    out.unpersist()
-    batch.unpersist()
+        _write_partitioned(batch, path, "overwrite" if on_conflict == "replace" else "append", spec.date_col)
     return n
 
 
+def append_accepted(df: DataFrame, root: str, table: str, on_conflict: str = "error") -> tuple[int, DataFrame]:
+    """``append`` of the accepted rows, with the rejected ones as a frame."""
+    return append(df, root, table, on_conflict, "separate"), split_batch(df, table)[1]
+
+
 def scan_range(df: DataFrame, table: str | None = None, start: str | None = None, end: str | None = None,
                date_col: str | None = None) -> DataFrame:
     """Rows with start <= date <= end (either bound optional), ordered by
@@ -213,18 +261,25 @@ def scan_range(df: DataFrame, table: str | None = None, start: str | None = None
 def latest(df: DataFrame, table: str | None = None, date_col: str | None = None) -> DataFrame:
     """All rows at the maximum date (ties kept).
 
-    The maximum is a one-row aggregate joined back; a one-row frame is the
-    only thing broadcast.
+    A stored table is first bounded by its latest year-month (a scan of the
+    partition column only), so one month's files are read. The maximum is a
+    one-row aggregate joined back; a one-row frame is the only thing
+    broadcast.
     """
     dc = date_col or (TABLES[table].date_col if table else "date")
+    if PART_COL in df.columns:
+        df = df.filter(F.col(PART_COL) == F.lit(df.agg(F.max(PART_COL)).first()[0]))
     mx = df.agg(F.max(dc).alias("_max"))
     return df.join(F.broadcast(mx), F.col(dc) == F.col("_max")).drop("_max")
 
 
 def ingest_all(tables: dict[str, DataFrame], root: str, on_conflict: str = "error", start: str | None = None,
-               end: str | None = None, days: int | None = None, parallelism: int = 4) -> dict[str, int]:
+               end: str | None = None, days: int | None = None, parallelism: int = 4,
+               on_reject: str = "raise") -> dict[str, int]:
     """Append every landed table frame to its stored table (K1
-    schemas, K2 key checks); returns rows written per table.
+    schemas, K2 key checks); returns rows written per table. All tables'
+    batches are checked before the first one is written, so a rejected row
+    leaves every table as it was.
 
     Optional window on each table's date column: ``start``/``end``
     (inclusive), or ``days`` back from ``end`` (the clock is injected through
@@ -237,15 +292,17 @@ def ingest_all(tables: dict[str, DataFrame], root: str, on_conflict: str = "erro
         start = (_dt.date.fromisoformat(end) - _dt.timedelta(days=days)).isoformat()
     from concurrent.futures import ThreadPoolExecutor
 
-    def one(item):
-        name, df = item
+    def within(name, df):
         dc = TABLES[name].date_col
         if start:
             df = df.filter(F.col(dc) >= F.lit(start).cast("date"))
         if end:
             df = df.filter(F.col(dc) <= F.lit(end).cast("date"))
-        return name, append(df, root, name, on_conflict)
+        return df
 
     # the tables are independent: their jobs run concurrently on the cluster
     with ThreadPoolExecutor(max_workers=min(parallelism, max(1, len(tables)))) as pool:
-        return dict(pool.map(one, tables.items()))
+        flagged = dict(pool.map(lambda t: (t[0], cut_lineage(_flagged(within(*t), t[0]))), tables.items()))
+        if on_reject == "raise":
+            list(pool.map(lambda t: _raise_rejects(t[1], t[0]), flagged.items()))
+        return dict(pool.map(lambda t: (t[0], _append_flagged(t[1], root, t[0], on_conflict)), flagged.items()))

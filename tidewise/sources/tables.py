@@ -2,23 +2,29 @@
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tidewise.functions.nulls import without_nan
+
+
+# (first date, last date) of the rows wanted from a table, either may be None
+Bounds = tuple[str | None, str | None] | None
+
+
+def read_table(spark: SparkSession, sf_dir: str, name: str, time_col: str | None = None,
+               bounds: Bounds = None) -> DataFrame:
+    """Read one landed table, NaN as NULL; column pruning reaches the scan, as
+    do filters on all but floating-point columns.
 
-# path -> (session, DataFrame). Reading a parquet path resolves files and
-# footers on the driver; a job that reads the same table for several views
-# reuses the resolved relation (DataFrames are immutable, so sharing is
-# safe). An entry is only reused by the very session that created it.
-_READ_CACHE: dict[str, tuple[SparkSession, DataFrame]] = {}
-
-
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Read one landed table; column pruning and filters reach the scan."""
-    path = os.path.join(sf_dir, f"{name}.parquet")
-    hit = _READ_CACHE.get(path)
-    if hit is not None and hit[0] is spark and not spark.sparkContext._jsc.sc().isStopped():
-        return hit[1]
-    df = spark.read.parquet(path)
-    _READ_CACHE[path] = (spark, df)
-    return df
+    ``bounds`` filters the raw ``time_col``, so it is pushed into the scan. A
+    week or month whose stamp lies within the bounds keeps all its rows: the
+    upper bound is a month later (views filter their stamps exactly)."""
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    if bounds and time_col:
+        kind, (first, last) = df.schema[time_col].dataType, bounds
+        if first:
+            df = df.filter(F.col(time_col) >= F.lit(str(first)).cast(kind))
+        if last:
+            df = df.filter(F.col(time_col) < F.date_add(F.lit(str(last)).cast("date"), 32).cast(kind))
+    return without_nan(df)

@@ -16,11 +16,10 @@ shuffle, so at any scale the shuffle carries one row per (task, group).
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewise.sources.tables import read_table
+from tidewise.sources.tables import Bounds, read_table
 
 
 def _cents(c: str | Column) -> Column:
@@ -30,10 +29,13 @@ def _cents(c: str | Column) -> Column:
     two-decimal fixed-point values by definition; for them
     floor(x * 100 + 0.5) is the exact cent count - the same value the SQL
     twins obtain with ``cast(x as decimal(18,2))`` - computed with primitive
-    arithmetic instead of a per-value decimal conversion.
+    arithmetic instead of a per-value decimal conversion. A value with more
+    digits fails the job instead of being rounded.
     """
     col = F.col(c) if isinstance(c, str) else c
-    return F.floor(col * F.lit(100.0) + F.lit(0.5))
+    cents = F.floor(col * F.lit(100.0) + F.lit(0.5))
+    excess = F.abs(col * F.lit(100.0) - cents) > F.lit(1e-4)
+    return F.when(excess, F.raise_error(F.lit("an amount has more than two decimals")).cast("long")).otherwise(cents)
 
 
 def _csum(c: str | Column) -> Column:
@@ -53,49 +55,29 @@ def _dsum(c: str | Column) -> Column:
     return _as_amount(_csum(c))
 
 
-# One persisted daily aggregate per fact table serves every view of that
-# table: the weekly and monthly views roll the daily DECIMAL sums up (exact,
-# so equal to aggregating the raw rows directly), and a plan that needs
-# several views (the feature matrix) scans each fact table once.
-_DAILY_CACHE: dict[tuple[str, str], tuple[SparkSession, DataFrame]] = {}
-
-
-def _cached(spark: SparkSession, key: tuple[str, str], build) -> DataFrame:
-    hit = _DAILY_CACHE.get(key)
-    if hit is not None and hit[0] is spark and not spark.sparkContext._jsc.sc().isStopped():
-        df = hit[1]
-        if df.storageLevel == StorageLevel.NONE:  # cache was cleared meanwhile
-            df.persist(StorageLevel.MEMORY_AND_DISK)
-        return df
-    df = build().persist(StorageLevel.MEMORY_AND_DISK)
-    _DAILY_CACHE[key] = (spark, df)
-    return df
-
-
-def daily_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+# One daily aggregate per fact table serves every view of that table: the
+# weekly and monthly views roll the daily sums up (exact, so equal to
+# aggregating the raw rows directly). In a plan that needs several views (the
+# feature matrix) the aggregates' exchanges are equal, so Spark computes one
+# and reuses it: each fact table is scanned once, nothing stays cached.
+def daily_orders(spark: SparkSession, sf_dir: str, bounds: Bounds = None) -> DataFrame:
     """orders per (order date, status): exact price sum (cents) and order count."""
-    def build():
-        o = read_table(spark, sf_dir, "orders")
-        return o.groupBy(F.to_date("o_orderdate").alias("date"), F.col("o_orderstatus").alias("status")).agg(
-            _csum("o_totalprice").alias("s"), F.count(F.lit(1)).alias("n"))
-
-    return _cached(spark, ("orders", sf_dir), build)
+    o = read_table(spark, sf_dir, "orders", "o_orderdate", bounds)
+    return o.groupBy(F.to_date("o_orderdate").alias("date"), F.col("o_orderstatus").alias("status")).agg(
+        _csum("o_totalprice").alias("s"), F.count(F.lit(1)).alias("n"))
 
 
-def daily_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
+def daily_lineitem(spark: SparkSession, sf_dir: str, bounds: Bounds = None) -> DataFrame:
     """lineitem per ship date: exact sums (cents) of quantity, discount, tax
     and extended price, and the line count."""
-    def build():
-        li = read_table(spark, sf_dir, "lineitem")
-        return li.groupBy(F.to_date("l_shipdate").alias("date")).agg(
-            _csum("l_quantity").alias("q"), _csum("l_discount").alias("d"), _csum("l_tax").alias("t"),
-            _csum("l_extendedprice").alias("e"), F.count(F.lit(1)).alias("n"))
-
-    return _cached(spark, ("lineitem", sf_dir), build)
+    li = read_table(spark, sf_dir, "lineitem", "l_shipdate", bounds)
+    return li.groupBy(F.to_date("l_shipdate").alias("date")).agg(
+        _csum("l_quantity").alias("q"), _csum("l_discount").alias("d"), _csum("l_tax").alias("t"),
+        _csum("l_extendedprice").alias("e"), F.count(F.lit(1)).alias("n"))
 
 
-def v_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = daily_orders(spark, sf_dir).groupBy("date").agg(F.sum("s").alias("_s"), F.sum("n").alias("_n"))
+def v_prices(spark: SparkSession, sf_dir: str, bounds: Bounds = None) -> DataFrame:
+    d = daily_orders(spark, sf_dir, bounds).groupBy("date").agg(F.sum("s").alias("_s"), F.sum("n").alias("_n"))
     return d.select(
         "date",
         F.when(F.dayofmonth("date") == 13, F.lit(None))
@@ -105,8 +87,8 @@ def v_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def v_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = daily_lineitem(spark, sf_dir)
+def v_weather(spark: SparkSession, sf_dir: str, bounds: Bounds = None) -> DataFrame:
+    d = daily_lineitem(spark, sf_dir, bounds)
     return d.select(
         "date",
         F.when(F.dayofmonth("date") == 17, F.lit(None))
@@ -126,8 +108,8 @@ REGION_NAME_MAP = {
 }
 
 
-def v_weather_region(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = read_table(spark, sf_dir, "orders").select("o_custkey", "o_orderdate", "o_totalprice")
+def v_weather_region(spark: SparkSession, sf_dir: str, bounds: Bounds = None) -> DataFrame:
+    o = read_table(spark, sf_dir, "orders", "o_orderdate", bounds).select("o_custkey", "o_orderdate", "o_totalprice")
     c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     n = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
     r = read_table(spark, sf_dir, "region").select("r_regionkey", "r_name")
@@ -148,14 +130,14 @@ def v_weather_region(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def v_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = daily_lineitem(spark, sf_dir).filter(F.col("date") >= F.lit("1998-01-01").cast("date"))
+def v_forecast(spark: SparkSession, sf_dir: str, bounds: Bounds = None) -> DataFrame:
+    d = daily_lineitem(spark, sf_dir, bounds).filter(F.col("date") >= F.lit("1998-01-01").cast("date"))
     return d.select("date", (_as_amount("t") / F.col("n") * 1600).alias("temperature"))
 
 
-def v_storage(spark: SparkSession, sf_dir: str) -> DataFrame:
+def v_storage(spark: SparkSession, sf_dir: str, bounds: Bounds = None) -> DataFrame:
     wk = F.date_trunc("week", "date")
-    w = daily_lineitem(spark, sf_dir).groupBy(wk.alias("_wk")).agg(F.sum("q").alias("_q"), F.sum("n").alias("_n"))
+    w = daily_lineitem(spark, sf_dir, bounds).groupBy(wk.alias("_wk")).agg(F.sum("q").alias("_q"), F.sum("n").alias("_n"))
     return w.select(
         F.to_date("_wk").alias("date"),
         F.when(F.weekofyear("_wk") == 30, F.lit(None)).otherwise(_as_amount("_q")).cast("double")
@@ -165,22 +147,22 @@ def v_storage(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def v_power(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = read_table(spark, sf_dir, "events")
+def v_power(spark: SparkSession, sf_dir: str, bounds: Bounds = None) -> DataFrame:
+    ev = read_table(spark, sf_dir, "events", "ts", bounds)
     return (
         ev.groupBy(F.date_trunc("hour", "ts").alias("ts"), F.col("event_type").alias("ba"))
         .agg(_dsum("value").alias("total_load"))
     )
 
 
-def v_production(spark: SparkSession, sf_dir: str) -> DataFrame:
-    m = daily_orders(spark, sf_dir).groupBy(F.date_trunc("month", "date").alias("_m")).agg(F.sum("s").alias("_s"))
+def v_production(spark: SparkSession, sf_dir: str, bounds: Bounds = None) -> DataFrame:
+    m = daily_orders(spark, sf_dir, bounds).groupBy(F.date_trunc("month", "date").alias("_m")).agg(F.sum("s").alias("_s"))
     return m.select(F.to_date("_m").alias("month"), (_as_amount("_s") / 1000000).alias("dry_gas_bcfpd"))
 
 
-def v_rigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+def v_rigs(spark: SparkSession, sf_dir: str, bounds: Bounds = None) -> DataFrame:
     st = F.col("status")
-    w = daily_orders(spark, sf_dir).groupBy(F.date_trunc("week", "date").alias("_w")).agg(
+    w = daily_orders(spark, sf_dir, bounds).groupBy(F.date_trunc("week", "date").alias("_w")).agg(
         F.sum("n").cast("int").alias("total_rigs"),
         F.sum(F.when(st == "O", F.col("n")).otherwise(0)).cast("int").alias("oil_rigs"),
         F.sum(F.when(st == "F", F.col("n")).otherwise(0)).cast("int").alias("gas_rigs"),
@@ -188,9 +170,9 @@ def v_rigs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return w.select(F.to_date("_w").alias("date"), "total_rigs", "oil_rigs", "gas_rigs")
 
 
-def v_lng(spark: SparkSession, sf_dir: str) -> DataFrame:
+def v_lng(spark: SparkSession, sf_dir: str, bounds: Bounds = None) -> DataFrame:
     """Monthly LNG exports stand-in: shipped value and line count per month."""
-    m = daily_lineitem(spark, sf_dir).groupBy(F.date_trunc("month", "date").alias("_m")).agg(
+    m = daily_lineitem(spark, sf_dir, bounds).groupBy(F.date_trunc("month", "date").alias("_m")).agg(
         F.sum("e").alias("_s"), F.sum("n").alias("_n"))
     return m.select(
         F.to_date("_m").alias("month"),

@@ -19,25 +19,30 @@ Two ways to run A1 on a stream:
 
 from __future__ import annotations
 
-import os
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewise.operators.power import GAS_SHARE
-from tidewise.session import scratch_path
 
 
 def events_stream(spark: SparkSession, folder: str, file_glob: str = "events.parquet",
-                  schema: T.StructType | None = None, max_files_per_trigger: int = 1) -> DataFrame:
+                  schema: T.StructType | None = None, max_files_per_trigger: int | None = None) -> DataFrame:
     """Stream the landed event files of a folder (file source, explicit
-    schema as streaming sources require)."""
+    schema as streaming sources require). Without a limit a micro-batch takes
+    all files that have arrived."""
     if schema is None:
-        schema = spark.read.parquet(os.path.join(folder, file_glob)).schema
-    return (spark.readStream.schema(schema).option("pathGlobFilter", file_glob)
-            .option("maxFilesPerTrigger", max_files_per_trigger).parquet(folder))
+        schema = spark.read.parquet(f"{folder}/{file_glob}").schema
+    reader = spark.readStream.schema(schema).option("pathGlobFilter", file_glob)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    return reader.parquet(folder)
+
+
+def _exact(df: DataFrame, value_col: str) -> T.DecimalType:
+    """Type of exact sums: the column's own decimal type, or two decimals."""
+    kind = df.schema[value_col].dataType
+    return kind if isinstance(kind, T.DecimalType) else T.DecimalType(18, 2)
 
 
 def daily_gas_burn_stream(stream: DataFrame, ts_col: str = "ts", source_col: str = "event_type",
@@ -49,30 +54,33 @@ def daily_gas_burn_stream(stream: DataFrame, ts_col: str = "ts", source_col: str
     the session time zone."""
     x = stream.withColumn(ts_col, F.col(ts_col).cast("timestamp")).withWatermark(ts_col, watermark)
     agg = x.groupBy(F.window(ts_col, "1 day").alias("w"), F.col(source_col).alias("ba")).agg(
-        F.sum(F.col(value_col).cast("decimal(8,2)")).alias("_s"))
+        F.sum(F.col(value_col).cast(_exact(stream, value_col))).alias("_s"))
     return agg.select("ba", F.to_date(F.col("w.start")).alias("date"),
                       (F.col("_s").cast("double") * F.lit(gas_share)).alias("gas_burn_mwh"))
 
 
-def run_gas_burn_batches(stream: DataFrame, out_dir: str | None = None, ts_col: str = "ts",
+def run_gas_burn_batches(stream: DataFrame, out_dir: str, ts_col: str = "ts",
                          source_col: str = "event_type", value_col: str = "value",
                          gas_share: float = GAS_SHARE) -> DataFrame:
     """Drain the stream (available-now trigger) through per-batch exact
-    partial sums, then merge; returns (ba, date, gas_burn_mwh)."""
+    partial sums, then merge; returns (ba, date, gas_burn_mwh). ``out_dir``
+    holds the stream's checkpoint: the same folder after a restart resumes
+    the stream, so every event counts once."""
     spark = stream.sparkSession
-    base = out_dir or scratch_path(spark, f"stream_gas_burn/{uuid.uuid4().hex}")
-    partials, ckpt = os.path.join(base, "partials"), os.path.join(base, "_checkpoint")
+    exact = _exact(stream, value_col)
+    total = T.DecimalType(min(38, exact.precision + 10), exact.scale)
+    partials, ckpt = f"{out_dir}/partials", f"{out_dir}/_checkpoint"
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         part = batch.filter(F.col(ts_col).isNotNull()).groupBy(
             F.col(source_col).alias("ba"), F.to_date(ts_col).alias("date")
-        ).agg(F.sum(F.col(value_col).cast("decimal(8,2)")).alias("s"))
+        ).agg(F.sum(F.col(value_col).cast(exact)).cast(total).alias("s"))
         (part.withColumn("batch_id", F.lit(batch_id).cast("long")).write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(partials))
 
     q = (stream.writeStream.foreachBatch(sink).option("checkpointLocation", ckpt)
          .trigger(availableNow=True).start())
     q.awaitTermination()
-    schema = "ba string, date date, s decimal(18,2), batch_id long"
+    schema = f"ba string, date date, s {total.simpleString()}, batch_id long"
     merged = spark.read.schema(schema).parquet(partials).groupBy("ba", "date").agg(F.sum("s").alias("s"))
     return merged.select("ba", "date", (F.col("s").cast("double") * F.lit(gas_share)).alias("gas_burn_mwh"))
