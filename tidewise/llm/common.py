@@ -27,6 +27,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return ship_package(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, with underscores added until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def join_counted(rows: DataFrame, facts: DataFrame, key: str, count: str, total: int) -> DataFrame:
     """Inner join of ``rows`` with ``facts`` (one row per ``key``; ``count``
     tells how many of ``rows`` carry it). Keys of more than
@@ -41,6 +49,30 @@ def join_counted(rows: DataFrame, facts: DataFrame, key: str, count: str, total:
     return by_broadcast.unionByName(by_shuffle)
 
 
+FILTER_BITS = 1 << 23
+
+
+def bit_filter(hashes: DataFrame) -> np.ndarray:
+    """Bits of a column of 64-bit hashes: FILTER_BITS of them whatever the
+    number of hashes (at most FILTER_BITS / 64 rows come to the driver). A
+    value may be absent although its bit is set, so an exact join has to
+    follow; a crowded filter costs rows, never a result."""
+    place = F.pmod(F.col(hashes.columns[0]), F.lit(FILTER_BITS))
+    word = F.expr("bit_or(shiftleft(1L, cast(bit as int)))")
+    rows = hashes.select(F.floor(place / 64).alias("word"), (place % 64).alias("bit")).groupBy("word").agg(
+        word.alias("bits")).collect()
+    bits = np.zeros(FILTER_BITS // 64, np.int64)
+    for w, b in rows:
+        bits[w] = b
+    return bits
+
+
+def may_hold(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Which of the (signed) hashes have their bit set."""
+    place = hashes % FILTER_BITS
+    return (bits[place >> 6] >> (place & 63)) & 1 == 1
+
+
 def ranked(df: DataFrame, order: list[str], name: str) -> DataFrame:
     """0-based global rank by ``order`` without one task for all rows: range
     partitions, numbered inside, shifted by the counts of those before."""

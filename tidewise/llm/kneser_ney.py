@@ -30,10 +30,10 @@ columns are not read; an empty table gives an empty result.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -41,7 +41,7 @@ from pyspark.sql import Window as W
 
 from tidewise.session import cut_lineage
 
-from .common import mix, signed
+from .common import bit_filter, may_hold, signed
 
 ORDER = 5
 LANGUAGE_QUANTILE = 0.995
@@ -51,12 +51,15 @@ BLOCK_CHARS = 3 << 20     # text that a task counts or scores at a time
 QUANTILE_STEPS = 2000     # per unit of log perplexity
 START, END = "\x02", "\x03"
 
-_SPACE = re.compile(r"[\x00-\x20\x7f\x85\xa0]+")
+_MARKS = str.maketrans(START + END, "  ")
 
 
 def flat(text: str | None) -> str:
     """The text as the model reads it: ORDER - 1 starts, single spaces, an end."""
-    return START * (ORDER - 1) + _SPACE.sub(" ", text or "").strip() + END
+    text = text or ""
+    if START in text or END in text:
+        text = text.translate(_MARKS)
+    return START * (ORDER - 1) + " ".join(text.split()) + END
 
 
 def _codes(texts: list[str]) -> np.ndarray:
@@ -65,10 +68,17 @@ def _codes(texts: list[str]) -> np.ndarray:
 
 def _hashes(codes: np.ndarray) -> np.ndarray:
     """64-bit hashes of all windows of ORDER code points."""
-    h = np.zeros(max(len(codes) - ORDER + 1, 0), np.uint64)
-    for i in range(ORDER):
-        h = h * np.uint64(0x9E3779B97F4A7C15) + codes[i:len(codes) - ORDER + 1 + i] + np.uint64(1)
-    return mix(h)
+    n = max(len(codes) - ORDER + 1, 0)
+    h = codes[:n].astype(np.uint64)
+    for i in range(1, ORDER):
+        h *= np.uint64(0x9E3779B97F4A7C15)
+        h += codes[i:n + i]
+    return h
+
+
+def _distinct(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(place of each hash among the distinct ones, distinct hashes)."""
+    return pd.factorize(hashes)
 
 
 def _blocks(column: Iterator[list]) -> Iterator[list[str]]:
@@ -101,8 +111,10 @@ def _gram_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for texts in _blocks(b.column(0).to_pylist() for b in batches):
         codes = _codes(texts)
         at = np.flatnonzero(_inner(texts))
-        _, first, counts = np.unique(_hashes(codes)[at], return_index=True, return_counts=True)
-        first = at[first]
+        place, found = _distinct(_hashes(codes)[at])
+        counts = np.bincount(place, minlength=len(found))
+        first = np.empty(len(found), np.int64)
+        first[place[::-1]] = at[::-1]
         joined = codes[first[:, None] + np.arange(ORDER)].astype("<u4").tobytes().decode("utf-32-le", "surrogatepass")
         grams = [joined[i:i + ORDER] for i in range(0, len(joined), ORDER)]
         for k in range(0, len(grams), 1 << 16):
@@ -178,7 +190,7 @@ def _shard_sums(shard):
         def score(texts):
             codes = _codes(texts)
             at = np.flatnonzero(_inner(texts))
-            found, place = np.unique(_hashes(codes)[at], return_inverse=True)
+            place, found = _distinct(_hashes(codes)[at])
             where = np.minimum(np.searchsorted(keys, found), max(len(keys) - 1, 0))
             hit = keys[where] == found if len(keys) else np.zeros(len(found), bool)
             value = np.where(hit, logs[where], 0.0) if len(keys) else np.zeros(len(found))
@@ -215,13 +227,33 @@ def shard_tables(logps: DataFrame) -> Iterator:
         yield spark.sparkContext.broadcast((keys[order], part.column(1).to_numpy()[order]))
 
 
+def _likely(bits):
+    """(hash, doc_id, text) -> the rows whose hash has its bit set."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            part = b.filter(pa.array(may_hold(bits.value, b.column(0).to_numpy())))
+            yield pa.RecordBatch.from_arrays(part.columns[1:], names=["doc_id", "text"])
+
+    return run
+
+
+def _trusted_text(texts: DataFrame, trusted: DataFrame) -> DataFrame:
+    """Texts of the documents in ``trusted``: a bit filter keeps most other
+    texts out of the shuffle, the join is exact."""
+    bits = texts.sparkSession.sparkContext.broadcast(bit_filter(trusted.select(F.xxhash64("trusted_id"))))
+    rows = texts.filter("doc_id is not null").select(F.xxhash64("doc_id").alias("hash"), F.col("doc_id").cast("long").alias("doc_id"), "text")
+    likely = rows.mapInArrow(_likely(bits), "doc_id long, text string")
+    return likely.join(trusted.hint("merge"), F.col("doc_id") == F.col("trusted_id")).select("text")
+
+
 def perplexities(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  lang_col: str = "lang") -> DataFrame:
     """Per row of ``docs``: doc_id, n_tokens, perplexity, threshold, kept."""
-    good = labels.filter("quality = 1 and doc_id is not null").select(F.col("doc_id").alias("trusted_id")).distinct()
+    good = labels.filter("quality = 1 and doc_id is not null").select(F.col("doc_id").cast("long").alias("trusted_id")).distinct()
     held_back = F.pmod(F.xxhash64("trusted_id"), F.lit(10)) == 0
-    texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    trusted = texts.join(good.filter(~held_back), F.col("doc_id") == F.col("trusted_id")).select("text")
+    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    trusted = _trusted_text(texts, good.filter(~held_back))
     tables = count_tables(trusted)
     grams = cut_lineage(texts.select("text").mapInArrow(_gram_counts, "gram string, n long").select("gram").distinct())
     row = F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("row")
