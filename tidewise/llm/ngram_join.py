@@ -48,7 +48,7 @@ from pyspark.sql import functions as F
 
 from tidewise.session import cut_lineage
 
-from .common import byte_views, components, join_counted, mix, shingle_set, signed, word_hashes
+from .common import byte_views, components, join_counted, mix, shingle_set, signed, unused, word_hashes
 
 DIMENSIONS = 64            # hash groups of a point
 LEAF, NODE = 16, 8         # points of a leaf, children of an inner node
@@ -395,5 +395,6 @@ def keep_one(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_
     each group of near duplicates (of rows that repeat a doc_id and its text,
     one), with the columns of ``docs``."""
     found = near_components(docs.select(id_col, text_col), k, percent, id_col, text_col)
-    gone = found.filter("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, F.col(id_col) == F.col("_gone"), "left_anti")
+    name = unused(docs, "gone")
+    gone = found.filter("doc_id <> component_id").select(F.col("doc_id").alias(name)).distinct()
+    return docs.join(gone, F.col(id_col) == F.col(name), "left_anti")

@@ -16,9 +16,8 @@ document have one context, so they do not count as evidence.
 
 Jobs: (1) contexts of entities, counted by (entity, term); (2) document counts
 of all terms, merged in the map tasks before the shuffle, joined to (1); (3) a
-scan that finds base spans and, through a filter of FILTER_BITS bits (its size
-does not depend on the data; a crowded filter costs rows, never a result),
-possible occurrences of disclosing terms, which an exact join confirms.
+scan that finds base spans and, through a bit filter whose size does not depend
+on the data, possible occurrences of disclosing terms, which an exact join confirms.
 
 Edge cases: a null text counts as empty and has no spans; positions are code
 points of the whole text; a term that overlaps a base span is not marked there;
@@ -40,12 +39,11 @@ from pyspark.sql import types as T
 
 from tidewise.session import cut_lineage
 
-from .common import SPACE_BYTES, byte_views, signed, words_at
+from .common import SPACE_BYTES, bit_filter, byte_views, may_hold, signed, unused, words_at
 
 CONTEXT_WORDS = 5
 MIN_CONTEXTS = 3
 DISCLOSURE = 0.75
-FILTER_BITS = 1 << 23
 FLUSH_TERMS = 1 << 21
 LEAST_BYTES = 3          # of a term
 
@@ -174,26 +172,10 @@ def disclosing_terms(docs: DataFrame, text_col: str = "text") -> DataFrame:
         F.max_by("entity", F.struct("disclosure", "entity")).alias("entity"), F.max("disclosure").alias("disclosure")))
 
 
-def _filter_of(terms: DataFrame) -> np.ndarray:
-    """Bit filter of the terms: at most FILTER_BITS / 64 words come to the driver."""
-    place = F.pmod("term", F.lit(FILTER_BITS))
-    word = F.expr("bit_or(shiftleft(1L, cast(bit as int)))")
-    rows = terms.select(F.floor(place / 64).alias("word"), (place % 64).alias("bit")).groupBy("word").agg(
-        word.alias("bits")).collect()
-    bits = np.zeros(FILTER_BITS // 64, np.int64)
-    for w, b in rows:
-        bits[w] = b
-    return bits.view(np.uint8)
-
-
-def _scan(bits: np.ndarray):
+def _scan(bits):
     """(id, text) -> id, counts by kind, base spans, possible terms."""
-    loaded = []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if not loaded:
-            loaded.append(np.unpackbits(np.frombuffer(bits.value, np.uint8), bitorder="little").astype(bool))
-        marked = loaded[0]
         for whole in batches:
             for at in range(0, len(whole), 512):
                 batch = whole.slice(at, 512)
@@ -205,7 +187,7 @@ def _scan(bits: np.ndarray):
                         counts[kind, i] += 1
                     spans.append(spans_text(found))
                     h, a, b = terms_at(data)
-                    some = marked[signed(h) % FILTER_BITS] if len(h) else np.zeros(0, bool)
+                    some = may_hold(bits.value, signed(h))
                     own = []
                     for k in np.flatnonzero(some).tolist():
                         start = len(data[:a[k]].tobytes().decode())
@@ -236,7 +218,7 @@ def find_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """Per row of ``docs``: doc_id, n_email, n_ip, n_card, n_phone,
     base_sha256, spans (kind:start:end by start, comma-joined)."""
     terms = disclosing_terms(docs, text_col)
-    bits = docs.sparkSession.sparkContext.broadcast(_filter_of(terms).tobytes())
+    bits = docs.sparkSession.sparkContext.broadcast(bit_filter(terms.select("term")))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     schema = ("doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, base string, "
               "hits array<struct<term: long, start: long, stop: long>>")
@@ -285,8 +267,9 @@ def sanitise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     to their kind."""
     from pyspark.sql.pandas.types import to_arrow_schema
 
-    spans = find_spans(docs, id_col, text_col).select(F.col("doc_id").alias("_id"), F.col("spans").alias("_spans"))
-    joined = docs.join(spans, F.col(id_col).cast("long").eqNullSafe(F.col("_id"))).drop("_id")
+    own, name = unused(docs, "of"), unused(docs, "spans")
+    spans = find_spans(docs, id_col, text_col).select(F.col("doc_id").alias(own), F.col("spans").alias(name))
+    joined = docs.join(spans, F.col(id_col).cast("long").eqNullSafe(F.col(own))).drop(own)
     schema = T.StructType(docs.schema.fields)
     at = docs.columns.index(text_col)
     return joined.mapInArrow(_sanitise(at, len(docs.columns), to_arrow_schema(schema)), schema)

@@ -187,9 +187,11 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` without repeated spans in the text, and n_sentences, n_removed."""
+    """``docs`` without repeated spans in the text, and n_sentences, n_removed
+    (columns of ``docs`` that have these names are replaced)."""
     from pyspark.sql.pandas.types import to_arrow_schema
 
+    docs = docs.drop("n_sentences", "n_removed")
     spans = repeated_spans(docs, id_col, text_col).groupBy("doc", "row").agg(
         F.collect_list(F.struct("start", "stop")).alias("spans"))
     packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("whole"), *_key(id_col, text_col))

@@ -38,6 +38,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import unused
+
 SAMPLE_TOXIC, SAMPLE_ORDINARY, SAMPLE_CHARS = 1500, 3500, 20_000
 WINDOW_WORDS = 3
 ORDINARY_BYTES = 16 << 10
@@ -237,8 +239,6 @@ def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def reject_toxic(docs: DataFrame, labels: DataFrame, text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` whose score is below the threshold."""
-    name = "score"
-    while name in docs.columns:
-        name += "_"
+    name = unused(docs, "score")
     return with_score(docs, fit(docs, labels, text_col=text_col), text_col, name).filter(
         F.col(name) < THRESHOLD).drop(name)
