@@ -83,8 +83,6 @@ class WordEncoder:
                 start = end
 
     def _learn(self, chunks: list[str]) -> None:
-        if len(self.chunks) > CACHED_WORDS:
-            self.chunks.clear()
         if len(self.words) > CACHED_WORDS:
             self.words.clear()
         simple, new = {}, set()
@@ -109,10 +107,11 @@ class WordEncoder:
             split = [t.replace("\n", " ").split(" ") for t in texts[at:at + 32]]
             used = set().union(*split)
             missing = [c for c in used if c not in self.chunks]
+            if len(self.chunks) + len(missing) > CACHED_WORDS:
+                self.chunks.clear()
+                missing = list(used)
             if missing:
                 self._learn(missing)
-                if any(c not in self.chunks for c in used):  # the cache was emptied
-                    self._learn([c for c in used if c not in self.chunks])
             near = {c: self.chunks[c] for c in used}
             for words in split:
                 yield b"".join(map(near.__getitem__, words))
