@@ -59,7 +59,19 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.duplicate_map(table(spark, sf_dir, "documents"))
 
 
-@query("op9_ngram_jaccard_join")
+@query("op9_ngram_jaccard_join", r"""
+with recursive w as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w from documents),
+s as (select distinct doc_id, g from (select doc_id, unnest(case when len(w) >= 3 then list_transform(range(1, len(w) - 1),
+    lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) when len(w) > 0 then [array_to_string(w, ' ')]
+    else []::varchar[] end) as g from w) x),
+n as (select doc_id, count(*) as n from s group by doc_id),
+p as (select a.doc_id as x, b.doc_id as y, count(*) as shared from s a join s b on a.g = b.g and a.doc_id < b.doc_id group by all),
+l as (select x, y from p join n a on a.doc_id = x join n b on b.doc_id = y where 100 * shared >= 90 * (a.n + b.n - shared)),
+e as (select x, y from l union all select y, x from l),
+r as (select doc_id, doc_id as seen from documents union select r.doc_id, e.y from r join e on e.x = r.seen)
+select doc_id, coalesce(any_value(n.n), 0)::bigint as n_shingles, min(seen) as component_id
+from r left join n using (doc_id) group by doc_id""")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_components(table(spark, sf_dir, "documents"), k=3, percent=90)
 
@@ -90,9 +102,50 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentence_spans.remove_repeats(docs)
 
 
-@query("op6_distribution_divergence")
+def _op6_sql() -> str:
+    classes = [quality_rules.CLASSES[k] for k in quality_rules.CLASSES]
+    counts = ", ".join("len(regexp_extract_all(t, '" + c.replace("'", "''") + "'))" for c in classes)
+    listed = " ".join(f"when '{k}' then [" + ", ".join(f"'{w}'" for w in v) + "]" for k, v in quality_rules.COMMON_WORDS.items())
+    bins = range(1, len(classes) + 2)
+    common = range(1, max(map(len, quality_rules.COMMON_WORDS.values())) + 2)
+    distance = """case when list_sum({a}) > 0 and list_sum({b}) > 0 then sqrt(greatest(0, list_sum(list_transform(
+      range(1, len({a}) + 1), lambda i: (
+        case when {a}[i] > 0 then ({a}[i]::double / list_sum({a})) * log2(2 * ({a}[i]::double / list_sum({a}))
+          / ({a}[i]::double / list_sum({a}) + {b}[i]::double / list_sum({b}))) else 0 end
+        + case when {b}[i] > 0 then ({b}[i]::double / list_sum({b})) * log2(2 * ({b}[i]::double / list_sum({b}))
+          / ({a}[i]::double / list_sum({a}) + {b}[i]::double / list_sum({b}))) else 0 end) / 2)))) end"""
+    return rf"""
+with d as (select row_number() over () as r, doc_id, lang, coalesce(text, '') as t,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents),
+g as (select r, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] as gram
+  from (select r, w, unnest(range(1, len(w) - 1)) as i from d where len(w) >= 3) x),
+c as (select r, count(distinct k) as n_repeat_words from (select r, unnest([i, i + 1, i + 2]) as k
+  from (select r, i, count(*) over (partition by r, gram) as n from g) y where n > 1) z group by r),
+f as (select d.r, doc_id, lang, len(w)::bigint as n_words,
+    (length(t) - len(regexp_extract_all(t, '[\x20\x09-\x0D]')))::bigint as word_chars,
+    len(regexp_extract_all(t, '{quality_rules.SYMBOLS}'))::bigint as n_symbols,
+    (len(list_filter(string_split(t, chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')))
+      - len(list_distinct(list_filter(string_split(t, chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')))))::bigint as n_dup_lines,
+    coalesce(n_repeat_words, 0)::bigint as n_repeat_words, length(t) as chars, [{counts}] as k,
+    case lang {listed} else []::varchar[] end as listed, w from d left join c on d.r = c.r),
+h as (select * exclude (k, listed, w, chars), n_words < {quality_rules.MIN_WORDS}
+      or 100 * n_repeat_words > {quality_rules.REPEAT_PERCENT} * n_words as base_failed, chars,
+    list_concat([chars - list_sum(k)], k) as classes,
+    list_concat(list_transform(listed, lambda x: len(list_filter(w, lambda y: y = x))),
+      [len(w) - len(list_filter(w, lambda y: list_contains(listed, y)))]) as common from f),
+m as (select lang, [{", ".join(f"sum(classes[{i}])" for i in bins)}] as rk,
+    list_filter([{", ".join(f"sum(common[{i}])" for i in common)}], lambda x: x is not null) as rc
+  from h where not base_failed and n_words >= {quality_rules.WORD_LEAST} group by lang),
+v as (select h.*, case when chars >= {quality_rules.CHARACTER_LEAST} then {distance.format(a="classes", b="rk")} end as dk,
+    case when n_words >= {quality_rules.WORD_LEAST} and len(common) > 1 then {distance.format(a="common", b="rc")} end as dc
+  from h left join m on h.lang is not distinct from m.lang)
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, not base_failed
+  and coalesce(dk <= {quality_rules.CHARACTER_DISTANCE}, true) and coalesce(dc <= {quality_rules.WORD_DISTANCE}, true) as kept from v"""
+
+
+@query("op6_distribution_divergence", _op6_sql())
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality_rules.verdicts(table(spark, sf_dir, "documents"))
+    return quality_rules.verdicts(table(spark, sf_dir, "documents")).drop("char_distance", "word_distance")
 
 
 @query("op8_disclosing_terms")
