@@ -110,6 +110,11 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A path under the checkpoint folder for intermediate tables."""
-    base = checkpoint_dir(spark)
-    return f"{base.rstrip('/')}/tables/{name}"
+    """A folder under the checkpoint folder for intermediate tables; it is made
+    here and removed when the application ends."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/tables/{name}"
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(folder)
+    fs.deleteOnExit(folder)
+    return path
