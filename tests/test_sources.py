@@ -43,8 +43,6 @@ def test_series_payload_edge_cases(spark, tmp_path):
 
 
 def test_storage_id_is_weekly():
-    from pyspark.sql import Column  # noqa: F401
-
     assert se.SERIES_IDS["storage"].endswith(".W")
 
 
@@ -205,3 +203,12 @@ def test_matrix_rollup_one_row_per_date_and_latest_keeps_ties(spark, sf_small):
                                 (dt.date(2024, 1, 2), "South", 3.0)], "date date, region string, hdd double")
     latest = sto.latest(wd, "weather_daily").collect()
     assert sorted(r.region for r in latest) == ["South", "West"] and {r.date for r in latest} == {dt.date(2024, 1, 2)}
+
+
+def test_training_window_of_one_frame(spark):
+    from tidewise.operators.impute import training_window, window_bounds
+
+    df = spark.range(20).selectExpr("date_add(date'2024-01-01', cast(id as int)) as date", "id")
+    assert sorted(r.id for r in training_window(df, 5).collect()) == list(range(14, 20))
+    assert sorted(r.id for r in training_window(df, 2, end="2024-01-11").collect()) == [8, 9, 10]
+    assert window_bounds(df, 5) == ("2024-01-15", "2024-01-20") and window_bounds(df.limit(0)) == (None, None)

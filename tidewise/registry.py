@@ -849,7 +849,6 @@ def q_k7(spark, sf_dir):
 # ------------------------------------- models, grouped map, streams, sinks
 import uuid  # noqa: E402
 
-from tidewise.plans import models as md  # noqa: E402
 from tidewise.session import scratch_path  # noqa: E402
 from tidewise.streaming import power as sp  # noqa: E402
 
