@@ -58,12 +58,14 @@ NO_TEXT_TAGS = frozenset("script style noscript template head title textarea sel
 NO_TEXT_ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert menu menubar "
                           "toolbar form".split())
 NO_TEXT_WORDS = frozenset(
-    "ad ads adv advert advertisement advertising adsense adslot sponsor sponsored promo promotion "
-    "nav navbar navigation menu breadcrumb breadcrumbs pagination pager sidebar sidenav widget related recommended "
-    "trending footer copyright masthead topbar banner cookie cookies consent gdpr notice notification alert popup "
-    "modal overlay newsletter subscribe subscription signup login paywall share sharing social search".split())
+    "ad ads adv advert adverts advertisement advertisements advertising adsense adsbygoogle adbox adslot adunit sponsor "
+    "sponsored promo promos promotion nav navbar navigation navmenu mainnav subnav topnav menu menus menubar breadcrumb "
+    "breadcrumbs pagination pager sidebar sidebars sidenav rightbar leftbar widget widgets related recommended trending "
+    "footer copyright masthead topbar banner banners cookie cookies cookiebar consent gdpr notice notices notification "
+    "notifications alert alerts popup popover modal overlay toast newsletter subscribe subscription signup login paywall "
+    "share sharing social search".split())
 COMMENT_WORDS = frozenset("comment comments commentlist respond reply replies disqus".split())
-HEADER_WORDS = frozenset("header".split())
+HEADER_WORDS = frozenset("header site top global".split())  # an element so named, header among them
 
 _TAG_REST = re.compile(r"""[^>"']*(?:"[^"]*"[^>"']*|'[^']*'[^>"']*)*>""")
 _NAME = re.compile(r"[a-zA-Z][^\s/>]*")
@@ -208,7 +210,7 @@ class Page:
                 self.out[i] = True
             elif words and not holds[i] and not self.out[i]:
                 self.out[i] = bool(words & COMMENT_WORDS) or (holds[0] or 2 * chars[i] < chars[0]) and (
-                    bool(words & NO_TEXT_WORDS) or words == HEADER_WORDS)
+                    bool(words & NO_TEXT_WORDS) or "header" in words and words <= HEADER_WORDS)
 
     def text(self) -> str:
         self._take_out()
