@@ -33,7 +33,7 @@ from .common import WORD_PATTERN
 MIN_WORDS = 50
 REPEAT_PERCENT = 50
 CHARACTER_DISTANCE, CHARACTER_LEAST = 0.27, 200  # threshold; characters needed
-WORD_DISTANCE, WORD_LEAST = 0.235, 120           # threshold; words needed
+WORD_DISTANCE, WORD_LEAST = 0.24, 120            # threshold; words needed
 MANY_REPEATS = 32  # distinct repeated windows from which they are found by sorting
 
 # Frequent function words of a language; a histogram's last bin
