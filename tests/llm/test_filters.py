@@ -131,7 +131,9 @@ def test_linked_sets_share_a_group_key():
                 if 100 * (n - d) < percent * (n + a):
                     break
                 y = np.unique(np.r_[rng.permutation(x)[d:], rng.integers(0, 1 << 63, a, dtype=np.uint64)])
-                assert np.intersect1d(ngram_join.group_keys(x, percent), ngram_join.group_keys(y, percent)).size
+                for share in (0, 3):  # none, and a third of all shingles left out
+                    a_keys, b_keys = (ngram_join.group_keys(len(z), z[z % np.uint64(3) > 0] if share else z, percent) for z in (x, y))
+                    assert np.intersect1d(a_keys, b_keys).size
 
 
 def test_tree_search_misses_no_candidate():

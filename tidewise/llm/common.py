@@ -3,6 +3,7 @@ hashing, joins that stand hot keys, connected components."""
 
 from __future__ import annotations
 
+import ctypes
 import functools
 
 import numpy as np
@@ -23,8 +24,50 @@ HOT_ROWS = 64
 HOT_SHARE = 10_000
 
 
+# Arrow batches of whole texts: small enough that a batch, its copy in the
+# worker and what is made of it stay far below an executor's memory.
+BATCH_BYTES = 8 << 20
+_BATCH_SETTING, _BATCH_DEFAULT = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b"
+
+
+def prepare(spark: SparkSession) -> SparkSession:
+    """Send the package to the workers, and bound the bytes of an Arrow batch
+    unless the session has its own bound."""
+    if spark.conf.get(_BATCH_SETTING, _BATCH_DEFAULT) == _BATCH_DEFAULT:
+        spark.conf.set(_BATCH_SETTING, str(BATCH_BYTES))
+    return ship_package(spark)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return ship_package(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+    return prepare(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def frees(run):
+    """A mapInArrow function that gives the memory its task has freed back to
+    the system: workers are reused, and idle ones count against the executor."""
+
+    @functools.wraps(run)
+    def task(batches):
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+            if trim is not None:
+                trim(0)
+
+    return task
+
+
+_CACHES: dict[str, dict] = {}
+
+
+def worker_cache(owner: str) -> dict:
+    """What tasks of one operator share in a reused Python worker. Another
+    operator's cache is dropped, so workers hold one at most."""
+    for other in [k for k in _CACHES if k != owner]:
+        del _CACHES[other]
+    return _CACHES.setdefault(owner, {})
 
 
 def unused(df: DataFrame, name: str) -> str:
@@ -73,6 +116,38 @@ def may_hold(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     return (bits[place >> 6] >> (place & 63)) & 1 == 1
 
 
+def _by_bit(bits, want: bool, schema: pa.Schema):
+    """mapInArrow: the rows whose last column, a hash, may (may not) be held;
+    that column goes."""
+
+    @frees
+    def run(batches):
+        worker_cache("none")
+        for b in batches:
+            mask = may_hold(bits.value, b.column(b.num_columns - 1).to_numpy()) == want
+            part = b.filter(pa.array(mask))
+            if len(part):
+                yield pa.RecordBatch.from_arrays(part.columns[:-1], schema=schema)
+
+    return run
+
+
+def rows_with(df: DataFrame, key: str, keys: DataFrame, how: str = "left_semi") -> DataFrame:
+    """Semi or anti join of wide rows with a narrow column of keys (named as
+    ``key``) of any number: a bit filter settles most rows in place, so only
+    those that may have a partner are shuffled, for the exact join."""
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    bits = df.sparkSession.sparkContext.broadcast(bit_filter(keys.select(F.xxhash64(key))))
+    schema = to_arrow_schema(df.schema)
+    hashed = df.withColumn(unused(df, "hash"), F.xxhash64(key))
+    likely = hashed.mapInArrow(_by_bit(bits, True, schema), df.schema)
+    joined = likely.join(keys.hint("merge"), key, how)
+    if how == "left_semi":
+        return joined
+    return joined.union(hashed.mapInArrow(_by_bit(bits, False, schema), df.schema))
+
+
 def ranked(df: DataFrame, order: list[str], name: str) -> DataFrame:
     """0-based global rank by ``order`` without one task for all rows: range
     partitions, numbered inside, shifted by the counts of those before."""

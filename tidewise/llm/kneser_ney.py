@@ -41,7 +41,7 @@ from pyspark.sql import Window as W
 
 from tidewise.session import cut_lineage
 
-from .common import bit_filter, may_hold, signed
+from .common import rows_with, signed
 
 ORDER = 5
 LANGUAGE_QUANTILE = 0.995
@@ -227,33 +227,14 @@ def shard_tables(logps: DataFrame) -> Iterator:
         yield spark.sparkContext.broadcast((keys[order], part.column(1).to_numpy()[order]))
 
 
-def _likely(bits):
-    """(hash, doc_id, text) -> the rows whose hash has its bit set."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            part = b.filter(pa.array(may_hold(bits.value, b.column(0).to_numpy())))
-            yield pa.RecordBatch.from_arrays(part.columns[1:], names=["doc_id", "text"])
-
-    return run
-
-
-def _trusted_text(texts: DataFrame, trusted: DataFrame) -> DataFrame:
-    """Texts of the documents in ``trusted``: a bit filter keeps most other
-    texts out of the shuffle, the join is exact."""
-    bits = texts.sparkSession.sparkContext.broadcast(bit_filter(trusted.select(F.xxhash64("trusted_id"))))
-    rows = texts.filter("doc_id is not null").select(F.xxhash64("doc_id").alias("hash"), F.col("doc_id").cast("long").alias("doc_id"), "text")
-    likely = rows.mapInArrow(_likely(bits), "doc_id long, text string")
-    return likely.join(trusted.hint("merge"), F.col("doc_id") == F.col("trusted_id")).select("text")
-
-
 def perplexities(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  lang_col: str = "lang") -> DataFrame:
     """Per row of ``docs``: doc_id, n_tokens, perplexity, threshold, kept."""
     good = labels.filter("quality = 1 and doc_id is not null").select(F.col("doc_id").cast("long").alias("trusted_id")).distinct()
     held_back = F.pmod(F.xxhash64("trusted_id"), F.lit(10)) == 0
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    trusted = _trusted_text(texts, good.filter(~held_back))
+    taught = good.filter(~held_back).select(F.col("trusted_id").alias("doc_id"))
+    trusted = rows_with(texts, "doc_id", taught).select("text")
     tables = count_tables(trusted)
     grams = cut_lineage(texts.select("text").mapInArrow(_gram_counts, "gram string, n long").select("gram").distinct())
     row = F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("row")

@@ -14,9 +14,11 @@ that loses no link: two sets of Jaccard similarity >= t differ in at most
 (1-t)/(1+t) * (|x|+|y|) shingles, so of one hash group more than that, at
 least one has the same content in both sets. Sets of one size class (and the
 next one) use the same number of groups; texts that share the content of a
-non-empty group get into one block. Unlike a rare-shingle prefix, this does
-not bring together texts that merely share a common passage: nearly all their
-groups also hold other shingles.
+non-empty group get into one block. Texts that merely share a common passage
+stay apart: most of their groups hold other shingles as well, and shingles that
+a sample of SAMPLE_SHINGLES shingles shows in three or more texts of different
+kind (by their smallest shingle) are left out of the groups, in all sets alike,
+which takes nothing from the argument: without them sets differ no more.
 
 Within a block, trees are searched in tasks of bounded size. The result is the
 components of the link graph, so a pair whose texts are already connected is
@@ -48,12 +50,14 @@ from pyspark.sql import functions as F
 
 from tidewise.session import cut_lineage
 
-from .common import byte_views, components, join_counted, mix, shingle_set, signed, unused, word_hashes
+from .common import (bit_filter, byte_views, components, frees, join_counted, may_hold, mix, rows_with, shingle_set,
+                     signed, word_hashes, worker_cache)
 
 DIMENSIONS = 64            # hash groups of a point
 LEAF, NODE = 16, 8         # points of a leaf, children of an inner node
-CHUNK_SHINGLES = 1 << 20   # shingles that one R-tree join task holds
-FLUSH_ROWS = 1 << 21       # key rows that a map task merges at a time
+CHUNK_SHINGLES = 1 << 18   # shingles that one R-tree join task holds
+SAMPLE_SHINGLES = 1 << 22  # in which common passages are looked for
+FLUSH_ROWS = 1 << 20       # key rows that a map task merges at a time
 BATCH_ROWS = 1 << 16
 
 
@@ -84,20 +88,20 @@ def _bounds(groups: int) -> np.ndarray:
     return (np.arange(1, groups, dtype=object) * (1 << 64) // groups).astype(np.uint64)
 
 
-def group_keys(s: np.ndarray, percent: int) -> np.ndarray:
-    """Keys of a sorted set: two sets of Jaccard similarity >= percent / 100
-    share one at least."""
-    n = len(s)
+def group_keys(n: int, s: np.ndarray, percent: int) -> np.ndarray:
+    """Keys of a set of n shingles; ``s``: those of them, sorted, that are
+    grouped. Two sets of Jaccard similarity >= percent / 100 share one key at
+    least."""
     low, groups = _classes(percent, max(1 << 20, 1 << (4 * n).bit_length()))
     own = int(np.searchsorted(low, n, side="right"))  # class own - 1, 1-based as in ``groups``
-    sums = np.empty(n + 1, np.uint64)
+    sums = np.empty(len(s) + 1, np.uint64)
     sums[0] = 0
     np.cumsum(mix(s ^ np.uint64(0xA0761D6478BD642F)), out=sums[1:])
     keys = []
     for k in (own, own + 1):
         m, spare = groups[k]
         cuts = np.empty(m + 1, np.int64)
-        cuts[0], cuts[m] = 0, n
+        cuts[0], cuts[m] = 0, len(s)
         cuts[1:m] = np.searchsorted(s, _bounds(m))
         content = sums[cuts[1:]] - sums[cuts[:-1]]
         named = mix(content ^ mix(np.arange(m, dtype=np.uint64) + np.uint64(k << 32)))
@@ -106,7 +110,35 @@ def group_keys(s: np.ndarray, percent: int) -> np.ndarray:
     return np.concatenate(keys)
 
 
-def _key_rows(k: int, percent: int):
+def _sample_rows(k: int):
+    """mapInArrow: text -> (shingle, smallest shingle of the text)."""
+
+    @frees
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for text in byte_views(batch.column(0)):
+                s = shingle_set(word_hashes(text), k)
+                if len(s):
+                    lead = mix(s).min()
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(signed(s)), pa.array(signed(np.full(len(s), lead)))], names=["shingle", "lead"])
+
+    return run
+
+
+def common_shingles(texts: DataFrame, shingles: int, k: int) -> np.ndarray:
+    """Bit filter of shingles that texts of different kind share, from a sample
+    (by hash of the text) of about SAMPLE_SHINGLES of them. It decides how well
+    blocks come apart, never what is linked."""
+    parts = 1 << 20
+    share = min(parts, parts * SAMPLE_SHINGLES // max(shingles, 1))
+    sample = texts.filter(F.pmod(F.xxhash64("text"), F.lit(parts)) < share)
+    kinds = sample.mapInArrow(_sample_rows(k), "shingle long, lead long").groupBy("shingle", "lead").count()
+    shared = kinds.groupBy("shingle").agg(F.count("*").alias("kinds"), F.sum("count").alias("n"))
+    return bit_filter(shared.filter("kinds >= 3 and 2 * kinds >= n").select("shingle"))
+
+
+def _key_rows(k: int, percent: int, common):
     """mapInArrow: text -> (key, node, other). other null: set ``node`` has this
     key. Else an edge node-other: both have one key, seen in this task."""
 
@@ -120,13 +152,15 @@ def _key_rows(k: int, percent: int):
         pairs = np.unique(np.stack([head, nodes], 1)[~first & (head != nodes)], axis=0)
         yield from _batches(mix(pairs[:, 0] ^ mix(pairs[:, 1])), pairs[:, 0], pairs[:, 1])
 
+    @frees
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_cache("ngram_join")
         keys, nodes, held = [], [], 0
         for batch in batches:
             for text in byte_views(batch.column(0)):
                 s = shingle_set(word_hashes(text), k)
                 if len(s):
-                    own = group_keys(s, percent)
+                    own = group_keys(len(s), s[~may_hold(common.value, signed(s))], percent)
                     keys.append(own)
                     nodes.append(np.full(len(own), set_id(s)))
                     held += len(own)
@@ -149,6 +183,7 @@ def _batches(*columns: np.ndarray | None) -> Iterator[pa.RecordBatch]:
              for c in columns], names=names)
 
 
+@frees
 def _star_edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows of a hash partition of the keys -> edges (smallest set of a key,
     other set), each once."""
@@ -275,6 +310,7 @@ def _join_tasks(k: int, percent: int):
         for a, b in tree_join(sets, asks, percent):
             yield nodes[a], nodes[b]
 
+    @frees
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, nodes, sets, asks, out = None, [], [], [], []
 
@@ -306,7 +342,9 @@ def _join_tasks(k: int, percent: int):
 
 
 def _set_rows(k: int):
+    @frees
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_cache("ngram_join")
         for b in batches:
             sizes, ids = np.zeros(len(b), np.int64), np.zeros(len(b), np.uint64)
             for i, text in enumerate(byte_views(b.column(1))):
@@ -351,14 +389,18 @@ def near_components(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
 
 def _links(docs, classes, k, percent, id_col, text_col, chunk_shingles) -> DataFrame:
     texts = docs.select(F.col(text_col).alias("text"))
-    keyed = texts.mapInArrow(_key_rows(k, percent), "key long, node long, other long")
+    shingles = classes.agg(F.sum(F.col("size") * F.col("copies"))).first()[0] or 0
+    common = docs.sparkSession.sparkContext.broadcast(common_shingles(texts, shingles, k))
+    keyed = texts.mapInArrow(_key_rows(k, percent, common), "key long, node long, other long")
     stars = cut_lineage(keyed.repartition("key").mapInArrow(_star_edges, "a long, b long"))
     blocks = components(stars).withColumnRenamed("root", "block").join(classes, "node")
     blocks = cut_lineage(blocks.select("node", "block", "size", "least"))
     weight = F.ceil(F.sum("size") / F.lit(chunk_shingles))
     chunks = blocks.groupBy("block").agg(weight.alias("chunks"))
     blocks = blocks.join(chunks, "block").withColumn("chunk", F.pmod(F.xxhash64("node"), "chunks"))
+    blocks = cut_lineage(blocks)
     source = docs.select(F.col(id_col).cast("long").alias("least"), F.col(text_col).alias("text"))
+    source = rows_with(source, "least", blocks.select("least").distinct())
     blocks = cut_lineage(blocks.join(source, "least").select("block", "chunks", "chunk", "node", "text"))
 
     def join(tasks: DataFrame) -> DataFrame:
@@ -395,6 +437,5 @@ def keep_one(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_
     each group of near duplicates (of rows that repeat a doc_id and its text,
     one), with the columns of ``docs``."""
     found = near_components(docs.select(id_col, text_col), k, percent, id_col, text_col)
-    name = unused(docs, "gone")
-    gone = found.filter("doc_id <> component_id").select(F.col("doc_id").alias(name)).distinct()
-    return docs.join(gone, F.col(id_col) == F.col(name), "left_anti")
+    gone = cut_lineage(found.filter("doc_id <> component_id").select(F.col("doc_id").alias(id_col)).distinct())
+    return rows_with(docs, id_col, gone, "left_anti")
