@@ -7,7 +7,9 @@ are measured beforehand from (hash, bytes) rows; a bucket beyond the budget is
 partitioned again with another hash, recursively, until it fits or holds one
 hash value. Each bucket is then merged in one open-addressing table (a Python
 dict: open addressing, complete keys compared on every hit) whose key is the
-whole text.
+whole text. A task reads its partition sorted by bucket and empties the table
+after each, so the number of buckets follows the data, memory a bucket, and the
+number of partitions the session's settings.
 
 Copies are merged in the map tasks first (same table, emptied whenever it
 reaches its budget), so a group that holds a third of all rows reaches its
@@ -31,7 +33,7 @@ from pyspark.sql import types as T
 
 from tidewise.session import cut_lineage
 
-from .common import join_counted
+from .common import frees, join_counted, worker_cache
 
 BUCKET_BYTES = 32 << 20  # distinct content that one table may hold
 LEVEL_FAN_OUT = 8        # sub-buckets of a bucket that does not fit
@@ -43,25 +45,31 @@ def _text(name: str) -> Column:
 
 def _merge(budget: int | None, schema: pa.Schema):
     """mapInArrow function over (hash, content, id, rest, n): one record per
-    distinct content of the task, holding the row of the largest id and the
-    number of rows. With a budget the table is emptied when its content
-    reaches it (partial merge); without, contents are merged completely."""
+    distinct content, holding the row of the largest id and the number of
+    rows. With a budget the table is emptied when its content reaches it
+    (partial merge); without, rows come with their bucket as a last column and
+    sorted by it, and the table is emptied after each bucket."""
 
+    @frees
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_cache("exact_dedup")
         table: dict[str, list] = {}
-        held = 0
+        held, at = 0, None
 
         def out():
             rows = [[v[0] for v in table.values()], list(table), *([v[i] for v in table.values()] for i in (1, 2, 3))]
-            at, size = 0, 4096
-            while at < len(table):
+            for k in range(0, len(table), 4096):
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c[at:at + size], f.type) for c, f in zip(rows, schema)], schema=schema)
-                at += size
+                    [pa.array(c[k:k + 4096], f.type) for c, f in zip(rows, schema)], schema=schema)
+            table.clear()
 
         for batch in batches:
             hashes, ids, rests, counts = (batch.column(i).to_pylist() for i in (0, 2, 3, 4))
-            for h, content, key, rest, n in zip(hashes, batch.column(1), ids, rests, counts):
+            buckets = [None] * len(batch) if budget else batch.column(5).to_pylist()
+            for h, content, key, rest, n, bucket in zip(hashes, batch.column(1), ids, rests, counts, buckets):
+                if bucket != at:
+                    yield from out()
+                    at = bucket
                 content = content.as_py()
                 slot = table.get(content)
                 if slot is None:
@@ -74,7 +82,6 @@ def _merge(budget: int | None, schema: pa.Schema):
                     slot[1], slot[2] = key, rest
             if budget and held > budget:
                 yield from out()
-                table.clear()
                 held = 0
         yield from out()
 
@@ -112,7 +119,7 @@ def _grace(records: DataFrame, sizes: DataFrame, level: int, bucket_bytes: int)
 
     arrow = to_arrow_schema(schema)
     partial = records.mapInArrow(_merge(bucket_bytes, arrow), schema)
-    spilled = partial.repartition(int(fan), bucket)
+    spilled = partial.withColumn("bucket", bucket).repartition("bucket").sortWithinPartitions("bucket")
     out = spilled.mapInArrow(_merge(None, arrow), schema)
     for m in merged:
         out = out.unionByName(m)
@@ -131,9 +138,8 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 def duplicate_map(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row of ``docs``: doc_id, keep_id, group_size, kept, text_sha256.
 
-    Groups come from ``merge_copies``; rows find theirs by (sha256, 64-bit
-    hash) of the content. Two different contents that agree in both would end
-    up in one bucket, where the group table raises instead of mixing them."""
+    Groups come from ``merge_copies``, which compares contents; rows find
+    theirs by (sha256, 64-bit hash) of the content."""
     digest = F.sha2(_text(text_col), 256)
     rows = cut_lineage(docs.select(F.col(id_col).alias("doc_id"), digest.alias("text_sha256"),
                                    F.xxhash64(_text(text_col)).alias("hash")))
@@ -153,13 +159,8 @@ def duplicate_map(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(hash, sha256, keep_id, group_size) of a bucket's groups."""
-    seen: set[tuple] = set()
     for b in batches:
         digests = [hashlib.sha256(t.as_py().encode()).hexdigest() for t in b.column(1)]
-        for key in zip(b.column(0).to_pylist(), digests):
-            if key in seen:
-                raise ValueError(f"different texts share sha256 and hash: {key}")
-            seen.add(key)
         yield pa.RecordBatch.from_arrays(
             [b.column(0), pa.array(digests), b.column(2), b.column(4)],
             names=["hash", "text_sha256", "keep_id", "group_size"])

@@ -36,6 +36,8 @@ from pyspark.sql import functions as F
 
 from tidewise.session import cut_lineage
 
+from .common import frees, worker_cache
+
 SEQUENCE = 4096
 END_ID = 1
 OPEN_BINS = 16384
@@ -117,21 +119,15 @@ class WordEncoder:
                 yield b"".join(map(near.__getitem__, words))
 
 
-_ENCODERS: dict[str, WordEncoder] = {}
-
-
-def _encoder(path: str) -> WordEncoder:
-    """One per worker process and vocabulary; tasks of a reused worker share its caches."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = WordEncoder(path)
-    return _ENCODERS[path]
-
-
 def _pieces(path: str, with_ids: bool):
     end = np.array([END_ID], "<u4").tobytes()
 
+    @frees
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(path)
+        cache = worker_cache("packing")
+        if path not in cache:
+            cache[path] = WordEncoder(path)
+        encoder = cache[path]
         for batch in batches:
             for at in range(0, len(batch), 512):
                 part = batch.slice(at, 512)
@@ -204,6 +200,7 @@ class OpenBins:
 
 
 def _pack(capacity: int, open_bins: int):
+    @frees
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group, bins = None, None
         for batch in batches:

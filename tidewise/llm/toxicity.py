@@ -38,7 +38,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import unused
+from .common import frees, unused, worker_cache
 
 SAMPLE_TOXIC, SAMPLE_ORDINARY, SAMPLE_CHARS = 1500, 3500, 20_000
 WINDOW_WORDS = 3
@@ -208,7 +208,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
 # -------------------------------------------------------------------- scoring
 def _score(model: Model, at: int, schema: pa.Schema):
+    @frees
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_cache("toxicity")
         compressors = model.compressors() if len(model.weights) else None
         for batch in batches:
             for start in range(0, len(batch), 256):
