@@ -318,3 +318,18 @@ def test_perplexity_on_edge_rows(edges, edge_rows, empty, labels):
     assert all(r.kept and r.threshold is None and r.perplexity > 0 for r in got)
     assert {r.n_tokens for r in got if r.doc_id in (3, 4, 5)} == {1}
     assert kneser_ney.perplexities(empty, labels).collect() == []
+
+
+def test_perplexity_models_word_order(spark):
+    rng = np.random.default_rng(3)
+    parts = [["the old", "a small", "this"], ["house", "river", "engine"], ["stands near", "was seen from", "belongs to"],
+             ["the town", "a wide valley", "our neighbours"], ["and so", "but often", "while"]]
+    prose = [" ".join(str(rng.choice(p)) for _ in range(20) for p in parts) for _ in range(60)]
+    mixed = [" ".join(rng.permutation(t.split())) for t in prose[50:]]
+    df = spark.createDataFrame([(i, t, "en") for i, t in enumerate(prose + mixed)], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, 1) for i in range(50)], "doc_id long, quality int")
+    got = {r.doc_id: r for r in kneser_ney.perplexities(df, labels).collect()}
+    assert all(got[i].n_tokens == len(t.split()) + 1 for i, t in enumerate(prose + mixed))
+    worst = max(got[i].perplexity for i in range(60))
+    assert all(got[i].perplexity > 3 * worst for i in range(60, 70))
+    assert not any(got[i].kept for i in range(60, 70))

@@ -2,24 +2,32 @@
 
 The model is trained on trusted text: documents that ``labels`` marks good
 (quality = 1), all of them but a tenth that is held back for the thresholds.
-Its tokens are characters (ORDER of them), which need no vocabulary and tell
-prose from noise in any language. Count tables are Spark tables, sharded by
-n-gram: the n-grams of the corpus are joined, order by order, with the trusted
-counts, continuation counts and context statistics,
+Its tokens are words as they are written (ORDER of them; a character of a
+script without spaces is a word). Count tables are Spark tables, sharded by
+n-gram, merged in the map tasks before their shuffle. With them
 
     p_n(w | ctx) = max(c - D(c), 0) / c(ctx) + (D1 N1 + D2 N2 + D3 N3) / c(ctx) * p_(n-1)(w | ctx')
 
-with the modified discounts D1, D2, D3+ of each order. The result, one log
-probability for every n-gram that occurs in the corpus, is cut by hash into
-shards of about SHARD_GRAMS n-grams. Documents are joined with one shard at a
-time, which is what bounds the broadcast; each n-gram is in one shard, so the
-sums of the shards add up. Nothing is pruned: more text gives more n-grams and
-more shards.
+with the modified discounts D1, D2, D3+ of each order, is known for every
+trusted n-gram. An n-gram that is not trusted has only the factor of its
+context (1 if that is not trusted either) and p_(n-1). So the log probability
+of a text is
 
-A document's perplexity is per character. It is kept if that is at most the
+    tokens * log p(unknown word) + sum over its n-grams of all orders of value(n-gram)
+
+where value is 0 outside the trusted tables, and inside them the gain of the
+n-gram over its back-off plus the log factor that it has as a context.
+
+Scoring is one count join by n-gram hash: the map tasks look up at most
+SHARD_GRAMS of the most frequent n-grams, which are broadcast, and emit
+(n-gram, document, count), merged per document, for the others that pass a bit
+filter; these are shuffled once, joined with the values and summed. Nothing is
+pruned: more text gives more n-grams and larger tables.
+
+A document's perplexity is per word. It is kept if that is at most the
 LANGUAGE_QUANTILE of the held-back trusted documents of its language; texts of
-fewer than LEAST_CHARS characters, and languages without such documents, are
-not judged (kept).
+at most LEAST_WORDS tokens, and languages without such documents, are not
+judged (kept).
 
 Edge cases: white space of any length is one space; a null, empty or blank
 text has one token, its end; a null language is a language of its own; without
@@ -30,6 +38,8 @@ columns are not read; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import math
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -41,52 +51,58 @@ from pyspark.sql import Window as W
 
 from tidewise.session import cut_lineage
 
-from .common import rows_with, signed
+from .common import frees, mix, rows_with, signed, words_at
 
-ORDER = 5
+ORDER = 3
 LANGUAGE_QUANTILE = 0.995
-LEAST_CHARS = 200
-SHARD_GRAMS = 4 << 20
+LEAST_WORDS = 40          # about 200 characters
+LEAST_CHARS = LEAST_WORDS  # the bound in tokens, by its name of when these were characters
+SHARD_GRAMS = 4 << 20     # values that are broadcast
 BLOCK_CHARS = 3 << 20     # text that a task counts or scores at a time
+FILTER_BITS = 1 << 26
 QUANTILE_STEPS = 2000     # per unit of log perplexity
-START, END = "\x02", "\x03"
+START, END = ("\x02",), ("\x03",)
 
-_MARKS = str.maketrans(START + END, "  ")
+_WORDS = [f"w{i}" for i in range(1, ORDER + 1)]
+_MARKS = str.maketrans(START[0] + END[0], "  ")
+_UNSPACED = re.compile("([\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff])")
 
 
-def flat(text: str | None) -> str:
-    """The text as the model reads it: ORDER - 1 starts, single spaces, an end."""
+def line(text: str | None) -> str:
+    """The text as the model reads it: ORDER - 1 starts, words, an end, with
+    single spaces."""
     text = text or ""
-    if START in text or END in text:
+    if START[0] in text or END[0] in text:
         text = text.translate(_MARKS)
-    return START * (ORDER - 1) + " ".join(text.split()) + END
+    if not text.isascii():
+        text = _UNSPACED.sub(r" \1 ", text)
+    return " ".join([*START * (ORDER - 1), *text.split(), *END])
 
 
-def _codes(texts: list[str]) -> np.ndarray:
-    return np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
+def flat(text: str | None) -> tuple[str, ...]:
+    return tuple(line(text).split(" "))
 
 
-def _hashes(codes: np.ndarray) -> np.ndarray:
-    """64-bit hashes of all windows of ORDER code points."""
-    n = max(len(codes) - ORDER + 1, 0)
-    h = codes[:n].astype(np.uint64)
-    for i in range(1, ORDER):
-        h *= np.uint64(0x9E3779B97F4A7C15)
-        h += codes[i:n + i]
-    return h
+def _tokens(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes of all words of the lines, number of words of each line)."""
+    sizes = np.array([t.count(" ") + 1 for t in lines])
+    return words_at(np.frombuffer(" ".join(lines).encode(), np.uint8), lower=False)[0], sizes
 
 
-def _distinct(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(place of each hash among the distinct ones, distinct hashes)."""
-    return pd.factorize(hashes)
+def _keys(words: list[np.ndarray]) -> np.ndarray:
+    """64-bit hashes of n-grams, from the hashes of their words."""
+    h = np.full(len(words[0]), len(words), np.uint64)
+    for w in words:
+        h = mix(h * np.uint64(0x9E3779B97F4A7C15) + w)
+    return h
 
 
 def _blocks(column: Iterator[list]) -> Iterator[list[str]]:
-    """Flat texts in blocks of about BLOCK_CHARS characters."""
+    """Lines in blocks of about BLOCK_CHARS characters."""
     held, size = [], 0
     for values in column:
         for v in values:
-            held.append(flat(v))
+            held.append(line(v))
             size += len(held[-1])
             if size > BLOCK_CHARS:
                 yield held
@@ -95,49 +111,45 @@ def _blocks(column: Iterator[list]) -> Iterator[list[str]]:
         yield held
 
 
-def _inner(texts: list[str]) -> np.ndarray:
-    """Which windows of the joined texts lie inside one text: a text of n
-    characters has n - ORDER + 1."""
-    sizes = np.array([len(t) for t in texts])
-    inside = np.ones(max(int(sizes.sum()) - ORDER + 1, 0), bool)
-    for k in range(1, ORDER):
-        at = np.cumsum(sizes)[:-1] - k
-        inside[at] = False
-    return inside
+def _places(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(line, place in the line) of every word."""
+    of = np.repeat(np.arange(len(sizes)), sizes)
+    return of, np.arange(len(of)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
 
 
+@frees
 def _gram_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """text -> (gram, n), merged per block."""
-    for texts in _blocks(b.column(0).to_pylist() for b in batches):
-        codes = _codes(texts)
-        at = np.flatnonzero(_inner(texts))
-        place, found = _distinct(_hashes(codes)[at])
-        counts = np.bincount(place, minlength=len(found))
+    """text -> (words of an n-gram, n), merged per block."""
+    for lines in _blocks(b.column(0).to_pylist() for b in batches):
+        words, sizes = _tokens(lines)
+        at = np.flatnonzero(_places(sizes)[1] >= ORDER - 1)
+        place, found = pd.factorize(_keys([words[at - k] for k in range(ORDER - 1, -1, -1)]))
+        counts = np.bincount(place, minlength=len(found)).astype(np.int64)
         first = np.empty(len(found), np.int64)
         first[place[::-1]] = at[::-1]
-        joined = codes[first[:, None] + np.arange(ORDER)].astype("<u4").tobytes().decode("utf-32-le", "surrogatepass")
-        grams = [joined[i:i + ORDER] for i in range(0, len(joined), ORDER)]
-        for k in range(0, len(grams), 1 << 16):
-            yield pa.RecordBatch.from_arrays([pa.array(grams[k:k + (1 << 16)]),
-                                              pa.array(counts[k:k + (1 << 16)].astype(np.int64))], names=["gram", "n"])
+        for k in range(0, len(found), 1 << 16):
+            part = first[k:k + (1 << 16)]
+            yield pa.RecordBatch.from_arrays(
+                [*[pa.array(signed(words[part - i])) for i in range(ORDER - 1, -1, -1)], pa.array(counts[k:k + (1 << 16)])],
+                names=[*_WORDS, "n"])
 
 
-def _hash_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _key_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(words of an n-gram, value, n) -> (key, value, n)."""
     for b in batches:
-        codes = _codes(b.column(0).to_pylist())
-        h = _hashes(codes)[::ORDER] if len(codes) else np.zeros(0, np.uint64)
-        yield pa.RecordBatch.from_arrays([pa.array(signed(np.ascontiguousarray(h))), b.column(1)], names=["hash", "logp"])
+        words = [b.column(i).to_numpy().view(np.uint64) for i in range(b.num_columns - 2)]
+        yield pa.RecordBatch.from_arrays([pa.array(signed(_keys(words))), *b.columns[-2:]], names=["key", "value", "n"])
 
 
 # ---------------------------------------------------------------------- model
 def count_tables(text: DataFrame) -> dict[int, DataFrame]:
-    """(gram, n) per order of a frame with one text column: counts for the
-    highest order, numbers of different left neighbours below it."""
-    tables = {ORDER: cut_lineage(text.mapInArrow(_gram_counts, "gram string, n long").groupBy("gram").agg(
-        F.sum("n").alias("n")))}
+    """(words, n) per order of a frame with one text column: counts for the
+    highest order, numbers of different left neighbours below it. An n-gram of
+    a lower order has the last of the columns w1, w2, ..."""
+    schema = ", ".join(f"{w} long" for w in [*_WORDS, "n"])
+    tables = {ORDER: cut_lineage(text.mapInArrow(_gram_counts, schema).groupBy(*_WORDS).agg(F.sum("n").alias("n")))}
     for order in range(ORDER - 1, 0, -1):
-        tables[order] = cut_lineage(tables[order + 1].groupBy(F.substring("gram", 2, order).alias("gram")).agg(
-            F.count("*").alias("n")))
+        tables[order] = cut_lineage(tables[order + 1].groupBy(*_WORDS[-order:]).agg(F.count("*").alias("n")))
     return tables
 
 
@@ -151,80 +163,133 @@ def discounts(table: DataFrame) -> tuple[float, float, float]:
     return tuple(min(max(d, 0.05), k) for d, k in zip(found, (0.95, 1.95, 2.95)))
 
 
-def probabilities(grams: DataFrame, tables: dict[int, DataFrame]) -> DataFrame:
-    """(gram, logp) for each n-gram of ``grams`` (distinct, of ORDER characters)."""
-    needed = {ORDER: grams.select("gram")}
-    for order in range(ORDER - 1, 0, -1):
-        needed[order] = cut_lineage(needed[order + 1].select(F.substring("gram", 2, order).alias("gram")).distinct())
+def values(tables: dict[int, DataFrame]) -> tuple[DataFrame, float]:
+    """((key, value, n) of all trusted n-grams, log probability of an unknown
+    word); n is the largest count of the n-gram, or of one with it as context."""
     letters = tables[1].count() + 1  # and the unknown one
-    lower = None
+    found, lower, unknown = [], None, -math.log(letters)
     for order in range(1, ORDER + 1):
         d1, d2, d3 = discounts(tables[order])
-        context = F.substring("gram", 1, order - 1)
-        stats = tables[order].groupBy(context.alias("context")).agg(
+        context = _WORDS[-order:-1]
+        stats = tables[order].groupBy(*context).agg(
             F.sum("n").alias("total"), F.count_if(F.col("n") == 1).alias("n1"), F.count_if(F.col("n") == 2).alias("n2"),
             F.count_if(F.col("n") >= 3).alias("n3"))
-        rows = needed[order].join(tables[order], "gram", "left")
-        rows = rows.withColumn("context", context).join(stats, "context", "left")
-        if lower is None:
-            rows = rows.withColumn("below", F.lit(1.0 / letters))
+        rest = (F.col("n1") * d1 + F.col("n2") * d2 + F.col("n3") * d3) / F.col("total")
+        stats = stats.select(*context, F.col("total"), rest.alias("rest"))
+        if order == 1:
+            share = stats.first()["rest"]
+            unknown += math.log(share) if share else 0.0
+            rows = tables[1].crossJoin(F.broadcast(stats)).withColumn("below", F.lit(1.0 / letters))
         else:
-            below = lower.select(F.col("gram").alias("tail"), F.col("p").alias("below"))
-            rows = rows.withColumn("tail", F.substring("gram", 2, order - 1)).join(below, "tail")
+            stats = cut_lineage(stats)
+            rows = tables[order].join(stats, context).join(lower, _WORDS[-order + 1:])
         used = F.when(F.col("n") == 1, d1).when(F.col("n") == 2, d2).otherwise(d3)
-        own = F.greatest(F.coalesce(F.col("n") - used, F.lit(0.0)), F.lit(0.0)) / F.col("total")
-        rest = (F.col("n1") * d1 + F.col("n2") * d2 + F.col("n3") * d3) / F.col("total")
-        p = F.when(F.col("total").isNull(), F.col("below")).otherwise(own + rest * F.col("below"))
-        lower = cut_lineage(rows.select("gram", p.alias("p")))
-    return lower.select("gram", F.ln("p").alias("logp"))
+        p = F.greatest(F.col("n") - used, F.lit(0.0)) / F.col("total") + F.col("rest") * F.col("below")
+        rows = cut_lineage(rows.select(*_WORDS[-order:], "n", (F.col("rest") * F.col("below")).alias("missed"), p.alias("p")))
+        lower = rows.select(*_WORDS[-order:], F.col("p").alias("below"))
+        gains = [rows.select(*_WORDS[-order:], F.ln(F.col("p") / F.col("missed")).alias("value"), "n")]
+        if order > 1:
+            gains.append(stats.select(*context, F.ln("rest").alias("value"), F.col("total").alias("n")))
+        found += [g.mapInArrow(_key_rows, "key long, value double, n long") for g in gains]
+    union = found[0]
+    for f in found[1:]:
+        union = union.union(f)
+    return cut_lineage(union.groupBy("key").agg(F.sum("value").alias("value"), F.max("n").alias("n"))), unknown
 
 
 # -------------------------------------------------------------------- scoring
-def _shard_sums(shard):
-    """(doc, text) -> doc, tokens, sum of the shard's log probabilities, and
-    the number of the text's n-grams that are in it."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, logs = shard.value
-
-        def score(texts):
-            codes = _codes(texts)
-            at = np.flatnonzero(_inner(texts))
-            place, found = _distinct(_hashes(codes)[at])
-            where = np.minimum(np.searchsorted(keys, found), max(len(keys) - 1, 0))
+def _step():
+    """Step of an n-gram's count: eight per doubling."""
+    return F.floor(8 * F.log2("n"))
+
+
+def _frequent(table: DataFrame) -> int:
+    """The least step of counts so that at most SHARD_GRAMS n-grams reach it."""
+    steps = table.groupBy(_step().alias("step")).agg(F.count("*").alias("grams")).orderBy(F.desc("step")).collect()
+    total, least = 0, 8 * 64
+    for step, grams in steps:
+        total += grams
+        if total > SHARD_GRAMS:
+            break
+        least = step
+    return least
+
+
+def _filter(keys: DataFrame) -> np.ndarray:
+    """Bits of the keys, FILTER_BITS of them whatever the number of keys."""
+    place = F.pmod(F.col("key"), F.lit(FILTER_BITS))
+    rows = keys.select(F.floor(place / 64).alias("word"), (place % 64).alias("bit")).groupBy("word").agg(
+        F.expr("bit_or(shiftleft(1L, cast(bit as int)))").alias("bits")).toArrow()
+    bits = np.zeros(FILTER_BITS // 64, np.int64)
+    bits[rows.column(0).to_numpy()] = rows.column(1).to_numpy()
+    return bits
+
+
+def _lookups(model, unknown: float):
+    """(doc, text) -> (key, doc, n, logp): per row of the input one with its
+    tokens as n and the log probability without the values still to be joined,
+    and (n-gram, doc, count, null) for these."""
+
+    def score(lines, docs):
+        keys, logs, bits = model.value
+        words, sizes = _tokens(lines)
+        of, place = _places(sizes)
+        tokens = sizes - (ORDER - 1)
+        logp = tokens * unknown
+        out = []
+        for order in range(1, ORDER + 1):
+            at = np.flatnonzero(place >= ORDER - 1 - (order < ORDER))
+            which, found = pd.factorize(_keys([words[at - k] for k in range(order - 1, -1, -1)]))
+            sorting = np.argsort(found)
+            where = np.empty(len(found), np.int64)
+            where[sorting] = np.searchsorted(keys, found[sorting])
+            where = np.minimum(where, max(len(keys) - 1, 0))
             hit = keys[where] == found if len(keys) else np.zeros(len(found), bool)
             value = np.where(hit, logs[where], 0.0) if len(keys) else np.zeros(len(found))
-            tokens = np.array([len(t) - ORDER + 1 for t in texts])
-            first = np.cumsum(tokens) - tokens
-            return tokens, np.add.reduceat(value[place], first), np.add.reduceat(hit[place].astype(np.int64), first)
-
+            logp = logp + np.bincount(of[at], value[which], len(lines))
+            own = found.view(np.int64)
+            spot = own % FILTER_BITS
+            open_ = ~hit & ((bits[spot >> 6] >> (spot & 63)) & 1 == 1)
+            some = open_[which]
+            pair, n = np.unique(of[at][some] * len(found) + which[some], return_counts=True)
+            out.append((own[pair % len(found)], docs[pair // len(found)], n.astype(np.int64)))
+        key, doc, n = (np.concatenate(x) for x in zip(*out))
+        return pa.RecordBatch.from_arrays(
+            [pa.array(np.r_[docs, key]), pa.array(np.r_[docs, doc]), pa.array(np.r_[tokens, n]),
+             pa.concat_arrays([pa.array(logp), pa.nulls(len(key), pa.float64())])], names=["key", "doc", "n", "logp"])
+
+    @frees
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            start, size, texts = 0, 0, []
-            values = whole.column(1).to_pylist()
-            for i, v in enumerate(values):
-                texts.append(flat(v))
-                size += len(texts[-1])
-                if size > BLOCK_CHARS or i + 1 == len(values):
-                    tokens, total, hits = score(texts)
-                    yield pa.RecordBatch.from_arrays(
-                        [whole.column(0).slice(start, len(texts)), pa.array(tokens.astype(np.int64)), pa.array(total),
-                         pa.array(hits)], names=["doc", "tokens", "logp", "hits"])
-                    start, size, texts = i + 1, 0, []
+            start, size, lines = 0, 0, []
+            docs, texts = whole.column(0).to_numpy(), whole.column(1).to_pylist()
+            for i, v in enumerate(texts):
+                lines.append(line(v))
+                size += len(lines[-1])
+                if size > BLOCK_CHARS or i + 1 == len(texts):
+                    yield score(lines, docs[start:i + 1])
+                    start, size, lines = i + 1, 0, []
 
     return run
 
 
-def shard_tables(logps: DataFrame) -> Iterator:
-    """The model in shards of about SHARD_GRAMS n-grams, each as a broadcast
-    pair of arrays sorted by hash."""
-    spark = logps.sparkSession
-    rows = cut_lineage(logps.mapInArrow(_hash_rows, "hash long, logp double"))
-    shards = max(1, -(-rows.count() // SHARD_GRAMS))
-    for k in range(shards):
-        part = rows.filter(F.pmod(F.xxhash64("hash"), F.lit(shards)) == k).toArrow()
-        keys = part.column(0).to_numpy().view(np.uint64)
-        order = np.argsort(keys)
-        yield spark.sparkContext.broadcast((keys[order], part.column(1).to_numpy()[order]))
+def entropies(rows: DataFrame, table: DataFrame, unknown: float) -> DataFrame:
+    """(doc, tokens, entropy) of the texts of ``rows`` (doc, text); rows of the
+    same doc count as copies of one."""
+    least = _frequent(table)
+    hot = table.filter(_step() >= least).select("key", "value").toArrow()
+    keys = hot.column(0).to_numpy().view(np.uint64)
+    order = np.argsort(keys)
+    cold = table.filter(_step() < least).select("key", "value")
+    model = rows.sparkSession.sparkContext.broadcast((keys[order], hot.column(1).to_numpy()[order], _filter(cold)))
+    found = rows.mapInArrow(_lookups(model, unknown), "key long, doc long, n long, logp double")
+    joined = found.join(cold.hint("shuffle_hash"), "key", "left")
+    first = F.col("logp").isNotNull()
+    sums = joined.groupBy("doc").agg(
+        F.sum(F.when(first, F.col("n"))).alias("tokens"), F.count("logp").alias("copies"),
+        F.sum(F.when(first, F.col("logp")).otherwise(F.coalesce(F.col("value"), F.lit(0.0)) * F.col("n"))).alias("logp"))
+    return sums.select("doc", (F.col("tokens") / F.col("copies")).cast("long").alias("tokens"),
+                       (-F.col("logp") / F.col("tokens")).alias("entropy"))
 
 
 def perplexities(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -235,34 +300,19 @@ def perplexities(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     taught = good.filter(~held_back).select(F.col("trusted_id").alias("doc_id"))
     trusted = rows_with(texts, "doc_id", taught).select("text")
-    tables = count_tables(trusted)
-    grams = cut_lineage(texts.select("text").mapInArrow(_gram_counts, "gram string, n long").select("gram").distinct())
-    row = F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("row")
-    rows = docs.select(F.struct(F.col(id_col).cast("long").alias("doc_id"), F.col(lang_col).alias("lang"), row).alias("doc"),
-                       F.col(text_col).alias("text"))
-    parts, shards = None, 0
-    for shard in shard_tables(probabilities(grams, tables)):
-        schema = "doc struct<doc_id: long, lang: string, row: long>, tokens long, logp double, hits long"
-        part = cut_lineage(rows.mapInArrow(_shard_sums(shard), schema))
-        shard.unpersist()
-        parts, shards = part if parts is None else parts.union(part), shards + 1
-    # per document and shard one row; rows that repeat a document have equal sums
-    sums = parts.groupBy("doc").agg(F.first("tokens").alias("tokens"), F.sum("logp").alias("logp"),
-                                    F.sum("hits").alias("hits"), (F.count("*") / shards).alias("copies"))
-    whole = F.col("hits") == F.col("tokens") * F.col("copies")
-    entropy = F.when(whole, -F.col("logp") / F.col("copies") / F.col("tokens")).otherwise(
-        F.raise_error(F.lit("an n-gram of the corpus is in no shard")).cast("double"))
-    times = F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))
-    scored = sums.select("doc.doc_id", "doc.lang", "tokens", entropy.alias("entropy"), times.alias("copy")).drop("copy")
+    doc = F.xxhash64(F.col(id_col).cast("long"), F.coalesce(F.col(text_col), F.lit("")), F.col(lang_col)).alias("doc")
+    sums = cut_lineage(entropies(docs.select(doc, F.col(text_col).alias("text")), *values(count_tables(trusted))))
+    facts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(lang_col).alias("lang"), doc)
+    scored = facts.join(sums, "doc").select("doc_id", "lang", "tokens", "entropy")
     step = F.ceil(F.col("entropy") * QUANTILE_STEPS)
     judged = scored.join(good.filter(held_back), F.col("doc_id") == F.col("trusted_id")).filter(
-        F.col("tokens") > LEAST_CHARS)
+        F.col("tokens") > LEAST_WORDS)
     steps = judged.groupBy("lang", step.alias("step")).agg(F.count("*").alias("n"))
     by_lang = W.partitionBy("lang")
     share = F.sum("n").over(by_lang.orderBy("step")) / F.sum("n").over(by_lang)
     limits = steps.withColumn("share", share).filter(F.col("share") >= LANGUAGE_QUANTILE).groupBy("lang").agg(
         (F.min("step") / QUANTILE_STEPS).alias("limit")).withColumnRenamed("lang", "of")
     joined = scored.join(limits, F.col("lang").eqNullSafe(F.col("of")), "left")
-    kept = F.coalesce((F.col("tokens") <= LEAST_CHARS) | (F.col("entropy") <= F.col("limit")), F.lit(True))
+    kept = F.coalesce((F.col("tokens") <= LEAST_WORDS) | (F.col("entropy") <= F.col("limit")), F.lit(True))
     return joined.select("doc_id", F.col("tokens").alias("n_tokens"), F.exp("entropy").alias("perplexity"),
                          F.exp("limit").alias("threshold"), kept.alias("kept"))
