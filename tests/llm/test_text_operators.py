@@ -200,6 +200,21 @@ def test_disclosing_terms_are_found_everywhere_and_common_words_are_not(spark, d
     assert all(clean[i] == t for i, t in rows if not got[i])
 
 
+def test_disclosing_terms_despite_copies_few_contexts_and_long_words(spark, docs):
+    rows = [tuple(r) for r in docs.select("doc_id", "text").collect()]
+    rows += [(10**6 + i, f"n{i}a the Wwcopied met jim@example.com on day{i}") for i in range(6)]
+    rows += [(10**6 + 100 + i, "n0a the Wwcopied met jim@example.com on day0") for i in range(400)]
+    rows += [(10**6 + 10 + i, f"m{i}b our Wwtwice sent eve@example.com a b{i}") for i in range(2)]
+    rows += [(10**6 + 20 + i, f"Wwlong {'x' * 300}{i} {'y' * 300}{i} z bob@example.com c{i}") for i in range(6)]
+    rows += [(10**6 + 30 + i, f"plain{i} filler{i} text") for i in range(500)]
+    rows += [(10**6 + 90, "a wwcopied, a wwtwice and a wwlong")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = {r.doc_id: r.spans for r in pii.find_spans(df).collect()}
+    assert got[10**6 + 90] == "term:2:10,term:14:21,term:28:34"
+    different, n = pii.distinct_texts(df.select("text"))
+    assert n == len({t for _, t in rows}) and sorted(r.text for r in different.collect()) == sorted({t for _, t in rows})
+
+
 def test_personal_data_of_an_empty_table(empty):
     assert pii.find_spans(empty).collect() == []
 

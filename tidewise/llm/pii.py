@@ -7,16 +7,20 @@ strongly. For an entity e (a value of one kind) and a term t,
     PMI(e; t) = log2(n(e, t) * N / (n(e) * n(t)))     IC(e) = log2(N / n(e))
 
 where n(e, t) and n(e) count distinct contexts (CONTEXT_WORDS words on each
-side), n(t) the documents with the term and N all documents. A term that occurs
-with e in MIN_CONTEXTS distinct contexts and whose PMI is at least DISCLOSURE
-of IC(e), the share of the entity's information that the term gives away, is a
-disclosing term; it is marked wherever it occurs outside base spans, also in
-documents without the entity, and ``sanitise`` generalises it. Copies of a
-document have one context, so they do not count as evidence.
-
-Jobs: (1) contexts of entities, counted by (entity, term); (2) document counts
-of all terms, merged in the map tasks before the shuffle, joined to (1); (3) a
-scan that finds base spans and, through a bit filter whose size does not depend
+side), n(t) the distinct texts with the term and N all distinct texts, so copies
+of a document count once everywhere. A term whose PMI is at least DISCLOSURE of
+IC(e), the share of the entity's information that the term gives away, is a
+disclosing term if they are not together by chance: of all pairs of an entity
+and a term at most CHANCE_PAIRS may be expected to meet so often. The bound is
+that of Hoeffding for n(e, t) of n(e) draws at a rate of n(t) / N; it asks for
+no number of contexts, so an entity seen twice has disclosing terms in all but
+small corpora, and one seen once where the corpus has few entities. The term is
+marked wherever it occurs outside base spans, also in documents without the
+entity, and ``sanitise`` generalises it.
+
+Jobs: (1) contexts of entities, counted by (entity, term); (2) counts of all
+terms over distinct texts, merged in the map tasks before the shuffle, joined to
+(1); only texts with copies are shuffled, once per map task; (3) a scan that finds base spans and, through a bit filter whose size does not depend
 on the data, possible occurrences of disclosing terms, which an exact join confirms.
 
 Edge cases: a null text counts as empty and has no spans; positions are code
@@ -27,6 +31,7 @@ through ``sanitise``; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 import re
 from collections.abc import Iterator
@@ -39,10 +44,10 @@ from pyspark.sql import types as T
 
 from tidewise.session import cut_lineage
 
-from .common import SPACE_BYTES, bit_filter, byte_views, may_hold, signed, unused, words_at
+from .common import SPACE_BYTES, bit_filter, byte_views, may_hold, rows_with, signed, unused, words_at
 
 CONTEXT_WORDS = 5
-MIN_CONTEXTS = 3
+CHANCE_PAIRS = 0.05
 DISCLOSURE = 0.75
 FLUSH_TERMS = 1 << 21
 LEAST_BYTES = 3          # of a term
@@ -108,6 +113,17 @@ def _hash_text(kind: int, value: str) -> int:
 _AROUND = re.compile(r"\S+")
 
 
+def contexts(text: str, spans: list[tuple[int, int, int]]) -> Iterator[str]:
+    """The CONTEXT_WORDS words before and after each span, however long."""
+    words = [m.span() for m in _AROUND.finditer(text)] if spans else []
+    starts, ends = [a for a, _ in words], [b for _, b in words]
+    for a, _, b in spans:
+        i, j = bisect.bisect_left(starts, a), bisect.bisect_right(ends, b)
+        before = [text[x:min(y, a)] for x, y in words[max(0, i - CONTEXT_WORDS):i]]
+        after = [text[max(x, b):y] for x, y in words[j:j + CONTEXT_WORDS]]
+        yield " ".join(before + after)
+
+
 def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """text -> (entity, term, context); a null term is the entity itself."""
     for batch in batches:
@@ -115,10 +131,7 @@ def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for text in batch.column(0):
             text = text.as_py() or ""
             spans = base_spans(text)
-            for a, kind, b in spans:
-                before = [m for m in _AROUND.findall(text[max(0, a - 400):a])][-CONTEXT_WORDS:]
-                after = [m for m in _AROUND.findall(text[b:b + 400])][:CONTEXT_WORDS]
-                around = " ".join(before + after)
+            for (a, kind, b), around in zip(spans, contexts(text, spans)):
                 e, c = _hash_text(kind, text[a:b]), _hash_text(9, around)
                 h = np.unique(terms_at(np.frombuffer(around.encode(), np.uint8))[0])
                 terms = [None, *signed(h).tolist()]
@@ -130,7 +143,7 @@ def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _term_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """text -> (term, documents with it), merged within the task."""
+    """text -> (term, texts with it), merged within the task."""
     held, size = [], 0
 
     def flush():
@@ -153,21 +166,51 @@ def _term_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from flush()
 
 
+def _first_of_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(hash, text) -> the first row of each hash in this task."""
+    seen: set[int] = set()
+    for batch in batches:
+        new = []
+        for h in batch.column(0).to_pylist():
+            new.append(h not in seen)
+            seen.add(h)
+        yield batch.filter(pa.array(new, pa.bool_()))
+
+
+def distinct_texts(texts: DataFrame) -> tuple[DataFrame, int]:
+    """(each different value of the column text once, their number). Texts are
+    told apart by 64-bit hashes; those without copies are not shuffled."""
+    hashed = texts.select(F.xxhash64("text").alias("hash"), "text")
+    groups = cut_lineage(hashed.groupBy("hash").agg(F.count("*").alias("copies")))
+    copied = groups.filter("copies > 1").select("hash")
+    firsts = hashed.mapInArrow(_first_of_task, hashed.schema)
+    single = rows_with(firsts, "hash", copied, "left_anti").select("text")
+    merged = rows_with(firsts, "hash", copied).dropDuplicates(["hash"]).select("text")
+    return single.union(merged), groups.count()
+
+
 def disclosing_terms(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """(term, entity, disclosure): terms that give away an entity, each with
     the one it gives away most of."""
     texts = docs.select(F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     seen = cut_lineage(texts.mapInArrow(_contexts, "entity long, term long, context long").distinct())
-    total = texts.count()
+    different, total = distinct_texts(texts)
     entities = seen.filter("term is null").groupBy("entity").agg(F.count("*").alias("n_e"))
-    pairs = (seen.filter("term is not null").groupBy("entity", "term").agg(F.count("*").alias("n_et"))
-             .filter(F.col("n_et") >= MIN_CONTEXTS).join(entities, "entity"))
-    counts = texts.mapInArrow(_term_counts, "term long, documents long").groupBy("term").agg(
+    pairs = cut_lineage(seen.filter("term is not null").groupBy("entity", "term").agg(F.count("*").alias("n_et")))
+    tests = pairs.count()
+    pairs = pairs.join(entities, "entity")
+    counts = different.mapInArrow(_term_counts, "term long, documents long").groupBy("term").agg(
         F.sum("documents").alias("n_t"))
     n = F.lit(float(max(total, 1)))
     pmi = F.log2(F.col("n_et") * n / (F.col("n_e") * F.col("n_t")))
     known = F.greatest(F.log2(n / F.col("n_e")), F.lit(1e-9))
-    strong = pairs.join(counts, "term").withColumn("disclosure", pmi / known).filter(F.col("disclosure") >= DISCLOSURE)
+    # bits by which the meetings are improbable: n_e times the divergence of their rate from the term's
+    rate, chance = F.col("n_et") / F.col("n_e"), F.col("n_t") / n
+    without = F.when(F.col("n_e") > F.col("n_et"), (F.col("n_e") - F.col("n_et")) * F.log2(
+        (1 - rate) / F.greatest(1 - chance, F.lit(1e-12)))).otherwise(0.0)
+    bits = F.col("n_et") * F.log2(rate / chance) + without
+    strong = pairs.join(counts, "term").withColumn("disclosure", pmi / known).filter(
+        (F.col("disclosure") >= DISCLOSURE) & (bits >= F.log2(F.lit(max(tests, 1) / CHANCE_PAIRS))))
     return cut_lineage(strong.groupBy("term").agg(
         F.max_by("entity", F.struct("disclosure", "entity")).alias("entity"), F.max("disclosure").alias("disclosure")))
 
