@@ -206,6 +206,33 @@ def test_repeated_passages_are_removed_once_first_stays(spark, docs):
     assert left == 1 and "Tail one here." in {r.text for r in got if r.doc_id is None}
 
 
+def _bytes(t):
+    return np.frombuffer(t.encode(), np.uint8)
+
+
+def test_every_shared_passage_of_50_words_holds_a_common_run():
+    r = random.Random(5)
+    words = lambda n: [f"v{r.randint(0, 3000)}" for _ in range(n)]
+    for case in range(600):
+        passage = words(50)
+        if case % 3:
+            for k in range(r.randint(5, 14), 50, r.randint(9, 20)):
+                passage[k] += '.\u201d' if case % 3 == 1 else '.")'
+        found = []
+        for _ in range(2):
+            before, after = words(r.randint(0, 40)), words(r.randint(0, 40))
+            text = " ".join(before + passage + after)
+            h, a, b = sentence_spans.runs(*sentence_spans.sentences(_bytes(text))[:2])
+            found.append(set(h.tolist()))
+        assert found[0] & found[1]
+
+
+def test_stops_before_closing_marks_and_of_other_scripts():
+    text = 'He said "one two." Then (three four!) five\u2026 \u4e03\u3002 and\u201cso?\u201d \u00abq.\u00bb "" end'
+    starts = sentence_spans.sentences(_bytes(text))[1].tolist()
+    assert {4, 7, 8, 9, 10, 11} <= set(starts)
+
+
 def test_clean_documents_are_left_alone(spark):
     r = random.Random(4)
     rows = [(i, " ".join(f"v{r.randint(0, 10**6)}" + ("." if r.random() < .2 else "") for _ in range(200))) for i in range(50)]

@@ -1,10 +1,13 @@
 """Substring deduplication by sliding sentence spans.
 
-A text is cut into sentences (at . ! ? before white space, and at line ends; a
-sentence of more than LONG_SENTENCE words also after words picked by their
-hash, so that the cuts depend on the content around them only). Every run of
-at least RUN_SENTENCES consecutive sentences and RUN_WORDS words, as short as
-possible from each first and up to each last sentence, is hashed. Of equal runs
+A text is cut into sentences: at stops before white space, closing quotes and
+brackets between them allowed, at line ends, and after the word of the smallest
+hash of every CUT_EVERY consecutive words. A cut so depends on fewer than
+CUT_EVERY words on each side of it. Every run of consecutive sentences of at
+least RUN_WORDS words, as short as possible from each first and up to each last
+sentence, is hashed. A passage has the same cuts in all places but for its first
+and last CUT_EVERY - 1 words, and no gap above CUT_EVERY words between them, so
+4 * CUT_EVERY + RUN_WORDS - 3 (44) shared words hold a common run for certain. Of equal runs
 in the whole corpus the first one, by (doc_id, place), stays; the sentences
 that any other one covers are removed.
 
@@ -15,7 +18,7 @@ as one row per map task. Repeats come back as (document, first sentence, last
 sentence) rows and are applied to the texts by a join on the document.
 
 Edge cases: null and empty texts have no sentences and come back as they are;
-texts of fewer sentences or words have no runs and are unchanged; runs that
+texts of fewer words have no runs and are unchanged; runs that
 repeat inside one text count as well; rows that repeat both doc_id and text
 are one document; a null doc_id comes after all others; other columns of any
 name pass through ``remove_repeats``; an empty table gives an empty result.
@@ -33,14 +36,38 @@ from pyspark.sql import types as T
 
 from .common import byte_views, range_hashes, words_at
 
-RUN_SENTENCES, RUN_WORDS = 3, 15
-LONG_SENTENCE, CUT_EVERY = 16, 8
+RUN_WORDS = 15
+CUT_EVERY = 8
 FLUSH_ROWS = 1 << 20
 BATCH_ROWS = 1 << 16
-_STOPS = np.isin(np.arange(256), [ord(c) for c in ".!?"])
+_STOPS = [c.encode() for c in ".!?\u2026\u3002\uff0e\uff01\uff1f\u061f\u06d4\u0964\u0965"]
+_CLOSERS = [c.encode() for c in "\"')]}\u2019\u201d\u201c\u00bb\u00ab\u203a\u2039\u300d\u300f\uff09"]
 _LAST = (1 << 63) - 1
 
 
+def _ends_with(data: np.ndarray, after: np.ndarray, marks: list[bytes]) -> np.ndarray:
+    """Bytes of the mark that ends before each of the places; 0: none."""
+    size = np.zeros(len(after), np.int64)
+    last = data[np.maximum(after, 1) - 1]
+    for mark in marks:
+        at = np.flatnonzero((last == mark[-1]) & (after >= len(mark)))
+        for k in range(2, len(mark) + 1):
+            at = at[data[after[at] - k] == mark[-k]]
+        size[at] = len(mark)
+    return size
+
+
+def _stops(data: np.ndarray, first: np.ndarray, after: np.ndarray) -> np.ndarray:
+    """Which words end in a stop, before closing quotes and brackets."""
+    end, active = after.copy(), np.arange(len(after))
+    while len(active):
+        size = _ends_with(data, end[active], _CLOSERS)
+        active, size = active[size > 0], size[size > 0]
+        end[active] -= size
+        active = active[end[active] > first[active]]
+    return (end > first) & (_ends_with(data, end, _STOPS) > 0)
+
+
 def sentences(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(word hashes, first word of each sentence and one after the last, byte
     where each sentence's first word starts)."""
@@ -50,13 +77,12 @@ def sentences(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         return words, np.zeros(1, np.int64), first
     lines = np.zeros(len(data) + 1, np.int64)
     np.cumsum(data == 10, out=lines[1:])
-    ends = _STOPS[data[after - 1]]
+    ends = _stops(data, first, after)
     ends[:-1] |= lines[first[1:]] > lines[after[:-1]]
+    if n >= CUT_EVERY:
+        windows = np.lib.stride_tricks.sliding_window_view(words, CUT_EVERY)
+        ends[np.arange(len(windows)) + CUT_EVERY - 1 - windows[:, ::-1].argmin(axis=1)] = True
     ends[-1] = True
-    last = np.flatnonzero(ends)
-    length = np.diff(np.r_[-1, last])
-    in_long = np.repeat(length > LONG_SENTENCE, length)
-    ends |= in_long & (words % np.uint64(CUT_EVERY) == 0)
     starts = np.r_[0, np.flatnonzero(ends) + 1]
     return words, starts, first[starts[:-1]]
 
@@ -64,11 +90,11 @@ def sentences(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 def runs(words: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(hash, first sentence, sentence after the last) of every run."""
     n = len(starts) - 1
-    if n < RUN_SENTENCES or len(words) < RUN_WORDS:
+    if len(words) < RUN_WORDS:
         return np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64)
     i = np.arange(n)
-    to = np.maximum(i + RUN_SENTENCES, np.searchsorted(starts, starts[:-1] + RUN_WORDS))
-    since = np.minimum(i + 1 - RUN_SENTENCES, np.searchsorted(starts, starts[1:] - RUN_WORDS, side="right") - 1)
+    to = np.searchsorted(starts, starts[:-1] + RUN_WORDS)
+    since = np.searchsorted(starts, starts[1:] - RUN_WORDS, side="right") - 1
     pairs = np.unique(np.r_[(i * (n + 1) + to)[to <= n], (since * (n + 1) + i + 1)[since >= 0]])
     a, b = pairs // (n + 1), pairs % (n + 1)
     return range_hashes(words, starts[a], starts[b]), a, b
