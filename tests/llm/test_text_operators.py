@@ -53,6 +53,20 @@ def test_layouts(page):
     assert html_text.main_text(page.format(menu=MENU, article=unclosed)) == TEXT
 
 
+@pytest.mark.parametrize("page", [
+    "<article><div class='{name}'>{article}</div></article>",
+    "<main><h1 class=share></h1><section id='{name}'>{article}</section><div class=share>Share this</div></main>",
+    "<form>{menu}<main><article>{article}</article></main></form>",
+    "<form id=aspnet><div class=page>{article}</div></form>",
+    "<div class='{name}'>{article}</div><p class=ad>Buy now</p>",
+])
+@pytest.mark.parametrize("name", ["entry no-sidebar", "social-policy", "with-widget", "search-results", "related", "share",
+                                  "notice", "reply", "comment"])
+def test_names_of_elements_that_hold_the_article(page, name):
+    article = "".join(f"<p>{p}</p>\n" for p in PARAGRAPHS)
+    assert html_text.main_text(page.format(menu=MENU, article=article, name=name)) == TEXT
+
+
 @pytest.mark.parametrize("source, text", [
     (None, ""), ("", ""), ("no tags at all", "no tags at all"), ("<p>a<p>b<br>c", "a b c"), ("1 &lt; 2 < 3 &amp;x", "1 < 2 < 3 &x"),
     ("<p>abc <b", "abc"), ("<div><!-- open", ""), ("<p>in<b>li</b>ne  \n x</p>", "inline x"), ("</div></p>y", "y"),

@@ -14,7 +14,9 @@ sum below it.
 
 Before that, elements that are no article text by their tag, role or class
 (menus, footers, forms, adverts, notices, comments, scripts ...) are taken out,
-and afterwards lists of links inside the article.
+and afterwards lists of links inside the article. An element with the article
+inside is never taken out unless it is not shown, nor, by class or as a form, is
+one with half of the text of the article or page that it belongs to.
 
 Text: character references are decoded, white space inside a block becomes one
 space, blocks are trimmed and joined by one space in page order; br and every
@@ -65,6 +67,8 @@ NO_TEXT_WORDS = frozenset(
     "notifications alert alerts popup popover modal overlay toast newsletter subscribe subscription signup login paywall "
     "share sharing social search".split())
 COMMENT_WORDS = frozenset("comment comments commentlist respond reply replies disqus".split())
+LAYOUT_WORDS = frozenset("no not non has have with without".split())  # what follows names another element
+SOFT_TAGS = frozenset("nav footer aside form menu dialog".split())  # may hold the article
 HEADER_WORDS = frozenset("header site top global".split())  # an element so named, header among them
 
 _TAG_REST = re.compile(r"""[^>"']*(?:"[^"]*"[^>"']*|'[^']*'[^>"']*)*>""")
@@ -73,11 +77,23 @@ _ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s
 _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
 
 
+def _names(named: str) -> frozenset[str]:
+    """Words of class and id that name the element itself."""
+    found = set()
+    for name in named.split():
+        for word in _WORDS.findall(name):
+            if word.lower() in LAYOUT_WORDS:
+                break
+            found.add(word.lower())
+    return frozenset(found)
+
+
 class Page:
     """Tree of a page in lists: nodes in document order, parents first."""
 
     def __init__(self, source: str):
         self.tag, self.parent, self.out, self.words, self.link = ["body"], [-1], [False], [frozenset()], [False]
+        self.soft, self.form = [False], [False]  # out by tag or role, unless the article is inside; forms among them
         self.runs: list[tuple[int, int, str]] = []  # (node, block, text)
         self.block = 0
         self.stack = [0]
@@ -118,16 +134,18 @@ class Page:
         if name in VOID:
             return
         attrs = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTRIBUTE.finditer(rest)} if rest.strip("/ \n\t") else {}
-        out = (name in NO_TEXT_TAGS or not NO_TEXT_ROLES.isdisjoint(attrs.get("role", "").lower().split())
-               or "hidden" in attrs or attrs.get("aria-hidden", "").lower() == "true"
+        roles = attrs.get("role", "").lower().split()
+        out = (name in NO_TEXT_TAGS - SOFT_TAGS or "hidden" in attrs or attrs.get("aria-hidden", "").lower() == "true"
                or "display:none" in attrs.get("style", "").lower().replace(" ", ""))
-        if name == "header" and not self._open_at(("article", "main")):
-            out = True
+        soft = (name in SOFT_TAGS or not NO_TEXT_ROLES.isdisjoint(roles)
+                or name == "header" and not self._open_at(("article", "main")))
         named = f"{attrs.get('class', '')} {attrs.get('id', '')}"
         self.tag.append(name)
         self.parent.append(self.stack[-1])
         self.out.append(out)
-        self.words.append(frozenset(w.lower() for w in _WORDS.findall(named)) if named != " " else frozenset())
+        self.soft.append(soft)
+        self.form.append(soft and (name == "form" or "form" in roles))
+        self.words.append(_names(named) if named != " " else frozenset())
         self.link.append(name == "a" and "href" in attrs)
         if name not in INLINE:
             self.block += 1
@@ -190,27 +208,34 @@ class Page:
 
     # -- density
     def _take_out(self) -> None:
-        """Spread what tags and roles exclude, then exclude by class and id:
-        not an element with the article inside, nor, in a page that marks no
-        article, one with half of the page's text (unless it is comments)."""
+        """Spread what is not shown, then exclude by tag and role, then by class
+        and id: not an element with the article inside, nor, by class or as a
+        form, one with half of the text around it (that of its article, or of
+        the page where no article is marked)."""
         n = len(self.tag)
-        chars, holds = [0] * n, [t in ("article", "main") for t in self.tag]
+        chars, holds, scope = [0] * n, [t in ("article", "main") for t in self.tag], [0] * n
         for i in range(1, n):
-            self.out[i] = self.out[i] or self.out[self.parent[i]]
+            p = self.parent[i]
+            self.out[i] = self.out[i] or self.out[p]
+            scope[i] = p if self.tag[p] in ("article", "main") else scope[p]
+        for i in range(n - 1, 0, -1):
+            holds[self.parent[i]] = holds[self.parent[i]] or holds[i] and not self.out[i]
+        for i in range(1, n):
+            self.out[i] = self.out[i] or self.out[self.parent[i]] or self.soft[i] and not self.form[i] and not holds[i]
         for node, _, text in self.runs:
             if not self.out[node]:
                 chars[node] += len(text.strip())
         for i in range(n - 1, 0, -1):
             chars[self.parent[i]] += chars[i]
-            holds[self.parent[i]] = holds[self.parent[i]] or holds[i]
         for i in range(1, n):
-            p = self.parent[i]
             words = self.words[i]
-            if self.out[p]:
+            if self.out[self.parent[i]]:
                 self.out[i] = True
-            elif words and not holds[i] and not self.out[i]:
-                self.out[i] = bool(words & COMMENT_WORDS) or (holds[0] or 2 * chars[i] < chars[0]) and (
-                    bool(words & NO_TEXT_WORDS) or "header" in words and words <= HEADER_WORDS)
+            elif not holds[i] and not self.out[i]:
+                around = scope[i]
+                small = holds[0] and not around or 2 * chars[i] < chars[around]
+                self.out[i] = small and (self.form[i] or bool(words & COMMENT_WORDS or words & NO_TEXT_WORDS)
+                                         or "header" in words and words <= HEADER_WORDS)
 
     def text(self) -> str:
         self._take_out()
