@@ -9,7 +9,21 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 
-from . import exact_dedup, html_text, kneser_ney, mixing, ngram_join, packing, pii, quality_rules, sentence_spans, toxicity
+from . import (
+    exact_dedup,
+    html_text,
+    kneser_ney,
+    lexical_search,
+    mixing,
+    ngram_join,
+    packing,
+    periodic_runs,
+    pii,
+    quality_rules,
+    records,
+    sentence_spans,
+    toxicity,
+)
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -153,6 +167,37 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find_spans(table(spark, sf_dir, "documents"))
 
 
+@query("op11_length_delimited_records")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return records.round_trip(table(spark, sf_dir, "documents"))
+
+
+@query("op12_branching_tandem_runs")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.find_runs(table(spark, sf_dir, "documents"), rewrite=periodic_runs.looped)
+    return found.drop("runs", "collapsed")
+
+
+@query("op13_reversed_search", r"""
+with t as (select row_number() over () as d, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') as w from documents),
+s as (select count(*) filter (len(w) > 0) as n, sum(len(w))::bigint as l from t),
+q as (select i, item_id, term, count(*) as k from (select i, item_id, unnest(w) as term from (select row_number() over () as i,
+    item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') as w from benchmark) x) y group by all),
+f as (select d, doc_id, size, term, count(*) as tf from (select d, doc_id, len(w) as size, unnest(w) as term from t) x
+  where term in (select term from q) group by all),
+g as (select term, floor(1000 * ln((2 * (select n from s) + 2)::double / (2 * count(*) + 1)))::bigint as weight from f group by term),
+c as (select d, doc_id, term, weight * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * size * s.n) // s.l))) as gain
+  from f join g using (term), s),
+p as (select i, item_id, d, doc_id, sum(k * gain)::bigint as score from q join c using (term) group by all)
+select item_id, rank::int as rank, doc_id, score from (select item_id, doc_id, score,
+  row_number() over (partition by i order by score desc, doc_id nulls last) as rank from p where score > 0) x where rank <= 10
+""")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("item")
+
+
 @query("pipeline", corpus_pipeline.ORACLE_SQL)
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
