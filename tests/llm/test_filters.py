@@ -118,6 +118,37 @@ def test_components_on_edge_rows(edges, edge_rows, empty, clashing):
     assert kept.columns == clashing.columns and 2 not in {r.doc_id for r in kept.collect()}
 
 
+def test_links_through_null_and_repeated_ids(spark):
+    base = [f"w{i}" for i in range(40)]
+    a, b, c = base, [*base[:37], "x1", "x2", "x3"], [*base[:34], "y1", "y2", "y3", "x1", "x2", "x3"]
+    unlike = " ".join(f"u{i}" for i in range(30))
+    text = lambda w: " ".join(w)
+    rows = [(1, text(a)), (None, text(b)), (None, text(b)), (2, text(c)), (7, unlike), (7, text(a) + " tail"), (None, None)]
+    assert {r for r in _components(rows, 3, 70)} >= {(2, 38, 1), (None, 38, 1)}
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = ngram_join.near_components(df, 3, 70).collect()
+    assert sorted(map(tuple, got), key=str) == _components(rows, 3, 70)
+
+
+def test_one_row_of_each_group_stays(spark):
+    words = lambda p, n=60: " ".join(f"{p}{i}" for i in range(n))
+    a, u, v = words("a"), words("u"), words("v")
+    near = lambda t: t + " end"
+    rows = [(1, a, 0), (2, near(a), 1), (2, u, 2), (3, near(u), 3),        # one id, two texts
+            (None, v, 4), (None, near(v), 5), (None, v, 4), (None, v, 6),   # no id at all, equal rows
+            (5, words("z"), 7), (5, words("z"), 7), (5, near(words("z")), 8),
+            (6, "", 9), (6, "", 9), (None, None, 10)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, row_key int").repartition(3)
+    kept = ngram_join.keep_one(df, 5, 80)
+    assert kept.columns == df.columns
+    got = sorted((tuple(r) for r in kept.collect()), key=str)
+    of = lambda p: [r for r in got if r[1] and r[1].startswith(p)]
+    assert of("a") == [(1, a, 0)] and of("u") == [(2, u, 2)]
+    assert len(of("v")) == 1 and len(of("z")) == 1 and of("z")[0][0] == 5
+    assert sorted((r for r in got if not r[1]), key=str) == [(6, "", 9), (6, "", 9), (None, None, 10)]
+    assert sorted((tuple(r) for r in ngram_join.keep_one(df.repartition(5), 5, 80).collect()), key=str) == got
+
+
 def test_linked_sets_share_a_group_key():
     rng = np.random.default_rng(5)
     for percent in (60, 80, 90):

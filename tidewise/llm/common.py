@@ -142,7 +142,7 @@ def rows_with(df: DataFrame, key: str, keys: DataFrame, how: str = "left_semi")
     schema = to_arrow_schema(df.schema)
     hashed = df.withColumn(unused(df, "hash"), F.xxhash64(key))
     likely = hashed.mapInArrow(_by_bit(bits, True, schema), df.schema)
-    joined = likely.join(keys.hint("merge"), key, how)
+    joined = likely.join(keys.hint("merge"), key, how).select(*[F.col(f"`{c}`") for c in df.columns])
     if how == "left_semi":
         return joined
     return joined.union(hashed.mapInArrow(_by_bit(bits, False, schema), df.schema))

@@ -29,7 +29,8 @@ most one row per task) -> star edges of equal keys -> blocks -> R-tree joins
 inside blocks, in chunks of about CHUNK_SHINGLES -> components -> documents.
 
 A set is identified by a 64-bit hash of its shingles: texts of equal sets share
-one point (expected false merges: N^2 / 2^65).
+one point (expected false merges: N^2 / 2^65). Its text comes from one row, which
+a 64-bit hash of id and text names, so null and repeated ids lose nothing.
 
 Edge cases: texts without words (null, empty, only spaces) have no shingles
 and are linked with nothing; texts of fewer than k words have their whole
@@ -51,7 +52,7 @@ from pyspark.sql import functions as F
 from tidewise.session import cut_lineage
 
 from .common import (bit_filter, byte_views, components, frees, join_counted, may_hold, mix, rows_with, shingle_set,
-                     signed, word_hashes, worker_cache)
+                     signed, unused, word_hashes, worker_cache)
 
 DIMENSIONS = 64            # hash groups of a point
 LEAF, NODE = 16, 8         # points of a leaf, children of an inner node
@@ -352,17 +353,43 @@ def _set_rows(k: int):
                 if len(s):
                     sizes[i], ids[i] = len(s), set_id(s)
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(signed(ids), mask=sizes == 0), pa.array(sizes)],
-                names=["doc_id", "node", "n_shingles"])
+                [b.column(0), b.column(2), pa.array(signed(ids), mask=sizes == 0), pa.array(sizes)],
+                names=["doc_id", "row_key", "node", "n_shingles"])
 
     return run
 
 
 # ------------------------------------------------------------------ operator
+def _row_key(id_col: str, text_col: str):
+    """64-bit key of a row's id and text (null id, null text: values of their own)."""
+    return F.xxhash64(F.col(id_col).isNull(), F.col(id_col), F.col(text_col).isNull(), F.col(text_col))
+
+
 def document_sets(docs: DataFrame, k: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: doc_id, node (set id, null without words), n_shingles."""
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(_set_rows(k), "doc_id long, node long, n_shingles long")
+    """Per row: doc_id, row_key, node (set id, null without words), n_shingles."""
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"),
+                       _row_key(id_col, text_col).alias("row_key"))
+    return rows.mapInArrow(_set_rows(k), "doc_id long, row_key long, node long, n_shingles long")
+
+
+def _classes_of(rows: DataFrame) -> DataFrame:
+    """Per set: smallest doc_id, rows, size, and the first row (by id, null
+    last, then key) with the number of rows that equal it."""
+    texts = rows.filter("node is not null").groupBy("node", "row_key").agg(
+        F.min("doc_id").alias("doc_id"), F.count("*").alias("n"), F.first("n_shingles").alias("size"))
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "row_key")
+    return texts.groupBy("node").agg(
+        F.min("doc_id").alias("least"), F.sum("n").alias("copies"), F.first("size").alias("size"),
+        F.min_by(F.struct("row_key", "n"), order).alias("head")).select(
+        "node", "least", "copies", "size", F.col("head.row_key").alias("key"), F.col("head.n").alias("equal"))
+
+
+def _components_of(docs, rows, k, percent, id_col, text_col, chunk_shingles) -> DataFrame:
+    """Per set: node, copies, least, key, root (one of its component's sets)."""
+    classes = cut_lineage(_classes_of(rows))
+    roots = components(_links(docs, classes, k, percent, id_col, text_col, chunk_shingles))
+    facts = classes.join(roots, "node", "left").withColumn("linked", F.col("root").isNotNull())
+    return cut_lineage(facts.withColumn("root", F.coalesce("root", "node")))
 
 
 def near_components(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id",
@@ -370,19 +397,13 @@ def near_components(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
     """Per row of ``docs``: doc_id, n_shingles, component_id (smallest doc_id
     that links of similarity >= percent / 100 reach, itself included)."""
     rows = cut_lineage(document_sets(docs, k, id_col, text_col))
-    classes = cut_lineage(rows.filter("node is not null").groupBy("node").agg(
-        F.min("doc_id").alias("least"), F.count("*").alias("copies"), F.first("n_shingles").alias("size")))
-    links = _links(docs, classes, k, percent, id_col, text_col, chunk_shingles)
-    roots = components(links)
-    facts = classes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    facts = cut_lineage(facts)
-    smallest = facts.groupBy("root").agg(F.min("least").alias("component_id"))
-    # singletons need no join: their own class has the smallest doc_id
-    alone = facts.join(roots.select("node"), "node", "left_anti").select("node", "copies", F.col("least").alias("component_id"))
-    joined = facts.join(roots.select("node"), "node", "left_semi").join(smallest, "root").select(
-        "node", "copies", "component_id")
-    known = cut_lineage(alone.union(joined))
-    out = join_counted(rows.filter("node is not null"), known, "node", "copies", rows.count())
+    facts = _components_of(docs, rows, k, percent, id_col, text_col, chunk_shingles)
+    # sets without a link need no join: their own class has the smallest doc_id
+    alone = facts.filter("not linked").select("node", "copies", F.col("least").alias("component_id"))
+    linked = facts.filter("linked")
+    smallest = linked.groupBy("root").agg(F.min("least").alias("component_id"))
+    known = cut_lineage(alone.union(linked.join(smallest, "root").select("node", "copies", "component_id")))
+    out = join_counted(rows.filter("node is not null").drop("row_key"), known, "node", "copies", rows.count())
     bare = rows.filter("node is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
     return out.select("doc_id", "n_shingles", "component_id").union(bare)
 
@@ -394,14 +415,17 @@ def _links(docs, classes, k, percent, id_col, text_col, chunk_shingles) -> DataF
     keyed = texts.mapInArrow(_key_rows(k, percent, common), "key long, node long, other long")
     stars = cut_lineage(keyed.repartition("key").mapInArrow(_star_edges, "a long, b long"))
     blocks = components(stars).withColumnRenamed("root", "block").join(classes, "node")
-    blocks = cut_lineage(blocks.select("node", "block", "size", "least"))
+    blocks = cut_lineage(blocks.select("node", "block", "size", "key", "equal"))
     weight = F.ceil(F.sum("size") / F.lit(chunk_shingles))
     chunks = blocks.groupBy("block").agg(weight.alias("chunks"))
     blocks = blocks.join(chunks, "block").withColumn("chunk", F.pmod(F.xxhash64("node"), "chunks"))
     blocks = cut_lineage(blocks)
-    source = docs.select(F.col(id_col).cast("long").alias("least"), F.col(text_col).alias("text"))
-    source = rows_with(source, "least", blocks.select("least").distinct())
-    blocks = cut_lineage(blocks.join(source, "least").select("block", "chunks", "chunk", "node", "text"))
+    source = docs.select(_row_key(id_col, text_col).alias("key"), F.col(text_col).alias("text"))
+    wanted = rows_with(source, "key", blocks.filter("equal = 1").select("key"))
+    repeated = blocks.filter("equal > 1").select("key")
+    if not repeated.isEmpty():   # equal rows count once
+        wanted = wanted.union(rows_with(source, "key", repeated).groupBy("key").agg(F.first("text").alias("text")))
+    blocks = cut_lineage(blocks.join(wanted, "key").select("block", "chunks", "chunk", "node", "text"))
 
     def join(tasks: DataFrame) -> DataFrame:
         rows = tasks.select(F.xxhash64("task").alias("task"), "node", "asks", "text")
@@ -433,9 +457,23 @@ def _links(docs, classes, k, percent, id_col, text_col, chunk_shingles) -> DataF
 
 
 def keep_one(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows whose doc_id is their component's smallest: one document of
-    each group of near duplicates (of rows that repeat a doc_id and its text,
-    one), with the columns of ``docs``."""
-    found = near_components(docs.select(id_col, text_col), k, percent, id_col, text_col)
-    gone = cut_lineage(found.filter("doc_id <> component_id").select(F.col("doc_id").alias(id_col)).distinct())
-    return rows_with(docs, id_col, gone, "left_anti")
+    """One row of each group of near duplicates, with the columns of ``docs``:
+    the row with the smallest doc_id (null last), of rows that share it the one
+    with the smallest hash of id and text, of rows that equal in both the one
+    with the largest hash of all columns. Rows without words all stay."""
+    rows = cut_lineage(document_sets(docs, k, id_col, text_col))
+    facts = _components_of(docs, rows, k, percent, id_col, text_col, CHUNK_SHINGLES)
+    order = F.struct(F.col("least").isNull(), "least", "key")
+    stays = cut_lineage(facts.groupBy("root").agg(F.min_by(F.struct("key", "equal"), order).alias("head")).select(
+        F.col("head.key").alias("key"), F.col("head.equal").alias("equal")))
+    key = unused(docs, "row_key")
+    marked = docs.withColumn(key, _row_key(id_col, text_col))
+    others = rows.filter("node is not null").select(F.col("row_key").alias(key)).distinct().join(
+        stays.select(F.col("key").alias(key)), key, "left_anti")
+    kept = rows_with(marked, key, cut_lineage(others), "left_anti")
+    repeated = stays.filter("equal > 1").select(F.col("key").alias(key))
+    if not repeated.isEmpty():
+        one = F.max_by(F.struct(*docs.columns), F.xxhash64(*docs.columns)).alias("row")
+        single = rows_with(kept, key, repeated).groupBy(key).agg(one).select("row.*")
+        return rows_with(kept, key, repeated, "left_anti").drop(key).union(single)
+    return kept.drop(key)
