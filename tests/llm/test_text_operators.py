@@ -362,3 +362,22 @@ def test_perplexity_models_word_order(spark):
     worst = max(got[i].perplexity for i in range(60))
     assert all(got[i].perplexity > 3 * worst for i in range(60, 70))
     assert not any(got[i].kept for i in range(60, 70))
+
+
+def test_nothing_is_rejected_without_labels_of_both_kinds(spark, docs, labels):
+    only = labels.filter("toxic = 1")
+    assert toxicity.reject_toxic(docs, only).count() == docs.count()
+    few = labels.filter("toxic = 0").limit(5).union(labels.filter("toxic = 1").limit(3))
+    assert toxicity.fit(docs.limit(0), few).share == few.filter(~toxicity.held_out()).agg({"toxic": "avg"}).first()[0]
+
+
+def test_training_is_the_same_in_every_process():
+    import subprocess
+    import sys
+
+    code = ("import hashlib; from tidewise.llm import toxicity as t; "
+            "texts = [' '.join(f'w{(i * 7 + j * j) % 50}' + ('vile' * (i % 3 == 0 and j == 3)) for j in range(60)) for i in range(60)]; "
+            "m = t.train(texts[::3], texts[1::3] + texts[2::3]); print(hashlib.sha256(m.toxic + m.ordinary + m.weights.tobytes()).hexdigest())")
+    seen = {subprocess.run([sys.executable, "-c", code], env={**__import__("os").environ, "PYTHONHASHSEED": seed}, text=True,
+                           capture_output=True, check=True).stdout for seed in ("1", "2")}
+    assert len(seen) == 1

@@ -19,7 +19,8 @@ other. Scoring covers every document and all of its text; the model (about
 
 Edge cases: null, empty and wordless texts have no windows and get the model's
 score for none; without labels of both kinds every score is the share of toxic
-labels (0 without any); a null doc_id is not held out and never labelled;
+ones among all usable labels (0 without any) and ``reject_toxic`` keeps every
+row; a null doc_id is not held out and never labelled;
 repeated rows get equal scores; columns of any name pass through
 ``with_score``; an empty table gives an empty result.
 """
@@ -31,6 +32,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -124,13 +126,15 @@ class Model:
 
 # ------------------------------------------------------------------- training
 def _without_near_copies(texts: list[str]) -> list[str]:
-    """Keeps a text unless it shares 30 % of its (sampled) 3-word runs with kept ones."""
+    """Keeps a text unless it shares 30 % of its 3-word runs (long texts: of a
+    quarter of them, by a hash that every process computes alike) with kept ones."""
     seen: set[int] = set()
     out = []
     for t in texts:
         w = _WORD.findall(t.lower())
-        runs = {h for i in range(len(w) - 2) if not (h := hash((w[i], w[i + 1], w[i + 2]))) & 3} if len(w) > 40 else {
-            hash(tuple(w[i:i + 3])) for i in range(max(1, len(w) - 2))}
+        runs = {crc32(" ".join(w[i:i + 3]).encode()) for i in range(max(1, len(w) - 2))}
+        if len(w) > 40:
+            runs = {h for h in runs if not h & 3}
         if len(runs & seen) <= 0.3 * len(runs):
             out.append(t)
             seen |= runs
@@ -157,10 +161,11 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> np.ndarray:
     return w
 
 
-def train(toxic: list[str], ordinary: list[str]) -> Model:
-    """A model from labelled texts."""
+def train(toxic: list[str], ordinary: list[str], share: float | None = None) -> Model:
+    """A model from labelled texts; ``share`` of toxic labels (default: of the
+    texts) is the score where they teach nothing."""
     both = len(toxic) + len(ordinary)
-    model = Model(share=len(toxic) / both if both else 0.0)
+    model = Model(share=share if share is not None else len(toxic) / both if both else 0.0)
     toxic, ordinary = _without_near_copies(toxic), _without_near_copies(ordinary)
     if not toxic or not ordinary:
         return model
@@ -203,7 +208,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     texts = texts.filter(F.length("text") <= SAMPLE_CHARS)
     rows = texts.join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"]).select("doc_id", "toxic", "text").collect()
     rows.sort(key=lambda r: r[0])
-    return train([r[2] for r in rows if r[1] == 1], [r[2] for r in rows if r[1] == 0])
+    share = usable.agg(F.avg("toxic")).first()[0] or 0.0
+    return train([r[2] for r in rows if r[1] == 1], [r[2] for r in rows if r[1] == 0], share)
 
 
 # -------------------------------------------------------------------- scoring
@@ -240,7 +246,10 @@ def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def reject_toxic(docs: DataFrame, labels: DataFrame, text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose score is below the threshold."""
+    """The rows of ``docs`` whose score is below the threshold; all rows where
+    the labels teach no difference (a model without weights)."""
+    model = fit(docs, labels, text_col=text_col)
+    if not len(model.weights):
+        return docs
     name = unused(docs, "score")
-    return with_score(docs, fit(docs, labels, text_col=text_col), text_col, name).filter(
-        F.col(name) < THRESHOLD).drop(name)
+    return with_score(docs, model, text_col, name).filter(F.col(name) < THRESHOLD).drop(name)
