@@ -6,6 +6,7 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tidewise.llm import mixing, packing
@@ -102,15 +103,21 @@ ODD = ["", " ", "İstanbul İ. ΣΑΣ. ΑΣ ΣΑΣ,", "a<|endoftext|>b <|startof
 def test_ids_equal_the_vocabularys_own(docs, tokenizer):
     texts = ODD + [r.text for r in docs.select("text").collect()]
     encoder = packing.WordEncoder(packing.default_vocabulary())
-    for text, ids in zip(texts, encoder.encode(texts)):
-        assert np.frombuffer(ids, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+    for text, ids in zip(texts, encoder.encode(pa.array(texts))):
+        assert ids.tolist() == tokenizer.encode(text, add_special_tokens=False).ids
 
 
 def test_small_caches_change_nothing(docs, monkeypatch):
-    texts = [r.text for r in docs.select("text").limit(40).collect()]
-    want = list(packing.WordEncoder(packing.default_vocabulary()).encode(texts))
-    monkeypatch.setattr(packing, "CACHED_WORDS", 10)
-    assert list(packing.WordEncoder(packing.default_vocabulary()).encode(texts)) == want
+    texts = pa.array([r.text for r in docs.select("text").limit(40).collect()] + ["", None, " \n"])
+
+    def encoded():
+        return [ids.tolist() for ids in packing.WordEncoder(packing.default_vocabulary()).encode(texts)]
+
+    want = encoded()
+    monkeypatch.setattr(packing, "CACHE_BYTES", 1000)
+    assert encoded() == want
+    monkeypatch.setattr(packing, "SLICE_BYTES", 100)   # long texts in slices
+    assert encoded() == want
 
 
 def _check_packing(rows, texts, tokenizer, spare):

@@ -15,7 +15,7 @@ at most one badly filled sequence.
 
 Tokenising splits a text at spaces and newlines, which this vocabulary's
 normaliser and pre-tokeniser never join across, and encodes each distinct word
-once per cache life; caches are bounded.
+once per cache life; the cache is bounded in bytes.
 
 Edge cases: a null or empty text is the end id alone; repeated rows and
 doc_ids are packed like others; null doc_ids are kept; other columns are not
@@ -25,12 +25,13 @@ read; an empty table gives an empty result.
 from __future__ import annotations
 
 import re
-import unicodedata
 import zlib
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -42,7 +43,9 @@ SEQUENCE = 4096
 END_ID = 1
 OPEN_BINS = 16384
 GROUP_PIECES = 50_000
-CACHED_WORDS = 1_500_000   # entries of each of a worker's two caches
+SLICE_BYTES = 4 << 20      # text that is encoded at once
+CACHE_BYTES = 160 << 20    # of a worker's cache
+_ENTRY_BYTES = 180         # of a cache entry beside its letters and ids (measured)
 
 
 def default_vocabulary() -> str:
@@ -51,11 +54,24 @@ def default_vocabulary() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def _ragged(pool: np.ndarray, start: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The stretches pool[start : start + size] one after the other, and their ends."""
+    end = np.cumsum(size)
+    place = np.arange(end[-1] if len(end) else 0) + np.repeat(start - end + size, size)
+    return pool[place], end
+
+
 class WordEncoder:
-    """Ids of texts as little-endian 32-bit strings, equal to the vocabulary's
-    own encoding of the whole text."""
+    """Ids of texts, equal to the vocabulary's own encoding of the whole text.
 
-    _letters = re.compile(r"([^\W\d_]+)([.,!?;:%$&*#]*)")
+    The chunks between spaces are made distinct by Arrow; a chunk of letters
+    and closing marks is its lower-case word and the marks, which the
+    pre-tokeniser keeps apart; any other chunk is encoded as it stands. Words
+    and other chunks are encoded once per cache life."""
+
+    # Latin letters that the vocabulary's normaliser only lower-cases, one by one
+    _letters = "^[A-Za-zÀ-ÖØ-öø-ÿ]+$"
+    _marks = ".,!?;:%$&*#"
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -64,59 +80,107 @@ class WordEncoder:
         self.word_end = np.zeros(self.tokenizer.get_vocab_size(), bool)
         for token, i in self.tokenizer.get_vocab().items():
             self.word_end[i] = token.endswith("</w>")
-        self.chunks: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}
+        self.known: dict[str, bytes] = {}
+        self.known_bytes = 0
 
     def _encode(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def _learn_words(self, words: list[str]) -> None:
+    def _learn_words(self, words: list[str]) -> list[bytes]:
         """Words of letters only: one pre-token each, so each ends at a word-end id."""
+        out = []
         for at in range(0, len(words), 256):
             part = words[at:at + 256]
             ids = np.array(self.tokenizer.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, "<u4")
             ends = np.flatnonzero(self.word_end[ids]) + 1
             if len(ends) != len(part) or (len(ids) and ends[-1] != len(ids)):
-                self.words.update((w, self._encode(w)) for w in part)
+                out += map(self._encode, part)
                 continue
             raw, start = ids.tobytes(), 0
-            for w, end in zip(part, (4 * ends).tolist()):
-                self.words[w] = raw[start:end]
+            for end in (4 * ends).tolist():
+                out.append(raw[start:end])
                 start = end
-
-    def _learn(self, chunks: list[str]) -> None:
-        if len(self.words) > CACHED_WORDS:
-            self.words.clear()
-        simple, new = {}, set()
-        for c in chunks:
-            m = self._letters.fullmatch(c)
-            if m:
-                word = m[1].lower()
-                # the vocabulary lower-cases each letter alone; str.lower treats a final sigma by its context
-                if m[1].isascii() or word.isalpha() and "Σ" not in c and unicodedata.is_normalized("NFC", c):
-                    simple[c] = word, m[2]
-                    new.add(word)
-                    continue
-            self.chunks[c] = self._encode(c)
-        self._learn_words([w for w in new if w not in self.words])
-        for c, (word, marks) in simple.items():
-            if marks and marks not in self.words:
-                self.words[marks] = self._encode(marks)
-            self.chunks[c] = self.words[word] + (self.words[marks] if marks else b"")
-
-    def encode(self, texts: list[str]) -> Iterator[bytes]:
-        for at in range(0, len(texts), 32):
-            split = [t.replace("\n", " ").split(" ") for t in texts[at:at + 32]]
-            used = set().union(*split)
-            missing = [c for c in used if c not in self.chunks]
-            if len(self.chunks) + len(missing) > CACHED_WORDS:
-                self.chunks.clear()
-                missing = list(used)
-            if missing:
-                self._learn(missing)
-            near = {c: self.chunks[c] for c in used}
-            for words in split:
-                yield b"".join(map(near.__getitem__, words))
+        return out
+
+    def _lookup(self, parts: pa.Array, learn) -> list[bytes]:
+        """Ids of each of the distinct ``parts``; ``learn`` encodes a list of new ones."""
+        parts = parts.to_pylist()
+        if self.known_bytes > CACHE_BYTES:
+            self.known.clear()
+            self.known_bytes = 0
+        found = list(map(self.known.get, parts))
+        new = [i for i, f in enumerate(found) if f is None]
+        for i, ids in zip(new, learn([parts[i] for i in new])):
+            self.known[parts[i]] = found[i] = ids
+            self.known_bytes += _ENTRY_BYTES + len(parts[i]) + len(ids)
+        return found
+
+    def _chunk_ids(self, chunks: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(pool, start, size) of the ids of each chunk."""
+        stem = pc.utf8_rtrim(chunks, characters=self._marks)
+        plain = pc.match_substring_regex(stem, self._letters).to_numpy(zero_copy_only=False)
+        tail = (pc.binary_length(chunks).to_numpy() - pc.binary_length(stem).to_numpy()) * plain
+        words = pc.utf8_lower(stem.filter(pa.array(plain))).dictionary_encode()
+        raw = self._lookup(words.dictionary, self._learn_words)
+        # segments: the words, the other chunks, the marks
+        first = np.zeros(len(chunks), np.int64)
+        first[plain] = words.indices.to_numpy()
+        other = chunks.filter(pa.array(~plain))
+        first[~plain] = len(raw) + np.arange(len(other))
+        raw += self._lookup(other, lambda new: map(self._encode, new))
+        second = np.zeros(len(chunks), np.int64)
+        for n in np.unique(tail[tail > 0]).tolist():
+            at = np.flatnonzero(tail == n)
+            marks = pc.utf8_slice_codeunits(chunks.take(pa.array(at)), -n).dictionary_encode()
+            second[at] = len(raw) + marks.indices.to_numpy()
+            raw += self._lookup(marks.dictionary, lambda new: map(self._encode, new))
+        size = np.fromiter(map(len, raw), np.int64, len(raw)) // 4
+        start = np.cumsum(size) - size
+        both = np.stack([first, second], 1).ravel()
+        own = size[both]
+        own[1::2] *= tail > 0
+        pool, end = _ragged(np.frombuffer(b"".join(raw), "<u4"), start[both], own)
+        end = end[1::2]
+        return pool, np.r_[0, end[:-1]][:len(end)], own[0::2] + own[1::2]
+
+    def encode_column(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, end): the ids of all texts of a string column (null: empty)
+        one after the other, and where each text's end."""
+        texts = pc.replace_substring(pc.fill_null(texts.cast(pa.large_string()), ""), "\n", " ")
+        split = pc.split_pattern(texts, " ")
+        coded = split.flatten().dictionary_encode()
+        pool, start, size = self._chunk_ids(coded.dictionary)
+        code = coded.indices.to_numpy()
+        ids, end = _ragged(pool, start[code], size[code])
+        last = np.cumsum(pc.list_value_length(split).to_numpy()) - 1     # a text has one chunk at least
+        return ids, end[last]
+
+    def encode(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        """The ids of each text, in groups of about SLICE_BYTES of text; a
+        longer text is encoded in slices that end at a space."""
+        size = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+        at = 0
+        while at < len(texts):
+            before = size[at - 1] if at else 0
+            stop = max(at + 1, int(np.searchsorted(size, before + SLICE_BYTES, side="right")))
+            if stop == at + 1 and size[at] - before > SLICE_BYTES:
+                parts = pa.array(_slices(texts[at].as_py()), pa.large_string())
+                yield np.concatenate([self.encode_column(parts.slice(i, 1))[0] for i in range(len(parts))])
+            else:
+                ids, end = self.encode_column(texts.slice(at, stop - at))
+                yield from np.split(ids, end[:-1])
+            at = stop
+
+
+def _slices(text: str) -> list[str]:
+    """A long text cut at spaces and newlines (which belong to no token)."""
+    out, at = [], 0
+    while at < len(text):
+        cut = re.compile("[ \n]").search(text, at + SLICE_BYTES) if at + SLICE_BYTES < len(text) else None
+        end = cut.start() if cut else len(text)
+        out.append(text[at:end])
+        at = end + 1
+    return out
 
 
 def _pieces(path: str, with_ids: bool):
@@ -129,11 +193,11 @@ def _pieces(path: str, with_ids: bool):
             cache[path] = WordEncoder(path)
         encoder = cache[path]
         for batch in batches:
-            for at in range(0, len(batch), 512):
-                part = batch.slice(at, 512)
+            encoded = zip(batch.column(0).to_pylist(), encoder.encode(batch.column(1)))
+            for _ in range(0, len(batch), 512):
                 ids, piece, start, length, crc, raw = [], [], [], [], [], []
-                for doc, own in zip(part.column(0).to_pylist(), encoder.encode(part.column(1).to_pylist())):
-                    own += end
+                for doc, own in islice(encoded, 512):
+                    own = own.astype("<u4", copy=False).tobytes() + end
                     for k, a in enumerate(range(0, len(own), 4 * SEQUENCE)):
                         cut = own[a:a + 4 * SEQUENCE]
                         ids.append(doc)

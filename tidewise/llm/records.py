@@ -41,6 +41,7 @@ import struct
 import uuid
 import zlib
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -155,7 +156,6 @@ def _write(folder: str, vocabulary: str, end_id: int):
             cache[vocabulary] = WordEncoder(vocabulary)
         encoder = cache[vocabulary]
         width = 2 if max(encoder.tokenizer.get_vocab_size(), end_id + 1) <= 1 << 16 else 4
-        end = np.array([end_id], "<u4").tobytes()
         task = TaskContext.get()
         shard = task.partitionId()
         name = f"shard-{shard:06d}-{task.taskAttemptId()}.rec"
@@ -163,15 +163,14 @@ def _write(folder: str, vocabulary: str, end_id: int):
         out, record, offset, before = None, 0, 0, 0
         try:
             for batch in batches:
-                for at in range(0, len(batch), 256):
-                    part = batch.slice(at, 256)
-                    ids, data, counts = part.column(0).to_pylist(), [], []
-                    for doc, own in zip(ids, encoder.encode(part.column(1).to_pylist())):
-                        own = np.frombuffer(own + end, "<u4")
-                        counts.append(len(own))
-                        data.append(struct.pack(HEAD, width, doc is not None, doc or 0) + own.astype(f"<u{width}").tobytes())
-                    if not data:
-                        continue
+                encoded = zip(batch.column(0).to_pylist(), encoder.encode(batch.column(1)))
+                for _ in range(0, len(batch), 256):
+                    ids, data, counts = [], [], []
+                    for doc, own in islice(encoded, 256):
+                        ids.append(doc)
+                        counts.append(len(own) + 1)
+                        data.append(struct.pack(HEAD, width, doc is not None, doc or 0)
+                                    + np.append(own, np.uint32(end_id)).astype(f"<u{width}").tobytes())
                     if out is None:
                         system.create_dir(path, recursive=True)
                         out = system.open_output_stream(f"{path}/{name}")
