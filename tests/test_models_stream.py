@@ -107,7 +107,8 @@ def test_training_run_reports_every_model(spark, sf_small, tmp_path):
                        step=60, model_overrides={"xgboost": {"n_estimators": 3}}).collect()
     assert sorted(r.model for r in rep) == ["linear", "xgboost"]
     assert all("±" in r.mae for r in rep)
-    assert os.path.isdir(str(tmp_path / "models" / "linear"))
+    saved = md.load_models(spark, str(tmp_path / "models")).collect()
+    assert sorted(r.model for r in saved) == ["linear", "xgboost"] and all(r.features for r in saved)
 
 
 def test_power_bundle_and_weather_bundle(spark):

@@ -13,10 +13,10 @@ Two fitting paths:
   series' means, and of their products) are aggregated map-side, sent to the
   <= W/g + 1 folds that train on it and summed per fold, a p x p system per
   fold, solved in an Arrow batch over the folds, which number K, not n.
-* **Any Python model** (``fit(X, y)`` / ``predict(X)``): each row is copied to
-  the folds that use it (at most ceil(W/s) + 1 copies) and every fold is fitted
-  in its own ``applyInPandas`` group of W + s rows - the group size is fixed
-  by the parameters, never by the data.
+* **Any Python model** (``fit(X, y)`` / ``predict(X)``, tree ensembles too): each
+  row is copied to the folds that use it (at most ceil(W/s) + 1 copies) and every
+  fold and model is fitted in its own ``applyInPandas`` group of W + s rows, all
+  in one job - the group size is fixed by the parameters, never by the data.
 """
 
 from __future__ import annotations
@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewise.functions.nulls import strict_avg
-from tidewise.plans.ordered import IDX, add_row_index, materialize
+from tidewise.plans.ordered import IDX, add_row_index, join_keyed, materialize
 from tidewise.session import cut_lineage
 
 # Fixed defaults of the backtest loop.
@@ -68,7 +68,7 @@ def test_rows(x: DataFrame, keys: list[str], window: int, step: int) -> DataFram
     n = x.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     fold = F.floor((F.col(IDX) - F.lit(window)) / F.lit(step)).cast("long")
     t = x.withColumn("fold", fold).filter(F.col(IDX) >= F.lit(window))
-    t = t.join(n, keys, "inner") if keys else t.crossJoin(F.broadcast(n))
+    t = join_keyed(t, n, keys)
     return t.filter(F.col("fold") < _k_expr(F.col("_n"), window, step)).drop("_n")
 
 
@@ -143,7 +143,7 @@ def _shifted(x: DataFrame, cols: Sequence[str], keys: list[str]) -> DataFrame:
     """``x`` with ``_m{i}``, the mean of each column over its whole series:
     sums of differences to it keep their digits whatever the columns' offset."""
     means = x.groupBy(*keys).agg(*[F.avg(F.col(c).cast("double")).alias(f"_m{i}") for i, c in enumerate(cols)])
-    return x.join(means, keys) if keys else x.crossJoin(F.broadcast(means))
+    return join_keyed(x, means, keys)
 
 
 def _moment_sums(cols: Sequence[str]) -> list[F.Column]:
@@ -174,6 +174,11 @@ def fold_moments(x: DataFrame, cols: Sequence[str], keys: list[str], train_rows:
     return folds.filter(F.col("_rows") == F.lit(train_rows))  # only folds whose whole window exists
 
 
+def all_moments(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """The moments of all rows, in the form of one fold's."""
+    return _shifted(df, cols, []).groupBy(F.lit(0).cast("long").alias("fold")).agg(*_moment_sums(cols))
+
+
 def solve_moments(moments: DataFrame, keys: list[str], cols: Sequence[str], models: dict[str, Linear]) -> DataFrame:
     """(keys, model, fold, coef): intercept and slopes of each model on each
     fold. ``cols`` are the moments' columns, the target last; one row per fold
@@ -205,7 +210,7 @@ def solve_moments(moments: DataFrame, keys: list[str], cols: Sequence[str], mode
 
 def _predicted(test: DataFrame, coefs: DataFrame, keys: list[str], models: dict[str, Linear], target: str,
                order_col: str) -> DataFrame:
-    pred = test.join(coefs, [*keys, "fold"], "inner")
+    pred = join_keyed(test, coefs, [*keys, "fold"])
     yhat = F.lit(None).cast("double")
     for name, m in models.items():
         value = F.col("coef")[0]
@@ -291,6 +296,13 @@ def walk_forward_lstsq(
                                partition_cols, nulls=nulls)
 
 
+def train_folds(window: int, step: int) -> F.Column:
+    """The folds, bounded or not by the series' end, whose training window
+    holds a row (needs ``_idx``)."""
+    low = F.greatest(F.lit(0), F.ceil((F.col(IDX) - F.lit(window - 1)) / F.lit(step))).cast("long")
+    return F.sequence(low, F.greatest(low, F.floor(F.col(IDX) / F.lit(step)).cast("long")))
+
+
 def _fold_roles(window: int, step: int) -> F.Column:
     """Array of (fold, test) roles of a row (needs ``_idx`` and ``_n``):
     train for folds k with k*s <= idx < k*s + W, test for the fold whose
@@ -331,15 +343,14 @@ def walk_forward_lstsq_fold_imputed(
     keys = list(partition_cols)
     cols = [*features, target]
     x = _indexed(df, order_col, keys)
-    n = x.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    x = x.join(n, keys) if keys else x.crossJoin(F.broadcast(n))
+    x = join_keyed(x, x.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")), keys)
     base = [*keys, order_col, IDX, *cols]
     ex = materialize(x.select(*base, F.explode(_fold_roles(window, step)).alias("_r"))
                      .select(*base, "_r.fold", "_r.test"))
     # a fold group holds W rows, so its median is exact and bounded
     med = ex.filter(F.col("test") == 0).groupBy(*keys, "fold").agg(
         *[F.median(F.col(c).cast("double")).alias(f"_med_{c}") for c in cols])
-    filled = ex.join(med, [*keys, "fold"], "left").select(
+    filled = join_keyed(ex, med, [*keys, "fold"], "left").select(
         *keys, order_col, IDX, "fold", "test",
         *[F.coalesce(F.col(c).cast("double"), F.col(f"_med_{c}")).alias(c) for c in cols],
     ).filter(F.col(target).isNotNull())
@@ -351,64 +362,91 @@ def walk_forward_lstsq_fold_imputed(
     return _predicted(filled.filter(F.col("test") == 1), coefs, keys, models, target, order_col)
 
 
-def walk_forward_grouped(
+@dataclass(frozen=True)
+class Fitted:
+    """Any Python model with ``fit(X, y)`` and ``predict(X)``, made by
+    ``make()``, on ``features`` or on what ``prepare(pdf, target)`` returns."""
+
+    make: Callable[[], object]
+    features: tuple[str, ...]
+    prepare: Callable | None = None
+
+    def matrix(self, pdf: pd.DataFrame, target: str) -> tuple[np.ndarray, np.ndarray]:
+        if self.prepare is not None:
+            return self.prepare(pdf, target)
+        return pdf[list(self.features)].to_numpy(float), pdf[target].to_numpy(float)
+
+
+def _fold_rows(x: DataFrame, cols: Sequence[str], keys: list[str], window: int, step: int) -> DataFrame:
+    """The rows of ``x`` (indexed) once per fold that uses them (at most
+    ceil(W/s) + 1 copies): ``cols``, fold, test (0 or 1)."""
+    x = join_keyed(x, x.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")), keys)
+    cols = list(dict.fromkeys(cols))
+    return x.select(*cols, F.explode(_fold_roles(window, step)).alias("_r")).select(*cols, "_r.fold", "_r.test")
+
+
+def spread(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Groups dealt out for fits that take long over few bytes: several times
+    as many partitions as cores, which adaptive execution leaves alone."""
+    spark = df.sparkSession
+    parts = max(4 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return df.repartition(parts, *cols)
+
+
+def walk_forward_fitted(
     df: DataFrame,
-    make_model: Callable[[], object],
-    features: Sequence[str],
+    models: dict[str, Fitted],
     target: str = "spot_price",
     window: int = DEFAULT_WINDOW,
     step: int = DEFAULT_STEP,
     order_col: str = "date",
     partition_cols: Sequence[str] = (),
-    model_name: str = "model",
-    prepare: Callable[[pd.DataFrame, str], tuple[np.ndarray, np.ndarray]] | None = None,
 ) -> DataFrame:
-    """M1 for any Python model object with ``fit(X, y)`` and ``predict(X)``
-    (the duck-typed protocol). ``prepare(pdf, target) -> (X, y)`` is the
-    optional feature hook; by default X is ``features``.
-
-    Rows are copied to the folds they train or test (<= ceil(W/s) + 1 copies)
-    and each fold is one ``applyInPandas`` group of W + s rows.
-    """
+    """M1 for any number of Python model objects with ``fit(X, y)`` and
+    ``predict(X)`` (the duck-typed protocol) over identical folds: one Spark
+    job, one ``applyInPandas`` group of W + s rows per fold and model. A row is
+    shuffled once per fold that uses it and model."""
     keys = list(partition_cols)
     x = _indexed(df, order_col, keys)
-    n = x.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    x = x.join(n, keys) if keys else x.crossJoin(F.broadcast(n))
-    cols = [*keys, order_col, IDX, *features, target]
-    ex = x.select(*cols, F.explode(_fold_roles(window, step)).alias("_r")).select(*cols, "_r.fold", "_r.test")
-
-    key_fields = [ex.schema[k] for k in keys]
-    out_schema = T.StructType(key_fields + [
-        T.StructField("model", T.StringType()), T.StructField("fold", T.LongType()),
+    used = [f for m in models.values() for f in m.features]
+    ex = _fold_rows(x, [*keys, order_col, IDX, *used, target], keys, window, step)
+    ex = ex.withColumn("model", F.explode(F.array(*[F.lit(n) for n in models])))
+    out_schema = T.StructType([
+        *[ex.schema[k] for k in keys], T.StructField("model", T.StringType()), T.StructField("fold", T.LongType()),
         T.StructField("idx", T.LongType()), T.StructField(order_col, ex.schema[order_col].dataType),
         T.StructField("actual", T.DoubleType()), T.StructField("prediction", T.DoubleType()),
     ])
-    feats, tgt = list(features), target
 
     def fit_fold(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(IDX)
         train, test = pdf[pdf["test"] == 0], pdf[pdf["test"] == 1]
-        if prepare is not None:
-            xtr, ytr = prepare(train, tgt)
-            xte, yte = prepare(test, tgt)
-        else:
-            xtr, ytr = train[feats].to_numpy(float), train[tgt].to_numpy(float)
-            xte, yte = test[feats].to_numpy(float), test[tgt].to_numpy(float)
-        model = make_model()
-        model.fit(xtr, ytr)
-        yhat = np.asarray(model.predict(xte), dtype=float)
-        res = {k: test[k].to_numpy() for k in keys}
-        res.update({
-            "model": np.full(len(test), model_name, dtype=object),
-            "fold": test["fold"].to_numpy(),
-            "idx": test[IDX].to_numpy(),
-            order_col: test[order_col].to_numpy(),
-            "actual": np.asarray(yte, dtype=float),
-            "prediction": yhat,
-        })
-        return pd.DataFrame(res)[[f.name for f in out_schema.fields]]
-
-    return ex.groupBy(*keys, "fold").applyInPandas(fit_fold, out_schema)
+        spec = models[pdf["model"].iloc[0]]
+        xte, yte = spec.matrix(test, target)
+        model = spec.make()
+        model.fit(*spec.matrix(train, target))
+        res = test[[*keys, "model", "fold", IDX, order_col]].rename(columns={IDX: "idx"})
+        return res.assign(actual=np.asarray(yte, float), prediction=np.asarray(model.predict(xte), float))
+
+    group = [*keys, "model", "fold"]
+    return spread(ex, group).groupBy(*group).applyInPandas(fit_fold, out_schema)
+
+
+def walk_forward_grouped(
+    df: DataFrame,
+    make_model: Callable[[], object],
+    features: Sequence[str],
+    target: str = "spot_price",
+    window: int = DEFAULT_WINDOW,
+    step: int = DEFAULT_STEP,
+    order_col: str = "date",
+    partition_cols: Sequence[str] = (),
+    model_name: str = "model",
+    prepare: Callable[[pd.DataFrame, str], tuple[np.ndarray, np.ndarray]] | None = None,
+) -> DataFrame:
+    """``walk_forward_fitted`` for one model. ``prepare(pdf, target) -> (X, y)``
+    is the optional feature hook; by default X is ``features``."""
+    model = Fitted(make_model, tuple(features), prepare)
+    return walk_forward_fitted(df, {model_name: model}, target, window, step, order_col, partition_cols)
 
 
 def fold_metrics(pred: DataFrame, window: int = DEFAULT_WINDOW, step: int = DEFAULT_STEP,
@@ -457,34 +495,20 @@ def summary(metrics: DataFrame, by: Sequence[str] = ("model",)) -> DataFrame:
     return metrics.groupBy(*by).agg(*aggs, F.count(F.lit(1)).alias("n_folds"))
 
 
-@dataclass(frozen=True)
-class Fitted:
-    """Any Python model with ``fit(X, y)`` and ``predict(X)``, made by
-    ``make()``, on ``features`` or on what ``prepare(pdf, target)`` returns."""
-
-    make: Callable[[], object]
-    features: tuple[str, ...]
-    prepare: Callable | None = None
-
-
 def compare(df: DataFrame, models: dict[str, Linear | Fitted], target: str = "spot_price",
             window: int = DEFAULT_WINDOW, step: int = DEFAULT_STEP, order_col: str = "date",
             partition_cols: Sequence[str] = (), nulls: str = "raise") -> DataFrame:
     """M2: named models over identical folds, per series: one prediction frame
-    holding every model, ready for ``fold_metrics`` / ``summary``. All linear
-    models share one frame of moments; every other model is one group per fold
-    (``walk_forward_grouped``). MLlib models join by ``unionByName`` with
-    ``models.walk_forward_mllib``."""
+    holding every model, ready for ``fold_metrics`` / ``summary``. One indexed
+    frame serves all: the linear models share one frame of moments, the others
+    one grouped job over all folds and models."""
     keys = list(partition_cols)
     x = _indexed(_complete(df, sorted({f for m in models.values() for f in m.features}) + [target], nulls), order_col, keys)
     linear = {name: m for name, m in models.items() if isinstance(m, Linear)}
+    fitted = {name: m for name, m in models.items() if isinstance(m, Fitted)}
     parts = [walk_forward_linear(x, linear, target, window, step, order_col, keys)] if linear else []
-    parts += [walk_forward_grouped(x, m.make, m.features, target, window, step, order_col, keys, name, m.prepare)
-              for name, m in models.items() if isinstance(m, Fitted)]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    parts += [walk_forward_fitted(x, fitted, target, window, step, order_col, keys)] if fitted else []
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
 
 def compare_lstsq(df: DataFrame, models: dict[str, Sequence[str]], target: str = "spot_price",

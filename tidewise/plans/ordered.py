@@ -131,6 +131,14 @@ def _null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> D
     return left.join(r, cond).drop(*renamed.values())
 
 
+def join_keyed(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join a frame with one that has a row per series (NULL keys are a series
+    of their own); without keys, with a one-row frame."""
+    if not keys:
+        return left.crossJoin(F.broadcast(right))
+    return _null_safe_join(left, right, keys) if how == "inner" else _left_null_safe(left, right, keys)
+
+
 def add_row_index(
     df: DataFrame,
     order_col: str | Sequence[str],

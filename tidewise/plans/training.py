@@ -3,7 +3,6 @@ and backtest walkthrough (E5)."""
 
 from __future__ import annotations
 
-import os
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -46,29 +45,27 @@ def run_training(
     end: str | None = None,
     model_overrides: dict[str, dict] | None = None,
     rollup_entities: bool = True,
+    features: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Training data -> final fit of every model (K8 save) ->
-    walk-forward comparison over identical folds (M2) -> K7 report rows
-    (also written as a parquet table under ``out_dir``). Entities are rolled
-    up by default: a walk-forward needs one row per date."""
-    # fitted by several models and fold loops: cut the lineage once
+    """Training data -> final fit of every model, saved with features and
+    target (K8) -> walk-forward comparison over identical folds (M2) -> K7
+    report rows (models, predictions and report are tables under ``out_dir``).
+    Entities are rolled up by default: a walk-forward needs one row per date.
+
+    All kinds share one indexed frame: the linear ones are solved from fold
+    moments, all folds of all tree kinds are one grouped job, and the final fits
+    are one more; nothing is fitted on the driver or fold by fold."""
     data = cut_lineage(training_data(tables, start, end, rollup_entities=rollup_entities))
-    non_null = data.agg(*[F.count(c).alias(c) for c in data.columns]).first().asDict()
-    feats = [c for c in md.feature_columns(data, "spot_price") if non_null.get(c)]
-    preds = []
-    for kind in kinds:
-        over = (model_overrides or {}).get(kind, {})
-        pipe = md.RegressionModel(kind, "spot_price", feats, **over)
-        pipe.train_final_model(data)
-        pipe.save(os.path.join(out_dir, "models", kind))
-        preds.append(md.walk_forward_mllib(data, lambda k=kind, o=over: md.make_estimator(k, "spot_price", **o),
-                                           feats, "spot_price", window, step, model_name=kind))
-    allp = preds[0]
-    for p in preds[1:]:
-        allp = allp.unionByName(p)
-    rep = report(bt.summary(bt.fold_metrics(allp, window, step)))
-    rep.write.mode("overwrite").parquet(os.path.join(out_dir, "report"))
-    return rep
+    if features is None:
+        non_null = data.agg(*[F.count(c).alias(c) for c in data.columns]).first().asDict()
+        features = [c for c in md.feature_columns(data, "spot_price") if non_null.get(c)]
+    models = {kind: md.fold_model(kind, features, **(model_overrides or {}).get(kind, {})) for kind in kinds}
+    md.save_models(md.fit_window(data, models, "spot_price"), f"{out_dir}/models")
+    spark = data.sparkSession
+    bt.compare(data, models, "spot_price", window, step).write.mode("overwrite").parquet(f"{out_dir}/predictions")
+    pred = spark.read.parquet(f"{out_dir}/predictions")
+    report(bt.summary(bt.fold_metrics(pred, window, step))).write.mode("overwrite").parquet(f"{out_dir}/report")
+    return spark.read.parquet(f"{out_dir}/report")
 
 
 def demo(series: DataFrame, window: int = 200, step: int = 50, top: int = 10) -> dict[str, DataFrame]:

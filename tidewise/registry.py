@@ -667,6 +667,9 @@ _WF_BASE = (
     f"{_hdd('w.temperature')} + 1 as x, {_cdd('w.temperature')} as x2 "
     "from v_prices p join v_weather w on p.date = w.date "
     "where p.spot_price is not null and w.temperature is not null)"
+)
+# positions, folds and test rows of any "base" (date, spot_price, x, ...)
+_WF_FOLDS = (
     ", ix as (select *, row_number() over (order by date) - 1 as idx from base)"
     f", kk as (select greatest(0, ceil((count(*) - {WF_STEP} - {WF_WINDOW}) / {WF_STEP})) as k from ix)"
     f", folds as (select distinct cast(floor((idx - {WF_WINDOW}) / {WF_STEP}) as bigint) as fold from ix "
@@ -674,6 +677,7 @@ _WF_BASE = (
     f", test as (select ix.*, cast(floor((idx - {WF_WINDOW}) / {WF_STEP}) as bigint) as fold from ix "
     f"where idx >= {WF_WINDOW})"
 )
+_WF_BASE += _WF_FOLDS
 
 
 def _gram(model: str, two: bool) -> str:

@@ -19,7 +19,8 @@ from tidewise.plans import backtest as bt
 from tidewise.plans import features as fe
 from tidewise.plans import models as md
 from tidewise.plans import training as tr
-from tidewise.plans.ordered import materialize
+from tidewise.plans.ordered import add_row_index, materialize
+from tidewise.plans.trees import Ensemble
 from tidewise.registry import register, rsql
 from tidewise.session import cut_lineage, scratch_path
 from tidewise.sources import forecast as fc
@@ -359,25 +360,99 @@ def q_m6(spark, sf_dir):
     return _tree_facts(spark, sf_dir, "random_forest")
 
 
-@register("m7_boosted_trees", _facts_sql("xgboost"))
+def _fold_facts(spark, sf_dir, kind: str):
+    """Facts of a tree kind's walk-forward that SQL can state: folds, test rows
+    and their values, and that predictions stay near the range of the fold's
+    training targets (boosting adds steps, a forest averages leaves)."""
+    df = rg.walk_forward_input(spark, sf_dir)
+    ix = cut_lineage(add_row_index(df, "date"))
+    pred = bt.compare(ix, {kind: md.fold_model(kind, ("x", "x2"))}, "spot_price", W, S)
+    per_fold = pred.groupBy("model", "fold").agg(
+        F.count("*").alias("n_test"), F.avg("actual").alias("actual_mean"), F.min("prediction").alias("low"),
+        F.max("prediction").alias("high"))
+    y = F.col("spot_price")
+    train = ix.select(y, F.explode(bt.train_folds(W, S)).alias("fold")).groupBy("fold").agg(
+        F.min(y).alias("y0"), F.max(y).alias("y1"))
+    margin = 1e-9 + (F.col("y1") - F.col("y0")) * (0.5 if kind != "random_forest" else 0.0)
+    return per_fold.join(train, "fold").select(
+        "model", "fold", "n_test", "actual_mean",
+        ((F.col("low") >= F.col("y0") - margin) & (F.col("high") <= F.col("y1") + margin)).alias("near_training_range"))
+
+
+def _fold_facts_sql(kind: str) -> str:
+    return rsql(f"""{vw.ctes('v_prices', 'v_weather')}{rg._WF_BASE} select '{kind}' as model, test.fold, count(*) as n_test,
+      avg(spot_price) as actual_mean, true as near_training_range from test join folds on test.fold = folds.fold group by test.fold""",
+                ["actual_mean"])
+
+
+@register("m6_forest_walk_forward", _fold_facts_sql("random_forest"))
+def q_m6_walk(spark, sf_dir):
+    """M6 in M1: a forest of the configured size per fold, all folds in one job."""
+    return _fold_facts(spark, sf_dir, "random_forest")
+
+
+@register("m7_boosted_trees", _fold_facts_sql("xgboost"))
 def q_m7(spark, sf_dir):
-    """M7 + M3: boosted trees (10 rounds here; the configured number is 1000), as facts."""
-    return _tree_facts(spark, sf_dir, "xgboost", n_estimators=10)
+    """M7 in M1: the configured 1000 rounds per fold, all folds in one job."""
+    return _fold_facts(spark, sf_dir, "xgboost")
+
+
+@register("m6_tree_stump_walk_forward", rsql(f"""{vw.ctes('v_prices', 'v_weather')}{rg._WF_BASE}, tr as (select f.fold, x, spot_price
+      from folds f join ix on ix.idx >= f.fold * {S} and ix.idx < f.fold * {S} + {W}),
+    v as (select fold, x, sum(spot_price) as s, count(*) as n from tr group by fold, x),
+    c as (select fold, x, sum(s) over w as ls, sum(n) over w as ln, sum(s) over (partition by fold) as ts,
+      sum(n) over (partition by fold) as tn, lead(x) over (partition by fold order by x) as nx from v
+      window w as (partition by fold order by x)),
+    g as (select *, ls * ls / ln + (ts - ls) * (ts - ls) / (tn - ln) - ts * ts / tn as gain from c where nx is not null),
+    b as (select fold, arg_max((x + nx) / 2, round(gain, 9)) as cut from g where gain > 0 group by fold),
+    l as (select tr.fold, avg(spot_price) as mean, avg(spot_price) filter (x <= cut) as low, avg(spot_price) filter (x > cut) as high,
+      any_value(cut) as cut from tr left join b on tr.fold = b.fold group by tr.fold)
+    select 'stump' as model, t.fold, t.idx, t.date, t.spot_price as actual,
+      case when cut is null then mean when t.x <= cut then low else high end as prediction
+    from test t join l on t.fold = l.fold""", ["actual", "prediction"]))
+def q_m6_stump(spark, sf_dir):
+    """M6's split search by value: a tree of one split per fold against the
+    exhaustive search in SQL."""
+    stump = bt.Fitted(lambda: Ensemble(False, 1, 1, bootstrap=False, max_bins=W), ("x",))
+    return bt.compare(rg.walk_forward_input(spark, sf_dir), {"stump": stump}, "spot_price", W, S)
 
 
 @register("k8_save_load", f"{vw.ctes('v_prices', 'v_weather')}{rg._WF_BASE} select count(*) as n_rows, "
                           "cast(0 as bigint) as n_different from ix")
 def q_k8(spark, sf_dir):
-    """K8: a saved and reloaded model predicts the same."""
-    from pyspark.ml import PipelineModel
-
+    """K8: a saved forest, loaded with its features and target, predicts the same."""
     df = materialize(rg.walk_forward_input(spark, sf_dir))
-    model = md.RegressionModel("random_forest", "spot_price", ["x", "x2"], num_trees=3)
+    model = md.RegressionModel("random_forest", "spot_price", ["x", "x2"])
     model.train_final_model(df)
     path = scratch_path(spark, f"models/{uuid.uuid4().hex}")
     model.save(path)
-    again = PipelineModel.load(path).transform(model.model.transform(df).withColumnRenamed("prediction", "before").drop("features"))
-    return again.agg(F.count("*").alias("n_rows"), F.count_if(F.col("before") != F.col("prediction")).alias("n_different"))
+    again = md.RegressionModel.load(path)
+    both = again.model.transform(model.model.transform(df).withColumnRenamed("prediction", "before").drop("features"))
+    same = F.lit((again.kind, again.target, again.features) == (model.kind, model.target, model.features))
+    return both.agg(F.count("*").alias("n_rows"),
+                    F.count_if((F.col("before") != F.col("prediction")) | ~same).alias("n_different"))
+
+
+@register("k8_window_models", rsql(f"""{vw.ctes('v_prices', 'v_weather')}{rg._WF_BASE}, f as (select regr_slope(spot_price, x) as b,
+      regr_intercept(spot_price, x) as a, covar_pop(spot_price, x) as cxy, var_pop(x) as vx, avg(x) as mx, avg(spot_price) as my from ix),
+    k as (select unnest(['elastic_net', 'lightgbm', 'linear', 'random_forest', 'xgboost']) as model),
+    e as (select 'linear' as model, avg(abs(spot_price - a - b * x)) as linear_mae from ix, f
+      union all select 'elastic_net', avg(abs(spot_price - my - (x - mx) * sign(cxy) * greatest(abs(cxy)
+        - {md.ELASTIC_NET['alpha'] * md.ELASTIC_NET['l1_ratio']}, 0) / (vx + {md.ELASTIC_NET['alpha'] * (1 - md.ELASTIC_NET['l1_ratio'])})))
+      from ix, f)
+    select k.model, (select count(*) from ix) as n_rows, true as better_than_mean, linear_mae from k left join e on k.model = e.model""",
+    ["linear_mae"]))
+def q_k8_window(spark, sf_dir):
+    """E4's final fits: all five kinds on one window, saved as a table, loaded
+    and scored; the linear kinds' error by value."""
+    df = cut_lineage(rg.walk_forward_input(spark, sf_dir))
+    kinds = tr.BASELINE_KINDS + tr.TREE_KINDS
+    path = scratch_path(spark, f"models/{uuid.uuid4().hex}")
+    md.save_models(md.fit_window(df, {k: md.fold_model(k, ("x",)) for k in kinds}), path)
+    scored = md.predict_with(md.load_models(spark, path), df.crossJoin(F.broadcast(df.agg(F.avg("spot_price").alias("mean")))))
+    error, plain = F.avg(F.abs(F.col("spot_price") - F.col("prediction"))), F.avg(F.abs(F.col("spot_price") - F.col("mean")))
+    return scored.groupBy("model").agg(F.count("*").alias("n_rows"), (error < plain).alias("better_than_mean"), error.alias("e")).select(
+        "model", "n_rows", "better_than_mean", F.when(F.col("model").isin("linear", "elastic_net"), F.col("e")).alias("linear_mae"))
 
 
 @register("m8_holdout", rsql(f"""{vw.ctes('v_prices', 'v_weather')}{rg._WF_BASE}, c as (select cast(floor(count(*) * 0.8) as bigint)
@@ -393,17 +468,57 @@ def q_m8(spark, sf_dir):
 
 
 # ------------------------------------------------------------------------- E4, E5
-@register("e4_training_report", f"""{ld.tables_sql('prices')} select 'linear' as model, greatest(0, ceil((count(*) - 60 - 120) / 60))
-    > 0 as has_folds from prices where date between (select max(date) from prices) - 730 and (select max(date) from prices)""")
-def q_e4(spark, sf_dir):
-    """Training window -> matrix -> medians -> final fits, saved models and
-    the report of the walk-forward comparison, on the landed tables."""
+_E4_DATA = f"""{ld.tables_sql('prices', 'weather_daily')}, w as (select date, avg(hdd) as hdd from weather_daily group by date),
+  mat as (select p.date, p.spot_price, w.hdd from prices p left join w on p.date = w.date
+    where p.date between (select max(date) from prices) - 730 and (select max(date) from prices)),
+  med as (select median(spot_price) as y, median(hdd) as h from mat),
+  base as (select date, coalesce(spot_price, med.y) as spot_price, coalesce(hdd, med.h) as x from mat, med){rg._WF_FOLDS}"""
+
+
+def _training(spark, sf_dir, **options):
     end = ld.latest_price_date(spark, sf_dir)
     start = str(datetime.date.fromisoformat(end) - datetime.timedelta(days=730))
     out = scratch_path(spark, f"training/{uuid.uuid4().hex}")
-    rep = tr.run_training(ld.tables(spark, sf_dir, (start, end)), out, kinds=("linear",), window=120, step=60,
-                          rollup_entities=True)
-    return rep.select("model", F.col("mae").contains("±").alias("has_folds"))
+    return out, tr.run_training(ld.tables(spark, sf_dir, (start, end)), out, **options)
+
+
+@register("e4_training_report", rsql(f"""{_E4_DATA}, k as (select unnest(['elastic_net', 'lightgbm', 'linear', 'random_forest',
+      'xgboost']) as model), t as (select count(distinct test.fold) as n_folds, count(*) as n_test, avg(spot_price) as actual_mean,
+      min(date) as first_date, max(date) as last_date from test join folds on test.fold = folds.fold)
+    select k.model, n_folds, n_test, actual_mean, first_date, last_date, true as report_matches, true as model_saved from k, t""",
+    ["actual_mean"]))
+def q_e4(spark, sf_dir):
+    """Training window -> matrix -> medians -> final fits of the five kinds,
+    saved models, walk-forward over identical folds with the default window and
+    step, and the report; the report is recomputed from the stored predictions."""
+    out, rep = _training(spark, sf_dir)
+    pred = spark.read.parquet(f"{out}/predictions")
+    facts = pred.groupBy("model").agg(
+        F.countDistinct("fold").alias("n_folds"), F.count("*").alias("n_test"), F.avg("actual").alias("actual_mean"),
+        F.min("date").alias("first_date"), F.max("date").alias("last_date"))
+    error = F.abs(F.col("actual") - F.col("prediction"))
+    folds = pred.groupBy("model", "fold").agg(F.avg(error).alias("mae"), F.avg(error / F.col("actual")).alias("mape"))
+    again = folds.groupBy("model").agg(
+        F.format_string("%.4f ± %.4f", F.avg("mae"), F.stddev_pop("mae")).alias("a"),
+        F.format_string("%.2f%% ± %.2f%%", F.avg("mape") * 100, F.stddev_pop("mape") * 100).alias("b"))
+    saved = md.load_models(spark, f"{out}/models").groupBy("model").agg((F.count("*") == 1).alias("model_saved"))
+    return rep.join(facts, "model").join(again, "model").join(saved, "model").select(
+        "model", "n_folds", "n_test", "actual_mean", "first_date", "last_date",
+        ((F.col("mae") == F.col("a")) & (F.col("mape") == F.col("b"))).alias("report_matches"), "model_saved")
+
+
+@register("e4_linear_report", f"""{_E4_DATA}{_FOLD_FIT}, pred as (
+      select 'linear' as model, t.fold, t.idx, t.spot_price as actual, coalesce(a, my) + coalesce(b, 0) * t.x as prediction
+        from test t join fit on t.fold = fit.fold
+      union all select 'elastic_net', t.fold, t.idx, t.spot_price, my + (t.x - mx) * sign(cxy) * greatest(abs(cxy)
+        - {_EN['alpha'] * _EN['l1_ratio']}, 0) / (vx + {_EN['alpha'] * (1 - _EN['l1_ratio'])}) from test t join fit on t.fold = fit.fold)
+    {rg._METRICS_SQL}, r as ({rg._SUMMARY_SQL})
+    select model, printf('%.4f ± %.4f', mae_mean, mae_std) as mae, printf('%.4f ± %.4f', rmse_mean, rmse_std) as rmse,
+      printf('%.2f%% ± %.2f%%', mape_mean, mape_std) as mape,
+      printf('%.2f%% ± %.2f%%', direction_accuracy_mean, direction_accuracy_std) as direction_accuracy from r""")
+def q_e4_linear(spark, sf_dir):
+    """E4's report by value, for the kinds whose one-feature fits have a closed form."""
+    return _training(spark, sf_dir, kinds=("linear", "elastic_net"), features=["hdd"])[1]
 
 
 @register("e5_demo", rsql(f"""{vw.ctes('v_prices', 'v_weather')}{rg._WF_BASE} select count(*) as n_rows,
