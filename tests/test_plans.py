@@ -84,3 +84,43 @@ def test_exact_quantiles_agree_across_the_size_boundary(spark):
         for q in (0.1, 0.5, 0.9):
             assert abs(got["v", q] - np.quantile(v, q)) < 1e-12
             assert abs(got["w", q] - np.quantile(np.arange(n) % 7, q)) < 1e-12
+
+
+def test_parts_hold_their_share_when_values_crowd(spark):
+    """99 % of the values lie in a millionth of the range."""
+    import numpy as np
+
+    from tidewise.operators.impute import exact_quantiles, ranked_parts
+
+    rng = np.random.default_rng(8)
+    v = np.r_[rng.random(39_600) * 1e-6, rng.random(400) * 1e9 - 5e8]
+    df = spark.createDataFrame(enumerate(v.tolist()), "id long, v double").repartition(6)
+    old = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        parts = ranked_parts(df.selectExpr("'v' as g", "v", "1L as m"), ["g"])
+        sizes = [r["count"] for r in parts.groupBy("part").count().collect()]
+        assert len(sizes) == 8 and max(sizes) < 1.5 * 40_000 / 8
+        ranges = parts.groupBy("part").agg({"v": "min"}).orderBy("part").collect()
+        assert [r[1] for r in ranges] == sorted(r[1] for r in ranges)
+        for accuracy in (50, 20_000):   # a narrow band inside the crowd, and the whole range
+            got = {r.q: r.value for r in exact_quantiles(df, ["v"], [0.1, 0.5, 0.9, 0.997], accuracy=accuracy).collect()}
+            assert all(abs(got[q] - np.quantile(v, q)) <= 1e-12 * max(1, abs(got[q])) for q in got)
+    finally:
+        for k, x in old.items():
+            spark.conf.set(k, x)
+
+
+def test_quantiles_of_groups_with_null_keys_and_null_values(spark):
+    import numpy as np
+
+    from tidewise.operators.impute import exact_quantiles
+
+    rng = np.random.default_rng(9)
+    rows = [(None if g == 0 else f"g{g}", None if i % 5 == 0 else float(rng.integers(0, 50)), None) for g in range(3) for i in range(200 * (g + 1))]
+    df = spark.createDataFrame(rows, "g string, v double, none double")
+    got = {(r.g, r.name, r.q): r.value for r in exact_quantiles(df, ["v", "none"], [0.25, 0.5], ["g"], accuracy=30).collect()}
+    want = {(g, "v", q): float(np.quantile([r[1] for r in rows if r[0] == g and r[1] is not None], q))
+            for g in (None, "g1", "g2") for q in (0.25, 0.5)}
+    assert got == want
