@@ -260,3 +260,49 @@ def test_importance_of_any_model(spark):
 
     assert sorted(map(tuple, feature_importance(Own()).collect())) == [("a", 2.0), ("b", 1.0)]
     assert feature_importance(object()).count() == 0
+
+
+@pytest.mark.parametrize("window, step, horizon", [(50, 21, 0), (60, 20, 0), (25, 1, 0), (7, 10, 0), (61, 17, 5), (40, 40, 0)])
+def test_fold_moments_read_two_running_sums(spark, window, step, horizon):
+    """Any window and step, columns far from zero, against a loop over folds."""
+    rng = np.random.default_rng(12)
+    n = 230
+    x = rng.normal(1e6, 1, (n, 2))
+    y = x @ [0.5, -0.25] + rng.normal(0, 0.1, n)
+    df = spark.createDataFrame([(dt.date(2022, 1, 1) + dt.timedelta(i), *map(float, (a, b, c))) for i, (a, b, c) in enumerate(zip(*x.T, y))],
+                               "date date, a double, b double, y double")
+    got = {(r.fold, r.idx): r.prediction for r in bt.walk_forward_linear(
+        df, {"ols": bt.Linear(("a", "b"), "ols")}, "y", window, step, horizon=horizon).collect()}
+    want = {}
+    for k, i in enumerate(range(window, n - step, step)):
+        tr = slice(i - window, i - horizon)
+        mu, my = x[tr].mean(0), y[tr].mean()
+        coef = np.linalg.lstsq(x[tr] - mu, y[tr] - my, rcond=None)[0]
+        want |= {(k, j): my + (x[j] - mu) @ coef for j in range(i, i + step)}
+    assert got.keys() == want.keys()
+    assert all(abs(got[k] - want[k]) < 1e-6 for k in want)
+
+
+def test_linear_folds_copy_no_rows(spark):
+    df = spark.createDataFrame([(dt.date(2022, 1, 1) + dt.timedelta(i), float(i % 7), float(i % 5)) for i in range(300)],
+                               "date date, a double, y double")
+    x = bt.add_row_index(df, "date")
+    plans = {(w, s): bt.fold_moments(x, ["a", "y"], [], w, s)._jdf.queryExecution().executedPlan().toString()
+             for w, s in ((100, 7), (100, 50), (99, 98))}
+    assert all("Generate" not in p for p in plans.values())
+    assert len({p.count("Exchange") for p in plans.values()}) == 1
+
+
+def test_imputed_folds_are_slices_of_shared_rows(spark):
+    rng = np.random.default_rng(13)
+    rows = [(k, dt.date(2022, 1, 1) + dt.timedelta(i), None if rng.random() < 0.3 else float(rng.normal()),
+             None if rng.random() < 0.2 or (k == "b" and i < 90) else float(rng.normal())) for k in ("a", "b", None) for i in range(170)]
+    df = spark.createDataFrame(rows, "k string, date date, x double, y double")
+    models = {"ols": bt.Linear(("x",), "ols"), "plain": bt.Fitted(bt.NumpyLeastSquares, ("x",))}
+    runs = [sorted((tuple(r) for r in bt.walk_forward_imputed(df, models, "y", 40, 13, partition_cols=["k"], folds_per_group=g).collect()), key=str)
+            for g in (1, 3, None)]
+    assert runs[0] == runs[1] == runs[2]
+    a, b = ([r for r in runs[0] if r[0] == k] for k in ("a", "b"))
+    assert {r[2] for r in a} == set(range(bt.fold_count(170, 40, 13)))
+    assert min(r[2] for r in b) > 0    # folds whose whole training target is NULL fit nothing
+    assert bt.walk_forward_imputed(df.limit(0), models, "y", 40, 13).count() == 0

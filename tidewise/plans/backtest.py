@@ -8,10 +8,10 @@ last block is dropped when it would end exactly at n (strict loop bound).
 
 Two fitting paths:
 
-* **Linear models** (``Linear``) without copying rows: positions are cut into
-  blocks of g = gcd(W, s) rows; each block's sums (of differences to the
-  series' means, and of their products) are aggregated map-side, sent to the
-  <= W/g + 1 folds that train on it and summed per fold, a p x p system per
+* **Linear models** (``Linear``) without copying rows: positions are cut where
+  folds start and end; each block's sums (of differences to the series' means,
+  and of their products) are aggregated map-side, summed up inside super-blocks
+  of one window, and a fold reads two of those running sums: a p x p system per
   fold, solved in an Arrow batch over the folds, which number K, not n.
 * **Any Python model** (``fit(X, y)`` / ``predict(X)``, tree ensembles too): each
   row is copied to the folds that use it (at most ceil(W/s) + 1 copies) and every
@@ -156,21 +156,40 @@ def _moment_sums(cols: Sequence[str]) -> list[F.Column]:
 
 def fold_moments(x: DataFrame, cols: Sequence[str], keys: list[str], train_rows: int, step: int) -> DataFrame:
     """(keys, fold, _rows, _m{i}, _s{i}, _q{i}_{j}) of every fold's training
-    rows [fold * step, fold * step + train_rows): block sums, aggregated
-    map-side, routed to the folds that train on them. A block has
-    gcd(train_rows, step) rows; with gcd 1 every row is its own block."""
-    g = math.gcd(train_rows, step)
-    a, c = step // g, train_rows // g
-    blk = _shifted(x, cols, keys).withColumn("_blk", F.floor(F.col(IDX) / F.lit(g)).cast("long"))
+    rows [fold * step, fold * step + train_rows), two rows read per fold
+    whatever the window and the step.
+
+    Folds start at multiples of the step and end train_rows later, so cutting
+    every step there (one or two blocks a step) leaves each fold a stretch of
+    ``per_fold`` whole blocks. Blocks are summed map-side. A stretch of
+    per_fold blocks meets at most two of the super-blocks of per_fold blocks: a
+    fold is the sum of one super-block from its first block on and of the next
+    one up to its last block. Both running sums stay inside super-blocks, and
+    nothing is subtracted, so no digits are lost on the way."""
+    rest = train_rows % step
+    cuts = 2 if rest else 1
+    per_fold = cuts * (train_rows // step) + (1 if rest else 0)
+    within = F.when(F.col(IDX) % F.lit(step) >= F.lit(rest), F.lit(1)).otherwise(F.lit(0)) if rest else F.lit(0)
+    block = F.floor(F.col(IDX) / F.lit(step)) * F.lit(cuts) + within
+    blk = _shifted(x, cols, keys).withColumn("_blk", block.cast("long"))
     sums = blk.groupBy(*keys, "_blk").agg(*_moment_sums(cols))
-    # block b trains folds k with k*a <= b < k*a + c
-    lo = F.greatest(F.lit(0), F.ceil((F.col("_blk") - F.lit(c - 1)) / F.lit(a))).cast("long")
-    hi = F.floor(F.col("_blk") / F.lit(a)).cast("long")
-    to_folds = sums.filter(lo <= hi).withColumn("fold", F.explode(F.sequence(lo, hi)))
     p = len(cols)
+    means = [f"_m{i}" for i in range(p)]
     added = ["_rows", *[f"_s{i}" for i in range(p)], *[f"_q{i}_{j}" for i in range(p) for j in range(i, p)]]
-    folds = to_folds.groupBy(*keys, "fold").agg(
-        *[F.sum(n).alias(n) for n in added], *[F.first(f"_m{i}").alias(f"_m{i}") for i in range(p)])
+    sums = sums.withColumn("_super", F.floor(F.col("_blk") / F.lit(per_fold)).cast("long"))
+
+    def running(order: F.Column, fold: F.Column, needed: F.Column) -> DataFrame:
+        # at most per_fold rows in a window partition
+        w = Window.partitionBy(*keys, "_super").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+        part = sums.select(*keys, "_blk", *means, *[F.sum(n).over(w).alias(n) for n in added])
+        return part.filter(needed).select(*keys, fold.cast("long").alias("fold"), *means, *added)
+
+    first, last = F.col("_blk"), F.col("_blk") - F.lit(per_fold - 1)    # a fold's first block, from either end
+    starts = running(F.desc("_blk"), first / F.lit(cuts), first % F.lit(cuts) == 0)
+    ends = running(F.asc("_blk"), last / F.lit(cuts),
+                   (last >= 0) & (last % F.lit(cuts) == 0) & (last % F.lit(per_fold) != 0))
+    folds = starts.union(ends).groupBy(*keys, "fold").agg(
+        *[F.sum(n).alias(n) for n in added], *[F.first(m).alias(m) for m in means])
     return folds.filter(F.col("_rows") == F.lit(train_rows))  # only folds whose whole window exists
 
 
@@ -322,46 +341,6 @@ def _fold_roles(window: int, step: int) -> F.Column:
     )
 
 
-def walk_forward_lstsq_fold_imputed(
-    df: DataFrame,
-    features: Sequence[str],
-    target: str = "spot_price",
-    window: int = DEFAULT_WINDOW,
-    step: int = DEFAULT_STEP,
-    order_col: str = "date",
-    partition_cols: Sequence[str] = (),
-    model_name: str = "lstsq",
-) -> DataFrame:
-    """M1 + M5 with P10 at ``scope="train_fold"``: every fold fills the NULLs
-    of its features and target with the exact medians of its own training
-    rows (no look-ahead), drops rows whose target stays NULL, then fits.
-
-    Rows are copied to the folds that use them (<= ceil(W/s) + 1 copies);
-    medians are taken per fold over W rows (bounded groups); the Gram sums
-    are per fold (features differ between folds, so blocks cannot be shared).
-    """
-    keys = list(partition_cols)
-    cols = [*features, target]
-    x = _indexed(df, order_col, keys)
-    x = join_keyed(x, x.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")), keys)
-    base = [*keys, order_col, IDX, *cols]
-    ex = materialize(x.select(*base, F.explode(_fold_roles(window, step)).alias("_r"))
-                     .select(*base, "_r.fold", "_r.test"))
-    # a fold group holds W rows, so its median is exact and bounded
-    med = ex.filter(F.col("test") == 0).groupBy(*keys, "fold").agg(
-        *[F.median(F.col(c).cast("double")).alias(f"_med_{c}") for c in cols])
-    filled = join_keyed(ex, med, [*keys, "fold"], "left").select(
-        *keys, order_col, IDX, "fold", "test",
-        *[F.coalesce(F.col(c).cast("double"), F.col(f"_med_{c}")).alias(c) for c in cols],
-    ).filter(F.col(target).isNotNull())
-    filled = materialize(filled)
-    train = _shifted(filled.filter(F.col("test") == 0), cols, keys)
-    moments = train.groupBy(*keys, "fold").agg(*_moment_sums(cols))
-    models = {model_name: Linear(tuple(features))}
-    coefs = solve_moments(moments, keys, cols, models)
-    return _predicted(filled.filter(F.col("test") == 1), coefs, keys, models, target, order_col)
-
-
 @dataclass(frozen=True)
 class Fitted:
     """Any Python model with ``fit(X, y)`` and ``predict(X)``, made by
@@ -393,6 +372,97 @@ def spread(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df.repartition(parts, *cols)
 
 
+def walk_forward_imputed(
+    df: DataFrame,
+    models: dict[str, Linear | Fitted],
+    target: str = "spot_price",
+    window: int = DEFAULT_WINDOW,
+    step: int = DEFAULT_STEP,
+    order_col: str = "date",
+    partition_cols: Sequence[str] = (),
+    folds_per_group: int | None = None,
+) -> DataFrame:
+    """M1 with P10 at ``scope="train_fold"``, for any models: every fold fills
+    the NULLs of its features and target with the exact medians of its own
+    training rows (no look-ahead), drops rows whose target stays NULL, then fits.
+
+    Rows are not copied to folds. ``folds_per_group`` (default: 4 windows' worth)
+    neighbouring folds are one group of consecutive rows; only the W + s rows
+    that reach into the next group are sent twice. A group's folds are slices of
+    its rows, whose number the parameters fix.
+    """
+    keys = list(partition_cols)
+    cols = list(dict.fromkeys([*[f for m in models.values() for f in m.features], target]))
+    per = folds_per_group or max(1, -(-4 * window // step))
+    x = _indexed(df, order_col, keys)
+    x = join_keyed(x, x.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")), keys)
+    folds = _k_expr(F.col("_n"), window, step)
+    # group u holds folds [u * per, (u + 1) * per), so rows [u * per * s, ((u + 1) * per - 1) * s + W + s)
+    span = per * step
+    low = F.greatest(F.lit(0), F.floor((F.col(IDX) - F.lit(window)) / F.lit(span))).cast("long")
+    high = F.least(F.floor(F.col(IDX) / F.lit(span)), F.floor((folds - 1) / F.lit(per))).cast("long")
+    base = [*keys, order_col, IDX, *[F.col(c).cast("double").alias(c) for c in cols]]
+    grouped = x.filter(low <= high).select(*base, folds.alias("_folds"), F.explode(F.sequence(low, high)).alias("_group"))
+    schema = T.StructType([
+        *[x.schema[k] for k in keys], T.StructField("model", T.StringType()), T.StructField("fold", T.LongType()),
+        T.StructField("idx", T.LongType()), T.StructField(order_col, x.schema[order_col].dataType),
+        T.StructField("actual", T.DoubleType()), T.StructField("prediction", T.DoubleType())])
+
+    def predict(spec: Linear | Fitted, train: pd.DataFrame, test: pd.DataFrame) -> np.ndarray:
+        if isinstance(spec, Fitted):
+            model = spec.make()
+            model.fit(*spec.matrix(train, target))
+            return np.asarray(model.predict(spec.matrix(test, target)[0]), float)
+        a = train[[*spec.features, target]].to_numpy(float)
+        mean = a.mean(0)
+        coef = spec.solve(len(a), mean, (a - mean).T @ (a - mean))
+        return coef[0] + test[list(spec.features)].to_numpy(float) @ coef[1:]
+
+    def fit_group(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(IDX, ignore_index=True)
+        first, group = pdf[IDX].iloc[0], pdf["_group"].iloc[0]
+        out = []
+        for k in range(group * per, min((group + 1) * per, pdf["_folds"].iloc[0])):
+            at = k * step - first
+            rows = pdf.iloc[at:at + window + step]
+            medians = pd.Series(_medians(rows[cols].to_numpy()[:window]), cols)
+            rows = rows.fillna(medians.dropna().to_dict())
+            rows = rows[rows[target].notna()]
+            test = rows[rows[IDX] >= k * step + window]
+            for name, spec in models.items() if (rows[IDX] < k * step + window).any() else ():
+                part = test[[*keys, IDX, order_col]].rename(columns={IDX: "idx"})
+                out.append(part.assign(model=name, fold=k, actual=test[target].to_numpy(),
+                                       prediction=predict(spec, rows[rows[IDX] < k * step + window], test)))
+        names = [f.name for f in schema.fields]
+        return pd.concat(out, ignore_index=True)[names] if out else pd.DataFrame(columns=names)
+
+    group = [*keys, "_group"]
+    return spread(grouped, group).groupBy(*group).applyInPandas(fit_group, schema)
+
+
+def _medians(a: np.ndarray) -> np.ndarray:
+    """Exact median of each column, NaN skipped (NaN if there is nothing else)."""
+    ordered = np.sort(a, axis=0)                      # NaN last
+    n = (~np.isnan(a)).sum(0)
+    low, high, column = np.maximum((n - 1) // 2, 0), np.maximum(n // 2, 0), np.arange(a.shape[1])
+    mid = (ordered[low, column] + ordered[np.minimum(high, len(a) - 1), column]) / 2
+    return np.where(n > 0, mid, np.nan)
+
+
+def walk_forward_lstsq_fold_imputed(
+    df: DataFrame,
+    features: Sequence[str],
+    target: str = "spot_price",
+    window: int = DEFAULT_WINDOW,
+    step: int = DEFAULT_STEP,
+    order_col: str = "date",
+    partition_cols: Sequence[str] = (),
+    model_name: str = "lstsq",
+) -> DataFrame:
+    """``walk_forward_imputed`` with the M5 model."""
+    return walk_forward_imputed(df, {model_name: Linear(tuple(features))}, target, window, step, order_col, partition_cols)
+
+
 def walk_forward_fitted(
     df: DataFrame,
     models: dict[str, Fitted],
