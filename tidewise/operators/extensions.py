@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewise.plans.ordered import q, windowed
+from tidewise.plans.ordered import join_keyed, q, windowed
+from tidewise.session import cut_lineage
 
 HORIZONS = [7, 14, 30]
 
@@ -60,10 +61,11 @@ QUANTILE_LEVELS = [0.1, 0.5, 0.9]
 def residual_bands(pred: DataFrame, by: Sequence[str] = ("model",), quantiles: Sequence[float] = QUANTILE_LEVELS,
                    actual: str = "actual", prediction: str = "prediction") -> DataFrame:
     """Exact residual quantiles (actual - prediction) per model (and
-    horizon), used as confidence offsets around each prediction."""
+    horizon), used as confidence offsets around each prediction. They see all
+    folds; ``plans.bands.running_bands`` gives each fold those of earlier folds."""
     from tidewise.operators.impute import exact_quantiles
 
-    r = pred.select(*by, (F.col(actual) - F.col(prediction)).alias("residual"))
+    r = cut_lineage(pred.select(*by, (F.col(actual) - F.col(prediction)).alias("residual")))
     q = exact_quantiles(r, ["residual"], quantiles, by)
     names = [f"residual_q{int(round(x * 100))}" for x in quantiles]
     return q.groupBy(*by).agg(*[F.max(F.when(F.col("q") == F.lit(float(x)), F.col("value"))).alias(nm)
@@ -81,14 +83,17 @@ def norm_deltas(df: DataFrame, cols: Sequence[str] = ("hdd", "cdd"), date_col: s
 
 
 def prediction_rows(pred: DataFrame, bands: DataFrame, model_col: str = "model", horizon: int | str = 0,
-                    by: Sequence[str] = ("model",)) -> DataFrame:
+                    by: Sequence[str] = ("model",), date_col: str = "date") -> DataFrame:
     """D9 + D7: rows of the ``predictions`` table: prediction, band, actual and
     ``error = actual - prediction``. ``horizon`` is a number of days or the
-    name of the column that holds it."""
+    name of the column that holds it. ``by`` names the bands' keys (with
+    ``fold`` for running bands; NULL is a key like others); those that are
+    neither model, horizon nor fold are entity keys and stay as columns."""
     days = F.col(horizon) if isinstance(horizon, str) else F.lit(horizon)
-    x = pred.join(bands, list(by), "left")
-    return x.select(
-        "date",
+    entity = [k for k in by if k not in (model_col, horizon, "fold")]
+    return join_keyed(pred, bands, list(by), "left").select(
+        F.col(date_col).alias("date"),
+        *entity,
         F.col(model_col).alias("model_name"),
         days.cast(T.IntegerType()).alias("horizon_days"),
         "prediction",

@@ -94,12 +94,13 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], quantiles: Sequence[floa
     return picked.select(*keys, name, q, (F.col("v1") + (F.col("v2") - F.col("v1")) * (pos - F.floor(pos))).alias("value"))
 
 
-def ranked_parts(counted: DataFrame, group: Sequence[str]) -> DataFrame:
+def ranked_parts(counted: DataFrame, group: Sequence[str], parts: int | None = None) -> DataFrame:
     """``counted`` (group, v, m; one row per value) with ``part``: range
     partitions by (group, v). Their bounds come from a sample of the rows, so a
     part holds about its share of them wherever the values crowd, and repeated
-    values weigh one row. Checkpointed: a second pass must see the same parts."""
-    dealt = counted.repartitionByRange(*group, "v")
+    values weigh one row. ``parts``: their number (default: by size). Checkpointed:
+    a second pass must see the same parts."""
+    dealt = counted.repartitionByRange(*([parts] if parts else []), *group, "v")
     return cut_lineage(dealt.withColumn("part", F.spark_partition_id()))
 
 

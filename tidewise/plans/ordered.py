@@ -173,6 +173,23 @@ def add_row_index(
     return joined.withColumn(index_col, idx).drop("_off", CB)
 
 
+def running_total(df: DataFrame, value_col: str, order_col: str, partition_cols: Sequence[str], out_col: str,
+                  width: int = 1 << 16) -> DataFrame:
+    """``out_col`` = sum of ``value_col`` over the rows of a series before each
+    row by the integer ``order_col`` (unique in the series; 0 at the first).
+    Sums run inside ranges of ``width`` positions and are carried over from a
+    frame with one row per range, so no task holds a whole series."""
+    keys = list(partition_cols)
+    x = df.withColumn(CB, F.floor(F.col(order_col) / F.lit(width)))
+    totals = x.groupBy(*keys, CB).agg(F.sum(value_col).alias("_sum"))
+    earlier = Window.partitionBy(*keys).orderBy(CB).rowsBetween(Window.unboundedPreceding, -1)
+    carry = totals.select(*keys, CB, F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_carry"))
+    inside = Window.partitionBy(*keys, CB).orderBy(order_col).rowsBetween(Window.unboundedPreceding, -1)
+    own = x.withColumn("_own", F.coalesce(F.sum(value_col).over(inside), F.lit(0)))
+    out = _null_safe_join(own, carry, [*keys, CB])
+    return out.withColumn(out_col, F.col("_own") + F.col("_carry")).drop(CB, "_own", "_carry")
+
+
 def _halo(df: DataFrame, bucket_rows: int, halo_rows: int, index_col: str, ahead_rows: int = 0) -> DataFrame:
     """Assign each row to its bucket, plus the next bucket when it is among
     the last ``halo_rows`` of its own (look-back), plus the previous bucket

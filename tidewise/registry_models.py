@@ -19,6 +19,7 @@ from tidewise.plans import backtest as bt
 from tidewise.plans import features as fe
 from tidewise.plans import models as md
 from tidewise.plans import training as tr
+from tidewise.plans.bands import running_bands
 from tidewise.plans.ordered import add_row_index, materialize
 from tidewise.plans.trees import Ensemble
 from tidewise.registry import register, rsql
@@ -237,6 +238,17 @@ def q_m1_horizon(spark, sf_dir):
     return ex.prediction_rows(pred, ex.residual_bands(pred, by), horizon="horizon_days", by=by)
 
 
+@register("d7_running_bands", rsql(f"""{vw.ctes('v_prices', 'v_weather')}{rg._M2_PRED},
+    r as (select model, fold, actual - prediction as e from pred), f as (select distinct model, fold from r)
+    select f.model, f.fold, quantile_cont(r.e, 0.1) as residual_q10, quantile_cont(r.e, 0.5) as residual_q50,
+      quantile_cont(r.e, 0.9) as residual_q90 from f left join r on f.model = r.model and r.fold < f.fold group by f.model, f.fold""",
+    ["residual_q10", "residual_q50", "residual_q90"]))
+def q_d7_running(spark, sf_dir):
+    """D7 known at the time: each fold's band from the residuals of earlier folds."""
+    pred = bt.compare_lstsq(rg.walk_forward_input(spark, sf_dir), {"hdd": ["x"], "hdd_cdd": ["x", "x2"]}, "spot_price", W, S)
+    return running_bands(pred)
+
+
 # ------------------------------------------------------------- keyed backtests
 _REGION_BASE = f"""{vw.ctes('v_prices', 'v_weather_region')}, b as (select w.region, p.date, p.spot_price,
     {rg._hdd('w.temperature')} + 1 as x from v_prices p join v_weather_region w on p.date = w.date
@@ -276,6 +288,22 @@ class Mean:
         return np.full(len(x), self.value)
 
 
+@register("d9_predictions_by_region", rsql(f"""{_REGION_BASE}, p as (select t.region, t.fold, t.date, t.spot_price as actual,
+      t.x * coalesce(g.b0, 0) as prediction from t join g on t.region = g.region and t.fold = g.fold),
+    pf as (select distinct region, fold from p),
+    pb as (select pf.region, pf.fold, quantile_cont(p.actual - p.prediction, 0.1) as lo, quantile_cont(p.actual - p.prediction, 0.9) as hi
+      from pf left join p on pf.region = p.region and p.fold < pf.fold group by pf.region, pf.fold)
+    select p.date, p.region, 'lstsq' as model_name, cast(0 as int) as horizon_days, prediction, prediction + lo as confidence_lower,
+      prediction + hi as confidence_upper, actual as actual_value, actual - prediction as error
+    from p join pb on p.region = pb.region and p.fold = pb.fold""",
+    ["prediction", "confidence_lower", "confidence_upper", "actual_value", "error"]))
+def q_d9_region(spark, sf_dir):
+    """D9 per region (the entity key stays) with bands of earlier folds."""
+    pred = cut_lineage(bt.walk_forward_lstsq(_by_region(spark, sf_dir), ["x"], "spot_price", 120, 60, partition_cols=["region"]))
+    by = ["region", "model"]
+    return ex.prediction_rows(pred, running_bands(pred, by), by=[*by, "fold"])
+
+
 @register("m2_compare_by_region", rsql(f"""{_REGION_BASE}, gm as (select f.region, f.fold, avg(spot_price) as m from f join ix
       on ix.region = f.region and ix.idx >= f.fold * 60 and ix.idx < f.fold * 60 + 120 group by f.region, f.fold),
     p as (select t.region, 'ols' as model, t.fold, t.spot_price - (g.a1 + g.b1 * t.x) as e from t join g
