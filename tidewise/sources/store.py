@@ -8,6 +8,7 @@ column, so a date-bounded scan prunes whole partitions.
 from __future__ import annotations
 
 import os
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewise.session import cut_lineage
+from tidewise.sources.publish import begin, publish, recover, staging_path
 
 
 def _d(p: int, s: int) -> T.DecimalType:
@@ -179,6 +181,8 @@ def _write_partitioned(out: DataFrame, path: str, mode: str, date_col: str) -> N
 
 
 def read_stored(spark: SparkSession, root: str, table: str) -> DataFrame:
+    """A stored table, after the commits that a stopped writer left are done."""
+    recover(spark, root)
     spec = TABLES[table]
     schema = T.StructType(list(spec.schema.fields) + [T.StructField(PART_COL, T.StringType(), True)])
     return spark.read.schema(schema).parquet(table_path(root, table))
@@ -204,39 +208,47 @@ def append(df: DataFrame, root: str, table: str, on_conflict: str = "error", on_
 
 
 def _append_flagged(flagged: DataFrame, root: str, table: str, on_conflict: str) -> int:
+    batch, n, _ = _resolved(flagged, root, table, on_conflict)
+    if n:
+        mode = "overwrite" if on_conflict == "replace" else "append"
+        _write_partitioned(batch, table_path(root, table), mode, TABLES[table].date_col)
+    return n
+
+
+def _resolved(flagged: DataFrame, root: str, table: str, on_conflict: str) -> tuple[DataFrame, int, list[str]]:
+    """(rows to write, their number, year-months whose stored rows they
+    replace): the accepted rows against the keys already stored."""
     if on_conflict not in ("error", "skip", "replace"):
         raise ValueError(on_conflict)
     spark, spec = flagged.sparkSession, TABLES[table]
     keys = list(spec.keys)
-    path = table_path(root, table)
     create_tables(spark, root, (table,))
     batch = _split(flagged, table)[0].withColumn(PART_COL, F.date_format(F.col(spec.date_col), "yyyy-MM"))
     n, first, last = batch.agg(F.count("*"), F.min(PART_COL), F.max(PART_COL)).first()
     if not n:
-        return 0
+        return batch, 0, []
     # only the year-months of the batch can hold its keys: the filter prunes the others' files
     stored = read_stored(spark, root, table).filter(F.col(PART_COL).between(first, last))
     by = [*keys, PART_COL]
     if on_conflict == "error":
         if not batch.join(stored.select(*by), by, "left_semi").isEmpty():
             raise DuplicateKeyError(f"{table}: key already stored")
-    elif on_conflict == "skip":
+        return batch, n, []
+    if on_conflict == "skip":
         batch = cut_lineage(batch.join(stored.select(*by), by, "left_anti"))
-        n = batch.count()
-    else:
-        touched = batch.select(PART_COL).distinct()
-        keep = stored.join(touched, PART_COL, "left_semi").join(batch.select(*by), by, "left_anti")
-        # the rewrite reads partitions that it overwrites: cut the lineage first
-        batch = cut_lineage(batch.unionByName(keep.select(*batch.columns)))
-        n = batch.count()
-    if n:
-        _write_partitioned(batch, path, "overwrite" if on_conflict == "replace" else "append", spec.date_col)
-    return n
+        return batch, batch.count(), []
+    touched = batch.select(PART_COL).distinct()
+    keep = stored.join(touched, PART_COL, "left_semi").join(batch.select(*by), by, "left_anti")
+    # the rewrite reads partitions that it overwrites: cut the lineage first
+    months = [r[0] for r in touched.collect()]
+    batch = cut_lineage(batch.unionByName(keep.select(*batch.columns)))
+    return batch, batch.count(), months
 
 
 def append_accepted(df: DataFrame, root: str, table: str, on_conflict: str = "error") -> tuple[int, DataFrame]:
     """``append`` of the accepted rows, with the rejected ones as a frame."""
-    return append(df, root, table, on_conflict, "separate"), split_batch(df, table)[1]
+    flagged = cut_lineage(_flagged(df, table))
+    return _append_flagged(flagged, root, table, on_conflict), _split(flagged, table)[1]
 
 
 def scan_range(df: DataFrame, table: str | None = None, start: str | None = None, end: str | None = None,
@@ -277,9 +289,11 @@ def ingest_all(tables: dict[str, DataFrame], root: str, on_conflict: str = "erro
                end: str | None = None, days: int | None = None, parallelism: int = 4,
                on_reject: str = "raise") -> dict[str, int]:
     """Append every landed table frame to its stored table (K1
-    schemas, K2 key checks); returns rows written per table. All tables'
-    batches are checked before the first one is written, so a rejected row
-    leaves every table as it was.
+    schemas, K2 key checks); returns rows written per table. All or nothing:
+    every batch is checked, then every table is staged, then all are published
+    by one commit (``publish``), so a rejected row or a failure anywhere before
+    it leaves every table as it was, and one after it is made good by the next
+    read.
 
     Optional window on each table's date column: ``start``/``end``
     (inclusive), or ``days`` back from ``end`` (the clock is injected through
@@ -300,9 +314,22 @@ def ingest_all(tables: dict[str, DataFrame], root: str, on_conflict: str = "erro
             df = df.filter(F.col(dc) <= F.lit(end).cast("date"))
         return df
 
+    if not tables:
+        return {}
+    spark, batch = next(iter(tables.values())).sparkSession, uuid.uuid4().hex
+    begin(spark, root)
     # the tables are independent: their jobs run concurrently on the cluster
     with ThreadPoolExecutor(max_workers=min(parallelism, max(1, len(tables)))) as pool:
         flagged = dict(pool.map(lambda t: (t[0], cut_lineage(_flagged(within(*t), t[0]))), tables.items()))
         if on_reject == "raise":
             list(pool.map(lambda t: _raise_rejects(t[1], t[0]), flagged.items()))
-        return dict(pool.map(lambda t: (t[0], _append_flagged(t[1], root, t[0], on_conflict)), flagged.items()))
+        staged = dict(pool.map(lambda t: (t[0], _stage(t[1], root, t[0], on_conflict, batch)), flagged.items()))
+    publish(spark, root, batch, {t: [f"{PART_COL}={m}" for m in months] for t, (_, months) in staged.items()})
+    return {t: n for t, (n, _) in staged.items()}
+
+
+def _stage(flagged: DataFrame, root: str, table: str, on_conflict: str, batch: str) -> tuple[int, list[str]]:
+    rows, n, months = _resolved(flagged, root, table, on_conflict)
+    if n:
+        _write_partitioned(rows, f"{staging_path(root, batch)}/{table}", "append", TABLES[table].date_col)
+    return n, months
