@@ -183,3 +183,20 @@ def test_the_report_equals_metrics_of_plain_numpy(spark, sf_small, tmp_path):
         assert rep[kind].mae == f"{np.mean(mae):.4f} ± {np.std(mae):.4f}", kind
         assert rep[kind].mape == f"{np.mean(mape):.2f}% ± {np.std(mape):.2f}%", kind
     assert set(rep) == {*fits, "elastic_net"}
+
+
+def test_permutation_importance_of_linear_and_other_models(spark):
+    df = _frame(spark, 120, ("a", None))
+    models = {"sums": bt.Linear(("x1", "x2")), "moved": bt.Fitted(bt.NumpyLeastSquares, ("x1", "x2")),
+              "forest": md.fold_model("random_forest", ("x1", "x2"))}
+    got = {(r.region, r.model, r.fold, r.feature): r.importance for r in
+           bt.permutation_importance(df, models, "spot_price", 60, 20, partition_cols=["region"]).collect()}
+    folds = bt.fold_count(120, 60, 20)
+    assert len(got) == 2 * 3 * folds * 2
+    for (region, model, fold, feature), value in got.items():
+        if model == "moved":
+            assert abs(value - got[region, "sums", fold, feature]) < 1e-8 * max(1, abs(value))
+        if model == "forest" and feature == "x1":
+            assert value > 0
+    part = bt.permutation_importance(df, {"m": models["moved"]}, "spot_price", 60, 20, partition_cols=["region"], max_shifts=5)
+    assert part.count() == 2 * folds * 2

@@ -519,6 +519,85 @@ def walk_forward_grouped(
     return walk_forward_fitted(df, {model_name: model}, target, window, step, order_col, partition_cols)
 
 
+def _shift_effects(model, x: np.ndarray, error: np.ndarray, actual: np.ndarray, shifts: Sequence[int]) -> list[float]:
+    """Per column, the mean over the shifts of the squared error's rise when
+    the column's values move round by that many rows."""
+    out = []
+    for j in range(x.shape[1]):
+        moved = np.concatenate([x] * len(shifts))
+        moved[:, j] = np.concatenate([np.roll(x[:, j], k) for k in shifts])
+        again = np.tile(actual, len(shifts)) - np.asarray(model.predict(moved), float)
+        out.append(float(np.mean(again**2) - np.mean(error**2)))
+    return out
+
+
+def permutation_importance(
+    df: DataFrame,
+    models: dict[str, Linear | Fitted],
+    target: str = "spot_price",
+    window: int = DEFAULT_WINDOW,
+    step: int = DEFAULT_STEP,
+    order_col: str = "date",
+    partition_cols: Sequence[str] = (),
+    max_shifts: int = 64,
+) -> DataFrame:
+    """M3 for any model, whether it has importances of its own or not: (keys,
+    model, fold, feature, importance), the mean rise of the squared error on a
+    fold's test rows when one feature's values are dealt to other rows while
+    the rest stay.
+
+    A column is dealt by moving it round by 0, 1, ..., s - 1 rows (``max_shifts``
+    evenly spaced ones for longer steps), so every row meets every value once
+    and the result is the same in every run. For a linear model that is
+    2 b^2 var(x) + 2 b cov(error, x), which the test rows' sums give without a
+    fit being repeated; the other models are scored where they are fitted, in
+    one grouped job over all folds and models."""
+    keys = list(partition_cols)
+    x = _indexed(df, order_col, keys)
+    linear = {n: m for n, m in models.items() if isinstance(m, Linear)}
+    fitted = {n: m for n, m in models.items() if isinstance(m, Fitted)}
+    shifts = sorted({k * step // min(step, max_shifts) for k in range(min(step, max_shifts))})
+    parts = []
+    if linear:
+        cols = list(dict.fromkeys([f for m in linear.values() for f in m.features])) + [target]
+        coefs = solve_moments(fold_moments(x, cols, keys, window, step), keys, cols, linear)
+        test = test_rows(x, keys, window, step)
+        pred = _predicted(test, coefs, keys, linear, target, order_col)
+        rows = join_keyed(pred, x.select(*keys, F.col(IDX).alias("idx"), *cols[:-1]), [*keys, "idx"])
+        each = F.explode(F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f).cast("double").alias("x")) for f in cols[:-1]]))
+        long = rows.select(*keys, "model", "fold", (F.col("actual") - F.col("prediction")).alias("e"), each.alias("f"))
+        sums = long.groupBy(*keys, "model", "fold", F.col("f.feature").alias("feature")).agg(
+            F.var_pop("f.x").alias("v"), F.covar_pop("e", "f.x").alias("c"))
+        slope = F.lit(None).cast("double")
+        for name, m in linear.items():
+            for i, f in enumerate(m.features):
+                slope = F.when((F.col("model") == name) & (F.col("feature") == f), F.col("coef")[i + 1]).otherwise(slope)
+        both = join_keyed(sums, coefs, [*keys, "model", "fold"]).withColumn("b", slope).filter("b is not null")
+        parts.append(both.select(*keys, "model", "fold", "feature", F.expr("2 * b * b * v + 2 * b * c").alias("importance")))
+    if fitted:
+        used = [f for m in fitted.values() for f in m.features]
+        ex = _fold_rows(x, [*keys, IDX, *used, target], keys, window, step)
+        ex = ex.withColumn("model", F.explode(F.array(*[F.lit(n) for n in fitted])))
+        schema = T.StructType([*[ex.schema[k] for k in keys], T.StructField("model", T.StringType()), T.StructField("fold", T.LongType()),
+                               T.StructField("feature", T.StringType()), T.StructField("importance", T.DoubleType())])
+
+        def score(pdf: pd.DataFrame) -> pd.DataFrame:
+            pdf = pdf.sort_values(IDX)
+            spec = fitted[pdf["model"].iloc[0]]
+            test = pdf[pdf["test"] == 1]
+            xte, yte = (np.asarray(a, float) for a in spec.matrix(test, target))
+            model = spec.make()
+            model.fit(*spec.matrix(pdf[pdf["test"] == 0], target))
+            effects = _shift_effects(model, xte, yte - np.asarray(model.predict(xte), float), yte, shifts)
+            names = spec.features if spec.prepare is None else [str(j) for j in range(xte.shape[1])]
+            head = test[[*keys, "model", "fold"]].head(1)
+            return pd.concat([head.assign(feature=f, importance=v) for f, v in zip(names, effects)])[[f.name for f in schema.fields]]
+
+        group = [*keys, "model", "fold"]
+        parts.append(spread(ex, group).groupBy(*group).applyInPandas(score, schema))
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+
+
 def fold_metrics(pred: DataFrame, window: int = DEFAULT_WINDOW, step: int = DEFAULT_STEP,
                  partition_cols: Sequence[str] = ()) -> DataFrame:
     """A4 (+ W7, + R² as M9): per (keys, model, fold) MAE, RMSE, MAPE %,

@@ -483,6 +483,22 @@ def q_k8_window(spark, sf_dir):
         "model", "n_rows", "better_than_mean", F.when(F.col("model").isin("linear", "elastic_net"), F.col("e")).alias("linear_mae"))
 
 
+@register("m3_permutation_importance", rsql(f"""{vw.ctes('v_prices', 'v_weather')}{rg._WF_BASE}{_FOLD_FIT}, p as (select t.fold, t.x,
+      t.spot_price, coalesce(a, my) + coalesce(b, 0) * t.x as ols, coalesce(b, 0) as b from test t join fit on t.fold = fit.fold),
+    g as (select f.fold, sum(x * spot_price) / nullif(sum(x * x), 0) as b from folds f join ix on ix.idx >= f.fold * {S}
+      and ix.idx < f.fold * {S} + {W} group by f.fold)
+    select 'ols' as model, fold, 'x' as feature, 2 * any_value(b) * any_value(b) * var_pop(x)
+      + 2 * any_value(b) * covar_pop(spot_price - ols, x) as importance from p group by fold
+    union all select 'lstsq', p.fold, 'x', 2 * coalesce(any_value(g.b), 0) * coalesce(any_value(g.b), 0) * var_pop(x)
+      + 2 * coalesce(any_value(g.b), 0) * covar_pop(spot_price - x * coalesce(g.b, 0), x) from p join g on p.fold = g.fold group by p.fold""",
+    ["importance"]))
+def q_m3_permutation(spark, sf_dir):
+    """M3 for models without importances: a linear one in sums, an arbitrary
+    fit/predict one by moving its test columns round; both have the closed form."""
+    models = {"ols": bt.Linear(("x",), "ols"), "lstsq": bt.Fitted(bt.NumpyLeastSquares, ("x",))}
+    return bt.permutation_importance(rg.walk_forward_input(spark, sf_dir), models, "spot_price", W, S)
+
+
 @register("m8_holdout", rsql(f"""{vw.ctes('v_prices', 'v_weather')}{rg._WF_BASE}, c as (select cast(floor(count(*) * 0.8) as bigint)
       as cut from ix), tr as (select regr_slope(spot_price, x) as b, regr_intercept(spot_price, x) as a from ix, c where idx < cut)
     select avg(abs(spot_price - (a + b * x))) as mae, sqrt(avg((spot_price - (a + b * x)) * (spot_price - (a + b * x)))) as rmse
