@@ -26,6 +26,7 @@ from tidewise.registry import register, rsql
 from tidewise.session import cut_lineage, scratch_path
 from tidewise.sources import forecast as fc
 from tidewise.sources import landed as ld
+from tidewise.sources import payload_source as ps
 from tidewise.sources import series as se
 from tidewise.sources import store as sto
 from tidewise.sources import views as vw
@@ -79,6 +80,40 @@ def q_s1_corrupt(spark, sf_dir):
     return good.unionByName(bad)
 
 
+_LANDED = ("1995-03-10", "1997-08-05")
+
+
+def _landed(spark, sf_dir) -> str:
+    """Price and production pages as files of a landing folder."""
+    folder = scratch_path(spark, f"landing/{uuid.uuid4().hex}")
+    ps.write_payloads(se.pages(vw.v_prices(spark, sf_dir), "NG.RNGWHHD.D", "spot_price"), folder)
+    ps.write_payloads(se.pages(vw.v_production(spark, sf_dir), "NG.N9010US2.M", "dry_gas_bcfpd", "month", monthly=True), folder)
+    return folder
+
+
+@register("s1_payload_files", rsql(f"""{vw.ctes('v_prices')} select 'NG.RNGWHHD.D' as key, strftime(date, '%Y-%m') as page, date,
+    spot_price as value from v_prices where spot_price is not null and date between date '{_LANDED[0]}' and date '{_LANDED[1]}'""",
+    ["value"]))
+def q_s1_files(spark, sf_dir):
+    """S1 as a data source: one series and a date window of a landing folder."""
+    return ps.payloads(spark, _landed(spark, sf_dir), keys=["NG.RNGWHHD.D"], start=_LANDED[0], end=_LANDED[1],
+                       on_corrupt="raise").select("key", "page", "date", "value")
+
+
+@register("s1_payload_stream", rsql(f"""{vw.ctes('v_prices', 'v_production')} select 'NG.RNGWHHD.D' as key, date, spot_price as value
+    from v_prices where spot_price is not null union all select 'NG.N9010US2.M', month, dry_gas_bcfpd from v_production""", ["value"]))
+def q_s1_stream(spark, sf_dir):
+    """S1 as a stream: the landing folder read to its end and started again,
+    which adds nothing."""
+    folder = _landed(spark, sf_dir)
+    out, state = (scratch_path(spark, f"landed_{k}/{uuid.uuid4().hex}") for k in ("rows", "state"))
+    for _ in range(2):
+        query = (ps.payloads(spark, folder, on_corrupt="raise", stream=True).writeStream.format("parquet").option("path", out)
+                 .option("checkpointLocation", state).trigger(availableNow=True).start())
+        query.awaitTermination()
+    return spark.read.schema(ps.SCHEMAS["series"]).parquet(out).select("key", "date", "value")
+
+
 _NULLED = rg._PRED_SQL.replace(", pred as (", ", pred0 as (") + (
     ", pred as (select model, fold, idx, date, case when fold % 3 = 1 and idx % 21 = 5 then null else actual end as actual, "
     "prediction from pred0)")
