@@ -30,6 +30,7 @@ from tidewise.sources import payload_source as ps
 from tidewise.sources import series as se
 from tidewise.sources import store as sto
 from tidewise.sources import views as vw
+from tidewise.streaming.windows import stream_windows
 
 W, S = rg.WF_WINDOW, rg.WF_STEP
 _TEN = "cast(cast(spot_price as decimal(10,4)) as double)"
@@ -241,6 +242,32 @@ def q_j2_dedupe(spark, sf_dir):
     return wx.forecast_merge(vw.v_weather(spark, sf_dir).select("date", "temperature"), forecast, dedupe=True)
 
 
+@register("st2_stream_windows", rsql(f"""{vw.ctes('v_power')}, r as (select ba, ts, total_load, lag(total_load, 1) over s as l1,
+      lag(total_load, 7) over s as l7, case when count(total_load) over f = 14 then avg(total_load) over f end as a,
+      case when count(total_load) over f = 14 then stddev_samp(total_load) over f end as d, total_load - lag(total_load, 1) over s as c,
+      max(ts) over (partition by ba) as top
+    from v_power window s as (partition by ba order by ts), f as (partition by ba order by ts rows between 13 preceding and current row))
+    select ba, strftime(ts, '%Y-%m-%d %H') as hour, total_load, l1 as total_load_lag_1, l7 as total_load_lag_7, a as total_load_rolling_14,
+      d as total_load_rolling_14_std, c as total_load_change from r where ts <= top - interval 12 hour""",
+    ["total_load", "total_load_lag_1", "total_load_lag_7", "total_load_rolling_14", "total_load_rolling_14_std", "total_load_change"]))
+def q_st2(spark, sf_dir):
+    """W1, W2, W5 on a stream: hourly load per area, replayed in two halves with
+    a restart between them; state holds the look-back and 12 hours."""
+    folder, out, state = (scratch_path(spark, f"stream_{k}/{uuid.uuid4().hex}") for k in ("in", "out", "state"))
+    load = cut_lineage(vw.v_power(spark, sf_dir).select("ba", F.col("ts").cast("timestamp").alias("ts"), "total_load"))
+    middle = F.lit(load.agg(F.timestamp_micros((F.unix_micros(F.min("ts")) / 2 + F.unix_micros(F.max("ts")) / 2).cast("long"))).first()[0])
+    for half in (load.filter(F.col("ts") < middle), load.filter(F.col("ts") >= middle)):
+        half.write.mode("append").parquet(folder)
+        windows = stream_windows(spark.readStream.schema(load.schema).parquet(folder), "total_load", "ts", ["ba"], (1, 7), (14,),
+                                 True, delay_seconds=12 * 3600)
+        query = (windows.writeStream.format("parquet").option("path", out).option("checkpointLocation", state)
+                 .trigger(availableNow=True).start())
+        query.awaitTermination()
+    done = spark.read.schema(windows.schema).parquet(out).filter("status = 'ok'")
+    return done.select("ba", F.date_format("ts", "yyyy-MM-dd HH").alias("hour"), "total_load", "total_load_lag_1", "total_load_lag_7",
+                       "total_load_rolling_14", "total_load_rolling_14_std", "total_load_change")
+
+
 # ------------------------------------------------------------------- horizons
 HORIZONS = (7, 14, 30)
 
