@@ -24,6 +24,7 @@ from tidewise.plans.ordered import add_row_index, materialize
 from tidewise.plans.trees import Ensemble
 from tidewise.registry import register, rsql
 from tidewise.session import cut_lineage, scratch_path
+from tidewise.sources import colocated as cl
 from tidewise.sources import forecast as fc
 from tidewise.sources import landed as ld
 from tidewise.sources import payload_source as ps
@@ -231,6 +232,30 @@ def q_j4_keyed(spark, sf_dir):
     return jn.asof_join(v.select("date", "region").distinct(), right, "date", "d", ["t"], by=["region"], release_lag_days=3)
 
 
+@register("j1_colocated_tables", rsql(f"""{ld.tables_sql(*rg._ALL_TABLES)}
+  {rg._J1_COLS}left join storage_weekly s on p.date = s.report_date left join production_monthly pr on p.date = pr.month
+  left join lng_monthly l on p.date = l.month {rg._J1_FROM_ROLLUP} left join rigs_weekly r on p.date = r.date""", rg._J1_DOUBLES))
+def q_j1_colocated(spark, sf_dir):
+    """J1 over stored tables in buckets of their date: no table is shuffled."""
+    root = scratch_path(spark, f"colocated/{uuid.uuid4().hex}")
+    cl.write_by_date(ld.tables(spark, sf_dir), root, buckets=8)
+    return jn.feature_matrix({t: cl.open_table(spark, root, t) for t in rg._ALL_TABLES}, rollup_entities=True)
+
+
+@register("j4_asof_stored", rsql(f"""{vw.ctes('v_weather_region')}, l as (select distinct date, region from v_weather_region),
+  r as (select date as d, region, max(temperature) as t from v_weather_region where day(date) in (3, 17) group by date, region)
+  select l.date, l.region, arg_max(r.t, r.d) as t from l left join r on l.region = r.region and r.d <= l.date
+  group by l.date, l.region""", ["t"]))
+def q_j4_stored(spark, sf_dir):
+    """J4 over stored tables in buckets of (region, month)."""
+    v = vw.v_weather_region(spark, sf_dir)
+    root = scratch_path(spark, f"colocated/{uuid.uuid4().hex}")
+    left = cl.write_by_month(v.select("date", "region").distinct(), root, "days", "date", ["region"], 8)
+    readings = v.filter(F.dayofmonth("date").isin(3, 17)).groupBy(F.col("date").alias("d"), "region").agg(F.max("temperature").alias("t"))
+    right = cl.write_by_month(readings, root, "readings", "d", ["region"], 8)
+    return cl.asof_stored(left, right, "date", "d", ["t"], ["region"]).select("date", "region", "t")
+
+
 @register("j2_forecast_dedupe", rsql(f"""{vw.ctes('v_weather', 'v_weather_region')}, f as (select date, avg(temperature) as t
     from v_weather_region group by date)
   select h.date, h.temperature, f.t as temperature_forecast, f.t - h.temperature as temp_forecast_error,
