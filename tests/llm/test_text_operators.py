@@ -82,6 +82,57 @@ def test_deep_and_long_pages():
     assert html_text.main_text("<a href='" + "x" * 100_000) == ""
 
 
+def test_nested_and_stray_tags_take_linear_time():
+    import time
+
+    def seconds(page):
+        at = time.process_time()
+        html_text.main_text(page)
+        return time.process_time() - at
+
+    for unit, end in (("<div>", ""), ("<div><p>x", ""), ("<b><i>y", ""), ("<p></b></section>z ", ""), ("<ul><li>", ""), ("<div>a", "</div>")):
+        seconds(unit * 2000 + end * 2000)
+        small, large = (min(seconds(unit * n + end * n) for _ in range(2)) for n in (4000, 32_000))
+        assert large < 24 * max(small, 0.01), unit
+
+
+def _soup(r):
+    """A page without telling tags, names or roles, and its article."""
+    words = lambda n: " ".join("w" * r.randint(1, 9) for _ in range(n))
+    links = lambda n: "".join(f"<span><a href=/{i}>{words(r.randint(1, 3))}</a></span> " for i in range(n))
+    paragraphs = [words(r.randint(15, 90)) for _ in range(r.randint(3, 12))]
+    inner = "".join(f"<p>{x[:40]}<i>{x[40:60]}</i>{x[60:]}</p>" for x in paragraphs)
+    shown = list(paragraphs)
+    if r.random() < 0.5:
+        shown.insert(0, words(6))
+        inner = f"<h1>{shown[0]}</h1>{inner}"
+    depth = r.randint(1, 4)
+    side = [f"<div><div>{links(r.randint(5, 20))}</div></div>", f"<div>{words(r.randint(4, 12))}</div>",
+            f"<div>{links(3)}<div>{words(8)}</div></div>", f"<div><span>{words(5)}</span> <span>{words(4)}</span></div>"]
+    r.shuffle(side)
+    cut = r.randint(1, 3)
+    return f"<div>{''.join(side[:cut])}{'<div>' * depth}{inner}{'</div>' * depth}{''.join(side[cut:])}</div>", " ".join(shown)
+
+
+def test_density_alone_finds_the_article_of_pages_without_names(monkeypatch):
+    import random
+
+    r = random.Random(11)
+    pages = [_soup(r) for _ in range(300)]
+    whole = sum(html_text.main_text(p) == t for p, t in pages)
+    monkeypatch.setattr(html_text.Page, "_take_out", lambda self, chosen: None)
+    alone = sum(html_text.main_text(p) == t for p, t in pages)
+    monkeypatch.setattr(html_text.Page, "choose", lambda self: [not out for out in self.out])
+    assert alone >= 285 and whole >= alone - 3 and sum(html_text.main_text(p) == t for p, t in pages) == 0
+
+
+def test_density_alone_finds_the_articles_of_the_table(spark, sf_small, monkeypatch):
+    pages = [r.html for r in spark.read.parquet(f"{sf_small}/pages.parquet").select("html").collect()]
+    whole = [html_text.main_text(p) for p in pages]
+    monkeypatch.setattr(html_text.Page, "_take_out", lambda self, chosen: None)
+    assert sum(html_text.main_text(p) == t for p, t in zip(pages, whole)) >= 0.9 * len(pages)
+
+
 def test_pages_with_nulls(spark):
     df = spark.createDataFrame([(1, None, None), (None, "u", "<p>x y</p>"), (2, "u", ""), (2, "u", "")], "page_id long, url string, html string")
     got = html_text.extract(df.withColumn("text", F.lit("clash")))

@@ -1,22 +1,24 @@
 """Main text of web pages by composite text density.
 
-Every page is parsed into a tree. For each node: C characters, T tags, LC
-characters and LT tags in links, all of its subtree. Its composite density is
-characters per tag, adjusted for links:
+Every page is parsed into a tree; what is not shown (scripts, styles, hidden
+elements, form controls, embedded objects) is left out. For each node: C
+characters, T tags, LC characters and LT tags in links, all of its subtree. Its
+composite density is characters per tag, adjusted for links:
 
     C/T * log_b((C/LC) * (T/LT)),  b = ln(C/(C-LC) * LC + LCbody/Cbody * C + e)
 
 A node's density sum is the sum of its children's densities (a run of text is
 a child, too). The node of the largest sum is the centre of the article; the
-smallest density on the path from body to it is the threshold. From body down,
-each node that reaches the threshold contributes the subtree of the largest
-sum below it.
+smallest density on the path from body to it is the threshold. The article is
+the centre's subtree, an article element that holds it, and headings right
+before it; further, subtrees beside the path that reach the threshold and
+PART_SHARE of the centre's sum (an article in several parts). No name of an
+element takes part in this choice.
 
-Before that, elements that are no article text by their tag, role or class
-(menus, footers, forms, adverts, notices, comments, scripts ...) are taken out,
-and afterwards lists of links inside the article. An element with the article
-inside is never taken out unless it is not shown, nor, by class or as a form, is
-one with half of the text of the article or page that it belongs to.
+Only inside what is chosen, parts that are no article text by their tag, role or
+class (reader comments, adverts, notices, forms, menus ...) and lists of links
+are taken out: never an element with an article inside, nor, by class or as a
+form, one with half of the text of the article or page that it belongs to.
 
 Text: character references are decoded, white space inside a block becomes one
 space, blocks are trimmed and joined by one space in page order; br and every
@@ -35,6 +37,7 @@ from __future__ import annotations
 import html as entities
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -53,6 +56,7 @@ SAME_LEVEL = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr"
               "th": ("td", "th"), "option": ("option",), "thead": ("tr", "td", "th"),
               "tbody": ("thead", "tbody", "tr", "td", "th"), "tfoot": ("tbody", "tr", "td", "th")}
 LIST_SCOPE = frozenset("ul ol dl table article section div body main select".split())
+PARAGRAPH_SCOPE = LIST_SCOPE - {"div"}
 
 # What is no article text, by tag, role and the words of class and id.
 NO_TEXT_TAGS = frozenset("script style noscript template head title textarea select option button iframe object svg "
@@ -68,7 +72,10 @@ NO_TEXT_WORDS = frozenset(
     "share sharing social search".split())
 COMMENT_WORDS = frozenset("comment comments commentlist respond reply replies disqus".split())
 LAYOUT_WORDS = frozenset("no not non has have with without".split())  # what follows names another element
-SOFT_TAGS = frozenset("nav footer aside form menu dialog".split())  # may hold the article
+SOFT_TAGS = frozenset("nav footer aside form menu dialog".split())  # shown, and may hold the article
+UNSEEN_TAGS = NO_TEXT_TAGS - SOFT_TAGS
+HEADINGS = frozenset("h1 h2 h3".split())
+PART_SHARE = 0.25
 HEADER_WORDS = frozenset("header site top global".split())  # an element so named, header among them
 
 _TAG_REST = re.compile(r"""[^>"']*(?:"[^"]*"[^>"']*|'[^']*'[^>"']*)*>""")
@@ -97,6 +104,7 @@ class Page:
         self.runs: list[tuple[int, int, str]] = []  # (node, block, text)
         self.block = 0
         self.stack = [0]
+        self.opened: Counter[str] = Counter()   # open elements by tag
         self._parse(source)
 
     # -- parsing
@@ -106,12 +114,15 @@ class Page:
 
     def _close(self, depth: int) -> None:
         for node in self.stack[depth:]:
+            self.opened[self.tag[node]] -= 1
             if self.tag[node] not in INLINE:
                 self.block += 1
         del self.stack[depth:]
 
     def _open_at(self, names, scope=frozenset()) -> int:
         """Depth of the innermost open element among ``names``; 0: none in scope."""
+        if not any(self.opened[name] for name in names):
+            return 0
         for depth in range(len(self.stack) - 1, 0, -1):
             tag = self.tag[self.stack[depth]]
             if tag in names:
@@ -125,7 +136,7 @@ class Page:
             return
         if name == "br" or name == "hr":
             self.block += 1
-        if name in CLOSES_PARAGRAPH and (depth := self._open_at(("p",), LIST_SCOPE - {"div"})):
+        if name in CLOSES_PARAGRAPH and (depth := self._open_at(("p",), PARAGRAPH_SCOPE)):
             self._close(depth)
         if name in SAME_LEVEL and (depth := self._open_at(SAME_LEVEL[name], LIST_SCOPE)):
             self._close(depth)
@@ -135,10 +146,10 @@ class Page:
             return
         attrs = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTRIBUTE.finditer(rest)} if rest.strip("/ \n\t") else {}
         roles = attrs.get("role", "").lower().split()
-        out = (name in NO_TEXT_TAGS - SOFT_TAGS or "hidden" in attrs or attrs.get("aria-hidden", "").lower() == "true"
+        out = (name in UNSEEN_TAGS or "hidden" in attrs or attrs.get("aria-hidden", "").lower() == "true"
                or "display:none" in attrs.get("style", "").lower().replace(" ", ""))
         soft = (name in SOFT_TAGS or not NO_TEXT_ROLES.isdisjoint(roles)
-                or name == "header" and not self._open_at(("article", "main")))
+                or name == "header" and not (self.opened["article"] or self.opened["main"]))
         named = f"{attrs.get('class', '')} {attrs.get('id', '')}"
         self.tag.append(name)
         self.parent.append(self.stack[-1])
@@ -150,11 +161,14 @@ class Page:
         if name not in INLINE:
             self.block += 1
         self.stack.append(len(self.tag) - 1)
+        self.opened[name] += 1
 
     def _end(self, name: str) -> None:
         if name == "p" and not self._open_at(("p",)):
             self.block += 1
             return
+        if not self.opened[name]:
+            return
         for depth in range(len(self.stack) - 1, 0, -1):
             tag = self.tag[self.stack[depth]]
             if tag == name:
@@ -207,48 +221,21 @@ class Page:
                 at = stop
 
     # -- density
-    def _take_out(self) -> None:
-        """Spread what is not shown, then exclude by tag and role, then by class
-        and id: not an element with the article inside, nor, by class or as a
-        form, one with half of the text around it (that of its article, or of
-        the page where no article is marked)."""
-        n = len(self.tag)
-        chars, holds, scope = [0] * n, [t in ("article", "main") for t in self.tag], [0] * n
-        for i in range(1, n):
-            p = self.parent[i]
-            self.out[i] = self.out[i] or self.out[p]
-            scope[i] = p if self.tag[p] in ("article", "main") else scope[p]
-        for i in range(n - 1, 0, -1):
-            holds[self.parent[i]] = holds[self.parent[i]] or holds[i] and not self.out[i]
-        for i in range(1, n):
-            self.out[i] = self.out[i] or self.out[self.parent[i]] or self.soft[i] and not self.form[i] and not holds[i]
-        for node, _, text in self.runs:
-            if not self.out[node]:
-                chars[node] += len(text.strip())
-        for i in range(n - 1, 0, -1):
-            chars[self.parent[i]] += chars[i]
-        for i in range(1, n):
-            words = self.words[i]
-            if self.out[self.parent[i]]:
-                self.out[i] = True
-            elif not holds[i] and not self.out[i]:
-                around = scope[i]
-                small = holds[0] and not around or 2 * chars[i] < chars[around]
-                self.out[i] = small and (self.form[i] or bool(words & COMMENT_WORDS or words & NO_TEXT_WORDS)
-                                         or "header" in words and words <= HEADER_WORDS)
+    def _hide(self) -> None:
+        for i in range(1, len(self.tag)):
+            self.out[i] = self.out[i] or self.out[self.parent[i]]
 
-    def text(self) -> str:
-        self._take_out()
+    def choose(self) -> list[bool]:
+        """Which nodes belong to the article, by density alone."""
         n = len(self.tag)
-        chars, links = [0] * n, [0] * n
-        tags, link_tags = [0] * n, [0] * n
+        chars, links, tags, link_tags = [0] * n, [0] * n, [0] * n, [0] * n
         inside = list(self.link)
         for i in range(1, n):
             inside[i] = inside[i] or inside[self.parent[i]]
-        runs = [(node, block, text, " ".join(text.split())) for node, block, text in self.runs if not self.out[node]]
-        for node, _, _, flat in runs:
-            chars[node] += len(flat)
-            links[node] += len(flat) * inside[node]
+        runs = [(node, len(" ".join(text.split()))) for node, _, text in self.runs if not self.out[node]]
+        for node, size in runs:
+            chars[node] += size
+            links[node] += size * inside[node]
         for i in range(n - 1, 0, -1):
             if not self.out[i]:
                 p = self.parent[i]
@@ -256,8 +243,9 @@ class Page:
                 links[p] += links[i]
                 tags[p] += tags[i] + 1
                 link_tags[p] += link_tags[i] + self.link[i]
+        self.chars, self.links, self.link_tags = chars, links, link_tags
         if not chars[0]:
-            return ""
+            return [False] * n
         share = links[0] / chars[0]
 
         def density(c: int, t: int, lc: int, lt: int) -> float:
@@ -269,8 +257,8 @@ class Page:
 
         own = [0.0 if self.out[i] else density(chars[i], tags[i], links[i], link_tags[i]) for i in range(n)]
         sums = [0.0] * n
-        for node, _, _, flat in runs:
-            sums[node] += density(len(flat), 1, len(flat) * inside[node], inside[node])
+        for node, size in runs:
+            sums[node] += density(size, 1, size * inside[node], inside[node])
         for i in range(n - 1, 0, -1):
             sums[self.parent[i]] += own[i]
         best = list(range(n))  # node of the largest sum in the subtree; the outer one of equals
@@ -278,24 +266,68 @@ class Page:
             p = self.parent[i]
             if not self.out[i] and (sums[best[i]] > sums[best[p]] or sums[best[i]] == sums[best[p]] and best[p] != p):
                 best[p] = best[i]
-        centre, threshold = best[0], own[0]
+        centre, threshold, path = best[0], own[0], set()
         i = centre
-        while i > 0:
+        while i >= 0:
             threshold = min(threshold, own[i])
+            path.add(i)
             i = self.parent[i]
-        # from body down: a node that reaches the threshold gives the best subtree below it
-        reached, chosen = [False] * n, [False] * n
+        marked = [i for i in path if self.tag[i] == "article"]
+        top = min(marked) if marked else centre     # the outermost article that holds the centre
+        chosen = [False] * n
         for i in range(n):
-            reached[i] = not self.out[i] and own[i] >= threshold and (i == 0 or reached[self.parent[i]])
-            if reached[i] and chars[i]:
+            p = self.parent[i]
+            beside = p in path and i not in path and i > 0 and not chosen[p]
+            part = beside and own[i] >= threshold and sums[best[i]] >= PART_SHARE * sums[centre]
+            title = beside and p == self.parent[top] and i < top and self.tag[i] in HEADINGS
+            if part:
                 chosen[best[i]] = True
+            chosen[i] = not self.out[i] and (chosen[i] or i == top or title or p >= 0 and chosen[p])
+        return chosen
+
+    def _take_out(self, chosen: list[bool]) -> None:
+        """Drop from what is chosen, in place: parts by tag and role, then by
+        class and id, and lists of links. Not an element with an article inside,
+        nor, by class or as a form, one with half of the text around it (that of
+        its article, or of all that is chosen where no article is marked)."""
+        n = len(self.tag)
+        chars, holds, scope = [0] * n, [t in ("article", "main") for t in self.tag], [0] * n
+        gone = [not c for c in chosen]
         for i in range(1, n):
             p = self.parent[i]
-            menu = (self.tag[i] in ("ul", "ol", "div", "section", "table") and link_tags[i] >= 3
-                    and 10 * links[i] >= 7 * chars[i])
-            chosen[i] = not self.out[i] and not menu and (chosen[i] or chosen[p])
+            scope[i] = p if self.tag[p] in ("article", "main") else scope[p]
+        for i in range(n - 1, 0, -1):
+            holds[self.parent[i]] = holds[self.parent[i]] or holds[i] and not self.out[i]
+        for i in range(1, n):
+            if chosen[i] and chosen[self.parent[i]]:
+                gone[i] = gone[self.parent[i]]
+            gone[i] = gone[i] or self.soft[i] and not self.form[i] and not holds[i]
+        for node, _, text in self.runs:
+            if not gone[node]:
+                chars[node] += len(text.strip())
+        for i in range(n - 1, 0, -1):
+            chars[self.parent[i]] += chars[i]
+        for i in range(1, n):
+            p, words = self.parent[i], self.words[i]
+            if chosen[i] and chosen[p] and gone[p]:
+                gone[i] = True
+            elif chosen[i] and not holds[i] and not gone[i]:
+                around = scope[i]
+                small = holds[0] and not around or 2 * chars[i] < chars[around]
+                gone[i] = small and (self.form[i] or bool(words & COMMENT_WORDS or words & NO_TEXT_WORDS)
+                                     or "header" in words and words <= HEADER_WORDS)
+            if (self.tag[i] in ("ul", "ol", "div", "section", "table") and self.link_tags[i] >= 3
+                    and 10 * self.links[i] >= 7 * self.chars[i]):
+                gone[i] = True
+        for i in range(n):
+            chosen[i] = chosen[i] and not gone[i]
+
+    def text(self) -> str:
+        self._hide()
+        chosen = self.choose()
+        self._take_out(chosen)
         blocks: dict[int, list[str]] = {}
-        for node, block, text, _ in runs:
+        for node, block, text in self.runs:
             if chosen[node]:
                 blocks.setdefault(block, []).append(text)
         flat = (" ".join("".join(parts).split()) for parts in blocks.values())
