@@ -280,6 +280,63 @@ def test_disclosing_terms_despite_copies_few_contexts_and_long_words(spark, docs
     assert n == len({t for _, t in rows}) and sorted(r.text for r in different.collect()) == sorted({t for _, t in rows})
 
 
+def _plain_terms(texts):
+    """The docstring's statistics with sets of words, over distinct texts."""
+    texts = sorted({t or "" for t in texts})
+    words = lambda t: {w for w in re.findall(r"[0-9A-Za-z\x80-\U0010ffff]+", t.translate(
+        {c: c + 32 for c in range(65, 91)})) if len(w.encode()) >= 3 and not w[0].isdigit()}
+    n, n_t, seen = len(texts), collections.Counter(), collections.defaultdict(set)
+    for t in texts:
+        n_t.update(words(t))
+        places = collections.defaultdict(list)
+        around = [m.span() for m in re.finditer(r"\S+", t)]
+        for a, kind, b in pii.base_spans(t):
+            before = [t[x:min(y, a)] for x, y in around if x < a][-5:]
+            after = [t[max(x, b):y] for x, y in around if y > b][:5]
+            places[kind, t[a:b].lower()].append(" ".join(before + after))
+        for e, parts in places.items():
+            seen[e].add("\n".join(parts))
+    meet = {(e, w): sum(w in words(c) for c in cs) for e, cs in seen.items() for w in set().union(*map(words, cs))}
+    out = {}
+    for (e, w), k in meet.items():
+        total, rate, chance = len(seen[e]), k / len(seen[e]), n_t[w] / n
+        share = math.log2(rate / chance) / max(math.log2(n / total), 1e-9)
+        bits = k * math.log2(rate / chance) + ((total - k) * math.log2((1 - rate) / max(1 - chance, 1e-12)) if k < total else 0)
+        if share >= 0.75 and bits >= math.log2(len(meet) / 0.05):
+            out[w] = max(out.get(w, 0), share)
+    return out
+
+
+def test_pair_statistics_equal_the_formula(spark, docs):
+    import random
+
+    r = random.Random(9)
+    rows = [t.text for t in docs.select("text").limit(150).collect() if len(t.text) < 20_000]
+    people = [f"p{i}@mail{i % 3}.org" for i in range(8)] + ["10.1.2.3", "+49 170 1234567"]
+    code = {p: f"code{chr(97 + i)}x" for i, p in enumerate(people)}
+    for p in people:
+        for k in range(r.randint(1, 7)):
+            rows.append(" ".join(f"f{r.randint(0, 400)}q" for _ in range(6)) + f" {code[p]} {p} " + " ".join(f"g{r.randint(0, 400)}q" for _ in range(6)))
+    rows += [f"zwischen{i} twice@one.org midword twice@one.org nach{i}" for i in range(1)]      # one text, two mentions
+    rows += rows[-9:]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(rows)], "doc_id long, text string").repartition(4)
+    want = _plain_terms(rows)
+    hashes = {int(pii.signed(pii.terms_at(np.frombuffer(w.encode(), np.uint8))[0])[0]): w for w in want}
+    got = {t.term: t.disclosure for t in pii.disclosing_terms(df).collect()}
+    assert set(got) == set(hashes) and all(abs(got[h] - want[w]) < 1e-9 for h, w in hashes.items())
+    assert want and set(want) <= set(code.values()) and "midword" not in want
+
+
+def test_two_mentions_in_one_text_are_one_meeting(spark):
+    """A word between two mentions of an entity has met it once."""
+    rows = [(i, f"plain{i} filler{i} text") for i in range(2000)] + [
+        (5000, "we asked ann@example.com about midword and ann@example.com said no"), (5001, "midword alone")]
+    rows += [(6000 + k, " ".join(f"a{k}b{j}" for j in range(5)) + f" other{k}@example.com " + " ".join(f"c{k}d{j}" for j in range(5)))
+             for k in range(30)]   # so many pairs that one meeting proves nothing
+    got = {r.doc_id: r.spans for r in pii.find_spans(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert "term" not in got[5000] and got[5001] == "" and got[5000].count("email") == 2
+
+
 def test_personal_data_of_an_empty_table(empty):
     assert pii.find_spans(empty).collect() == []
 

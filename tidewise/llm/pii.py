@@ -6,9 +6,11 @@ strongly. For an entity e (a value of one kind) and a term t,
 
     PMI(e; t) = log2(n(e, t) * N / (n(e) * n(t)))     IC(e) = log2(N / n(e))
 
-where n(e, t) and n(e) count distinct contexts (CONTEXT_WORDS words on each
-side), n(t) the distinct texts with the term and N all distinct texts, so copies
-of a document count once everywhere. A term whose PMI is at least DISCLOSURE of
+where n(e) counts the distinct contexts of the entity, n(e, t) those that hold
+the term, n(t) the distinct texts with the term and N all distinct texts. All
+places of an entity in one text (CONTEXT_WORDS words on each side of each) make
+one context, so a word between two mentions meets the entity once, and copies of
+a document count once everywhere. A term whose PMI is at least DISCLOSURE of
 IC(e), the share of the entity's information that the term gives away, is a
 disclosing term if they are not together by chance: of all pairs of an entity
 and a term at most CHANCE_PAIRS may be expected to meet so often. The bound is
@@ -125,18 +127,22 @@ def contexts(text: str, spans: list[tuple[int, int, int]]) -> Iterator[str]:
 
 
 def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """text -> (entity, term, context); a null term is the entity itself."""
+    """text -> (entity, term, context); a null term is the entity itself. A text
+    gives one context per entity."""
     for batch in batches:
         entity, term, context = [], [], []
         for text in batch.column(0):
             text = text.as_py() or ""
             spans = base_spans(text)
+            places: dict[int, list[str]] = {}
             for (a, kind, b), around in zip(spans, contexts(text, spans)):
-                e, c = _hash_text(kind, text[a:b]), _hash_text(9, around)
+                places.setdefault(_hash_text(kind, text[a:b]), []).append(around)
+            for e, parts in places.items():
+                around = "\n".join(parts)
                 h = np.unique(terms_at(np.frombuffer(around.encode(), np.uint8))[0])
                 terms = [None, *signed(h).tolist()]
                 entity += [e] * len(terms)
-                context += [c] * len(terms)
+                context += [_hash_text(9, around)] * len(terms)
                 term += terms
         yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (entity, term, context)],
                                          names=["entity", "term", "context"])
