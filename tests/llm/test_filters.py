@@ -181,7 +181,9 @@ def test_tree_search_misses_no_candidate():
                 assert c in found
 
 
-def test_connected_components(spark):
+@pytest.mark.parametrize("task_edges", [1 << 20, 50])
+def test_connected_components(spark, monkeypatch, task_edges):
+    monkeypatch.setattr(common, "TASK_EDGES", task_edges)
     r = random.Random(2)
     edges = [(r.randint(0, 300), r.randint(0, 300)) for _ in range(170)] + [(i, i + 1) for i in range(400, 460)]
     root = {x: x for e in edges for x in e}

@@ -163,18 +163,51 @@ def ranked(df: DataFrame, order: list[str], name: str) -> DataFrame:
 
 
 # ---------------------------------------------------------------- components
+TASK_EDGES = 1 << 20    # edges that one task contracts (about 100 bytes each while it does)
+
+
+@frees
+def _forest(batches):
+    """mapInArrow over edges (u, v): one edge (node, smallest node) for every
+    node of the task's edges, by the components these make among themselves."""
+    pairs = [np.stack([b.column(0).to_numpy(), b.column(1).to_numpy()], 1) for b in batches if len(b)]
+    if not pairs:
+        return
+    nodes, at = np.unique(np.concatenate(pairs), return_inverse=True)
+    u, v = at.reshape(-1, 2).T
+    root = np.arange(len(nodes))
+    while True:
+        low = np.minimum(root[u], root[v])
+        if np.array_equal(root[u], root[v]):
+            break
+        for end in (u, v):
+            np.minimum.at(root, root[end], low)      # roots hang below smaller ones
+        while not np.array_equal(root, root[root]):
+            root = root[root]
+    child = np.flatnonzero(root != np.arange(len(nodes)))
+    yield pa.RecordBatch.from_arrays([pa.array(nodes[child]), pa.array(nodes[root[child]])], names=["u", "v"])
+
+
 def components(edges: DataFrame, left: str = "a", right: str = "b") -> DataFrame:
     """Connected components of an undirected graph: (node, root) for every node
     that has an edge; root is the component's smallest node.
 
-    Alternating large-star and small-star steps; each keeps at most as many
-    edges as before, and the edges are checkpointed after each round. A hub's
-    edges are reduced map-side and its join is split by AQE.
+    Each round, tasks of about TASK_EDGES edges contract theirs to stars, and
+    alternating large-star and small-star steps merge the stars of different
+    tasks. Every step keeps at most as many edges as before, and the edges are
+    checkpointed after it; the round in which one task holds them all is the
+    last. A hub's edges are reduced map-side and its join is split by AQE.
     """
     e = edges.select(F.greatest(left, right).alias("u"), F.least(left, right).alias("v"))
     e = cut_lineage(e.filter("u <> v").distinct())
     state = None
     while True:
+        tasks = -(-e.count() // TASK_EDGES)
+        if tasks == 0:
+            break
+        e = cut_lineage(e.coalesce(tasks).mapInArrow(_forest, "u long, v long"))
+        if tasks == 1:
+            break
         # large star: every larger neighbour of u points to u's smallest neighbour
         both = e.union(e.select("v", "u"))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
