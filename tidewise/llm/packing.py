@@ -43,8 +43,8 @@ SEQUENCE = 4096
 END_ID = 1
 OPEN_BINS = 16384
 GROUP_PIECES = 50_000
-SLICE_BYTES = 4 << 20      # text that is encoded at once
-CACHE_BYTES = 160 << 20    # of a worker's cache
+SLICE_BYTES = 2 << 20      # text that is encoded at once
+CACHE_BYTES = 48 << 20     # of a worker's cache
 _ENTRY_BYTES = 180         # of a cache entry beside its letters and ids (measured)
 
 
