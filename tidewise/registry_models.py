@@ -652,14 +652,25 @@ def q_e4_linear(spark, sf_dir):
     return _training(spark, sf_dir, kinds=("linear", "elastic_net"), features=["hdd"])[1]
 
 
-@register("e5_demo", rsql(f"""{vw.ctes('v_prices', 'v_weather')}{rg._WF_BASE} select count(*) as n_rows,
-    cast(greatest(0, ceil((count(*) - 250) / 50)) as bigint) as n_folds from ix""", []))
+@register("e5_demo", rsql(f"""{vw.ctes('v_prices', 'v_weather')}{rg._WF_BASE}, h as (select date, spot_price, greatest(x - 1 - x2, 0) as t,
+      (x - 1) * 10 + 2000 as gas from ix),
+    k as (select cast(greatest(0, ceil((count(*) - 250) / 50)) as bigint) as n_folds from ix)
+    select date, spot_price, t as hdd, lag(t, 7) over w as hdd_lag_7, case when count(t) over s = 14 then avg(t) over s end as hdd_rolling_14,
+      lag(gas, 14) over w as gas_lag_14, case when count(gas) over r = 8 then stddev_samp(gas) over r end as gas_rolling_8w_std,
+      gas - lag(gas) over w as gas_change, n_folds
+    from h, k window w as (order by date), s as (order by date rows between 13 preceding and current row),
+      r as (order by date rows between 7 preceding and current row)""",
+    ["spot_price", "hdd", "hdd_lag_7", "hdd_rolling_14", "gas_lag_14", "gas_rolling_8w_std", "gas_change"]))
 def q_e5(spark, sf_dir):
-    """E5: the demo walk-through on the landed daily series."""
+    """E5: the demo walk-through on the landed daily series: combined features
+    by value, and the folds of its walk-forward."""
     d = rg.walk_forward_input(spark, sf_dir).select(
         "date", "spot_price", (F.col("x") - 1).alias("hdd"), F.col("x2").alias("cdd"))
     d = d.withColumns({"temperature": F.lit(65.0) - F.col("hdd") + F.col("cdd"), "storage": F.col("hdd") * 10 + 2000,
                        "production": F.col("cdd") + 90})
     out = tr.demo(d)
     folds = out["summary"].agg(F.coalesce(F.sum("n_folds"), F.lit(0)).alias("n_folds"))
-    return out["features"].agg(F.count("*").alias("n_rows")).crossJoin(F.broadcast(folds))
+    named = {"wx_HDD": "hdd", "wx_HDD_lag_7": "hdd_lag_7", "wx_HDD_rolling_14": "hdd_rolling_14",
+             "st_working_gas_lag_14": "gas_lag_14", "st_working_gas_rolling_8w_std": "gas_rolling_8w_std", "st_storage_change": "gas_change"}
+    features = out["features"].select("date", "spot_price", *[F.col(c).alias(n) for c, n in named.items()])
+    return features.crossJoin(F.broadcast(folds))
