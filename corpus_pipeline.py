@@ -5,6 +5,16 @@ Toxic documents go, then exact copies, then near copies (one of each group of
 are mixed to their target weights, then the documents are tokenised and packed.
 Every stage's result is written as Parquet and read again by the next one, so a
 lost executor or a restart costs one stage at most.
+
+Edge cases: rows with a null doc_id take part like others, and columns beyond
+those of ``documents`` pass through all stages but the last, whatever their
+names. Null and empty texts have the toxicity score of no text and stay (one of
+them, as they equal each other, after the exact stage); texts without words have
+no near copies and no size, so the mix takes none of them. Of rows that repeat a
+doc_id and its text one stays; rows that share a doc_id and differ in text are
+documents of their own. Ties go by the operators' total orders, so reruns agree.
+Without labels of both kinds nothing counts as toxic. An empty table gives an
+empty result with the packing's columns.
 """
 
 from __future__ import annotations
