@@ -6,6 +6,7 @@ import re
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tidewise.llm import common, exact_dedup, ngram_join, sentence_spans
@@ -243,6 +244,72 @@ def _bytes(t):
     return np.frombuffer(t.encode(), np.uint8)
 
 
+def _plain_spans(rows):
+    """The rules of the docstring, written with lists of words; of the module
+    only the word hash is used."""
+    stop = re.compile("[.!?\u2026\u3002\uff0e\uff01\uff1f\u061f\u06d4\u0964\u0965][\"')\\]}\u2019\u201d\u201c\u00bb\u00ab\u203a\u2039\u300d\u300f\uff09]*$")
+    lower = str.maketrans({c: c.lower() for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ"})
+    parsed, first = {}, {}
+    for i, t in sorted({(r[0], r[1] or "") for r in rows}, key=lambda x: (x[0] is None, x[0] or 0, x[1])):
+        found = list(WORD.finditer(t))
+        words = [m[0].translate(lower) for m in found]
+        hashes = [int(common.word_hashes(_bytes(w))[0]) for w in words]
+        ends = {k for k, m in enumerate(found) if stop.search(m[0]) or k + 1 == len(found) or "\n" in t[m.end():found[k + 1].start()]}
+        for k in range(len(words) - 7):
+            ends.add(max(range(k, k + 8), key=lambda j: (-hashes[j], j)))
+        bounds = [0, *(e + 1 for e in sorted(ends))] if words else [0]
+        n, runs = len(bounds) - 1, set()
+        for k in range(n):
+            runs |= {(k, min((e for e in range(k + 1, n + 1) if bounds[e] - bounds[k] >= 15), default=None))}
+            runs |= {(max((b for b in range(k + 1) if bounds[k + 1] - bounds[b] >= 15), default=None), k + 1)}
+        parsed[i, t] = found, bounds, sorted(r for r in runs if None not in r)
+        for a, b in parsed[i, t][2]:
+            first.setdefault(tuple(words[bounds[a]:bounds[b]]), []).append((i is None, i or 0, i, t, a))
+    out = {}
+    for key, (found, bounds, runs) in parsed.items():
+        gone = set()
+        for a, b in runs:
+            words = tuple(m[0].translate(lower) for m in found[bounds[a]:bounds[b]])
+            if min(first[words], key=lambda x: (x[0], x[1], x[4] if x[3] == key[1] else -1))[2:] != (*key, a):
+                gone |= set(range(a, b))
+        edge = [0, *(found[b].start() for b in bounds[1:-1]), len(key[1])]
+        out[key] = "".join(key[1][edge[k]:edge[k + 1]] for k in range(len(bounds) - 1) if k not in gone) if gone else key[1]
+    return out
+
+
+def test_spans_equal_the_rules_written_plainly(spark, docs):
+    rows = [tuple(r) for r in docs.select("doc_id", "text").limit(60).collect() if len(r.text) < 8000]
+    quoted = " ".join(f"Q{i}{'.”' if i % 9 == 8 else ''}" for i in range(55))
+    rows += [(10**6 + n, f"{t[:150]} {quoted}\n{t[150:400]}") for n, (_, t) in enumerate(rows[:12])]
+    rows += [(2 * 10**6, "Same words again. " * 30), (2 * 10**6 + 1, "Same words again. " * 9), (None, quoted)]
+    got = sentence_spans.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    want = _plain_spans(rows)
+    assert {(r.doc_id, r.text) for r in got} == {(k[0], v) for k, v in want.items()}
+    assert sum("Q3 Q4" in r.text for r in got) == 1
+
+
+def test_sorted_streams_cross_batches():
+    def batches(columns, names, size):
+        table = pa.table(dict(zip(names, columns)))
+        return table.to_batches(max_chunksize=size)
+
+    rng = random.Random(4)
+    for size in (1, 2, 3, 100):
+        h = sorted(rng.randint(0, 12) for _ in range(40))
+        told = [x for b in sentence_spans._again(batches([pa.array(h, pa.int64())], ["hash"], size)) for x in b.column(0).to_pylist()]
+        assert told == sorted(x for x in set(h) if h.count(x) > 1)
+        rows = sorted((rng.random() < .2, rng.randint(0, 6), rng.randint(0, 3), rng.randint(0, 1), rng.randint(0, 2)) for _ in range(60))
+        cols = [pa.array([r[k] for r in rows], pa.int64()) for k in (1, 2, 3, 4)]
+        found = [x for b in sentence_spans._repeats(batches([*cols, cols[3], pa.array([r[0] for r in rows])], sentence_spans._NAMES, size))
+                 for x in zip(*(b.column(k).to_pylist() for k in range(3)))]
+        want = []
+        for r in rows:
+            head = min(x for x in rows if x[:2] == r[:2])
+            if r[0] or r[2:] != head[2:]:
+                want.append(r[2:])
+        assert sorted(found) == sorted(want)
+
+
 def test_every_shared_passage_of_50_words_holds_a_common_run():
     r = random.Random(5)
     words = lambda n: [f"v{r.randint(0, 3000)}" for _ in range(n)]

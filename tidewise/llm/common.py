@@ -95,24 +95,28 @@ def join_counted(rows: DataFrame, facts: DataFrame, key: str, count: str, total:
 FILTER_BITS = 1 << 23
 
 
-def bit_filter(hashes: DataFrame) -> np.ndarray:
-    """Bits of a column of 64-bit hashes: FILTER_BITS of them whatever the
-    number of hashes (at most FILTER_BITS / 64 rows come to the driver). A
+def filter_bits(keys: int) -> int:
+    """Bits for a filter of so many keys: 16 each, within 8 MB in all."""
+    return 1 << min(26, max(16, (16 * keys).bit_length()))
+
+
+def bit_filter(hashes: DataFrame, size: int = FILTER_BITS) -> np.ndarray:
+    """Bits of a column of 64-bit hashes: ``size`` (a power of two) of them
+    whatever the number of hashes (at most size / 64 rows come to the driver). A
     value may be absent although its bit is set, so an exact join has to
     follow; a crowded filter costs rows, never a result."""
-    place = F.pmod(F.col(hashes.columns[0]), F.lit(FILTER_BITS))
+    place = F.pmod(F.col(hashes.columns[0]), F.lit(size))
     word = F.expr("bit_or(shiftleft(1L, cast(bit as int)))")
     rows = hashes.select(F.floor(place / 64).alias("word"), (place % 64).alias("bit")).groupBy("word").agg(
-        word.alias("bits")).collect()
-    bits = np.zeros(FILTER_BITS // 64, np.int64)
-    for w, b in rows:
-        bits[w] = b
+        word.alias("bits")).toArrow()
+    bits = np.zeros(size // 64, np.int64)
+    bits[rows.column(0).to_numpy()] = rows.column(1).to_numpy()
     return bits
 
 
 def may_hold(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     """Which of the (signed) hashes have their bit set."""
-    place = hashes % FILTER_BITS
+    place = hashes & (64 * len(bits) - 1)
     return (bits[place >> 6] >> (place & 63)) & 1 == 1
 
 

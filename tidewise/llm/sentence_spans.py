@@ -11,11 +11,15 @@ and last CUT_EVERY - 1 words, and no gap above CUT_EVERY words between them, so
 in the whole corpus the first one, by (doc_id, place), stays; the sentences
 that any other one covers are removed.
 
-The runs of a hash are first compared in the map tasks: a later occurrence of
-the same task is already known as a repeat and only the first one is looked up,
-so a passage that a third of all documents share reaches the task of its hash
-as one row per map task. Repeats come back as (document, first sentence, last
-sentence) rows and are applied to the texts by a join on the document.
+Almost all runs occur once, so only their 8-byte hashes are shuffled first, at
+most two of a kind per map task, sorted and streamed: that finds the hashes that
+occur again. A second scan emits (hash, document, first sentence, last sentence)
+for runs whose hash may be one of them, by a bit filter. These are compared in
+the map tasks first: a later occurrence of the same task is known as a repeat and
+only the first one is looked up, so a passage that a third of all documents
+share reaches the task of its hash as one row per map task. Tasks on the other
+side stream sorted rows and hold one batch. Texts with repeats meet them in a
+join; all others, told by a bit filter again, are not shuffled.
 
 Edge cases: null and empty texts have no sentences and come back as they are;
 texts of fewer words have no runs and are unchanged; runs that
@@ -34,7 +38,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import byte_views, range_hashes, words_at
+from tidewise.session import cut_lineage
+
+from .common import bit_filter, byte_views, filter_bits, frees, may_hold, range_hashes, signed, words_at
 
 RUN_WORDS = 15
 CUT_EVERY = 8
@@ -45,27 +51,40 @@ _CLOSERS = [c.encode() for c in "\"')]}\u2019\u201d\u201c\u00bb\u00ab\u203a\u203
 _LAST = (1 << 63) - 1
 
 
-def _ends_with(data: np.ndarray, after: np.ndarray, marks: list[bytes]) -> np.ndarray:
-    """Bytes of the mark that ends before each of the places; 0: none."""
-    size = np.zeros(len(after), np.int64)
-    last = data[np.maximum(after, 1) - 1]
-    for mark in marks:
-        at = np.flatnonzero((last == mark[-1]) & (after >= len(mark)))
-        for k in range(2, len(mark) + 1):
-            at = at[data[after[at] - k] == mark[-k]]
-        size[at] = len(mark)
-    return size
+class _Marks:
+    """Single-byte marks by table; others only where their last byte occurs."""
+
+    def __init__(self, marks: list[bytes]):
+        self.single, self.several = np.zeros(256, bool), np.zeros(256, bool)
+        self.single[[m[0] for m in marks if len(m) == 1]] = True
+        self.long = [m for m in marks if len(m) > 1]
+        self.several[[m[-1] for m in self.long]] = True
+
+    def ending(self, data: np.ndarray, after: np.ndarray) -> np.ndarray:
+        """Bytes of the mark that ends before each of the places; 0: none."""
+        last = data[np.maximum(after, 1) - 1]
+        size = (self.single[last] & (after > 0)).astype(np.int64)
+        some = np.flatnonzero(self.several[last])
+        for mark in self.long if len(some) else ():
+            at = some[after[some] >= len(mark)]
+            for k in range(1, len(mark) + 1):
+                at = at[data[after[at] - k] == mark[-k]]
+            size[at] = len(mark)
+        return size
+
+
+_STOP, _CLOSE = _Marks(_STOPS), _Marks(_CLOSERS)
 
 
 def _stops(data: np.ndarray, first: np.ndarray, after: np.ndarray) -> np.ndarray:
     """Which words end in a stop, before closing quotes and brackets."""
     end, active = after.copy(), np.arange(len(after))
     while len(active):
-        size = _ends_with(data, end[active], _CLOSERS)
+        size = _CLOSE.ending(data, end[active])
         active, size = active[size > 0], size[size > 0]
         end[active] -= size
         active = active[end[active] > first[active]]
-    return (end > first) & (_ends_with(data, end, _STOPS) > 0)
+    return (end > first) & (_STOP.ending(data, end) > 0)
 
 
 def sentences(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -101,15 +120,60 @@ def runs(words: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray,
 
 
 _NAMES = ["hash", "doc", "row", "start", "stop", "repeat"]
+_RUNS = "hash long, doc long, row long, start int, stop int, repeat boolean"
 
 
-def _run_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc, row, text) -> runs; repeat tells that an earlier run of this task
-    is equal. Repeats are spread by another hash, as they need no lookup."""
-    held: list[list[np.ndarray]] = []
-    size = 0
+@frees
+def _run_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """text -> hashes of its runs; one that occurs again before a flush comes
+    twice, and no more often."""
 
     def flush():
+        hashes, count = np.unique(np.concatenate(held), return_counts=True)
+        out = np.r_[hashes, hashes[count > 1]].view(np.int64)
+        for at in range(0, len(out), BATCH_ROWS):
+            yield pa.RecordBatch.from_arrays([pa.array(out[at:at + BATCH_ROWS])], names=["hash"])
+
+    held: list[np.ndarray] = []
+    size = 0
+    for batch in batches:
+        for text in byte_views(batch.column(0)):
+            words, starts, _ = sentences(text)
+            h = runs(words, starts)[0]
+            held.append(h)
+            size += len(h)
+            if size > FLUSH_ROWS:
+                yield from flush()
+                held, size = [], 0
+    if size:
+        yield from flush()
+
+
+@frees
+def _again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sorted hashes -> each that occurs again, once."""
+    last = np.empty(0, np.int64)         # the hash before, and whether it was told
+    told = False
+    for b in batches:
+        h = np.r_[last, b.column(0).to_numpy()]
+        if not len(h):
+            continue
+        same = np.r_[False, h[1:] == h[:-1]]
+        second = same & ~np.r_[False, same[:-1]]       # one row per hash that repeats
+        if told and len(same) > 1 and same[1]:
+            second[1] = False
+        if second.any():
+            yield pa.RecordBatch.from_arrays([pa.array(h[second])], names=["hash"])
+        told = bool(same[-1]) or (told and len(h) == 1)
+        last = h[-1:]
+
+
+def _run_rows(bits):
+    """mapInArrow: (doc, row, text) -> runs that may occur again; repeat tells
+    that an earlier run of this task is equal. Repeats are spread by another
+    hash, as they need no lookup."""
+
+    def flush(held):
         h, doc, row, start, stop = (np.concatenate([x[i] for x in held]) for i in range(5))
         order = np.lexsort((start, row, doc, h))
         h, doc, row, start, stop = h[order], doc[order], row[order], start[order], stop[order]
@@ -125,41 +189,50 @@ def _run_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                  pa.array(start[cut].astype(np.int32)), pa.array(stop[cut].astype(np.int32)), pa.array(later[cut])],
                 names=_NAMES)
 
-    for batch in batches:
-        docs, rows = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-        for i, text in enumerate(byte_views(batch.column(2))):
-            words, starts, _ = sentences(text)
-            h, a, b = runs(words, starts)
-            if len(h):
-                held.append([h, np.full(len(h), docs[i]), np.full(len(h), rows[i]), a, b])
-                size += len(h)
-            if size > FLUSH_ROWS:
-                yield from flush()
-                held, size = [], 0
-    if held:
-        yield from flush()
+    @frees
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[list[np.ndarray]] = []
+        size = 0
+        for batch in batches:
+            docs, rows = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            for i, text in enumerate(byte_views(batch.column(2))):
+                words, starts, _ = sentences(text)
+                h, a, b = runs(words, starts)
+                some = np.flatnonzero(may_hold(bits.value, signed(h)))
+                if len(some):
+                    held.append([h[some], np.full(len(some), docs[i]), np.full(len(some), rows[i]), a[some], b[some]])
+                    size += len(some)
+                if size > FLUSH_ROWS:
+                    yield from flush(held)
+                    held, size = [], 0
+        if held:
+            yield from flush(held)
 
+    return run
 
+
+@frees
 def _repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A hash partition of the runs -> all but the first run of each hash."""
-    parts = [[b.column(i).to_numpy(zero_copy_only=False) for i in range(6)] for b in batches]
-    if not parts:
-        return
-    h, doc, row, start, stop, known = (np.concatenate([p[i] for p in parts]) for i in range(6))
-    del parts
-    order = np.lexsort((start, row, doc, h, known))
-    h, doc, row, start, stop, known = (x[order] for x in (h, doc, row, start, stop, known))
-    same_run = np.r_[False, (h[1:] == h[:-1]) & ~known[1:]]
-    later = same_run.copy()
-    same_place = np.r_[False, (doc[1:] == doc[:-1]) & (row[1:] == row[:-1]) & (start[1:] == start[:-1])]
-    # rows of one document that were read by different tasks: as its first row
-    for k in np.flatnonzero(same_run & same_place):
-        later[k] = later[k - 1]
-    found = np.flatnonzero(known | later)
-    for at in range(0, len(found), BATCH_ROWS):
-        k = found[at:at + BATCH_ROWS]
-        yield pa.RecordBatch.from_arrays([pa.array(x[k]) for x in (doc, row, start, stop)],
-                                         names=["doc", "row", "start", "stop"])
+    """Runs sorted by (known repeat, hash, doc, row, start) -> all that are not
+    the first run of their hash. A row at the first one's place is the same run
+    of the same document, read by another task."""
+    head = None                          # hash, doc, row, start of the first run of the hash before
+    for b in batches:
+        if not len(b):
+            continue
+        h, doc, row, start, stop, known = (b.column(i).to_numpy(zero_copy_only=False) for i in range(6))
+        first = np.r_[True, h[1:] != h[:-1]]
+        at = np.maximum.accumulate(np.where(first, np.arange(len(h)), 0))
+        place = [x[at] for x in (doc, row, start)]
+        if head is not None and head[0] == h[0]:
+            for p, value in zip(place, head[1:]):
+                p[h == h[0]] = value
+        head = (h[-1], *(p[-1] for p in place))
+        moved = (doc != place[0]) | (row != place[1]) | (start != place[2])
+        found = np.flatnonzero(known | moved)
+        if len(found):
+            yield pa.RecordBatch.from_arrays([pa.array(x[found]) for x in (doc, row, start, stop)],
+                                             names=["doc", "row", "start", "stop"])
 
 
 def _covered(spans: list[dict] | None, n: int) -> np.ndarray:
@@ -170,15 +243,19 @@ def _covered(spans: list[dict] | None, n: int) -> np.ndarray:
     return np.cumsum(mark)[:-1] > 0
 
 
-def _clean(text_at: int, spans_at: int, schema: pa.Schema):
-    """Rows with their spans -> rows with the text without covered sentences,
-    n_sentences, n_removed."""
+def _clean(text_at: int, spans_at: int, schema: pa.Schema, bits=None):
+    """mapInArrow: rows with their spans -> rows with the text without covered
+    sentences, n_sentences, n_removed. With ``bits`` the column is the hash of
+    the row's key instead: rows whose bit is not set, which have no spans."""
 
+    @frees
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
+            if bits is not None:
+                whole = whole.filter(pa.array(~may_hold(bits.value, whole.column(spans_at).to_numpy())))
             for at in range(0, len(whole), 512):
                 batch = whole.slice(at, 512)
-                spans = batch.column(spans_at).to_pylist()
+                spans = batch.column(spans_at).to_pylist() if bits is None else [None] * len(batch)
                 texts, total, removed = [], [], []
                 for i, data in enumerate(byte_views(batch.column(text_at))):
                     _, starts, place = sentences(data)
@@ -208,8 +285,12 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """Per run that is not the first of its hash: doc, row (hash of the text),
     start and stop (sentence numbers, stop exclusive)."""
     rows = docs.select(*_key(id_col, text_col), F.col(text_col).alias("text"))
-    found = rows.mapInArrow(_run_rows, "hash long, doc long, row long, start int, stop int, repeat boolean")
-    return found.repartition("hash").mapInArrow(_repeats, "doc long, row long, start int, stop int")
+    hashes = rows.select("text").mapInArrow(_run_hashes, "hash long")
+    again = cut_lineage(hashes.repartition("hash").sortWithinPartitions("hash").mapInArrow(_again, "hash long"))
+    bits = docs.sparkSession.sparkContext.broadcast(bit_filter(again, filter_bits(again.count())))
+    found = rows.mapInArrow(_run_rows(bits), _RUNS)
+    dealt = found.repartition("hash").sortWithinPartitions("repeat", "hash", "doc", "row", "start")
+    return dealt.mapInArrow(_repeats, "doc long, row long, start int, stop int")
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -218,11 +299,29 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     from pyspark.sql.pandas.types import to_arrow_schema
 
     docs = docs.drop("n_sentences", "n_removed")
-    spans = repeated_spans(docs, id_col, text_col).groupBy("doc", "row").agg(
-        F.collect_list(F.struct("start", "stop")).alias("spans"))
-    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("whole"), *_key(id_col, text_col))
-    joined = packed.join(spans, ["doc", "row"], "left").select("whole.*", F.col("spans").alias("_spans"))
+    spans = cut_lineage(repeated_spans(docs, id_col, text_col).groupBy("doc", "row").agg(
+        F.collect_list(F.struct("start", "stop")).alias("spans")))
+    key = F.xxhash64("doc", "row")
+    bits = docs.sparkSession.sparkContext.broadcast(bit_filter(spans.select(key), filter_bits(spans.count())))
     schema = T.StructType([*docs.schema.fields, T.StructField("n_sentences", T.LongType()),
                            T.StructField("n_removed", T.LongType())])
-    at = docs.columns.index(text_col)
-    return joined.mapInArrow(_clean(at, len(docs.columns), to_arrow_schema(schema)), schema)
+    at, last, arrow = docs.columns.index(text_col), len(docs.columns), to_arrow_schema(schema)
+    own = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("whole")
+    packed = docs.select(own, *_key(id_col, text_col)).withColumn("key", key)
+    rest = packed.select("whole.*", F.col("key").alias("_key")).mapInArrow(_clean(at, last, arrow, bits), schema)
+    likely = packed.mapInArrow(_held(bits), packed.schema).drop("key")
+    joined = likely.join(spans.hint("merge"), ["doc", "row"], "left").select("whole.*", F.col("spans").alias("_spans"))
+    return joined.mapInArrow(_clean(at, last, arrow), schema).union(rest)
+
+
+def _held(bits):
+    """mapInArrow: rows whose last column, a hash, may be held."""
+
+    @frees
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            part = b.filter(pa.array(may_hold(bits.value, b.column(b.num_columns - 1).to_numpy())))
+            if len(part):
+                yield part
+
+    return run
