@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tidewise.functions.calendar import storage_calendar_cols
 from tidewise.functions.nulls import flag, safe_div
 from tidewise.operators.weather import lag_cols, rolling_cols
-from tidewise.plans.ordered import IDX, Over, add_row_index, forward_fill, materialize, q, windowed
+from tidewise.plans.ordered import IDX, Over, add_row_index, forward_fill, q, windowed
 
 # Fixed values of the feature definitions.
 STORAGE_LAGS = [1, 7, 14, 30]
@@ -65,7 +65,7 @@ def storage_change(
     x = df
     own_idx = plan == "halo" and IDX not in df.columns
     if own_idx:
-        x = materialize(add_row_index(x, order_col, partition_cols))
+        x = add_row_index(x, order_col, partition_cols)
     if fill == "pad":
         x = forward_fill(x, "working_gas", "_wg_pad", order_col, partition_cols, plan=plan)
     else:

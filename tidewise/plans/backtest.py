@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewise.functions.nulls import strict_avg
-from tidewise.plans.ordered import IDX, add_row_index, join_keyed, materialize
+from tidewise.plans.ordered import IDX, add_row_index, join_keyed
 from tidewise.session import cut_lineage
 
 # Fixed defaults of the backtest loop.
@@ -49,8 +49,9 @@ def _k_expr(n: F.Column, window: int, step: int) -> F.Column:
 
 
 def _indexed(df: DataFrame, order_col: str, keys: list[str]) -> DataFrame:
-    x = df if IDX in df.columns else add_row_index(df, order_col, keys)
-    return materialize(x)
+    """``df`` with positions, checkpointed as several parts of a plan read it; a
+    frame that has them already is taken as it is."""
+    return df if IDX in df.columns else cut_lineage(add_row_index(df, order_col, keys))
 
 
 def _fold_bounds(window: int, step: int) -> list[F.Column]:

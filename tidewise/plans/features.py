@@ -33,7 +33,7 @@ from tidewise.operators.weather import (
     rolling_cols,
     weather_interactions,
 )
-from tidewise.plans.ordered import IDX, add_row_index, forward_fill, materialize, windowed
+from tidewise.plans.ordered import IDX, add_row_index, forward_fill, windowed
 
 
 def weather_features(
@@ -116,8 +116,8 @@ def storage_features(
 
     own_idx = plan == "halo" and IDX not in df.columns
     if own_idx and (has_wg or lag_targets):
-        # the indexed series is read by the fill summary and the window
-        df = materialize(add_row_index(df, date_col, partition_cols))
+        # read by the fill summary and by the window: the exchanges below are reused
+        df = add_row_index(df, date_col, partition_cols)
     if has_wg:
         df = forward_fill(df, "working_gas", "_wg_pad", date_col, partition_cols, plan=plan)
 

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewise.plans import backtest as bt
-from tidewise.plans.ordered import IDX, add_row_index, materialize
+from tidewise.plans.ordered import IDX, add_row_index
 from tidewise.plans.trees import Ensemble
 from tidewise.session import cut_lineage, scratch_path
 
@@ -105,7 +105,7 @@ class RegressionModel:
     def evaluate_model(self, df: DataFrame, test_fraction: float = 0.2) -> dict[str, float]:
         """Time-ordered hold-out: the last ``test_fraction`` of rows (by
         date) are the test set; returns MAE and RMSE (one-row aggregate)."""
-        x = materialize(add_row_index(df, self.date_col))
+        x = cut_lineage(add_row_index(df, self.date_col))
         n = x.count()
         cut = int(n * (1 - test_fraction))
         train, test = x.filter(F.col(IDX) < cut).drop(IDX), x.filter(F.col(IDX) >= cut).drop(IDX)
@@ -271,7 +271,7 @@ def walk_forward_mllib(
     n = x.count()
     K = bt.fold_count(n, window, step)
     asm = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="error")
-    xa = materialize(asm.transform(x))
+    xa = asm.transform(x)
 
     def one(k: int) -> DataFrame:
         lo = k * step

@@ -13,7 +13,6 @@ from tidewise.operators.joins import feature_matrix
 from tidewise.plans import backtest as bt
 from tidewise.plans import models as md
 from tidewise.plans.features import combine, storage_features, weather_features
-from tidewise.plans.ordered import materialize
 from tidewise.plans.report import report, top_k
 from tidewise.session import cut_lineage
 
@@ -73,7 +72,7 @@ def demo(series: DataFrame, window: int = 200, step: int = 50, top: int = 10) ->
     production: weather (E1) and storage (E2) features, combined on date (J3);
     least-squares walk-forward with the demo's window and step (M1 -> A4 ->
     A5); importance of the combined features (M3 -> O2)."""
-    base = materialize(series)
+    base = cut_lineage(series)
     wxf = weather_features(base.select("date", "temperature"))
     stf = storage_features(base.select("date", F.col("storage").alias("working_gas")))
     combined = combine({"base": base, "wx": wxf, "st": stf})

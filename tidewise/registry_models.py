@@ -20,7 +20,7 @@ from tidewise.plans import features as fe
 from tidewise.plans import models as md
 from tidewise.plans import training as tr
 from tidewise.plans.bands import running_bands
-from tidewise.plans.ordered import add_row_index, materialize
+from tidewise.plans.ordered import add_row_index
 from tidewise.plans.trees import Ensemble
 from tidewise.registry import register, rsql
 from tidewise.session import cut_lineage, scratch_path
@@ -75,7 +75,7 @@ def q_s1_corrupt(spark, sf_dir):
     month = F.substring("_page", 6, 2)
     broken = F.when(month == "06", F.expr("substring(payload, 1, cast(length(payload) / 2 as int))")).when(
         month == "11", F.lit("Service unavailable")).otherwise(F.col("payload"))
-    pages = materialize(pages.withColumn("payload", broken))
+    pages = cut_lineage(pages.withColumn("payload", broken))
     good = se.parse_series(pages, on_corrupt="skip").select("date", "value", F.lit(None).cast("string").alias("page"))
     bad = se.corrupt_payloads(pages).select(F.lit(None).cast("date").alias("date"),
                                             F.lit(None).cast("double").alias("value"), F.col("_page").alias("page"))
@@ -451,7 +451,7 @@ def _tree_facts(spark, sf_dir, kind: str, **params):
     """Facts that hold for a right model and can be stated in SQL: importances
     sum to 1, predictions stay inside the target's range, the error is below
     that of the mean."""
-    df = materialize(rg.walk_forward_input(spark, sf_dir))
+    df = cut_lineage(rg.walk_forward_input(spark, sf_dir))
     model = md.RegressionModel(kind, "spot_price", ["x", "x2"], **params)
     model.train_final_model(df)
     scored = model.model.transform(df)
@@ -536,7 +536,7 @@ def q_m6_stump(spark, sf_dir):
                           "cast(0 as bigint) as n_different from ix")
 def q_k8(spark, sf_dir):
     """K8: a saved forest, loaded with its features and target, predicts the same."""
-    df = materialize(rg.walk_forward_input(spark, sf_dir))
+    df = cut_lineage(rg.walk_forward_input(spark, sf_dir))
     model = md.RegressionModel("random_forest", "spot_price", ["x", "x2"])
     model.train_final_model(df)
     path = scratch_path(spark, f"models/{uuid.uuid4().hex}")
