@@ -34,6 +34,25 @@ def test_view_scan_reads_only_needed_columns(spark, sf_small):
         "l_shipdate", "l_quantity", "l_discount", "l_tax", "l_extendedprice"}
 
 
+def test_a_matrix_scans_each_fact_table_once_for_its_daily_views(spark, sf_small):
+    from collections import Counter
+
+    from tidewise.operators.joins import feature_matrix
+
+    for options in ({}, {"rollup_entities": True}, {"mode": "asof", "rollup_entities": True}):
+        df = feature_matrix(ld.tables(spark, sf_small), **options)
+        df.collect()
+        ran = _plan(df).split("== Initial Plan ==")[0]
+        scans = Counter(re.findall(r"FileScan parquet .*?/([a-z]+)\.parquet", ran))
+        # orders: daily views, and the regional weather that joins customers
+        assert scans == {"orders": 2, "lineitem": 1, "events": 1, "customer": 1, "nation": 1, "region": 1}, options
+
+
+def test_a_view_on_its_own_reads_its_columns_only(spark, sf_small):
+    scan = re.search(r"FileScan parquet \[([^\]]*)\].*", _plan(vw.v_storage(spark, sf_small)))
+    assert set(re.sub(r"#\d+", "", x) for x in scan.group(1).split(",")) == {"l_shipdate", "l_quantity"}
+
+
 def test_stored_scan_prunes_partitions(spark, sf_small):
     root = tempfile.mkdtemp(prefix="tidewise-prune-")
     sto.append(ld.weather_daily(spark, sf_small), root, "weather_daily")

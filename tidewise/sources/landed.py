@@ -22,41 +22,41 @@ def _null_d() -> F.Column:
     return F.lit(None).cast("double")
 
 
-def prices(spark: SparkSession, sf_dir: str, bounds: Bounds = None) -> DataFrame:
+def prices(spark: SparkSession, sf_dir: str, bounds: Bounds = None, shared: bool = False) -> DataFrame:
     """K3 henry-hub spot -> prices (hub constant, futures columns null)."""
-    p = vw.v_prices(spark, sf_dir, bounds)
+    p = vw.v_prices(spark, sf_dir, bounds, shared)
     return p.select("date", F.lit("HenryHub").alias("hub"), "spot_price",
                     _null_d().alias("front_month"), _null_d().alias("m1_m2_spread"))
 
 
-def storage_weekly(spark: SparkSession, sf_dir: str, bounds: Bounds = None) -> DataFrame:
+def storage_weekly(spark: SparkSession, sf_dir: str, bounds: Bounds = None, shared: bool = False) -> DataFrame:
     """K3 storage -> storage_weekly; the declared deviation column is filled
     (D2: working_gas - five_year_avg), the week-over-week change is left to
     the window stage (null here, as ingested)."""
-    s = vw.v_storage(spark, sf_dir, bounds)
+    s = vw.v_storage(spark, sf_dir, bounds, shared)
     return s.select(F.col("date").alias("report_date"), "working_gas", "five_year_avg",
                     (F.col("working_gas") - F.col("five_year_avg")).alias("yoy_deviation"),
                     _null_d().alias("wow_change"))
 
 
-def production_monthly(spark: SparkSession, sf_dir: str, bounds: Bounds = None) -> DataFrame:
-    return vw.v_production(spark, sf_dir, bounds)
+def production_monthly(spark: SparkSession, sf_dir: str, bounds: Bounds = None, shared: bool = False) -> DataFrame:
+    return vw.v_production(spark, sf_dir, bounds, shared)
 
 
-def lng_monthly(spark: SparkSession, sf_dir: str, bounds: Bounds = None) -> DataFrame:
+def lng_monthly(spark: SparkSession, sf_dir: str, bounds: Bounds = None, shared: bool = False) -> DataFrame:
     """K3 lng exports -> lng_monthly (price null, notes empty)."""
-    lng = vw.v_lng(spark, sf_dir, bounds)
+    lng = vw.v_lng(spark, sf_dir, bounds, shared)
     return lng.select("month", "exports_bcf", _null_d().alias("avg_price"), F.lit("").alias("terminal_notes"),
                       "lng_capacity_bcfpd")
 
 
-def power_burn(spark: SparkSession, sf_dir: str, bounds: Bounds = None) -> DataFrame:
+def power_burn(spark: SparkSession, sf_dir: str, bounds: Bounds = None, shared: bool = False) -> DataFrame:
     """K5 gas burn per balancing area and day; loads null."""
     burn = gas_burn_proxy(vw.v_power(spark, sf_dir, bounds), "ts", by=["ba"], out_col="gas_mwh")
     return burn.select("date", "ba", "gas_mwh", _null_d().alias("total_load_mwh"), _null_d().alias("renewables_mwh"))
 
 
-def weather_daily(spark: SparkSession, sf_dir: str, bounds: Bounds = None) -> DataFrame:
+def weather_daily(spark: SparkSession, sf_dir: str, bounds: Bounds = None, shared: bool = False) -> DataFrame:
     """K4 regional temperatures -> weather_daily.
 
     Stations that share a region collide on (date, region); they are averaged
@@ -69,8 +69,8 @@ def weather_daily(spark: SparkSession, sf_dir: str, bounds: Bounds = None) -> Da
                     _null_d().alias("cdd_norm_delta"), "temperature", _null_d().alias("wind_speed"))
 
 
-def rigs_weekly(spark: SparkSession, sf_dir: str, bounds: Bounds = None) -> DataFrame:
-    return vw.v_rigs(spark, sf_dir, bounds)
+def rigs_weekly(spark: SparkSession, sf_dir: str, bounds: Bounds = None, shared: bool = False) -> DataFrame:
+    return vw.v_rigs(spark, sf_dir, bounds, shared)
 
 
 BUILDERS = {
@@ -86,8 +86,9 @@ BUILDERS = {
 
 def tables(spark: SparkSession, sf_dir: str, bounds: Bounds = None) -> dict[str, DataFrame]:
     """All stored-table frames; ``bounds`` limits the scans to the rows that
-    stamps within them need."""
-    return {k: f(spark, sf_dir, bounds) for k, f in BUILDERS.items()}
+    stamps within them need. Frames of one fact table share its daily aggregate:
+    a plan that uses several scans the table once for them."""
+    return {k: f(spark, sf_dir, bounds, True) for k, f in BUILDERS.items()}
 
 
 def latest_price_date(spark: SparkSession, sf_dir: str) -> str:

@@ -59,25 +59,32 @@ def _dsum(c: str | Column) -> Column:
 # weekly and monthly views roll the daily sums up (exact, so equal to
 # aggregating the raw rows directly). In a plan that needs several views (the
 # feature matrix) the aggregates' exchanges are equal, so Spark computes one
-# and reuses it: each fact table is scanned once, nothing stays cached.
-def daily_orders(spark: SparkSession, sf_dir: str, bounds: Bounds = None) -> DataFrame:
+# and reuses it: nothing stays cached. They stay equal because a daily row comes
+# out of one packed value: what a view needs of it, or joins it by, does not reach
+# below. (So a view on its own, which should read its own columns only and take
+# filters down to the scan, is not ``shared``.)
+def _daily(days: DataFrame, shared: bool) -> DataFrame:
+    return days.select(F.inline(F.array(F.struct(*days.columns)))) if shared else days
+
+
+def daily_orders(spark: SparkSession, sf_dir: str, bounds: Bounds = None, shared: bool = False) -> DataFrame:
     """orders per (order date, status): exact price sum (cents) and order count."""
     o = read_table(spark, sf_dir, "orders", "o_orderdate", bounds)
-    return o.groupBy(F.to_date("o_orderdate").alias("date"), F.col("o_orderstatus").alias("status")).agg(
-        _csum("o_totalprice").alias("s"), F.count(F.lit(1)).alias("n"))
+    return _daily(o.groupBy(F.to_date("o_orderdate").alias("date"), F.col("o_orderstatus").alias("status")).agg(
+        _csum("o_totalprice").alias("s"), F.count(F.lit(1)).alias("n")), shared)
 
 
-def daily_lineitem(spark: SparkSession, sf_dir: str, bounds: Bounds = None) -> DataFrame:
+def daily_lineitem(spark: SparkSession, sf_dir: str, bounds: Bounds = None, shared: bool = False) -> DataFrame:
     """lineitem per ship date: exact sums (cents) of quantity, discount, tax
     and extended price, and the line count."""
     li = read_table(spark, sf_dir, "lineitem", "l_shipdate", bounds)
-    return li.groupBy(F.to_date("l_shipdate").alias("date")).agg(
+    return _daily(li.groupBy(F.to_date("l_shipdate").alias("date")).agg(
         _csum("l_quantity").alias("q"), _csum("l_discount").alias("d"), _csum("l_tax").alias("t"),
-        _csum("l_extendedprice").alias("e"), F.count(F.lit(1)).alias("n"))
+        _csum("l_extendedprice").alias("e"), F.count(F.lit(1)).alias("n")), shared)
 
 
-def v_prices(spark: SparkSession, sf_dir: str, bounds: Bounds = None) -> DataFrame:
-    d = daily_orders(spark, sf_dir, bounds).groupBy("date").agg(F.sum("s").alias("_s"), F.sum("n").alias("_n"))
+def v_prices(spark: SparkSession, sf_dir: str, bounds: Bounds = None, shared: bool = False) -> DataFrame:
+    d = daily_orders(spark, sf_dir, bounds, shared).groupBy("date").agg(F.sum("s").alias("_s"), F.sum("n").alias("_n"))
     return d.select(
         "date",
         F.when(F.dayofmonth("date") == 13, F.lit(None))
@@ -87,8 +94,8 @@ def v_prices(spark: SparkSession, sf_dir: str, bounds: Bounds = None) -> DataFra
     )
 
 
-def v_weather(spark: SparkSession, sf_dir: str, bounds: Bounds = None) -> DataFrame:
-    d = daily_lineitem(spark, sf_dir, bounds)
+def v_weather(spark: SparkSession, sf_dir: str, bounds: Bounds = None, shared: bool = False) -> DataFrame:
+    d = daily_lineitem(spark, sf_dir, bounds, shared)
     return d.select(
         "date",
         F.when(F.dayofmonth("date") == 17, F.lit(None))
@@ -130,14 +137,14 @@ def v_weather_region(spark: SparkSession, sf_dir: str, bounds: Bounds = None) ->
     )
 
 
-def v_forecast(spark: SparkSession, sf_dir: str, bounds: Bounds = None) -> DataFrame:
-    d = daily_lineitem(spark, sf_dir, bounds).filter(F.col("date") >= F.lit("1998-01-01").cast("date"))
+def v_forecast(spark: SparkSession, sf_dir: str, bounds: Bounds = None, shared: bool = False) -> DataFrame:
+    d = daily_lineitem(spark, sf_dir, bounds, shared).filter(F.col("date") >= F.lit("1998-01-01").cast("date"))
     return d.select("date", (_as_amount("t") / F.col("n") * 1600).alias("temperature"))
 
 
-def v_storage(spark: SparkSession, sf_dir: str, bounds: Bounds = None) -> DataFrame:
+def v_storage(spark: SparkSession, sf_dir: str, bounds: Bounds = None, shared: bool = False) -> DataFrame:
     wk = F.date_trunc("week", "date")
-    w = daily_lineitem(spark, sf_dir, bounds).groupBy(wk.alias("_wk")).agg(F.sum("q").alias("_q"), F.sum("n").alias("_n"))
+    w = daily_lineitem(spark, sf_dir, bounds, shared).groupBy(wk.alias("_wk")).agg(F.sum("q").alias("_q"), F.sum("n").alias("_n"))
     return w.select(
         F.to_date("_wk").alias("date"),
         F.when(F.weekofyear("_wk") == 30, F.lit(None)).otherwise(_as_amount("_q")).cast("double")
@@ -155,14 +162,14 @@ def v_power(spark: SparkSession, sf_dir: str, bounds: Bounds = None) -> DataFram
     )
 
 
-def v_production(spark: SparkSession, sf_dir: str, bounds: Bounds = None) -> DataFrame:
-    m = daily_orders(spark, sf_dir, bounds).groupBy(F.date_trunc("month", "date").alias("_m")).agg(F.sum("s").alias("_s"))
+def v_production(spark: SparkSession, sf_dir: str, bounds: Bounds = None, shared: bool = False) -> DataFrame:
+    m = daily_orders(spark, sf_dir, bounds, shared).groupBy(F.date_trunc("month", "date").alias("_m")).agg(F.sum("s").alias("_s"))
     return m.select(F.to_date("_m").alias("month"), (_as_amount("_s") / 1000000).alias("dry_gas_bcfpd"))
 
 
-def v_rigs(spark: SparkSession, sf_dir: str, bounds: Bounds = None) -> DataFrame:
+def v_rigs(spark: SparkSession, sf_dir: str, bounds: Bounds = None, shared: bool = False) -> DataFrame:
     st = F.col("status")
-    w = daily_orders(spark, sf_dir, bounds).groupBy(F.date_trunc("week", "date").alias("_w")).agg(
+    w = daily_orders(spark, sf_dir, bounds, shared).groupBy(F.date_trunc("week", "date").alias("_w")).agg(
         F.sum("n").cast("int").alias("total_rigs"),
         F.sum(F.when(st == "O", F.col("n")).otherwise(0)).cast("int").alias("oil_rigs"),
         F.sum(F.when(st == "F", F.col("n")).otherwise(0)).cast("int").alias("gas_rigs"),
@@ -170,9 +177,9 @@ def v_rigs(spark: SparkSession, sf_dir: str, bounds: Bounds = None) -> DataFrame
     return w.select(F.to_date("_w").alias("date"), "total_rigs", "oil_rigs", "gas_rigs")
 
 
-def v_lng(spark: SparkSession, sf_dir: str, bounds: Bounds = None) -> DataFrame:
+def v_lng(spark: SparkSession, sf_dir: str, bounds: Bounds = None, shared: bool = False) -> DataFrame:
     """Monthly LNG exports stand-in: shipped value and line count per month."""
-    m = daily_lineitem(spark, sf_dir, bounds).groupBy(F.date_trunc("month", "date").alias("_m")).agg(
+    m = daily_lineitem(spark, sf_dir, bounds, shared).groupBy(F.date_trunc("month", "date").alias("_m")).agg(
         F.sum("e").alias("_s"), F.sum("n").alias("_n"))
     return m.select(
         F.to_date("_m").alias("month"),
