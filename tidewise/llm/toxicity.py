@@ -1,9 +1,11 @@
 """Toxicity by compression distance.
 
-Two zstandard dictionaries are trained on labelled text: the ordinary one holds
+Two zstandard dictionaries are learned from labelled text: the ordinary one holds
 a sample of ordinary windows, the toxic one the same windows and before them
 the vocabulary that marks toxic text (words whose letter n-grams occur in far
-more toxic than ordinary documents). Since both share the ordinary content and
+more toxic than ordinary documents). Their content is chosen here, not by
+zstandard's trainer, whose dictionaries tell the two apart less well (figures in
+the README). Since both share the ordinary content and
 it comes last, a window without toxic vocabulary compresses to the same length
 with either; the gain of a window is the ordinary length minus the toxic one.
 Windows are runs of WINDOW_WORDS words over the whole text, each between two
