@@ -24,6 +24,7 @@ read; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import os
 import re
 import zlib
 from collections.abc import Iterator
@@ -74,6 +75,7 @@ class WordEncoder:
     _marks = ".,!?;:%$&*#"
 
     def __init__(self, path: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")    # Spark runs the tasks side by side
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)

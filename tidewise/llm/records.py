@@ -57,7 +57,7 @@ from .packing import WordEncoder, default_vocabulary
 
 END_ID = 2
 SHARD_BYTES = 32 << 20
-READ_BYTES = 8 << 20                   # one read of neighbouring records
+READ_BYTES = 2 << 20                   # one read of neighbouring records
 HEAD = "<BBq"               # of a payload
 _FRAME = 16                            # bytes of a frame around its payload
 INDEX_SCHEMA = ("doc_id long, shard int, file string, record long, offset long, size long, "
