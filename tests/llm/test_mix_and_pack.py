@@ -110,10 +110,11 @@ def test_ids_equal_the_vocabularys_own(docs, tokenizer):
 def test_small_caches_change_nothing(docs, monkeypatch):
     texts = pa.array([r.text for r in docs.select("text").limit(40).collect()] + ["", None, " \n"])
 
-    def encoded():
-        return [ids.tolist() for ids in packing.WordEncoder(packing.default_vocabulary()).encode(texts)]
+    def encoded(small=False):
+        return [ids.tolist() for ids in packing.WordEncoder(packing.default_vocabulary(), small).encode(texts)]
 
     want = encoded()
+    assert encoded(small=True) == want
     monkeypatch.setattr(packing, "CACHE_BYTES", 1000)
     assert encoded() == want
     monkeypatch.setattr(packing, "SLICE_BYTES", 100)   # long texts in slices

@@ -74,7 +74,9 @@ class WordEncoder:
     _letters = "^[A-Za-zÀ-ÖØ-öø-ÿ]+$"
     _marks = ".,!?;:%$&*#"
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, small: bool = False):
+        # a sixth of the memory for half as much time again, where executors are shared with other stages
+        self.cache_bytes, self.slice_bytes = (CACHE_BYTES // 6, SLICE_BYTES // 4) if small else (CACHE_BYTES, SLICE_BYTES)
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")    # Spark runs the tasks side by side
         from tokenizers import Tokenizer
 
@@ -107,7 +109,7 @@ class WordEncoder:
     def _lookup(self, parts: pa.Array, learn) -> list[bytes]:
         """Ids of each of the distinct ``parts``; ``learn`` encodes a list of new ones."""
         parts = parts.to_pylist()
-        if self.known_bytes > CACHE_BYTES:
+        if self.known_bytes > self.cache_bytes:
             self.known.clear()
             self.known_bytes = 0
         found = list(map(self.known.get, parts))
@@ -158,15 +160,15 @@ class WordEncoder:
         return ids, end[last]
 
     def encode(self, texts: pa.Array) -> Iterator[np.ndarray]:
-        """The ids of each text, in groups of about SLICE_BYTES of text; a
+        """The ids of each text, in groups of about slice_bytes of text; a
         longer text is encoded in slices that end at a space."""
         size = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
         at = 0
         while at < len(texts):
             before = size[at - 1] if at else 0
-            stop = max(at + 1, int(np.searchsorted(size, before + SLICE_BYTES, side="right")))
-            if stop == at + 1 and size[at] - before > SLICE_BYTES:
-                parts = pa.array(_slices(texts[at].as_py()), pa.large_string())
+            stop = max(at + 1, int(np.searchsorted(size, before + self.slice_bytes, side="right")))
+            if stop == at + 1 and size[at] - before > self.slice_bytes:
+                parts = pa.array(_slices(texts[at].as_py(), self.slice_bytes), pa.large_string())
                 yield np.concatenate([self.encode_column(parts.slice(i, 1))[0] for i in range(len(parts))])
             else:
                 ids, end = self.encode_column(texts.slice(at, stop - at))
@@ -174,26 +176,26 @@ class WordEncoder:
             at = stop
 
 
-def _slices(text: str) -> list[str]:
+def _slices(text: str, size: int) -> list[str]:
     """A long text cut at spaces and newlines (which belong to no token)."""
     out, at = [], 0
     while at < len(text):
-        cut = re.compile("[ \n]").search(text, at + SLICE_BYTES) if at + SLICE_BYTES < len(text) else None
+        cut = re.compile("[ \n]").search(text, at + size) if at + size < len(text) else None
         end = cut.start() if cut else len(text)
         out.append(text[at:end])
         at = end + 1
     return out
 
 
-def _pieces(path: str, with_ids: bool):
+def _pieces(path: str, with_ids: bool, small: bool = False):
     end = np.array([END_ID], "<u4").tobytes()
 
     @frees
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = worker_cache("packing")
-        if path not in cache:
-            cache[path] = WordEncoder(path)
-        encoder = cache[path]
+        if (path, small) not in cache:
+            cache[path, small] = WordEncoder(path, small)
+        encoder = cache[path, small]
         for batch in batches:
             encoded = zip(batch.column(0).to_pylist(), encoder.encode(batch.column(1)))
             for _ in range(0, len(batch), 512):
@@ -221,12 +223,13 @@ def _pieces(path: str, with_ids: bool):
 
 
 def token_pieces(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", text_col: str = "text",
-                 with_ids: bool = False) -> DataFrame:
+                 with_ids: bool = False, small: bool = False) -> DataFrame:
     """Per piece: doc_id, piece, start, length, ids_crc32 and, on request, ids
-    (little-endian unsigned 32-bit)."""
+    (little-endian unsigned 32-bit). ``small``: encoders that take less memory
+    and more time."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids binary" * with_ids
-    return rows.mapInArrow(_pieces(path or default_vocabulary(), with_ids), schema)
+    return rows.mapInArrow(_pieces(path or default_vocabulary(), with_ids, small), schema)
 
 
 class OpenBins:
@@ -297,5 +300,6 @@ def pack(pieces: DataFrame, capacity: int = SEQUENCE, open_bins: int = OPEN_BINS
     return ordered.mapInArrow(_pack(capacity, open_bins), schema + ", sequence_id long, offset long")
 
 
-def pack_documents(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    return pack(token_pieces(docs, path, id_col, text_col))
+def pack_documents(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", text_col: str = "text",
+                   small: bool = False) -> DataFrame:
+    return pack(token_pieces(docs, path, id_col, text_col, small=small))
