@@ -51,7 +51,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     prepare(spark)
-    return packing.pack_documents(docs)
+    return packing.pack_documents(docs, small=True)   # beside what the stages before left in the executors
 
 
 STAGES: list[tuple[str, Stage]] = [
