@@ -5,6 +5,7 @@ import hashlib
 import html
 import math
 import re
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tidewise.llm import html_text, kneser_ney, pii, quality_rules, toxicity
 from tidewise.llm.queries import QUERIES
+from tidewise.session import checkpoint_dir, scratch
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -472,6 +474,37 @@ def test_perplexity_models_word_order(spark):
     assert not any(got[i].kept for i in range(60, 70))
 
 
+def test_perplexity_leaves_one_small_row_per_document_on_disk(spark, docs, labels):
+    folder, setting = Path(checkpoint_dir(spark).removeprefix("file:")), "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, was = set(folder.rglob("part-*")), spark.conf.get(setting)
+    result = kneser_ney.perplexities(docs, labels)
+    left = set(folder.rglob("part-*")) - before
+    assert 0 < sum(f.stat().st_size for f in left) < 200 * docs.count() + 10_000
+    assert not list(folder.glob("tables/kneser_ney/*")) and spark.conf.get(setting) == was
+    assert result.count() == result.count() == docs.count()
+
+
+def test_scratch_tables_go_when_a_step_fails(spark):
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    was = spark.conf.get(setting)
+    with pytest.raises(ZeroDivisionError), scratch(spark, "failing") as tables:
+        a = tables.put(spark.range(5), "a")
+        assert a.count() == 5 and tables.put(spark.range(3), "a").count() == 8
+        assert tables.put(spark.range(0), "b").count() == 0
+        tables.drop("b")
+        assert [f.name for f in Path(tables.root.removeprefix("file:")).iterdir()] == ["a"]
+        1 / 0
+    assert not Path(tables.root.removeprefix("file:")).exists() and spark.conf.get(setting) == was
+
+
+def test_ngram_keys_are_sparks_hashes(spark):
+    words = np.random.default_rng(5).integers(-1 << 63, 1 << 63, (50, 3))
+    df = spark.createDataFrame([[int(x) for x in w] for w in words], "a long, b long, c long")
+    for n in (1, 2, 3):
+        want = [r[0] for r in df.select(F.xxhash64(*df.columns[:n])).collect()]
+        assert kneser_ney._keys(list(words.view(np.uint64).T[:n])).view(np.int64).tolist() == want
+
+
 def test_nothing_is_rejected_without_labels_of_both_kinds(spark, docs, labels):
     only = labels.filter("toxic = 1")
     assert toxicity.reject_toxic(docs, only).count() == docs.count()

@@ -22,7 +22,8 @@ Scoring is one count join by n-gram hash: the map tasks look up at most
 SHARD_GRAMS of the most frequent n-grams, which are broadcast, and emit
 (n-gram, document, count), merged per document, for the others that pass a bit
 filter; these are shuffled once, joined with the values and summed. Nothing is
-pruned: more text gives more n-grams and larger tables.
+pruned: more text gives more n-grams and larger tables. Tables between the steps
+are compressed files below the checkpoint folder, dropped after their last read.
 
 A document's perplexity is per word. It is kept if that is at most the
 LANGUAGE_QUANTILE of the held-back trusted documents of its language; texts of
@@ -49,9 +50,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from tidewise.session import cut_lineage
+from tidewise.session import Scratch, cut_lineage, scratch
 
-from .common import frees, mix, rows_with, signed, words_at
+from .common import frees, rows_with, signed, words_at
 
 ORDER = 3
 LANGUAGE_QUANTILE = 0.995
@@ -60,6 +61,7 @@ LEAST_CHARS = LEAST_WORDS  # the bound in tokens, by its name of when these were
 SHARD_GRAMS = 4 << 20     # values that are broadcast
 BLOCK_CHARS = 3 << 20     # text that a task counts or scores at a time
 FILTER_BITS = 1 << 26
+PASSES = 4                # parts in which values of the highest order are made
 QUANTILE_STEPS = 2000     # per unit of log perplexity
 START, END = ("\x02",), ("\x03",)
 
@@ -89,11 +91,24 @@ def _tokens(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return words_at(np.frombuffer(" ".join(lines).encode(), np.uint8), lower=False)[0], sizes
 
 
+_P1, _P2, _P3, _P4, _P5 = (np.uint64(x) for x in (
+    0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5))
+
+
+def _turned(x: np.ndarray, by: int) -> np.ndarray:
+    return (x << np.uint64(by)) | (x >> np.uint64(64 - by))
+
+
 def _keys(words: list[np.ndarray]) -> np.ndarray:
-    """64-bit hashes of n-grams, from the hashes of their words."""
-    h = np.full(len(words[0]), len(words), np.uint64)
+    """64-bit hashes of n-grams, from the hashes of their words: the public
+    XXH64 of each, seeded with that of those before, as F.xxhash64 has it."""
+    h = np.full(len(words[0]), 42, np.uint64)
     for w in words:
-        h = mix(h * np.uint64(0x9E3779B97F4A7C15) + w)
+        h = (h + _P5 + np.uint64(8)) ^ (_turned(w * _P2, 31) * _P1)
+        h = _turned(h, 27) * _P1 + _P4
+        h = (h ^ (h >> np.uint64(33))) * _P2
+        h = (h ^ (h >> np.uint64(29))) * _P3
+        h = h ^ (h >> np.uint64(32))
     return h
 
 
@@ -134,23 +149,16 @@ def _gram_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 names=[*_WORDS, "n"])
 
 
-def _key_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(words of an n-gram, value, n) -> (key, value, n)."""
-    for b in batches:
-        words = [b.column(i).to_numpy().view(np.uint64) for i in range(b.num_columns - 2)]
-        yield pa.RecordBatch.from_arrays([pa.array(signed(_keys(words))), *b.columns[-2:]], names=["key", "value", "n"])
-
-
 # ---------------------------------------------------------------------- model
-def count_tables(text: DataFrame) -> dict[int, DataFrame]:
+def count_tables(text: DataFrame, tables: Scratch) -> dict[int, DataFrame]:
     """(words, n) per order of a frame with one text column: counts for the
     highest order, numbers of different left neighbours below it. An n-gram of
     a lower order has the last of the columns w1, w2, ..."""
     schema = ", ".join(f"{w} long" for w in [*_WORDS, "n"])
-    tables = {ORDER: cut_lineage(text.mapInArrow(_gram_counts, schema).groupBy(*_WORDS).agg(F.sum("n").alias("n")))}
+    found = {ORDER: tables.put(text.mapInArrow(_gram_counts, schema).groupBy(*_WORDS).agg(F.sum("n").alias("n")), f"counts{ORDER}")}
     for order in range(ORDER - 1, 0, -1):
-        tables[order] = cut_lineage(tables[order + 1].groupBy(*_WORDS[-order:]).agg(F.count("*").alias("n")))
-    return tables
+        found[order] = tables.put(found[order + 1].groupBy(*_WORDS[-order:]).agg(F.count("*").alias("n")), f"counts{order}")
+    return found
 
 
 def discounts(table: DataFrame) -> tuple[float, float, float]:
@@ -163,38 +171,55 @@ def discounts(table: DataFrame) -> tuple[float, float, float]:
     return tuple(min(max(d, 0.05), k) for d, k in zip(found, (0.95, 1.95, 2.95)))
 
 
-def values(tables: dict[int, DataFrame]) -> tuple[DataFrame, float]:
+def values(counts: dict[int, DataFrame], tables: Scratch) -> tuple[DataFrame, float]:
     """((key, value, n) of all trusted n-grams, log probability of an unknown
-    word); n is the largest count of the n-gram, or of one with it as context."""
-    letters = tables[1].count() + 1  # and the unknown one
+    word); n is the largest count of the n-gram, or of one with it as context.
+    What is read no more is dropped. Contexts are summed with the n-grams of
+    the lower orders that they are; the highest order, most of all rows, is
+    joined in PASSES parts by a word that n-gram, context and back-off share,
+    and needs no sum."""
+    keyed = lambda rows, words, value, n: rows.select(F.xxhash64(*words).alias("key"), value.alias("value"), n.alias("n"))
+    share = lambda df, k: df.filter(F.pmod(F.col(_WORDS[1]), F.lit(PASSES)) == k)
+    letters = counts[1].count() + 1  # and the unknown one
     found, lower, unknown = [], None, -math.log(letters)
     for order in range(1, ORDER + 1):
-        d1, d2, d3 = discounts(tables[order])
-        context = _WORDS[-order:-1]
-        stats = tables[order].groupBy(*context).agg(
+        words, context = _WORDS[-order:], _WORDS[-order:-1]
+        d1, d2, d3 = discounts(counts[order])
+        stats = counts[order].groupBy(*context).agg(
             F.sum("n").alias("total"), F.count_if(F.col("n") == 1).alias("n1"), F.count_if(F.col("n") == 2).alias("n2"),
             F.count_if(F.col("n") >= 3).alias("n3"))
         rest = (F.col("n1") * d1 + F.col("n2") * d2 + F.col("n3") * d3) / F.col("total")
         stats = stats.select(*context, F.col("total"), rest.alias("rest"))
+        used = F.when(F.col("n") == 1, d1).when(F.col("n") == 2, d2).otherwise(d3)
+        missed = F.col("rest") * F.col("below")
+        p = F.greatest(F.col("n") - used, F.lit(0.0)) / F.col("total") + missed
+        gain = F.ln(p / missed)
         if order == 1:
-            share = stats.first()["rest"]
-            unknown += math.log(share) if share else 0.0
-            rows = tables[1].crossJoin(F.broadcast(stats)).withColumn("below", F.lit(1.0 / letters))
+            first = stats.first()["rest"]
+            unknown += math.log(first) if first else 0.0
+            rows = counts[1].crossJoin(F.broadcast(stats)).withColumn("below", F.lit(1.0 / letters))
         else:
-            stats = cut_lineage(stats)
-            rows = tables[order].join(stats, context).join(lower, _WORDS[-order + 1:])
-        used = F.when(F.col("n") == 1, d1).when(F.col("n") == 2, d2).otherwise(d3)
-        p = F.greatest(F.col("n") - used, F.lit(0.0)) / F.col("total") + F.col("rest") * F.col("below")
-        rows = cut_lineage(rows.select(*_WORDS[-order:], "n", (F.col("rest") * F.col("below")).alias("missed"), p.alias("p")))
-        lower = rows.select(*_WORDS[-order:], F.col("p").alias("below"))
-        gains = [rows.select(*_WORDS[-order:], F.ln(F.col("p") / F.col("missed")).alias("value"), "n")]
-        if order > 1:
-            gains.append(stats.select(*context, F.ln("rest").alias("value"), F.col("total").alias("n")))
-        found += [g.mapInArrow(_key_rows, "key long, value double, n long") for g in gains]
+            stats = tables.put(stats, f"contexts{order}")
+            found.append(keyed(stats, context, F.ln("rest"), F.col("total")))
+            rows = [share(counts[order], k).join(share(stats, k), context).join(share(lower, k), words[1:])
+                    for k in range(PASSES)] if order == ORDER else counts[order].join(stats, context).join(lower, words[1:])
+        if order < ORDER:
+            rows = tables.put(rows.select(*words, gain.alias("value"), "n", p.alias("p")), f"grams{order}")
+            tables.drop(f"counts{order}")
+            lower = rows.select(*words, F.col("p").alias("below"))
+            found.append(keyed(rows, words, F.col("value"), F.col("n")))
     union = found[0]
     for f in found[1:]:
         union = union.union(f)
-    return cut_lineage(union.groupBy("key").agg(F.sum("value").alias("value"), F.max("n").alias("n"))), unknown
+    tables.put(union.groupBy("key").agg(F.sum("value").alias("value"), F.max("n").alias("n")), "values")
+    for order in range(1, ORDER - 1):
+        tables.drop(f"grams{order}")
+        tables.drop(f"contexts{order + 1}")
+    for part in rows:
+        table = tables.put(keyed(part, words, gain, F.col("n")), "values")
+    for name in (f"counts{ORDER}", f"contexts{ORDER}", f"grams{ORDER - 1}"):
+        tables.drop(name)
+    return table, unknown
 
 
 # -------------------------------------------------------------------- scoring
@@ -301,7 +326,9 @@ def perplexities(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
     taught = good.filter(~held_back).select(F.col("trusted_id").alias("doc_id"))
     trusted = rows_with(texts, "doc_id", taught).select("text")
     doc = F.xxhash64(F.col(id_col).cast("long"), F.coalesce(F.col(text_col), F.lit("")), F.col(lang_col)).alias("doc")
-    sums = cut_lineage(entropies(docs.select(doc, F.col(text_col).alias("text")), *values(count_tables(trusted))))
+    with scratch(docs.sparkSession, "kneser_ney") as tables:
+        model = values(count_tables(trusted, tables), tables)
+        sums = cut_lineage(entropies(docs.select(doc, F.col(text_col).alias("text")), *model))
     facts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(lang_col).alias("lang"), doc)
     scored = facts.join(sums, "doc").select("doc_id", "lang", "tokens", "entropy")
     step = F.ceil(F.col("entropy") * QUANTILE_STEPS)

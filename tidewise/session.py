@@ -6,9 +6,12 @@ pass one in. ``get_spark`` is a convenience for scripts, tests and the bench.
 
 from __future__ import annotations
 
+import contextlib
 import os
 import tempfile
+import uuid
 import zipfile
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -118,3 +121,36 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     fs.mkdirs(folder)
     fs.deleteOnExit(folder)
     return path
+
+
+class Scratch:
+    """Tables between the steps of one job, as compressed files below the
+    checkpoint folder. A table goes with ``drop``, all of them with the job."""
+
+    def __init__(self, spark: SparkSession, name: str) -> None:
+        self.spark, self.root = spark, scratch_path(spark, f"{name}/{uuid.uuid4().hex}")
+
+    def put(self, df: DataFrame, name: str) -> DataFrame:
+        """Write ``df`` (after the rows that ``name`` has, if any); the table."""
+        path = f"{self.root}/{name}"
+        df.write.mode("append").option("compression", "zstd").parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop(self, name: str = "") -> None:
+        folder = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}".rstrip("/"))
+        folder.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+@contextlib.contextmanager
+def scratch(spark: SparkSession, name: str) -> Iterator[Scratch]:
+    """A ``Scratch`` that is gone afterwards. Inside, shuffle files go with the
+    action that wrote them instead of waiting for the driver's garbage
+    collection; frames that outlive the block have to be made after it."""
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    tables, before = Scratch(spark, name), spark.conf.get(setting)
+    spark.conf.set(setting, "true")
+    try:
+        yield tables
+    finally:
+        spark.conf.set(setting, before)
+        tables.drop()
