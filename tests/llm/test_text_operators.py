@@ -444,6 +444,33 @@ def test_perplexity_equals_brute_force(docs, labels, monkeypatch, shard):
         assert r.kept == (r.threshold is None or r.n_tokens <= kneser_ney.LEAST_CHARS or r.perplexity <= r.threshold * (1 + 1e-12))
 
 
+def test_perplexity_of_many_shards_equals_brute_force(docs, labels, monkeypatch):
+    monkeypatch.setattr(kneser_ney, "SHARD_BYTES", 2_000)
+    some = docs.limit(60)
+    rows = [tuple(r) for r in some.select("doc_id", "text").collect()]
+    words = collections.Counter(w for _, t in rows for w in kneser_ney.flat(t))
+    size = sum(len(kneser_ney.line(t).encode()) for _, t in rows)
+    assert size > 40 * 2_000 and words.most_common(3)[2][1] > words.total() * 2_000 / size  # several are shared out
+    good = labels.filter("quality = 1").filter(F.pmod(F.xxhash64("doc_id"), F.lit(10)) != 0)
+    want = {i: (k, p) for i, k, p in _kneser_ney(rows, {r.doc_id for r in good.collect()})}
+    got = kneser_ney.perplexities(some, labels).collect()
+    assert len(got) == len(rows)
+    assert all(r.n_tokens == want[r.doc_id][0] and abs(r.perplexity / want[r.doc_id][1] - 1) < 1e-9 for r in got)
+
+
+def test_perplexity_tables_between_steps_stay_below_twice_the_text(docs, labels, monkeypatch):
+    held, put = [], kneser_ney.Scratch.put
+
+    def measured(self, df, name):
+        table = put(self, df, name)
+        held.append(sum(f.stat().st_size for f in Path(self.root.removeprefix("file:")).rglob("part-*")))
+        return table
+
+    monkeypatch.setattr(kneser_ney.Scratch, "put", measured)
+    kneser_ney.perplexities(docs, labels)
+    assert 0 < max(held) < 2 * docs.agg(F.sum(F.octet_length("text"))).first()[0]
+
+
 def test_perplexity_separates_labels(spark):
     folder = "/root/testdata/sf0.01"
     got = QUERIES["op2_kneser_ney_perplexity"](spark, folder).join(spark.read.parquet(f"{folder}/labels.parquet"), "doc_id").collect()

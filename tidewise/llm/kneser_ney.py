@@ -3,27 +3,33 @@
 The model is trained on trusted text: documents that ``labels`` marks good
 (quality = 1), all of them but a tenth that is held back for the thresholds.
 Its tokens are words as they are written (ORDER of them; a character of a
-script without spaces is a word). Count tables are Spark tables, sharded by
-n-gram, merged in the map tasks before their shuffle. With them
+script without spaces is a word). N-gram counts are sharded. With them
 
     p_n(w | ctx) = max(c - D(c), 0) / c(ctx) + (D1 N1 + D2 N2 + D3 N3) / c(ctx) * p_(n-1)(w | ctx')
 
 with the modified discounts D1, D2, D3+ of each order, is known for every
 trusted n-gram. An n-gram that is not trusted has only the factor of its
 context (1 if that is not trusted either) and p_(n-1). So the log probability
-of a text is
-
-    tokens * log p(unknown word) + sum over its n-grams of all orders of value(n-gram)
-
-where value is 0 outside the trusted tables, and inside them the gain of the
-n-gram over its back-off plus the log factor that it has as a context.
-
-Scoring is one count join by n-gram hash: the map tasks look up at most
-SHARD_GRAMS of the most frequent n-grams, which are broadcast, and emit
-(n-gram, document, count), merged per document, for the others that pass a bit
-filter; these are shuffled once, joined with the values and summed. Nothing is
-pruned: more text gives more n-grams and larger tables. Tables between the steps
-are compressed files below the checkpoint folder, dropped after their last read.
+of a text is the sum over its tokens of log p_1(w), and of the gain of p_3 over
+p_1, which the trigram u v w decides.
+
+Gains are made where trigrams meet: all occurrences with one middle word v are
+one shard's, so counts of u v w, different left neighbours of v w and the
+totals of the contexts u v and v are numbers of that shard alone. Trigrams of a
+frequent v (more than a shard's size of text) are dealt by u v instead; what
+their shards count of v w is summed in one table. A first sweep over the
+trusted text counts: it yields the discounts, and per shard the words it needs
+p_1 of, joined with the one-word table. A second sweep deals out the trigrams
+of all documents, counts the trusted ones again (cheaper than storing them),
+and sums gains per document. Each sweep goes in PASSES turns over the text, for
+a part of the shards each, so shuffles hold that part of the trigrams at a time.
+
+log p_1 is a count join by word hash: the map tasks look up at most SHARD_GRAMS
+of the most frequent words, which are broadcast, and emit (word, document,
+count), merged per document, for the others that pass a bit filter; these are
+shuffled once, joined with the values and summed. Nothing is pruned: more text
+gives more n-grams and more shards. Tables between the steps are compressed
+files below the checkpoint folder, dropped after their last read.
 
 A document's perplexity is per word. It is kept if that is at most the
 LANGUAGE_QUANTILE of the held-back trusted documents of its language; texts of
@@ -52,20 +58,21 @@ from pyspark.sql import Window as W
 
 from tidewise.session import Scratch, cut_lineage, scratch
 
-from .common import frees, rows_with, signed, words_at
+from .common import frees, signed, words_at
 
 ORDER = 3
 LANGUAGE_QUANTILE = 0.995
 LEAST_WORDS = 40          # about 200 characters
 LEAST_CHARS = LEAST_WORDS  # the bound in tokens, by its name of when these were characters
 SHARD_GRAMS = 4 << 20     # values that are broadcast
+SHARD_BYTES = 4 << 20     # text whose trigrams are one shard
 BLOCK_CHARS = 3 << 20     # text that a task counts or scores at a time
 FILTER_BITS = 1 << 26
-PASSES = 4                # parts in which values of the highest order are made
+PASSES = 6                # turns over the text, for a part of the shards each
 QUANTILE_STEPS = 2000     # per unit of log perplexity
 START, END = ("\x02",), ("\x03",)
 
-_WORDS = [f"w{i}" for i in range(1, ORDER + 1)]
+_WORD, _PAIR, _GRAMS = 1, 2, 3   # kinds of a shard's rows
 _MARKS = str.maketrans(START[0] + END[0], "  ")
 _UNSPACED = re.compile("([\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff])")
 
@@ -112,18 +119,28 @@ def _keys(words: list[np.ndarray]) -> np.ndarray:
     return h
 
 
-def _blocks(column: Iterator[list]) -> Iterator[list[str]]:
-    """Lines in blocks of about BLOCK_CHARS characters."""
-    held, size = [], 0
-    for values in column:
-        for v in values:
-            held.append(line(v))
-            size += len(held[-1])
+@frees
+def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(doc, trusted, text) -> (doc, trusted, line)."""
+    for b in batches:
+        lines = pa.array([line(t) for t in b.column(2).to_pylist()], pa.string())
+        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), lines], names=["doc", "trusted", "line"])
+
+
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, list[str]]]:
+    """(docs, which are trusted, lines) in blocks of about BLOCK_CHARS characters."""
+    docs, trusted, lines, size = [], [], [], 0
+    for b in batches:
+        for doc, good, text in zip(*(b.column(i).to_pylist() for i in range(3))):
+            docs.append(doc)
+            trusted.append(good)
+            lines.append(text)
+            size += len(text)
             if size > BLOCK_CHARS:
-                yield held
-                held, size = [], 0
-    if held:
-        yield held
+                yield np.array(docs), np.array(trusted), lines
+                docs, trusted, lines, size = [], [], [], 0
+    if lines:
+        yield np.array(docs), np.array(trusted), lines
 
 
 def _places(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -132,38 +149,145 @@ def _places(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return of, np.arange(len(of)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
 
 
+def _found(keys: np.ndarray, of: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """What ``of`` has for the wanted ones of the sorted keys, 0 for others."""
+    if not len(keys):
+        return np.zeros(len(wanted), of.dtype)
+    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+    return np.where(keys[at] == wanted, of[at], 0)
+
+
+def _among(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    return _found(keys, np.ones(len(keys), np.int8), wanted) == 1
+
+
+def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(number of each key among the different ones, first place of these)."""
+    of, different = pd.factorize(keys)
+    first = np.empty(len(different), np.int64)
+    first[of[::-1]] = np.arange(len(of) - 1, -1, -1)
+    return of, first
+
+
+# --------------------------------------------------------------------- shards
 @frees
-def _gram_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """text -> (words of an n-gram, n), merged per block."""
-    for lines in _blocks(b.column(0).to_pylist() for b in batches):
-        words, sizes = _tokens(lines)
-        at = np.flatnonzero(_places(sizes)[1] >= ORDER - 1)
-        place, found = pd.factorize(_keys([words[at - k] for k in range(ORDER - 1, -1, -1)]))
-        counts = np.bincount(place, minlength=len(found)).astype(np.int64)
-        first = np.empty(len(found), np.int64)
-        first[place[::-1]] = at[::-1]
-        for k in range(0, len(found), 1 << 16):
-            part = first[k:k + (1 << 16)]
+def _common_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Lines -> (word, n), at most 4096 words of a block."""
+    for _, _, lines in _blocks(batches):
+        of, different = pd.factorize(_tokens(lines)[0])
+        n = np.bincount(of, minlength=len(different))
+        some = n * 4096 > len(of)
+        yield pa.RecordBatch.from_arrays([pa.array(signed(different[some])), pa.array(n[some])], names=["word", "n"])
+
+
+def _gram_rows(often, shards: int, passes: int, turn: int, scored: bool):
+    """Lines -> (shard, _GRAMS, trigrams) for the shards of one turn. Trigrams
+    of documents that are not trusted count for nothing: unless they are to be
+    scored, they are left out except where v is frequent."""
+
+    @frees
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for docs, trusted, lines in _blocks(batches):
+            words, sizes = _tokens(lines)
+            of, place = _places(sizes)
+            at = np.flatnonzero(place >= ORDER - 1)
+            dealt = words[at - 1]
+            shared = np.flatnonzero(_among(often.value, dealt))
+            dealt[shared] = _keys([words[at[shared] - 2], dealt[shared]])
+            shard = (dealt % np.uint64(shards)).astype(np.int32)
+            take = shard % passes == turn
+            if not scored:
+                needed = trusted[of[at]]
+                needed[shared] = True
+                take &= needed
+            pick = np.flatnonzero(take)
+            pick = pick[np.argsort(shard[pick], kind="stable")]
+            shard, at = shard[pick], at[pick]
+            cuts = np.flatnonzero(np.r_[True, shard[1:] != shard[:-1], True]) if len(shard) else [0]
+            packed = []
+            for i, j in zip(cuts[:-1], cuts[1:]):
+                own = at[i:j]
+                columns = [words[own - 2], words[own - 1], words[own], *([docs[of[own]]] if scored else []), trusted[of[own]]]
+                packed.append(b"".join(c.tobytes() for c in columns))
+            n = len(packed)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(shard[cuts[:-1]]), pa.array(np.full(n, _GRAMS, np.int32)), pa.nulls(n, pa.int64()),
+                 pa.nulls(n, pa.int64()), pa.array(packed, pa.binary())], names=["shard", "kind", "key", "n", "grams"])
+
+    return run
+
+
+def _by_shard(batches: Iterator[pa.RecordBatch]):
+    """Rows sorted by shard and kind -> (shard, (keys, n) of its words, (keys,
+    n) of its pairs, packed trigrams), the keys sorted."""
+
+    def told(rows):
+        keys, n = (np.concatenate([r[i] for r in rows]) if rows else np.empty(0, np.int64) for i in (0, 1))
+        order = np.argsort(keys.view(np.uint64))
+        return keys.view(np.uint64)[order], n[order]
+
+    now, held = None, {}
+    for b in batches:
+        shard, kind = (b.column(i).to_numpy() for i in (0, 1))
+        cuts = np.flatnonzero(np.r_[True, (shard[1:] != shard[:-1]) | (kind[1:] != kind[:-1]), True]) if len(b) else [0]
+        for i, j in zip(cuts[:-1], cuts[1:]):
+            if shard[i] != now:
+                if now is not None:
+                    yield now, told(held[_WORD]), told(held[_PAIR]), held[_GRAMS]
+                now, held = shard[i], {_WORD: [], _PAIR: [], _GRAMS: []}
+            rows = b.slice(i, j - i)
+            held[kind[i]] += rows.column(4).to_pylist() if kind[i] == _GRAMS else [
+                tuple(rows.column(c).to_numpy() for c in (2, 3))]
+    if now is not None:
+        yield now, told(held[_WORD]), told(held[_PAIR]), held[_GRAMS]
+
+
+def _trigrams(packed: list[bytes], kinds: list) -> list[np.ndarray]:
+    """Columns of packed trigrams."""
+    found, width = [[] for _ in kinds], sum(np.dtype(k).itemsize for k in kinds)
+    for x in packed:
+        at, n = 0, len(x) // width
+        for column, kind in zip(found, kinds):
+            column.append(np.frombuffer(x, kind, n, at))
+            at += n * np.dtype(kind).itemsize
+    return [np.concatenate(c) if c else np.empty(0, k) for c, k in zip(found, kinds)]
+
+
+def _shard_counts(often):
+    """Trigrams -> (kind, shard, v, w, n). Kind 0: n n-grams of order ``shard``
+    are counted v times; _WORD: n cold v stand before w; _PAIR: n different u
+    stand before v w, v being frequent."""
+
+    @frees
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for shard, _, _, packed in _by_shard(batches):
+            u, v, w, trusted = _trigrams(packed, [np.uint64] * 3 + [bool])
+            of, first = _distinct(_keys([u, v, w]))
+            c3 = np.bincount(of, trusted, len(first)).astype(np.int64)
+            v, w = v[first], w[first]
+            of, first = _distinct(_keys([v, w]))
+            c2 = np.bincount(of, c3 > 0, len(first)).astype(np.int64)
+            v, w = v[first], w[first]
+            shared = _among(often.value, v)
+            of, first = _distinct(w)
+            before = np.bincount(of, (c2 > 0) & ~shared, len(first)).astype(np.int64)
+            times = np.arange(1, 5)
+            seen = [np.bincount(np.minimum(c, 5), minlength=6)[1:5] for c in (c3, c2[~shared])]
+            columns = [(np.zeros(8, np.int32), np.repeat([3, 2], 4).astype(np.int32), np.tile(times, 2), np.zeros(8, np.int64),
+                        np.concatenate(seen)),
+                       (np.full(len(first), _WORD, np.int32), np.full(len(first), shard, np.int32), np.zeros(len(first), np.int64),
+                        w[first].view(np.int64), before),
+                       (np.full(shared.sum(), _PAIR, np.int32), np.full(shared.sum(), shard, np.int32), v[shared].view(np.int64),
+                        w[shared].view(np.int64), c2[shared])]
             yield pa.RecordBatch.from_arrays(
-                [*[pa.array(signed(words[part - i])) for i in range(ORDER - 1, -1, -1)], pa.array(counts[k:k + (1 << 16)])],
-                names=[*_WORDS, "n"])
+                [pa.array(np.concatenate(c)) for c in zip(*columns)], names=["kind", "shard", "v", "w", "n"])
+
+    return run
 
 
 # ---------------------------------------------------------------------- model
-def count_tables(text: DataFrame, tables: Scratch) -> dict[int, DataFrame]:
-    """(words, n) per order of a frame with one text column: counts for the
-    highest order, numbers of different left neighbours below it. An n-gram of
-    a lower order has the last of the columns w1, w2, ..."""
-    schema = ", ".join(f"{w} long" for w in [*_WORDS, "n"])
-    found = {ORDER: tables.put(text.mapInArrow(_gram_counts, schema).groupBy(*_WORDS).agg(F.sum("n").alias("n")), f"counts{ORDER}")}
-    for order in range(ORDER - 1, 0, -1):
-        found[order] = tables.put(found[order + 1].groupBy(*_WORDS[-order:]).agg(F.count("*").alias("n")), f"counts{order}")
-    return found
-
-
-def discounts(table: DataFrame) -> tuple[float, float, float]:
+def discounts(n1: float, n2: float, n3: float, n4: float) -> tuple[float, float, float]:
     """Modified Kneser-Ney discounts from the numbers of n-grams seen 1..4 times."""
-    n1, n2, n3, n4 = (float(x or 0) for x in table.agg(*[F.count_if(F.col("n") == k) for k in (1, 2, 3, 4)]).first())
     if not n1 or not n2:
         return 0.5, 0.75, 0.9
     y = n1 / (n1 + 2 * n2)
@@ -171,55 +295,127 @@ def discounts(table: DataFrame) -> tuple[float, float, float]:
     return tuple(min(max(d, 0.05), k) for d, k in zip(found, (0.95, 1.95, 2.95)))
 
 
-def values(counts: dict[int, DataFrame], tables: Scratch) -> tuple[DataFrame, float]:
-    """((key, value, n) of all trusted n-grams, log probability of an unknown
-    word); n is the largest count of the n-gram, or of one with it as context.
-    What is read no more is dropped. Contexts are summed with the n-grams of
-    the lower orders that they are; the highest order, most of all rows, is
-    joined in PASSES parts by a word that n-gram, context and back-off share,
-    and needs no sum."""
-    keyed = lambda rows, words, value, n: rows.select(F.xxhash64(*words).alias("key"), value.alias("value"), n.alias("n"))
-    share = lambda df, k: df.filter(F.pmod(F.col(_WORDS[1]), F.lit(PASSES)) == k)
-    letters = counts[1].count() + 1  # and the unknown one
-    found, lower, unknown = [], None, -math.log(letters)
-    for order in range(1, ORDER + 1):
-        words, context = _WORDS[-order:], _WORDS[-order:-1]
-        d1, d2, d3 = discounts(counts[order])
-        stats = counts[order].groupBy(*context).agg(
-            F.sum("n").alias("total"), F.count_if(F.col("n") == 1).alias("n1"), F.count_if(F.col("n") == 2).alias("n2"),
-            F.count_if(F.col("n") >= 3).alias("n3"))
-        rest = (F.col("n1") * d1 + F.col("n2") * d2 + F.col("n3") * d3) / F.col("total")
-        stats = stats.select(*context, F.col("total"), rest.alias("rest"))
-        used = F.when(F.col("n") == 1, d1).when(F.col("n") == 2, d2).otherwise(d3)
-        missed = F.col("rest") * F.col("below")
-        p = F.greatest(F.col("n") - used, F.lit(0.0)) / F.col("total") + missed
-        gain = F.ln(p / missed)
-        if order == 1:
-            first = stats.first()["rest"]
-            unknown += math.log(first) if first else 0.0
-            rows = counts[1].crossJoin(F.broadcast(stats)).withColumn("below", F.lit(1.0 / letters))
-        else:
-            stats = tables.put(stats, f"contexts{order}")
-            found.append(keyed(stats, context, F.ln("rest"), F.col("total")))
-            rows = [share(counts[order], k).join(share(stats, k), context).join(share(lower, k), words[1:])
-                    for k in range(PASSES)] if order == ORDER else counts[order].join(stats, context).join(lower, words[1:])
-        if order < ORDER:
-            rows = tables.put(rows.select(*words, gain.alias("value"), "n", p.alias("p")), f"grams{order}")
-            tables.drop(f"counts{order}")
-            lower = rows.select(*words, F.col("p").alias("below"))
-            found.append(keyed(rows, words, F.col("value"), F.col("n")))
-    union = found[0]
-    for f in found[1:]:
-        union = union.union(f)
-    tables.put(union.groupBy("key").agg(F.sum("value").alias("value"), F.max("n").alias("n")), "values")
-    for order in range(1, ORDER - 1):
-        tables.drop(f"grams{order}")
-        tables.drop(f"contexts{order + 1}")
-    for part in rows:
-        table = tables.put(keyed(part, words, gain, F.col("n")), "values")
-    for name in (f"counts{ORDER}", f"contexts{ORDER}", f"grams{ORDER - 1}"):
-        tables.drop(name)
-    return table, unknown
+def _seen(table: DataFrame) -> list[int]:
+    """Numbers of n-grams seen 1..4 times."""
+    return list(table.agg(*[F.count_if(F.col("n") == k) for k in (1, 2, 3, 4)]).first())
+
+
+def _sums():
+    """What a context's total and rest are made of."""
+    once, twice, more = F.col("n") == 1, F.col("n") == 2, F.col("n") >= 3
+    return [F.sum("n").alias("total"), *[F.count_if(x).alias(name) for x, name in ((once, "n1"), (twice, "n2"), (more, "n3"))]]
+
+
+def _rest(total, n1, n2, n3, cut: tuple[float, float, float]):
+    """Share of a context that its discounts free (0 if it is not trusted)."""
+    return (n1 * cut[0] + n2 * cut[1] + n3 * cut[2]) / np.maximum(total, 1)
+
+
+def _contexts(of: np.ndarray, c: np.ndarray, size: int, cut) -> tuple[np.ndarray, np.ndarray]:
+    """(total, rest) of contexts, from the counts of the n-grams ``of`` each."""
+    total, *seen = (np.bincount(of, x, size) for x in (c, c == 1, c == 2, c >= 3))
+    return total, _rest(total, *seen, cut)
+
+
+def _used(c: np.ndarray, cut: tuple[float, float, float]) -> np.ndarray:
+    """Counts without their discounts."""
+    return np.maximum(c - np.array([0.0, *cut])[np.minimum(c, 3)], 0.0)
+
+
+def _shard_gains(often, model):
+    """Trigrams and what is told of their words -> (doc, gain)."""
+
+    @frees
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        facts = model.value
+        cut, base, total1 = facts["cut"], facts["base"], facts["total"]
+        for _, words, pairs, packed in _by_shard(batches):
+            u, v, w, docs, trusted = _trigrams(packed, [np.uint64] * 3 + [np.int64, bool])
+            of, first = _distinct(_keys([u, v, w]))
+            c3 = np.bincount(of, trusted, len(first)).astype(np.int64)
+            u, v, w = u[first], v[first], w[first]
+            context, starts = _distinct(_keys([u, v]))
+            total3, rest3 = (x[context] for x in _contexts(context, c3, len(starts), cut[3]))
+            key = _keys([v, w])
+            pair, first = _distinct(key)
+            c2 = np.bincount(pair, c3 > 0, len(first)).astype(np.int64)
+            v, w = v[first], w[first]
+            shared = _among(often.value, v)
+            c2[shared] = _found(*pairs, key[first][shared])
+            context, starts = _distinct(v)
+            total2, rest2 = _contexts(context, c2, len(starts), cut[2])
+            shared = _among(often.value, v[starts])
+            for own, told in ((total2, facts["totals"]), (rest2, facts["rests"])):
+                own[shared] = _found(facts["often"], told, v[starts][shared])
+            total2, rest2 = total2[context], rest2[context]
+            with np.errstate(divide="ignore", invalid="ignore"):  # of what is not trusted
+                p1 = _used(_found(*words, w), cut[1]) / total1 + base
+                p2 = _used(c2, cut[2]) / total2 + rest2 * p1
+                lower = np.where(c2 > 0, np.log(p2 / p1), np.where(total2 > 0, np.log(rest2), 0.0))
+                p3 = _used(c3, cut[3]) / total3 + rest3 * p2[pair]
+                gain = np.where(c3 > 0, np.log(p3 / p1[pair]), lower[pair] + np.where(total3 > 0, np.log(rest3), 0.0))
+            which, different = pd.factorize(docs)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(different), pa.array(np.bincount(which, gain[of], len(different)))], names=["doc", "gain"])
+
+    return run
+
+
+def gains(lines: DataFrame, tables: Scratch) -> tuple[DataFrame, DataFrame, float]:
+    """((doc, gain) of the lines, parts to be summed; (key, value, n) of the
+    trusted words; log probability of an unknown word)."""
+    share = lambda df: df.sparkSession.sparkContext.broadcast
+    size = lines.agg(F.sum(F.octet_length("line"))).first()[0] or 0
+    passes = min(PASSES, -(-size // SHARD_BYTES) or 1)
+    shards = passes * (-(-size // (passes * SHARD_BYTES)) or 1)
+    common = lines.mapInArrow(_common_words, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    total = lines.agg(F.sum(F.length("line") - F.length(F.replace("line", F.lit(" "), F.lit(""))) + 1)).first()[0] or 0
+    often = [r[0] for r in common.filter(F.col("n") * shards > total).select("word").collect()] if shards > 1 else []
+    often = share(lines)(np.sort(np.array(often, np.int64).view(np.uint64)))
+    rows = "shard int, kind int, key long, n long, grams binary"
+
+    def dealt(turn: int, scored: bool) -> DataFrame:
+        return lines.mapInArrow(_gram_rows(often, shards, passes, turn, scored), rows)
+
+    def met(df: DataFrame) -> DataFrame:
+        return df.repartition("shard").sortWithinPartitions("shard", "kind")
+
+    for turn in range(passes):
+        counted = tables.put(met(dealt(turn, False)).mapInArrow(
+            _shard_counts(often), "kind int, shard int, v long, w long, n long"), "counted")
+    words, pairs = counted.filter(F.col("kind") == _WORD), counted.filter(F.col("kind") == _PAIR)
+    pairs2 = tables.put(pairs.groupBy("v", "w").agg(F.sum("n").alias("n")).filter("n > 0"), "pairs")
+    words1 = words.select("w", "n").union(pairs2.select("w", F.lit(1).cast("long")))
+    words1 = tables.put(words1.groupBy("w").agg(F.sum("n").alias("n")).filter("n > 0"), "words")
+    seen = {(r["order"], r["k"]): r["n"] for r in counted.filter("kind = 0").groupBy(
+        F.col("shard").alias("order"), F.col("v").alias("k")).agg(F.sum("n").alias("n")).collect()}
+    cut = {1: discounts(*_seen(words1)),
+           2: discounts(*[a + seen.get((2, k), 0) for k, a in enumerate(_seen(pairs2), 1)]),
+           3: discounts(*[seen.get((3, k), 0) for k in (1, 2, 3, 4)])}
+    letters = words1.count() + 1  # and the unknown one
+    total1, *once = (x or 0 for x in words1.agg(*_sums()).first())
+    rest = _rest(total1, *once, cut[1])
+    base = rest / letters
+    unknown = math.log(base) if base else -math.log(letters)
+    stats = pairs2.groupBy("v").agg(*_sums()).toPandas()
+    stats = stats.assign(v=stats["v"].to_numpy(np.int64).view(np.uint64)).sort_values("v")
+    totals = stats["total"].to_numpy(np.float64)
+    rests = _rest(totals, *(stats[c].to_numpy(np.float64) for c in ("n1", "n2", "n3")), cut[2])
+    model = share(lines)({"cut": cut, "base": base, "total": max(total1, 1), "often": stats["v"].to_numpy(), "totals": totals, "rests": rests})
+    told = tables.put(words.select("shard", "w").join(words1, "w").select(
+        "shard", F.lit(_WORD).alias("kind"), F.col("w").alias("key"), "n"), "told")
+    told = tables.put(pairs.select("shard", "v", "w").join(pairs2, ["v", "w"]).select(
+        "shard", F.lit(_PAIR).alias("kind"), F.xxhash64("v", "w").alias("key"), "n"), "told")
+    tables.drop("counted")
+    tables.drop("pairs")
+    for turn in range(passes):
+        own = told.filter(F.col("shard") % passes == turn).withColumn("grams", F.lit(None).cast("binary"))
+        parts = met(dealt(turn, True).union(own)).mapInArrow(_shard_gains(often, model), "doc long, gain double")
+        found = tables.put(parts.groupBy("doc").agg(F.sum("gain").alias("gain")), "gains")
+    tables.drop("told")
+    value = F.log(F.greatest(F.col("n") - F.when(F.col("n") == 1, cut[1][0]).when(F.col("n") == 2, cut[1][1]).otherwise(cut[1][2]),
+                             F.lit(0.0)) / max(total1, 1) / (base or 1.0) + 1)
+    return found, words1.select(F.xxhash64("w").alias("key"), value.alias("value"), "n"), unknown
 
 
 # -------------------------------------------------------------------- scoring
@@ -251,68 +447,48 @@ def _filter(keys: DataFrame) -> np.ndarray:
 
 
 def _lookups(model, unknown: float):
-    """(doc, text) -> (key, doc, n, logp): per row of the input one with its
-    tokens as n and the log probability without the values still to be joined,
-    and (n-gram, doc, count, null) for these."""
+    """Lines -> (key, doc, n, logp): per row of the input one with its tokens
+    as n and the log probability without the values still to be joined, and
+    (word, doc, count, null) for these."""
 
-    def score(lines, docs):
+    @frees
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, logs, bits = model.value
-        words, sizes = _tokens(lines)
-        of, place = _places(sizes)
-        tokens = sizes - (ORDER - 1)
-        logp = tokens * unknown
-        out = []
-        for order in range(1, ORDER + 1):
-            at = np.flatnonzero(place >= ORDER - 1 - (order < ORDER))
-            which, found = pd.factorize(_keys([words[at - k] for k in range(order - 1, -1, -1)]))
-            sorting = np.argsort(found)
-            where = np.empty(len(found), np.int64)
-            where[sorting] = np.searchsorted(keys, found[sorting])
-            where = np.minimum(where, max(len(keys) - 1, 0))
-            hit = keys[where] == found if len(keys) else np.zeros(len(found), bool)
-            value = np.where(hit, logs[where], 0.0) if len(keys) else np.zeros(len(found))
-            logp = logp + np.bincount(of[at], value[which], len(lines))
+        for docs, _, lines in _blocks(batches):
+            words, sizes = _tokens(lines)
+            of, place = _places(sizes)
+            tokens = sizes - (ORDER - 1)
+            at = np.flatnonzero(place >= ORDER - 1)
+            which, found = pd.factorize(_keys([words[at]]))
+            logp = tokens * unknown + np.bincount(of[at], _found(keys, logs, found)[which], len(lines))
             own = found.view(np.int64)
             spot = own % FILTER_BITS
-            open_ = ~hit & ((bits[spot >> 6] >> (spot & 63)) & 1 == 1)
-            some = open_[which]
+            some = (~_among(keys, found) & ((bits[spot >> 6] >> (spot & 63)) & 1 == 1))[which]
             pair, n = np.unique(of[at][some] * len(found) + which[some], return_counts=True)
-            out.append((own[pair % len(found)], docs[pair // len(found)], n.astype(np.int64)))
-        key, doc, n = (np.concatenate(x) for x in zip(*out))
-        return pa.RecordBatch.from_arrays(
-            [pa.array(np.r_[docs, key]), pa.array(np.r_[docs, doc]), pa.array(np.r_[tokens, n]),
-             pa.concat_arrays([pa.array(logp), pa.nulls(len(key), pa.float64())])], names=["key", "doc", "n", "logp"])
-
-    @frees
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            start, size, lines = 0, 0, []
-            docs, texts = whole.column(0).to_numpy(), whole.column(1).to_pylist()
-            for i, v in enumerate(texts):
-                lines.append(line(v))
-                size += len(lines[-1])
-                if size > BLOCK_CHARS or i + 1 == len(texts):
-                    yield score(lines, docs[start:i + 1])
-                    start, size, lines = i + 1, 0, []
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.r_[docs, own[pair % len(found)]]), pa.array(np.r_[docs, docs[pair // len(found)]]),
+                 pa.array(np.r_[tokens, n.astype(np.int64)]),
+                 pa.concat_arrays([pa.array(logp), pa.nulls(len(pair), pa.float64())])], names=["key", "doc", "n", "logp"])
 
     return run
 
 
-def entropies(rows: DataFrame, table: DataFrame, unknown: float) -> DataFrame:
-    """(doc, tokens, entropy) of the texts of ``rows`` (doc, text); rows of the
-    same doc count as copies of one."""
+def entropies(lines: DataFrame, parts: DataFrame, table: DataFrame, unknown: float) -> DataFrame:
+    """(doc, tokens, entropy) of the lines, from their gains and the values of
+    the words; rows of the same doc count as copies of one."""
     least = _frequent(table)
     hot = table.filter(_step() >= least).select("key", "value").toArrow()
     keys = hot.column(0).to_numpy().view(np.uint64)
     order = np.argsort(keys)
     cold = table.filter(_step() < least).select("key", "value")
-    model = rows.sparkSession.sparkContext.broadcast((keys[order], hot.column(1).to_numpy()[order], _filter(cold)))
-    found = rows.mapInArrow(_lookups(model, unknown), "key long, doc long, n long, logp double")
+    model = lines.sparkSession.sparkContext.broadcast((keys[order], hot.column(1).to_numpy()[order], _filter(cold)))
+    found = lines.mapInArrow(_lookups(model, unknown), "key long, doc long, n long, logp double")
     joined = found.join(cold.hint("shuffle_hash"), "key", "left")
     first = F.col("logp").isNotNull()
-    sums = joined.groupBy("doc").agg(
-        F.sum(F.when(first, F.col("n"))).alias("tokens"), F.count("logp").alias("copies"),
-        F.sum(F.when(first, F.col("logp")).otherwise(F.coalesce(F.col("value"), F.lit(0.0)) * F.col("n"))).alias("logp"))
+    rows = joined.select("doc", F.when(first, F.col("n")).alias("tokens"), F.when(first, F.col("logp")).otherwise(
+        F.coalesce(F.col("value"), F.lit(0.0)) * F.col("n")).alias("logp"))
+    sums = rows.union(parts.select("doc", F.lit(None).cast("long"), "gain")).groupBy("doc").agg(
+        F.sum("tokens").alias("tokens"), F.count("tokens").alias("copies"), F.sum("logp").alias("logp"))
     return sums.select("doc", (F.col("tokens") / F.col("copies")).cast("long").alias("tokens"),
                        (-F.col("logp") / F.col("tokens")).alias("entropy"))
 
@@ -322,13 +498,14 @@ def perplexities(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
     """Per row of ``docs``: doc_id, n_tokens, perplexity, threshold, kept."""
     good = labels.filter("quality = 1 and doc_id is not null").select(F.col("doc_id").cast("long").alias("trusted_id")).distinct()
     held_back = F.pmod(F.xxhash64("trusted_id"), F.lit(10)) == 0
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    taught = good.filter(~held_back).select(F.col("trusted_id").alias("doc_id"))
-    trusted = rows_with(texts, "doc_id", taught).select("text")
+    taught = good.filter(~held_back)
     doc = F.xxhash64(F.col(id_col).cast("long"), F.coalesce(F.col(text_col), F.lit("")), F.col(lang_col)).alias("doc")
     with scratch(docs.sparkSession, "kneser_ney") as tables:
-        model = values(count_tables(trusted, tables), tables)
-        sums = cut_lineage(entropies(docs.select(doc, F.col(text_col).alias("text")), *model))
+        texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), doc, F.col(text_col).alias("text"))
+        marked = texts.join(taught.hint("merge"), F.col("doc_id") == F.col("trusted_id"), "left")
+        marked = marked.select("doc", F.col("trusted_id").isNotNull().alias("trusted"), "text")
+        lines = tables.put(marked.mapInArrow(_lines, "doc long, trusted boolean, line string"), "lines")
+        sums = cut_lineage(entropies(lines, *gains(lines, tables)))
     facts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(lang_col).alias("lang"), doc)
     scored = facts.join(sums, "doc").select("doc_id", "lang", "tokens", "entropy")
     step = F.ceil(F.col("entropy") * QUANTILE_STEPS)
