@@ -16,12 +16,13 @@ p_1, which the trigram u v w decides.
 Gains are made where trigrams meet: all occurrences with one middle word v are
 one shard's, so counts of u v w, different left neighbours of v w and the
 totals of the contexts u v and v are numbers of that shard alone. Trigrams of a
-frequent v (more than a shard's size of text) are dealt by u v instead; what
+frequent v (more than WORD_SHARDS shards of them) are dealt by u v instead; what
 their shards count of v w is summed in one table. A first sweep over the
 trusted text counts: it yields the discounts, and per shard the words it needs
-p_1 of, joined with the one-word table. A second sweep deals out the trigrams
+p_1 of, joined with the one-word table. Texts are read once, into blocks of
+coded words. A second sweep deals out the trigrams
 of all documents, counts the trusted ones again (cheaper than storing them),
-and sums gains per document. Each sweep goes in PASSES turns over the text, for
+and sums gains per document. Each sweep goes in PASSES turns over the blocks, for
 a part of the shards each, so shuffles hold that part of the trigrams at a time.
 
 log p_1 is a count join by word hash: the map tasks look up at most SHARD_GRAMS
@@ -65,8 +66,9 @@ LANGUAGE_QUANTILE = 0.995
 LEAST_WORDS = 40          # about 200 characters
 LEAST_CHARS = LEAST_WORDS  # the bound in tokens, by its name of when these were characters
 SHARD_GRAMS = 4 << 20     # values that are broadcast
-SHARD_BYTES = 4 << 20     # text whose trigrams are one shard
-BLOCK_CHARS = 3 << 20     # text that a task counts or scores at a time
+SHARD_TOKENS = 1 << 19    # whose trigrams are one shard
+WORD_SHARDS = 6           # shards' worth of one middle word that are not dealt out
+BLOCK_CHARS = 6 << 20     # text that a task counts or scores at a time
 FILTER_BITS = 1 << 26
 PASSES = 6                # turns over the text, for a part of the shards each
 QUANTILE_STEPS = 2000     # per unit of log perplexity
@@ -119,28 +121,53 @@ def _keys(words: list[np.ndarray]) -> np.ndarray:
     return h
 
 
+def _packed(arrays: list[np.ndarray]) -> bytes:
+    """Arrays in one value, each after its length, word codes as short as may be."""
+    return b"".join(x for a in arrays for x in (np.array([len(a), a.itemsize], np.int64).tobytes(), a.tobytes()))
+
+
+def _unpacked(value: bytes, kinds: str) -> list[np.ndarray]:
+    found, at = [], 0
+    for kind in kinds:
+        n, size = np.frombuffer(value, np.int64, 2, at)
+        found.append(np.frombuffer(value, f"{kind}{size}", n, at + 16))
+        at += 16 + int(n * size)
+    return found
+
+
+def _short(codes: np.ndarray, size: int) -> np.ndarray:
+    return codes.astype(np.uint16 if size <= 1 << 16 else np.uint32)
+
+
 @frees
-def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc, trusted, text) -> (doc, trusted, line)."""
-    for b in batches:
-        lines = pa.array([line(t) for t in b.column(2).to_pylist()], pa.string())
-        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), lines], names=["doc", "trusted", "line"])
+def _coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(doc, trusted, text) -> blocks of about BLOCK_CHARS characters: docs,
+    which are trusted, tokens of each, different words, code of every token."""
 
+    def block():
+        words, sizes = _tokens(lines)
+        codes, different = pd.factorize(words)
+        value = _packed([np.array(docs), np.array(trusted), sizes, different, _short(codes, len(different))])
+        return pa.RecordBatch.from_arrays([pa.array([len(words)]), pa.array([value], pa.binary())], names=["tokens", "block"])
 
-def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, list[str]]]:
-    """(docs, which are trusted, lines) in blocks of about BLOCK_CHARS characters."""
     docs, trusted, lines, size = [], [], [], 0
     for b in batches:
         for doc, good, text in zip(*(b.column(i).to_pylist() for i in range(3))):
             docs.append(doc)
             trusted.append(good)
-            lines.append(text)
-            size += len(text)
+            lines.append(line(text))
+            size += len(lines[-1])
             if size > BLOCK_CHARS:
-                yield np.array(docs), np.array(trusted), lines
+                yield block()
                 docs, trusted, lines, size = [], [], [], 0
     if lines:
-        yield np.array(docs), np.array(trusted), lines
+        yield block()
+
+
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
+    for b in batches:
+        for value in b.column(1):
+            yield _unpacked(value.as_buffer(), "ibiuu")
 
 
 def _places(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -172,43 +199,41 @@ def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 # --------------------------------------------------------------------- shards
 @frees
 def _common_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Lines -> (word, n), at most 4096 words of a block."""
-    for _, _, lines in _blocks(batches):
-        of, different = pd.factorize(_tokens(lines)[0])
-        n = np.bincount(of, minlength=len(different))
-        some = n * 4096 > len(of)
-        yield pa.RecordBatch.from_arrays([pa.array(signed(different[some])), pa.array(n[some])], names=["word", "n"])
+    """Blocks -> (word, n), at most 4096 words of a block."""
+    for *_, words, codes in _blocks(batches):
+        n = np.bincount(codes, minlength=len(words))
+        some = n * 4096 > len(codes)
+        yield pa.RecordBatch.from_arrays([pa.array(signed(words[some])), pa.array(n[some])], names=["word", "n"])
 
 
 def _gram_rows(often, shards: int, passes: int, turn: int, scored: bool):
-    """Lines -> (shard, _GRAMS, trigrams) for the shards of one turn. Trigrams
+    """Blocks -> (shard, _GRAMS, trigrams) for the shards of one turn. Trigrams
     of documents that are not trusted count for nothing: unless they are to be
     scored, they are left out except where v is frequent."""
 
     @frees
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for docs, trusted, lines in _blocks(batches):
-            words, sizes = _tokens(lines)
+        for docs, trusted, sizes, words, codes in _blocks(batches):
             of, place = _places(sizes)
-            at = np.flatnonzero(place >= ORDER - 1)
-            dealt = words[at - 1]
-            shared = np.flatnonzero(_among(often.value, dealt))
-            dealt[shared] = _keys([words[at[shared] - 2], dealt[shared]])
-            shard = (dealt % np.uint64(shards)).astype(np.int32)
-            take = shard % passes == turn
+            shard = (words % np.uint64(shards)).astype(np.int32)[codes[:-1]]
+            shared = np.flatnonzero(_among(often.value, words)[codes[1:-1]]) + 1
+            shard[shared] = _keys([words[codes[shared - 1]], words[codes[shared]]]) % np.uint64(shards)
+            take = (shard % passes == turn) & (place[1:] >= ORDER - 1)
             if not scored:
-                needed = trusted[of[at]]
+                needed = trusted[of[1:]]
                 needed[shared] = True
                 take &= needed
-            pick = np.flatnonzero(take)
-            pick = pick[np.argsort(shard[pick], kind="stable")]
-            shard, at = shard[pick], at[pick]
-            cuts = np.flatnonzero(np.r_[True, shard[1:] != shard[:-1], True]) if len(shard) else [0]
+            at = np.flatnonzero(take)
+            at = at[np.argsort(shard[at], kind="stable")]
+            shard = shard[at]
+            cuts = np.flatnonzero(np.r_[True, shard[1:] != shard[:-1], True]) if len(shard) else np.zeros(1, np.int64)
             packed = []
             for i, j in zip(cuts[:-1], cuts[1:]):
                 own = at[i:j]
-                columns = [words[own - 2], words[own - 1], words[own], *([docs[of[own]]] if scored else []), trusted[of[own]]]
-                packed.append(b"".join(c.tobytes() for c in columns))
+                gram, different = pd.factorize(np.concatenate([codes[own - 1], codes[own], codes[own + 1]]))
+                line_of = of[own + 1]
+                packed.append(_packed([words[different], _short(gram, len(different)), trusted[line_of],
+                                       *([docs[line_of]] if scored else [])]))
             n = len(packed)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(shard[cuts[:-1]]), pa.array(np.full(n, _GRAMS, np.int32)), pa.nulls(n, pa.int64()),
@@ -242,15 +267,14 @@ def _by_shard(batches: Iterator[pa.RecordBatch]):
         yield now, told(held[_WORD]), told(held[_PAIR]), held[_GRAMS]
 
 
-def _trigrams(packed: list[bytes], kinds: list) -> list[np.ndarray]:
-    """Columns of packed trigrams."""
-    found, width = [[] for _ in kinds], sum(np.dtype(k).itemsize for k in kinds)
+def _trigrams(packed: list[bytes], scored: bool) -> list[np.ndarray]:
+    """u, v, w, whether trusted, and docs if to be scored, of packed trigrams."""
+    rows = []
     for x in packed:
-        at, n = 0, len(x) // width
-        for column, kind in zip(found, kinds):
-            column.append(np.frombuffer(x, kind, n, at))
-            at += n * np.dtype(kind).itemsize
-    return [np.concatenate(c) if c else np.empty(0, k) for c, k in zip(found, kinds)]
+        words, codes, *facts = _unpacked(x, "uubi" if scored else "uub")
+        rows.append([*words[codes].reshape(ORDER, -1), *facts])
+    kinds = [np.uint64] * ORDER + [bool] + [np.int64] * scored
+    return [np.concatenate(c) for c in zip(*rows)] if rows else [np.empty(0, k) for k in kinds]
 
 
 def _shard_counts(often):
@@ -261,7 +285,7 @@ def _shard_counts(often):
     @frees
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for shard, _, _, packed in _by_shard(batches):
-            u, v, w, trusted = _trigrams(packed, [np.uint64] * 3 + [bool])
+            u, v, w, trusted = _trigrams(packed, False)
             of, first = _distinct(_keys([u, v, w]))
             c3 = np.bincount(of, trusted, len(first)).astype(np.int64)
             v, w = v[first], w[first]
@@ -330,7 +354,7 @@ def _shard_gains(often, model):
         facts = model.value
         cut, base, total1 = facts["cut"], facts["base"], facts["total"]
         for _, words, pairs, packed in _by_shard(batches):
-            u, v, w, docs, trusted = _trigrams(packed, [np.uint64] * 3 + [np.int64, bool])
+            u, v, w, trusted, docs = _trigrams(packed, True)
             of, first = _distinct(_keys([u, v, w]))
             c3 = np.bincount(of, trusted, len(first)).astype(np.int64)
             u, v, w = u[first], v[first], w[first]
@@ -361,21 +385,20 @@ def _shard_gains(often, model):
     return run
 
 
-def gains(lines: DataFrame, tables: Scratch) -> tuple[DataFrame, DataFrame, float]:
-    """((doc, gain) of the lines, parts to be summed; (key, value, n) of the
+def gains(blocks: DataFrame, tables: Scratch) -> tuple[DataFrame, DataFrame, float]:
+    """((doc, gain) of the blocks, parts to be summed; (key, value, n) of the
     trusted words; log probability of an unknown word)."""
     share = lambda df: df.sparkSession.sparkContext.broadcast
-    size = lines.agg(F.sum(F.octet_length("line"))).first()[0] or 0
-    passes = min(PASSES, -(-size // SHARD_BYTES) or 1)
-    shards = passes * (-(-size // (passes * SHARD_BYTES)) or 1)
-    common = lines.mapInArrow(_common_words, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    total = lines.agg(F.sum(F.length("line") - F.length(F.replace("line", F.lit(" "), F.lit(""))) + 1)).first()[0] or 0
-    often = [r[0] for r in common.filter(F.col("n") * shards > total).select("word").collect()] if shards > 1 else []
-    often = share(lines)(np.sort(np.array(often, np.int64).view(np.uint64)))
+    total = blocks.agg(F.sum("tokens")).first()[0] or 0
+    passes = min(PASSES, -(-total // SHARD_TOKENS) or 1)
+    shards = passes * (-(-total // (passes * SHARD_TOKENS)) or 1)
+    common = blocks.mapInArrow(_common_words, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    often = [r[0] for r in common.filter(F.col("n") > WORD_SHARDS * SHARD_TOKENS).select("word").collect()] if shards > 1 else []
+    often = share(blocks)(np.sort(np.array(often, np.int64).view(np.uint64)))
     rows = "shard int, kind int, key long, n long, grams binary"
 
     def dealt(turn: int, scored: bool) -> DataFrame:
-        return lines.mapInArrow(_gram_rows(often, shards, passes, turn, scored), rows)
+        return blocks.mapInArrow(_gram_rows(often, shards, passes, turn, scored), rows)
 
     def met(df: DataFrame) -> DataFrame:
         return df.repartition("shard").sortWithinPartitions("shard", "kind")
@@ -401,7 +424,7 @@ def gains(lines: DataFrame, tables: Scratch) -> tuple[DataFrame, DataFrame, floa
     stats = stats.assign(v=stats["v"].to_numpy(np.int64).view(np.uint64)).sort_values("v")
     totals = stats["total"].to_numpy(np.float64)
     rests = _rest(totals, *(stats[c].to_numpy(np.float64) for c in ("n1", "n2", "n3")), cut[2])
-    model = share(lines)({"cut": cut, "base": base, "total": max(total1, 1), "often": stats["v"].to_numpy(), "totals": totals, "rests": rests})
+    model = share(blocks)({"cut": cut, "base": base, "total": max(total1, 1), "often": stats["v"].to_numpy(), "totals": totals, "rests": rests})
     told = tables.put(words.select("shard", "w").join(words1, "w").select(
         "shard", F.lit(_WORD).alias("kind"), F.col("w").alias("key"), "n"), "told")
     told = tables.put(pairs.select("shard", "v", "w").join(pairs2, ["v", "w"]).select(
@@ -447,20 +470,19 @@ def _filter(keys: DataFrame) -> np.ndarray:
 
 
 def _lookups(model, unknown: float):
-    """Lines -> (key, doc, n, logp): per row of the input one with its tokens
+    """Blocks -> (key, doc, n, logp): per row of the input one with its tokens
     as n and the log probability without the values still to be joined, and
     (word, doc, count, null) for these."""
 
     @frees
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, logs, bits = model.value
-        for docs, _, lines in _blocks(batches):
-            words, sizes = _tokens(lines)
+        for docs, _, sizes, words, codes in _blocks(batches):
             of, place = _places(sizes)
             tokens = sizes - (ORDER - 1)
             at = np.flatnonzero(place >= ORDER - 1)
-            which, found = pd.factorize(_keys([words[at]]))
-            logp = tokens * unknown + np.bincount(of[at], _found(keys, logs, found)[which], len(lines))
+            which, found = codes[at], _keys([words])
+            logp = tokens * unknown + np.bincount(of[at], _found(keys, logs, found)[which], len(docs))
             own = found.view(np.int64)
             spot = own % FILTER_BITS
             some = (~_among(keys, found) & ((bits[spot >> 6] >> (spot & 63)) & 1 == 1))[which]
@@ -473,16 +495,16 @@ def _lookups(model, unknown: float):
     return run
 
 
-def entropies(lines: DataFrame, parts: DataFrame, table: DataFrame, unknown: float) -> DataFrame:
-    """(doc, tokens, entropy) of the lines, from their gains and the values of
+def entropies(blocks: DataFrame, parts: DataFrame, table: DataFrame, unknown: float) -> DataFrame:
+    """(doc, tokens, entropy) of the blocks, from their gains and the values of
     the words; rows of the same doc count as copies of one."""
     least = _frequent(table)
     hot = table.filter(_step() >= least).select("key", "value").toArrow()
     keys = hot.column(0).to_numpy().view(np.uint64)
     order = np.argsort(keys)
     cold = table.filter(_step() < least).select("key", "value")
-    model = lines.sparkSession.sparkContext.broadcast((keys[order], hot.column(1).to_numpy()[order], _filter(cold)))
-    found = lines.mapInArrow(_lookups(model, unknown), "key long, doc long, n long, logp double")
+    model = blocks.sparkSession.sparkContext.broadcast((keys[order], hot.column(1).to_numpy()[order], _filter(cold)))
+    found = blocks.mapInArrow(_lookups(model, unknown), "key long, doc long, n long, logp double")
     joined = found.join(cold.hint("shuffle_hash"), "key", "left")
     first = F.col("logp").isNotNull()
     rows = joined.select("doc", F.when(first, F.col("n")).alias("tokens"), F.when(first, F.col("logp")).otherwise(
@@ -504,8 +526,8 @@ def perplexities(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
         texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), doc, F.col(text_col).alias("text"))
         marked = texts.join(taught.hint("merge"), F.col("doc_id") == F.col("trusted_id"), "left")
         marked = marked.select("doc", F.col("trusted_id").isNotNull().alias("trusted"), "text")
-        lines = tables.put(marked.mapInArrow(_lines, "doc long, trusted boolean, line string"), "lines")
-        sums = cut_lineage(entropies(lines, *gains(lines, tables)))
+        blocks = tables.put(marked.mapInArrow(_coded, "tokens long, block binary"), "blocks")
+        sums = cut_lineage(entropies(blocks, *gains(blocks, tables)))
     facts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(lang_col).alias("lang"), doc)
     scored = facts.join(sums, "doc").select("doc_id", "lang", "tokens", "entropy")
     step = F.ceil(F.col("entropy") * QUANTILE_STEPS)
