@@ -147,7 +147,11 @@ def _coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def block():
         words, sizes = _tokens(lines)
         codes, different = pd.factorize(words)
-        value = _packed([np.array(docs), np.array(trusted), sizes, different, _short(codes, len(different))])
+        order = np.argsort(-np.bincount(codes), kind="stable")  # frequent words get small codes, which compress
+        rank = np.empty(len(order), np.uint32)
+        rank[order] = np.arange(len(order))
+        planes = np.ascontiguousarray(rank[codes].view(np.uint8).reshape(-1, 4).T).ravel()
+        value = _packed([np.array(docs), np.array(trusted), sizes, different[order], planes])
         return pa.RecordBatch.from_arrays([pa.array([len(words)]), pa.array([value], pa.binary())], names=["tokens", "block"])
 
     docs, trusted, lines, size = [], [], [], 0
@@ -167,7 +171,8 @@ def _coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
     for b in batches:
         for value in b.column(1):
-            yield _unpacked(value.as_buffer(), "ibiuu")
+            *facts, planes = _unpacked(value.as_buffer(), "ibiuu")
+            yield [*facts, np.ascontiguousarray(planes.reshape(4, -1).T).view(np.uint32).ravel()]
 
 
 def _places(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -524,9 +529,11 @@ def perplexities(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
     doc = F.xxhash64(F.col(id_col).cast("long"), F.coalesce(F.col(text_col), F.lit("")), F.col(lang_col)).alias("doc")
     with scratch(docs.sparkSession, "kneser_ney") as tables:
         texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), doc, F.col(text_col).alias("text"))
-        marked = texts.join(taught.hint("merge"), F.col("doc_id") == F.col("trusted_id"), "left")
-        marked = marked.select("doc", F.col("trusted_id").isNotNull().alias("trusted"), "text")
-        blocks = tables.put(marked.mapInArrow(_coded, "tokens long, block binary"), "blocks")
+        for turn in range(PASSES):  # so that the shuffle holds a part of the texts at a time
+            part = texts.filter(F.pmod(F.xxhash64("doc_id"), F.lit(PASSES)) == turn)
+            marked = part.join(taught.hint("merge"), F.col("doc_id") == F.col("trusted_id"), "left")
+            marked = marked.select("doc", F.col("trusted_id").isNotNull().alias("trusted"), "text")
+            blocks = tables.put(marked.mapInArrow(_coded, "tokens long, block binary"), "blocks")
         sums = cut_lineage(entropies(blocks, *gains(blocks, tables)))
     facts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(lang_col).alias("lang"), doc)
     scored = facts.join(sums, "doc").select("doc_id", "lang", "tokens", "entropy")
