@@ -3,14 +3,16 @@
 import hashlib
 import random
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 import pytest
 
 from tidewise.llm import common, exact_dedup, ngram_join, sentence_spans
 from tidewise.llm.queries import QUERIES
+from tidewise.session import scratch
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -168,6 +170,73 @@ def test_linked_sets_share_a_group_key():
                     assert np.intersect1d(a_keys, b_keys).size
 
 
+def test_texts_that_share_a_few_shingles_share_no_key():
+    rng = np.random.default_rng(11)
+    phrases = rng.integers(0, 1 << 64, 1500, dtype=np.uint64)   # a text has 45 of them: two texts share one or two
+    sets = [np.unique(np.r_[rng.choice(phrases, 45, False), rng.integers(0, 1 << 64, n, dtype=np.uint64)])
+            for n in rng.integers(60, 140, 250)]
+    seen = Counter(k for s in sets for k in set(ngram_join.group_keys(len(s), s, 80).tolist()))
+    assert sum(n > 1 for n in seen.values()) <= 5
+
+
+def test_only_keys_that_occur_again_are_dealt_out(spark):
+    r = random.Random(3)
+    texts = [" ".join(f"w{r.randint(0, 10**6)}" for _ in range(120)) for _ in range(60)]
+    texts += [texts[0] + " more", texts[1] + " more"]
+    none = type("Bits", (), {"value": np.zeros(1024, np.int64)})
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], names=["text"])
+    keys = [k for _, k in ngram_join._texts_keys([batch], 5, 80, none)]
+    parts = 7
+    heads = pa.Table.from_batches(ngram_join._head_rows(5, 80, none, parts)([batch])).combine_chunks().to_batches()[0]
+    assert heads.column("n").to_numpy().sum() == sum(map(len, keys))
+    assert pa.compute.binary_length(heads.column("heads")).to_numpy().sum() < 8 * sum(map(len, keys))
+    order = pa.compute.sort_indices(heads.column("part"))
+    again = [x for b in ngram_join._again(parts)([heads.take(order)]) for x in b.column(0).to_pylist()]
+    count = Counter(np.concatenate(keys).tolist())
+    assert set(again) == {k >> 24 for k, n in count.items() if n > 1} and len(again) == len(set(again))
+    with scratch(spark, "test") as tables:
+        frame = spark.createDataFrame([(t,) for t in texts], "text string").repartition(3)
+        bits = type("Bits", (), {"value": ngram_join.keys_again(frame, 62 * 116, 5, 80, none, tables)})
+    rows = pa.Table.from_batches(ngram_join._key_rows(5, 80, none, bits)([batch]))
+    dealt = {k % (1 << 64) for k, other in zip(rows["key"].to_pylist(), rows["other"].to_pylist()) if other is None}
+    assert dealt >= {k for k, n in count.items() if n > 1} and len(dealt) < len(count) / 5
+
+
+@pytest.mark.parametrize("parts", [1, 3, 1000])
+def test_packed_heads_come_back(parts):
+    rng = np.random.default_rng(parts)
+    starts = [ngram_join._start(p, parts) for p in range(parts + 1)]
+    assert starts[0] == 0 and starts[-1] == 1 << ngram_join.KEY_BITS
+    for low, high in zip(starts[:3], starts[1:4]):
+        for n in (1, 2, 5000):
+            heads = np.sort(np.r_[rng.integers(low, high, n, dtype=np.uint64), np.uint64(high - 1)])
+            assert np.array_equal(ngram_join.unpacked(ngram_join.packed(heads, low), len(heads), low), heads)
+
+
+def test_texts_of_a_block_in_many_chunks_meet(spark):
+    r = random.Random(9)
+    words = lambda n: [f"v{r.randint(0, 10**6)}" for _ in range(n)]
+    passage, rows = words(70), []
+    for i in range(24):   # half of each is the same passage: one block, and pairs of near copies in it
+        own = words(60)
+        rows += [(2 * i, " ".join(passage + own)), (2 * i + 1, " ".join(passage + own[:-2] + words(2)))]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = ngram_join.near_components(df, 5, 80, chunk_shingles=1000).collect()
+    want = _components(rows, 5, 80)
+    assert len({c for _, _, c in want}) == 24
+    assert sorted(map(tuple, got), key=str) == want
+
+
+def test_components_leave_no_shuffle_files(spark, docs):
+    env = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get()
+    files = lambda: {f for f in env.blockManager().diskBlockManager().getAllFiles().mkString("\n").split("\n") if "shuffle_" in f}
+    rows = ngram_join.cut_lineage(ngram_join.document_sets(docs, 5))
+    before = files()
+    facts = ngram_join._components_of(docs, rows, 5, 80, "doc_id", "text", 1 << 20)
+    assert not files() - before
+    assert facts.count()
+
+
 def test_tree_search_misses_no_candidate():
     rng = np.random.default_rng(7)
     base = [np.unique(rng.integers(0, 1 << 63, 150, dtype=np.uint64)) for _ in range(40)]

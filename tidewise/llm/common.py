@@ -170,14 +170,10 @@ def ranked(df: DataFrame, order: list[str], name: str) -> DataFrame:
 TASK_EDGES = 1 << 20    # edges that one task contracts (about 100 bytes each while it does)
 
 
-@frees
-def _forest(batches):
-    """mapInArrow over edges (u, v): one edge (node, smallest node) for every
-    node of the task's edges, by the components these make among themselves."""
-    pairs = [np.stack([b.column(0).to_numpy(), b.column(1).to_numpy()], 1) for b in batches if len(b)]
-    if not pairs:
-        return
-    nodes, at = np.unique(np.concatenate(pairs), return_inverse=True)
+def contracted(edges: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Edges (rows of two nodes) -> one edge (node, smallest node) for every
+    other node of the components that they make."""
+    nodes, at = np.unique(edges, return_inverse=True)
     u, v = at.reshape(-1, 2).T
     root = np.arange(len(nodes))
     while True:
@@ -189,7 +185,16 @@ def _forest(batches):
         while not np.array_equal(root, root[root]):
             root = root[root]
     child = np.flatnonzero(root != np.arange(len(nodes)))
-    yield pa.RecordBatch.from_arrays([pa.array(nodes[child]), pa.array(nodes[root[child]])], names=["u", "v"])
+    return nodes[child], nodes[root[child]]
+
+
+@frees
+def _forest(batches):
+    """mapInArrow over edges (u, v): those of the task, contracted."""
+    pairs = [np.stack([b.column(0).to_numpy(), b.column(1).to_numpy()], 1) for b in batches if len(b)]
+    if pairs:
+        u, v = contracted(np.concatenate(pairs))
+        yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], names=["u", "v"])
 
 
 def components(edges: DataFrame, left: str = "a", right: str = "b") -> DataFrame:

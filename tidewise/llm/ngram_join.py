@@ -11,22 +11,29 @@ One tree over a whole corpus would not be selective: balanced group counts of
 unrelated texts lie close together. So the points are first divided into
 *blocks*, a superset of the link graph's components, with a partition argument
 that loses no link: two sets of Jaccard similarity >= t differ in at most
-(1-t)/(1+t) * (|x|+|y|) shingles, so of one hash group more than that, at
-least one has the same content in both sets. Sets of one size class (and the
-next one) use the same number of groups; texts that share the content of a
-non-empty group get into one block. Texts that merely share a common passage
-stay apart: most of their groups hold other shingles as well, and shingles that
-a sample of SAMPLE_SHINGLES shingles shows in three or more texts of different
-kind (by their smallest shingle) are left out of the groups, in all sets alike,
-which takes nothing from the argument: without them sets differ no more.
+(1-t)/(1+t) * (|x|+|y|) = d shingles, so of any d+1 hash groups, at least one
+has the same content in both sets. Sets of one size class (and the next one) use
+the same number of groups, more than d+1 of them. Groups are ranked by what they
+hold, those of many shingles first, and the d+1 highest make the set's keys: of
+two linked sets, take the one whose last key ranks higher; one of its groups is
+the other's too, and ranks high enough to be a key there. Texts that share a key
+get into one block. Texts that merely share a common passage stay apart: nearly
+all keys are groups of two and more shingles, most hold others as well, and
+shingles that a sample of SAMPLE_SHINGLES shingles shows in three or more texts
+of different kind (by their smallest shingle) are left out of the groups, in all
+sets alike, which takes nothing from the argument: without them sets differ no
+more.
 
 Within a block, trees are searched in tasks of bounded size. The result is the
 components of the link graph, so a pair whose texts are already connected is
 not verified again; no link between different components is left out.
 
-Stages: sets -> (group key, set) rows, merged in the map tasks (a key has at
-most one row per task) -> star edges of equal keys -> blocks -> R-tree joins
-inside blocks, in chunks of about CHUNK_SHINGLES -> components -> documents.
+Stages: sets -> their keys' first KEY_BITS bits, as sorted lists of small
+differences, to find those that occur again (a bit filter) -> (key, set) rows of
+these alone, merged in the map tasks (a key has at most one row per task) -> star
+edges of equal keys -> blocks -> R-tree joins inside blocks, in chunks of about
+CHUNK_SHINGLES -> components -> documents. Shuffle files and tables of texts go
+when they have been read, so disk holds one step's at a time.
 
 A set is identified by a 64-bit hash of its shingles: texts of equal sets share
 one point (expected false merges: N^2 / 2^65). Its text comes from one row, which
@@ -49,16 +56,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewise.session import cut_lineage
+from tidewise.session import Scratch, cut_lineage, scratch
 
-from .common import (bit_filter, byte_views, components, frees, join_counted, may_hold, mix, rows_with, shingle_set,
-                     signed, unused, word_hashes, worker_cache)
+from .common import (bit_filter, byte_views, components, contracted, filter_bits, frees, join_counted, may_hold, mix,
+                     rows_with, shingle_set, signed, unused, word_hashes, worker_cache)
 
 DIMENSIONS = 64            # hash groups of a point
 LEAF, NODE = 16, 8         # points of a leaf, children of an inner node
 CHUNK_SHINGLES = 1 << 20   # shingles that one R-tree join task holds
 SAMPLE_SHINGLES = 1 << 22  # in which common passages are looked for
 FLUSH_ROWS = 1 << 20       # key rows that a map task merges at a time
+KEY_BITS = 40              # of a key, in the search for keys that occur again
+PART_SHINGLES = 1 << 21    # shingles whose keys are searched at a time
 BATCH_ROWS = 1 << 16
 
 
@@ -68,22 +77,24 @@ def set_id(s: np.ndarray) -> np.uint64:
 
 # --------------------------------------------------------------- group keys
 @functools.lru_cache(None)
-def _classes(percent: int, most: int) -> tuple[np.ndarray, tuple[tuple[int, int], ...]]:
-    """Lower bounds of the size classes, and per class (groups, empty groups
-    that need no key). Sizes of linked sets lie in one class or in two
-    neighbouring ones."""
+def _classes(percent: int, most: int) -> tuple[np.ndarray, tuple[int, ...]]:
+    """Lower bounds of the size classes, and groups per class. Sizes of linked
+    sets lie in one class or in two neighbouring ones."""
     low = [1]
     while low[-1] <= most:
         low.append(low[-1] * 100 // percent + 1)
-    groups = [(1, 0)]
+    groups = [1]
     for k in range(1, len(low)):
-        differ = 2 * (low[k] - 1) * (100 - percent) // (100 + percent)  # largest of class k - 1
-        smallest = low[max(k - 2, 0)]
-        spare = 2 + int(np.ceil(2 * (differ + 1) * np.exp(-smallest / (differ + 1)))) if differ else 0
-        groups.append((differ + 1 + spare, spare))
+        differ = _differ(low[k] - 1, low[k] - 1, percent)  # largest of class k - 1
+        groups.append(differ + 1 + (3 * differ + 6) // 7 if differ else 1)
     return np.array(low), tuple(groups)
 
 
+def _differ(one: int, two: int, percent: int) -> int:
+    """In how many shingles linked sets of these sizes differ at most."""
+    return (100 - percent) * (one + two) // (100 + percent)
+
+
 @functools.lru_cache(4096)
 def _bounds(groups: int) -> np.ndarray:
     return (np.arange(1, groups, dtype=object) * (1 << 64) // groups).astype(np.uint64)
@@ -100,14 +111,16 @@ def group_keys(n: int, s: np.ndarray, percent: int) -> np.ndarray:
     np.cumsum(mix(s ^ np.uint64(0xA0761D6478BD642F)), out=sums[1:])
     keys = []
     for k in (own, own + 1):
-        m, spare = groups[k]
+        m = groups[k]
         cuts = np.empty(m + 1, np.int64)
         cuts[0], cuts[m] = 0, len(s)
         cuts[1:m] = np.searchsorted(s, _bounds(m))
         content = sums[cuts[1:]] - sums[cuts[:-1]]
         named = mix(content ^ mix(np.arange(m, dtype=np.uint64) + np.uint64(k << 32)))
-        filled = cuts[1:] > cuts[:-1]
-        keys.append(named if m - np.count_nonzero(filled) > spare else named[filled])
+        held = np.minimum(cuts[1:] - cuts[:-1], 15).astype(np.uint64)
+        rank = held << np.uint64(60) | named >> np.uint64(4)   # by what a group holds alone, so alike in all sets
+        last = m - 1 - _differ(n, min(int(low[k]) - 1, 100 * n // percent), percent)
+        keys.append(named[rank >= np.partition(rank, last)[last]])
     return np.concatenate(keys)
 
 
@@ -139,9 +152,110 @@ def common_shingles(texts: DataFrame, shingles: int, k: int) -> np.ndarray:
     return bit_filter(shared.filter("kinds >= 3 and 2 * kinds >= n").select("shingle"))
 
 
-def _key_rows(k: int, percent: int, common):
-    """mapInArrow: text -> (key, node, other). other null: set ``node`` has this
-    key. Else an edge node-other: both have one key, seen in this task."""
+def _heads(keys: np.ndarray) -> np.ndarray:
+    return keys >> np.uint64(64 - KEY_BITS)
+
+
+def _texts_keys(batches: Iterator[pa.RecordBatch], k: int, percent: int, common):
+    """(set id, keys) of each text with words."""
+    for batch in batches:
+        for text in byte_views(batch.column(0)):
+            s = shingle_set(word_hashes(text), k)
+            if len(s):
+                yield set_id(s), group_keys(len(s), s[~may_hold(common.value, signed(s))], percent)
+
+
+def packed(heads: np.ndarray, start: int) -> bytes:
+    """Sorted numbers from ``start`` on as compressed bytes of their differences."""
+    steps = np.diff(heads, prepend=np.uint64(start)).astype("<u8")
+    planes = steps.view(np.uint8).reshape(-1, 8)[:, :KEY_BITS // 8]
+    return pa.compress(np.ascontiguousarray(planes.T), codec="zstd", asbytes=True)
+
+
+def unpacked(data: bytes, n: int, start: int) -> np.ndarray:
+    planes = np.frombuffer(pa.decompress(data, n * KEY_BITS // 8, codec="zstd", asbytes=True), np.uint8)
+    steps = np.zeros((n, 8), np.uint8)
+    steps[:, :KEY_BITS // 8] = planes.reshape(KEY_BITS // 8, n).T
+    return np.cumsum(steps.view("<u8").ravel()).astype(np.uint64) + np.uint64(start)
+
+
+def _start(part: int, parts: int) -> int:
+    return -(-(part << KEY_BITS) // parts)
+
+
+def _head_rows(k: int, percent: int, common, parts: int):
+    """mapInArrow: text -> (part, n, heads): first bits of keys, at most two
+    equal ones of a flush, dealt in ``parts`` ranges."""
+
+    def flush(keys):
+        heads = np.sort(_heads(np.concatenate(keys)))
+        heads = heads[np.r_[True, True, heads[2:] != heads[:-2]][:len(heads)]]
+        starts = [_start(p, parts) for p in range(parts)]
+        cuts = np.r_[np.searchsorted(heads, np.array(starts, np.uint64)), len(heads)]
+        full = np.flatnonzero(cuts[1:] > cuts[:-1])
+        for at in range(0, len(full), 64):
+            some = full[at:at + 64]
+            data = [packed(heads[cuts[p]:cuts[p + 1]], starts[p]) for p in some]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(some, pa.int32()), pa.array(cuts[some + 1] - cuts[some], pa.int32()), pa.array(data, pa.binary())],
+                names=["part", "n", "heads"])
+
+    @frees
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_cache("ngram_join")
+        keys, held = [], 0
+        for _, own in _texts_keys(batches, k, percent, common):
+            keys.append(own)
+            held += len(own)
+            if held > 2 * FLUSH_ROWS:
+                yield from flush(keys)
+                keys, held = [], 0
+        if held:
+            yield from flush(keys)
+
+    return run
+
+
+def _again(parts: int):
+    """mapInArrow: (part, n, heads), sorted by part -> heads that occur twice."""
+
+    def twice(lists):
+        heads = np.sort(np.concatenate(lists))
+        heads = np.unique(heads[1:][heads[1:] == heads[:-1]])
+        for at in range(0, len(heads), BATCH_ROWS):
+            yield pa.RecordBatch.from_arrays([pa.array(signed(heads[at:at + BATCH_ROWS].copy()))], names=["head"])
+
+    @frees
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, lists = None, []
+        for b in batches:
+            for p, n, data in zip(*(b.column(i).to_pylist() for i in range(3))):
+                if p != part:
+                    if lists:
+                        yield from twice(lists)
+                    part, lists = p, []
+                lists.append(unpacked(data, n, _start(p, parts)))
+        if lists:
+            yield from twice(lists)
+
+    return run
+
+
+def keys_again(texts: DataFrame, shingles: int, k: int, percent: int, common, tables: Scratch) -> np.ndarray:
+    """Bit filter of the first bits of keys that occur more than once."""
+    parts = 1 + shingles // PART_SHINGLES
+    heads = texts.mapInArrow(_head_rows(k, percent, common, parts), "part int, n int, heads binary")
+    spread = heads.repartition("part").sortWithinPartitions("part")
+    found = tables.put(spread.mapInArrow(_again(parts), "head long"), "again")
+    bits = bit_filter(found, filter_bits(found.count()))
+    tables.drop("again")
+    return bits
+
+
+def _key_rows(k: int, percent: int, common, again):
+    """mapInArrow: text -> (key, node, other) for keys whose first bits occur
+    again. other null: set ``node`` has this key. Else an edge node-other: both
+    have one key, seen in this task."""
 
     def flush(keys, nodes):
         keys, nodes = np.concatenate(keys), np.concatenate(nodes)
@@ -157,37 +271,34 @@ def _key_rows(k: int, percent: int, common):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         worker_cache("ngram_join")
         keys, nodes, held = [], [], 0
-        for batch in batches:
-            for text in byte_views(batch.column(0)):
-                s = shingle_set(word_hashes(text), k)
-                if len(s):
-                    own = group_keys(len(s), s[~may_hold(common.value, signed(s))], percent)
-                    keys.append(own)
-                    nodes.append(np.full(len(own), set_id(s)))
-                    held += len(own)
-                if held > FLUSH_ROWS:
-                    yield from flush(keys, nodes)
-                    keys, nodes, held = [], [], 0
+        for node, own in _texts_keys(batches, k, percent, common):
+            own = own[may_hold(again.value, signed(_heads(own)))]
+            if len(own):
+                keys.append(own)
+                nodes.append(np.full(len(own), node))
+                held += len(own)
+            if held > FLUSH_ROWS:
+                yield from flush(keys, nodes)
+                keys, nodes, held = [], [], 0
         if held:
             yield from flush(keys, nodes)
 
     return run
 
 
-def _batches(*columns: np.ndarray | None) -> Iterator[pa.RecordBatch]:
+def _batches(*columns: np.ndarray | None, names=("key", "node", "other")) -> Iterator[pa.RecordBatch]:
     n = len(columns[0])
-    names = ["key", "node", "other"][:len(columns)]
     for at in range(0, n, BATCH_ROWS):
         size = min(BATCH_ROWS, n - at)
         yield pa.RecordBatch.from_arrays(
             [pa.nulls(size, pa.int64()) if c is None else pa.array(signed(np.ascontiguousarray(c[at:at + size])))
-             for c in columns], names=names)
+             for c in columns], names=list(names))
 
 
 @frees
 def _star_edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of a hash partition of the keys -> edges (smallest set of a key,
-    other set), each once."""
+    """Rows of a hash partition of the keys -> edges that connect the sets of
+    each key, as few as do."""
     keys, nodes, pairs = [], [], []
     for b in batches:
         key, node, other = (b.column(i) for i in range(3))
@@ -207,11 +318,7 @@ def _star_edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             head = node[np.maximum.accumulate(np.where(first, np.arange(len(key)), 0))]
             pairs.append(np.stack([head[same], node[same]], 1))
     if pairs:
-        found = np.concatenate(pairs)
-        found = np.unique(found[found[:, 0] != found[:, 1]], axis=0)
-        for at in range(0, len(found), BATCH_ROWS):
-            part = found[at:at + BATCH_ROWS]
-            yield pa.RecordBatch.from_arrays([pa.array(part[:, 0].copy()), pa.array(part[:, 1].copy())], names=["a", "b"])
+        yield from _batches(*contracted(np.concatenate(pairs)), names=["a", "b"])
 
 
 # -------------------------------------------------------------------- R-tree
@@ -386,10 +493,11 @@ def _classes_of(rows: DataFrame) -> DataFrame:
 
 def _components_of(docs, rows, k, percent, id_col, text_col, chunk_shingles) -> DataFrame:
     """Per set: node, copies, least, key, root (one of its component's sets)."""
-    classes = cut_lineage(_classes_of(rows))
-    roots = components(_links(docs, classes, k, percent, id_col, text_col, chunk_shingles))
-    facts = classes.join(roots, "node", "left").withColumn("linked", F.col("root").isNotNull())
-    return cut_lineage(facts.withColumn("root", F.coalesce("root", "node")))
+    with scratch(docs.sparkSession, "ngram_join") as tables:
+        classes = cut_lineage(_classes_of(rows))
+        roots = components(_links(docs, classes, k, percent, id_col, text_col, chunk_shingles, tables))
+        facts = classes.join(roots, "node", "left").withColumn("linked", F.col("root").isNotNull())
+        return cut_lineage(facts.withColumn("root", F.coalesce("root", "node")))
 
 
 def near_components(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id",
@@ -408,14 +516,16 @@ def near_components(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
     return out.select("doc_id", "n_shingles", "component_id").union(bare)
 
 
-def _links(docs, classes, k, percent, id_col, text_col, chunk_shingles) -> DataFrame:
-    texts = docs.select(F.col(text_col).alias("text"))
+def _links(docs, classes, k, percent, id_col, text_col, chunk_shingles, tables) -> DataFrame:
+    texts, sc = docs.select(F.col(text_col).alias("text")), docs.sparkSession.sparkContext
     shingles = classes.agg(F.sum(F.col("size") * F.col("copies"))).first()[0] or 0
-    common = docs.sparkSession.sparkContext.broadcast(common_shingles(texts, shingles, k))
-    keyed = texts.mapInArrow(_key_rows(k, percent, common), "key long, node long, other long")
-    stars = cut_lineage(keyed.repartition("key").mapInArrow(_star_edges, "a long, b long"))
+    common = sc.broadcast(common_shingles(texts, shingles, k))
+    again = sc.broadcast(keys_again(texts, shingles, k, percent, common, tables))
+    keyed = texts.mapInArrow(_key_rows(k, percent, common, again), "key long, node long, other long")
+    stars = tables.put(keyed.repartition("key").mapInArrow(_star_edges, "a long, b long"), "stars")
     blocks = components(stars).withColumnRenamed("root", "block").join(classes, "node")
     blocks = cut_lineage(blocks.select("node", "block", "size", "key", "equal"))
+    tables.drop("stars")
     weight = F.ceil(F.sum("size") / F.lit(chunk_shingles))
     chunks = blocks.groupBy("block").agg(weight.alias("chunks"))
     blocks = blocks.join(chunks, "block").withColumn("chunk", F.pmod(F.xxhash64("node"), "chunks"))
@@ -425,7 +535,8 @@ def _links(docs, classes, k, percent, id_col, text_col, chunk_shingles) -> DataF
     repeated = blocks.filter("equal > 1").select("key")
     if not repeated.isEmpty():   # equal rows count once
         wanted = wanted.union(rows_with(source, "key", repeated).groupBy("key").agg(F.first("text").alias("text")))
-    blocks = cut_lineage(blocks.join(wanted, "key").select("block", "chunks", "chunk", "node", "text"))
+    places = blocks.select("block", "chunks", "chunk", "node", "size", "key")
+    blocks = tables.put(places.join(wanted, "key").drop("key"), "blocks")
 
     def join(tasks: DataFrame) -> DataFrame:
         rows = tasks.select(F.xxhash64("task").alias("task"), "node", "asks", "text")
@@ -443,17 +554,25 @@ def _links(docs, classes, k, percent, id_col, text_col, chunk_shingles) -> DataF
         return found
     # what is not in its block's largest component yet: against every chunk
     roots = components(found)
-    large = cut_lineage(large.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")))
-    sizes = large.groupBy("block", "root").agg(F.count("*").alias("n"))
+    narrow = cut_lineage(large.drop("text").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")))
+    sizes = narrow.groupBy("block", "root").agg(F.count("*").alias("n"))
     main = sizes.groupBy("block").agg(F.max_by("root", F.struct("n", "root")).alias("main"))
-    rest = large.join(main, "block").filter("root <> main").withColumn("part", F.col("chunk"))
-    each = F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1))
-    asking = rest.withColumn("other", each).filter("other <> part").select(
-        F.struct("block", "part", F.col("other").alias("chunk")).alias("task"), "node", F.lit(True).alias("asks"), "text")
-    parts = rest.select("block", "part").distinct()
-    asked = large.join(parts, "block").filter("chunk <> part").select(
-        F.struct("block", "part", "chunk").alias("task"), "node", F.lit(False).alias("asks"), "text")
-    return cut_lineage(found.union(join(asking.union(asked))))
+    rest = cut_lineage(narrow.join(main, "block").filter("root <> main").select("node", F.col("chunk").alias("part")))
+    parts = large.join(rest.select("node"), "node").select("block", F.col("chunk").alias("part")).distinct()
+    parts, asking = cut_lineage(parts), large.join(rest, "node")
+    most, weight = large.agg(F.max("chunks"), F.sum("size")).first()
+    # a chunk meets the rest of those before it, at as many distances in a turn as keep its copies below the corpus
+    step = max(1, shingles // (2 * weight))
+    for at in range(1, most, step):
+        away = F.explode(F.sequence(F.lit(at).cast("long"), F.least(F.lit(at + step - 1).cast("long"), F.col("chunks") - 1)))
+        far = F.pmod(F.col("part") + F.col("away"), F.col("chunks"))
+        asks = asking.filter(F.col("chunks") > at).withColumn("away", away).select(
+            F.struct("block", "part", far.alias("chunk")).alias("task"), "node", F.lit(True).alias("asks"), "text")
+        asked = large.filter(F.col("chunks") > at).withColumn("away", away).withColumn(
+            "part", F.pmod(F.col("chunk") - F.col("away"), "chunks")).join(parts, ["block", "part"]).select(
+            F.struct("block", "part", "chunk").alias("task"), "node", F.lit(False).alias("asks"), "text")
+        found = cut_lineage(found.union(join(asks.union(asked))))
+    return found
 
 
 def keep_one(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
