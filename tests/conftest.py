@@ -27,3 +27,14 @@ def sf_small():
     if not os.path.isdir(SF_SMALL):
         pytest.skip("test data not available")
     return SF_SMALL
+
+
+@pytest.fixture(scope="module", autouse=True)
+def _nothing_cached_for_the_next_module():
+    """Tables that a module's tests cached would replace the scans in the plans
+    of the next one's."""
+    yield
+    from pyspark.sql import SparkSession
+
+    if session := SparkSession.getActiveSession():
+        session.catalog.clearCache()
